@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, functions as F
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
 
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
@@ -17,13 +18,13 @@ def char_grams(text: Column, low: int = 2, high: int = 4) -> Column:
     def of_word(word):
         padded = F.concat(F.lit(" "), word, F.lit(" "))
         size = F.length(padded)
-        by_n = [
-            F.when(size >= n, F.transform(F.sequence(F.lit(1), size - (n - 1)),
-                                          lambda i, n=n: F.substring(padded, i, F.lit(n))))
-            .otherwise(F.array().cast("array<string>"))
-            for n in range(low, high + 1)
-        ]
-        return F.concat(*by_n)
+
+        def of_size(n):
+            starts = F.sequence(F.lit(1), size - (n - 1))
+            return F.when(size >= n, F.transform(starts, lambda i: F.substring(padded, i, F.lit(n)))) \
+                .otherwise(F.array().cast("array<string>"))
+
+        return F.concat(*[of_size(n) for n in range(low, high + 1)])
 
     return F.flatten(F.transform(words(F.lower(text)), of_word))
 
@@ -32,6 +33,45 @@ def token_sort(text: Column) -> Column:
     return F.array_join(F.array_sort(words(text)), " ")
 
 
+def pair_ratio(left: list, right: list, cells: int = 4_000_000) -> np.ndarray:
+    """200 * common subsequence / (sum of lengths) of two equally long lists of strings, pair by pair."""
+    out = np.empty(len(left))
+    order = np.argsort([-max(len(a), len(b)) for a, b in zip(left, right)], kind="stable")
+    at = 0
+    while at < len(order):
+        longest = max(len(left[order[at]]), len(right[order[at]]), 1)
+        rows = order[at:at + max(cells // longest, 1)]
+        at += len(rows)
+        codes = []
+        for texts, blank in ((left, 0x110000), (right, 0x110001)):
+            m = np.full((len(rows), max(max(len(texts[i]) for i in rows), 1)), blank, dtype=np.uint32)
+            for r, i in enumerate(rows):
+                m[r, :len(texts[i])] = np.frombuffer(texts[i].encode("utf-32-le"), dtype=np.uint32)
+            codes.append(m)
+        a, b = codes
+        best = np.zeros((len(rows), a.shape[1] + 1), dtype=np.int32)
+        for j in range(b.shape[1]):
+            step = np.maximum(best[:, 1:], best[:, :-1] + (a == b[:, j, None]))
+            best[:, 1:] = np.maximum.accumulate(step, axis=1)
+        total = np.array([len(left[i]) + len(right[i]) for i in rows])
+        out[rows] = np.where(total == 0, 100.0, 200.0 * best[:, -1] / np.maximum(total, 1))
+    return out
+
+
+@F.pandas_udf(T.DoubleType())
+def _pair_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+    given = left.notna() & right.notna()
+    out = pd.Series(np.nan, index=left.index, dtype="Float64")
+    if given.any():
+        out[given] = pair_ratio(left[given].tolist(), right[given].tolist())
+    return out.where(given, None)
+
+
+def token_sort_ratio(left: Column, right: Column) -> Column:
+    """Similarity 0..100 of two texts whatever the order of their words."""
+    return _pair_ratio(token_sort(left), token_sort(right))
+
+
 class TextBlock:
     """Strings as rows of code points, longest first, in pieces of bounded size."""
 

@@ -6,8 +6,8 @@ is. The query side is sent to the tasks when its measured size is small; beyond
 bound both sides are cut into hash blocks and every pair of blocks meets in one bounded
 task. Both ways are exact.
 
-Scores are compared at 9 decimals and then by id, so the order in which a task happens
-to add floats cannot change a rank.
+Scores are kept as they are but compared at 9 decimals and then by id, so the order in
+which a task happens to add floats cannot change a rank.
 """
 
 from __future__ import annotations
@@ -169,14 +169,15 @@ class _Best:
             keep = s >= (bound - SLACK)[:, None]
             keep &= (s > SLACK / 2) if self.positive else ~np.isinf(s)
             r, c = np.nonzero(keep)
-            found.append((r + lo, np.round(s[r, c], DECIMALS) + 0.0, ids[c], c))
+            found.append((r + lo, s[r, c], ids[c], c))
         self._merge(found, pa.table([_plain(table.column(c)) for c in self.carry], names=self.carry))
 
     def _merge(self, found, extra):
         rows = np.concatenate([self.rows] + [f[0] for f in found])
         scores = np.concatenate([self.scores] + [f[1] for f in found])
         ids = np.concatenate(([] if self.ids is None else [self.ids]) + [f[2] for f in found])
-        order = np.lexsort((ids, -scores, rows))
+        compared = np.round(scores, DECIMALS) + 0.0
+        order = np.lexsort((ids, -compared, rows))
         rows, scores, ids = rows[order], scores[order], ids[order]
         starts = np.searchsorted(rows, np.arange(self.n))
         place = np.arange(len(rows)) - starts[rows]
@@ -200,6 +201,11 @@ class _Best:
         return pa.table([out[n].cast(field(n).type) for n in self.schema.names], schema=self.schema)
 
 
+def compared(score: str):
+    """Sort order of a score: best first, at 9 decimals."""
+    return F.round(score, DECIMALS).desc()
+
+
 def _measure(df: DataFrame, width) -> tuple[int, int]:
     row = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return int(row[0]), int(row[1])
@@ -254,11 +260,10 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
             return best.table()
 
         # block sizes follow from the counts above; hashed unique ids fill them evenly
-        left = items.select(
-            F.pmod(F.xxhash64("id"), F.lit(n_i)).alias("_i"),
-            F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).cast("bigint").alias("_q"), "*")
-        right = queries.select(
-            F.explode(F.sequence(F.lit(0), F.lit(n_i - 1))).cast("bigint").alias("_i"),
-            F.pmod(F.xxhash64("qid"), F.lit(n_q)).alias("_q"), "*")
+        def numbers(n):
+            return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+        left = items.select(F.pmod(F.xxhash64("id"), F.lit(n_i)).alias("_i"), numbers(n_q).alias("_q"), "*")
+        right = queries.select(numbers(n_i).alias("_i"), F.pmod(F.xxhash64("qid"), F.lit(n_q)).alias("_q"), "*")
         found = left.groupBy("_i", "_q").cogroup(right.groupBy("_i", "_q")).applyInArrow(meet, out)
-    return top_per_group(found, ["qid"], [F.col("score").desc(), F.col("id")], k, rank="rank")
+    return top_per_group(found, ["qid"], [compared("score"), F.col("id")], k, rank="rank")

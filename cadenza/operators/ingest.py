@@ -88,16 +88,25 @@ def explode_artists(tracks: DataFrame) -> DataFrame:
 
 
 def regroup_tracks(rows: DataFrame) -> DataFrame:
-    """Back to one row per track: first genre, distinct genre texts in order, maxima, first of the rest."""
-    def first(c):
-        return F.min_by(c, F.when(F.col(c).isNotNull(), F.coalesce("artist_pos", F.lit(0)))).alias(c)
-
-    texts = F.sort_array(F.collect_list(F.when(F.col("all_genres").isNotNull(), F.struct("artist_pos", "all_genres"))))
-    own = {"track_id", "artist_pos", "artist_id", "primary_genre", "all_genres", "artist_followers", "artist_popularity"}
-    return rows.groupBy("track_id").agg(
-        *[first(c) for c in rows.columns if c not in own],
-        F.coalesce(first("primary_genre"), F.lit("")).alias("primary_genre"),
-        F.array_join(F.array_distinct(F.transform(texts, lambda t: t["all_genres"])), "; ").alias("all_genres"),
+    """Back to one row per track: first genre, distinct genre texts in order, maxima, first of the rest.
+
+    Rows are first combined per (track, genre text), so what is listed per track is only its
+    distinct texts, which the result holds anyway.
+    """
+    pos = F.coalesce("artist_pos", F.lit(0))
+    others = [c for c in rows.columns
+              if c not in ("track_id", "artist_pos", "artist_id", "all_genres", "artist_followers", "artist_popularity")]
+    by_text = rows.groupBy("track_id", "all_genres").agg(
+        F.min(pos).alias("_pos"), F.max("artist_followers").alias("artist_followers"),
+        F.max("artist_popularity").alias("artist_popularity"),
+        *[F.min(F.when(F.col(c).isNotNull(), F.struct(pos.alias("p"), F.col(c).alias("v")))).alias(c) for c in others])
+    texts = F.sort_array(F.collect_list(F.when(F.col("all_genres").isNotNull(), F.struct("_pos", "all_genres"))))
+    first = {c: F.min(c)["v"] for c in others}
+    if "primary_genre" in first:
+        first["primary_genre"] = F.coalesce(first["primary_genre"], F.lit(""))
+    return by_text.groupBy("track_id").agg(
+        *[v.alias(c) for c, v in first.items()],
+        F.array_join(F.transform(texts, lambda t: t["all_genres"]), "; ").alias("all_genres"),
         F.max("artist_followers").alias("artist_followers"),
         F.max("artist_popularity").alias("artist_popularity"))
 

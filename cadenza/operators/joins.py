@@ -29,9 +29,9 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
     hot = F.broadcast(_hot_keys(left, keys, rows_per_salt))
     salt = F.pmod(F.xxhash64(*(spread or left.columns)), F.coalesce(F.col("_salts"), F.lit(1)))
     spread_left = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    last = (F.coalesce(F.col("_salts"), F.lit(1)) - 1).cast("bigint")
     copied_right = (right.join(hot, keys, "left")
-                    .withColumn("_salt", copies.cast("bigint")).drop("_salts"))
+                    .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("_salts"))
     return spread_left.join(copied_right, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -6,9 +6,9 @@ from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.operators.clean import attach_row, scale
+from cadenza.operators.clean import scale
 from cadenza.operators.quantiles import exact_quantiles, long_form
-from cadenza.schema import MOOD_PLOT_ORDER, feature_vector, numeric_columns, present
+from cadenza.schema import MOOD_PLOT_ORDER, feature_vector, numeric_columns
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -77,8 +77,8 @@ def histogram(df: DataFrame, columns, bins: int) -> DataFrame:
 
 def box_summary(df: DataFrame, columns, by: str = "mood_label", groups=MOOD_PLOT_ORDER) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 IQR, and outlier counts per group."""
-    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by, groups).withColumnsRenamed(
-        {"q0": "q1", "q1": "median", "q2": "q3"})
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by, groups).select(
+        by, "feature", "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     v = F.col("value")
     near = v.between(F.col("q1") - reach, F.col("q3") + reach)
@@ -127,7 +127,3 @@ def principal_components(df: DataFrame, columns, k: int = 2, label: str | None =
 
 def numeric_correlations(df: DataFrame, exclude=()) -> DataFrame:
     return correlations(df, numeric_columns(df, exclude))
-
-
-def available(df: DataFrame, names) -> list[str]:
-    return present(df, names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cadenza.functions.scalars import title_case
-from cadenza.operators.blocks import Dot, block_top_k
+from cadenza.operators.blocks import Dot, block_top_k, compared
 from cadenza.operators.clean import attach_row
 from cadenza.operators.ordering import keep_first, top_per_group, top_rows
 from cadenza.operators.vectors import unit
@@ -33,8 +33,8 @@ def similar_by_features(items: DataFrame, seeds: DataFrame, k: int = 10, metric:
     near = block_top_k(items, seed_vectors(items, seeds), k, Dot(), carry=("name", "artists", "popularity"))
     ws, wp = SIMILAR_WEIGHTS
     final = F.col("score") * ws + F.col("popularity") / pop_scale * wp
-    scored = near.drop("rank").withColumnRenamed("score", "similarity_score").withColumn("final_score", F.round(final, 9))
-    return top_per_group(scored, ["qid"], [F.col("final_score").desc(), F.col("id")], k, rank="rank")
+    scored = near.drop("rank").withColumn("final_score", final).withColumnRenamed("score", "similarity_score")
+    return top_per_group(scored, ["qid"], [compared("final_score"), F.col("id")], k, rank="rank")
 
 
 def with_popularity_prior(df: DataFrame) -> DataFrame:
@@ -50,10 +50,10 @@ def with_popularity_prior(df: DataFrame) -> DataFrame:
 def _hybrid_scores(pool: DataFrame, k: int, alpha: float, beta: float, gamma: float) -> DataFrame:
     """Order by base score; the diversity bonus falls with each earlier row of the same artist."""
     per_query = W.partitionBy("qid")
-    base_order = [F.col("_base").desc(), F.col("id")]
+    base_order = [compared("_base"), F.col("id")]
     sim = rescaled(F.col("score"), per_query)
     scored = pool.withColumn("_sim", sim)
-    scored = scored.withColumn("_base", F.round(alpha * F.col("_sim") + beta * F.col("pop_norm"), 9))
+    scored = scored.withColumn("_base", alpha * F.col("_sim") + beta * F.col("pop_norm"))
     artist = F.coalesce(F.col("artists"), F.lit("unknown"))
     earlier = F.row_number().over(W.partitionBy("qid", artist).orderBy(*base_order)) - 1
     scored = scored.withColumn("_bonus", 1.0 / (1.0 + earlier))
@@ -138,6 +138,6 @@ def name_equals(df: DataFrame, text: str) -> DataFrame:
     return df.filter(F.lower("name") == text.lower())
 
 
-def artist_run(df: DataFrame, query: str, artist: str, order: list) -> Column:
+def artist_run(query: str, artist: str, order: list) -> Column:
     """How many earlier rows of the same query have the same artist."""
     return F.row_number().over(W.partitionBy(query, artist).orderBy(*order)) - 1

@@ -9,17 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.functions.text import char_grams, token_sort
+from cadenza.functions.text import char_grams, token_sort, words
 from cadenza.operators.blocks import Sparse, TokenSort, block_top_k
 from cadenza.operators.joins import lookup_join
 from cadenza.session import write_and_read
 
 
 def gram_counts(texts: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
-    """(key, gram, tf) with raw counts."""
+    """(key, gram, tf) with raw counts; a text's repeated words are cut into grams once."""
     placed = texts.select(key, text).repartition(key)
-    return (placed.select(key, F.explode(char_grams(F.col(text))).alias("gram"))
-            .groupBy(key, "gram").agg(F.count("*").alias("tf")))
+    by_word = (placed.select(key, F.explode(words(F.lower(text))).alias("_word"))
+               .groupBy(key, "_word").agg(F.count("*").alias("_n")))
+    return (by_word.select(key, "_n", F.explode(char_grams(F.col("_word"))).alias("gram"))
+            .groupBy(key, "gram").agg(F.sum("_n").alias("tf")))
 
 
 def fit_idf(texts: DataFrame, key: str = "id", text: str = "text") -> DataFrame:

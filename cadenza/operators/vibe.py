@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from cadenza.functions.text import TextBlock, token_sort
-from cadenza.operators.blocks import Dot, block_top_k
+from cadenza.operators.blocks import Dot, block_top_k, compared
 from cadenza.operators.clean import EPSILON
 from cadenza.operators.ordering import top_per_group
 from cadenza.schema import FEATURES9
@@ -62,7 +62,7 @@ def exact_vibe(text: Column) -> Column:
     return F.get(F.filter(table, lambda k: text.contains(k["word"])), F.lit(0))["vibe"]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _closest_keyword(texts: pd.Series) -> pd.Series:
     block = TextBlock([" ".join(sorted(w.split())) for w, _ in KEYWORDS])
 
@@ -109,6 +109,6 @@ def vibe_results(items: DataFrame, profiles: DataFrame, k: int, carry=("populari
     w = W.partitionBy("qid")
     score = (rescaled(F.col("score"), w) * SIMILARITY_WEIGHT
              + rescaled(F.col("popularity").cast("double"), w) * POPULARITY_WEIGHT)
-    scored = pool.drop("rank").withColumn("_search_score", F.round(score, 9))
-    return (top_per_group(scored, ["qid"], [F.col("_search_score").desc(), F.col("id")], k, rank="rank")
+    scored = pool.drop("rank").withColumn("_search_score", score)
+    return (top_per_group(scored, ["qid"], [compared("_search_score"), F.col("id")], k, rank="rank")
             .withColumnRenamed("qid", "vibe"))

@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ["sources", "columns", "filters", "joins"]
+MODULES = ["sources", "columns", "filters", "joins", "aggregates", "ordering", "scalars", "scaling",
+           "vectors", "text", "recommenders", "evaluation", "learning", "jobs"]
 
 
 def load_all():

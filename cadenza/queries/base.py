@@ -281,7 +281,7 @@ def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 PHRASES = [
     "chill night drive", "gym workout", "sad heartbreak", "party banger", "study focus",
     "romantic dinner", "happy feel good", "sleep meditation", "motivation hustle",
-    "acoustic unplugged", "slow dance", "good vibes", "relax deep",
+    "acoustic unplugged", "slow dance", "good vibes", "relax deep", "chil", "zq jx",
 ]
 
 # every distinct name of the catalog, alone and with its most popular artist's name, plus the phrases
