@@ -71,10 +71,15 @@ def artist_columns(artists: DataFrame) -> DataFrame:
         popularity.alias("artist_popularity"))
 
 
-def join_audio(tracks: DataFrame, audio: DataFrame) -> DataFrame:
-    """Left join on the track id after entries without an id are dropped; both sides are keyed by it."""
+def join_audio(tracks: DataFrame, audio: DataFrame, unique: bool = False) -> DataFrame:
+    """Left join on the track id after feature entries without an id are dropped.
+
+    ``unique`` says the tracks are already one row per id, so a plain join cannot be skewed.
+    """
     features = audio.filter(_given(F.col("id"))).withColumnRenamed("id", "track_id")
-    return tracks.join(features, "track_id", "left")
+    if unique:
+        return tracks.join(features, "track_id", "left")
+    return lookup_join(tracks, features, "track_id", "left")
 
 
 def distinct_artists(tracks: DataFrame) -> DataFrame:

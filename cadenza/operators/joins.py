@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from cadenza.session import write_and_read
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 ROWS_PER_SALT = 1_000_000
@@ -45,12 +47,30 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
 
 def with_group_totals(df: DataFrame, group: str, columns, spread: list[str] | None = None) -> DataFrame:
     """Each row with its group's row count and sums; totals are aggregated first, then joined back."""
-    totals = df.groupBy(group).agg(
+    totals = df.filter(F.col(group).isNotNull()).groupBy(group).agg(
         F.count("*").alias("group_n"), *[F.sum(c).alias(f"group_sum_{c}") for c in columns])
-    return lookup_join(df.filter(F.col(group).isNotNull()), totals, group, "inner", spread)
+    return lookup_join(df, write_and_read(totals, "totals"), group, "inner", spread)
+
+
+def rescaled_in_groups(df: DataFrame, group: str, column: str, spread: list[str] | None = None) -> DataFrame:
+    """``rescaled``: min-max within each group, 1 where a group has a single value. For groups of any size."""
+    ends = df.groupBy(group).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    joined = lookup_join(df, write_and_read(ends, "ends"), group, "inner", spread)
+    lo, hi = F.col("_lo"), F.col("_hi")
+    return joined.withColumn("rescaled", F.when(hi > lo, (F.col(column) - lo) / (hi - lo)).otherwise(F.lit(1.0))
+                             ).drop("_lo", "_hi")
 
 
 def known_rows(seeds: DataFrame, catalog: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
-    """Seeds found in the catalog, and the rest as errors."""
-    ids = catalog.select(key)
-    return seeds.join(ids, key, "left_semi"), seeds.join(ids, key, "left_anti")
+    """Seeds found in the catalog, and the rest as errors. A seed may be asked for any number of times."""
+    asked = seeds.select(key).distinct()
+    ids = write_and_read(catalog.select(key).distinct().join(asked, key), "known").withColumn("_known", F.lit(True))
+    flagged = lookup_join(seeds, ids, key, "left")
+    return (flagged.filter(F.col("_known")).drop("_known"),
+            flagged.filter(F.col("_known").isNull()).drop("_known"))
+
+
+def fan_out(per_query: DataFrame, per_seed: DataFrame, seed: str = "seed_id") -> DataFrame:
+    """Give every query the rows of its seed (``per_seed.qid``); many queries may share a seed."""
+    rows = write_and_read(per_seed.withColumnRenamed("qid", seed), "per-seed")
+    return lookup_join(per_query, rows, seed, "inner", spread=["qid"] if "qid" in per_query.columns else None)

@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from cadenza.session import write_and_read
+
+MAX_GROUP = 1_000_000
+
 
 def _positions_in_buckets(df: DataFrame, bucket: str, order: list, name: str) -> DataFrame:
     """0-based position over all rows; ``bucket`` must be ordered like ``order``."""
@@ -79,8 +83,38 @@ def top_rows(df: DataFrame, by: str, n: int, tie: str = "ingest_seq") -> DataFra
     return df.orderBy(F.col(by).desc_nulls_last(), F.col(tie)).limit(n)
 
 
+def running(df: DataFrame, keys: list[str], order: list, sums: dict[str, str] | None = None,
+            rank: str = "rank", max_group: int = MAX_GROUP) -> DataFrame:
+    """1-based ``rank`` and running sums within each group, whatever the size of the largest group.
+
+    Groups that measure small are ordered by a plain window. Otherwise the rows are cut into
+    ranges of (keys, order), so one group spreads over as many tasks as it needs, and each
+    range continues from the totals of the ranges before it.
+    """
+    sums = sums or {}
+    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    so_far = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    if largest is None or largest <= max_group:
+        return df.withColumns({rank: F.row_number().over(W.partitionBy(*keys).orderBy(*order)),
+                               **{new: F.sum(c).over(so_far) for new, c in sums.items()}})
+    # written once: the ranges are sampled, so they must not be drawn again
+    ranged = write_and_read(df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    totals = ranged.groupBy(*keys, "_range").agg(
+        F.count("*").alias("_n"), *[F.sum(c).alias(f"_t_{new}") for new, c in sums.items()])
+    starts = totals.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), *[
+        F.coalesce(F.sum(f"_t_{new}").over(before), F.lit(0)).alias(f"_s_{new}") for new in sums])
+    inside = W.partitionBy(*keys, "_range").orderBy(*order)
+    return (ranged.withColumns({rank: F.row_number().over(inside), **{
+                new: F.sum(c).over(inside.rowsBetween(W.unboundedPreceding, 0)) for new, c in sums.items()}})
+            .join(starts, [*keys, "_range"])
+            .withColumns({rank: F.col(rank) + F.col("_start"),
+                          **{new: F.col(new) + F.col(f"_s_{new}") for new in sums}})
+            .drop("_range", "_start", *[f"_s_{new}" for new in sums]))
+
+
 def number_results(df: DataFrame, query: str, order: list, rank: str = "rank") -> DataFrame:
-    return df.withColumn(rank, F.row_number().over(W.partitionBy(query).orderBy(*order)))
+    return running(df, [query], order, rank=rank)
 
 
 def listing(df: DataFrame, columns, order: str = "ingest_seq") -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cadenza.functions.scalars import title_case
 from cadenza.operators.blocks import Dot, block_top_k, compared
 from cadenza.operators.clean import attach_row
-from cadenza.operators.ordering import keep_first, top_per_group, top_rows
+from cadenza.operators.joins import fan_out
+from cadenza.operators.ordering import keep_first, running, top_per_group, top_rows
 from cadenza.operators.vectors import unit
 from cadenza.operators.vibe import rescaled
 
@@ -126,8 +127,8 @@ def similar_by_name(items: DataFrame, df: DataFrame, names: DataFrame, k: int =
     seeds = seeds_by_name(df, names)
     units = items.withColumn("vec", unit(F.col("vec")))
     near = block_top_k(units, seed_vectors(units, seeds), k, Dot(), carry=tuple(carry))
-    by_seed = seeds.withColumnRenamed("id", "qid")
-    return by_seed.join(near, "qid").withColumnRenamed("score", "similarity")
+    shared = fan_out(seeds.withColumnRenamed("id", "seed_id"), near)
+    return shared.withColumnRenamed("score", "similarity")
 
 
 def name_contains(df: DataFrame, text: str) -> DataFrame:
@@ -138,6 +139,6 @@ def name_equals(df: DataFrame, text: str) -> DataFrame:
     return df.filter(F.lower("name") == text.lower())
 
 
-def artist_run(query: str, artist: str, order: list) -> Column:
-    """How many earlier rows of the same query have the same artist."""
-    return F.row_number().over(W.partitionBy(query, artist).orderBy(*order)) - 1
+def with_artist_run(df: DataFrame, query: str, artist: str, order: list) -> DataFrame:
+    """``earlier``: how many earlier rows of the same query have the same artist."""
+    return running(df, [query, artist], order, rank="earlier").withColumn("earlier", F.col("earlier") - 1)

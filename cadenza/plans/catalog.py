@@ -30,7 +30,7 @@ def collect_catalog(items: DataFrame, audio: DataFrame, artists: DataFrame, mood
     if use_playlist_labels:
         tracks = ingest.label_by_playlist(tracks, moods)
     tracks = keep_first(tracks, "track_id").drop("ingest_seq", "playlist_id")
-    return ingest.apply_mood_rules(ingest.join_artists(ingest.join_audio(tracks, audio), artists))
+    return ingest.apply_mood_rules(ingest.join_artists(ingest.join_audio(tracks, audio, unique=True), artists))
 
 
 def preprocess(df: DataFrame, method: str = "standard", encode_genres: bool = True, key: str = "track_id",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cadenza.functions.scalars import is_blank, search_text, track_label, vibe_label
 from cadenza.operators import recommend, tfidf, vibe
 from cadenza.operators.clean import column_stats
-from cadenza.operators.joins import lookup_join
+from cadenza.operators.joins import fan_out
 from cadenza.operators.ordering import top_per_group
 from cadenza.operators.vectors import feature_table
 from cadenza.schema import FEATURES9, present
@@ -88,11 +88,6 @@ def query_modes(queries: DataFrame, results: DataFrame) -> DataFrame:
         F.coalesce("label", F.lit("Empty query")).alias("label"))
 
 
-def _fan_out(per_query: DataFrame, per_seed: DataFrame) -> DataFrame:
-    """Give every query the rows of its seed; many queries may share a seed."""
-    return lookup_join(per_query, per_seed.withColumnRenamed("qid", "seed_id"), "seed_id", "inner", spread=["qid"])
-
-
 def search_and_recommend(index: SearchIndex, queries: DataFrame, k: int = 8,
                          items: DataFrame | None = None, found: DataFrame | None = None) -> DataFrame:
     """Vibe rows pass through; a text query's best row becomes the seed of a similarity search.
@@ -105,8 +100,7 @@ def search_and_recommend(index: SearchIndex, queries: DataFrame, k: int = 8,
     seeds = found.filter((F.col("rank") == 1) & (F.col("mode") != "vibe")).select(
         "qid", F.col("id").alias("seed_id"), "mode", "label")
     recs = recommend.similar_by_features(items, seeds.select(F.col("seed_id").alias("id")), k)
-    recs = write_and_read(recs, "recs")
-    recommended = _fan_out(seeds, recs).withColumn("recommended", F.lit(True))
+    recommended = fan_out(seeds, recs).withColumn("recommended", F.lit(True))
     columns = ["qid", "seed_id", "rank", "id", "name", "artists", "popularity", "similarity_score",
                "final_score", "mode", "label", "recommended"]
     answered = recommended.select("qid").distinct()
@@ -133,8 +127,7 @@ def search_service(index: SearchIndex, queries: DataFrame, k: int = 8, hybrid_it
     per_query = base.filter(F.col("seed_id").isNotNull()).select("qid", "seed_id", "label").distinct()
     ranked = recommend.hybrid_by_id(hybrid_items, per_query.select(F.col("seed_id").alias("id")), k,
                                     carry=("name", "popularity"), **weights)
-    ranked = write_and_read(ranked, "hybrid")
-    mixed = _fan_out(per_query, ranked).withColumn("mode", F.lit("hybrid")).withColumn(
+    mixed = fan_out(per_query, ranked).withColumn("mode", F.lit("hybrid")).withColumn(
         "engine_name", F.lit(ENGINE_HYBRID)).withColumn(
         "similarity_score", F.lit(None).cast("double")).withColumn("recommended", F.lit(True))
     answered = mixed.select("qid").distinct()

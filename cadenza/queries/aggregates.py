@@ -4,9 +4,8 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.scalars import bounded_release_year
 from cadenza.operators import clean, genres, ingest, learning, ordering, profile
+from cadenza.operators.joins import rescaled_in_groups
 from cadenza.operators.quantiles import exact_quantiles
-from cadenza.operators.vectors import feature_table
-from cadenza.operators.vibe import rescaled
 from cadenza.queries.base import (
     ARTISTS, FEATURES, LABELLED, NESTED, R, TRACKS, artists, labelled, nested_entries, query, r6, rounded, table, tracks,
 )
@@ -190,10 +189,9 @@ def a14(spark, sf):
   SELECT l_orderkey AS o_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey, l_quantity,
    min(l_quantity) OVER (PARTITION BY l_orderkey) AS lo, max(l_quantity) OVER (PARTITION BY l_orderkey) AS hi FROM lineitem)""")
 def a14_per_query(spark, sf):
-    from pyspark.sql import Window as W
-    df = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    score = rescaled(F.col("l_quantity"), W.partitionBy("o_orderkey"))
-    return rounded(df.select("o_orderkey", "l_linenumber", "l_suppkey", score.alias("rescaled")))
+    df = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey").select(
+        "o_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    return rounded(rescaled_in_groups(df, "o_orderkey", "l_quantity").drop("l_quantity"))
 
 
 @query("a15_median_year", "WITH " + TRACKS + """

@@ -12,7 +12,7 @@ from cadenza.queries.base import (
     nested_pages, query, r6, repeated, rounded, tracks,
 )
 from cadenza.queries.columns import MOOD_OF_PLAYLIST
-from cadenza.queries.learning import examples_sql
+from cadenza.queries.learning import examples_sql, network_sql
 from cadenza.queries.scaling import SCALED
 from cadenza.schema import AUDIO9_EDA, MOOD_FEATURES
 from cadenza.session import scratch_path
@@ -153,7 +153,8 @@ def k05(spark, sf):
     return rounded(got.select("id", *[F.col("vec")[i].alias(f"v{i}") for i in range(9)]))
 
 
-@query("k07_build_learned_table")
+@query("k07_build_learned_table", "WITH " + TRACKS + ", " + network_sql() + f"""
+SELECT id, any_value(name) AS name, count(*) AS size, {R('max(CASE WHEN i = 0 THEN v END)')} AS first FROM out JOIN tracks USING (id) GROUP BY id""")
 def k07(spark, sf):
     path = scratch_path(spark, "learned")
     catalog.build_learned_tables(tracks(spark, sf).select("id", "name", "artists", *FEATURES), ml.demo_layers(9, 64), path)

@@ -81,11 +81,11 @@ def j05(spark, sf):
 
 
 @query("j06_gather_by_id", "WITH " + TRACKS + f"""
-SELECT event_id, {R('value')} AS score, id, name, artists FROM events JOIN tracks ON CAST(event_id % 3000 AS VARCHAR) = id""")
+SELECT event_id, {R('value')} AS score, id, name, artists FROM events JOIN tracks ON CAST(user_id AS VARCHAR) = id""")
 def j06(spark, sf):
     """Scored result ids joined back to their rows; the score column stays with the result."""
     results = table(spark, sf, "events").select(
-        "event_id", F.col("value").alias("score"), (F.col("event_id") % 3000).cast("string").alias("id"))
+        "event_id", F.col("value").alias("score"), F.col("user_id").cast("string").alias("id"))
     rows = tracks(spark, sf).select("id", "name", "artists")
     return rounded(joins.lookup_join(results, rows, "id", "inner", spread=["event_id"]))
 
@@ -95,7 +95,14 @@ def j07(spark, sf):
     return labelled(spark, sf).dropna(subset=["energy", "valence"]).select("id", "mood_label")
 
 
-@query("j08_query_gram_join")
+def _gram_stats_sql():
+    from cadenza.queries.text import CORPUS, fit_sql, grams_sql
+    return "WITH " + SEARCHES + ", " + CORPUS + ", " + fit_sql() + ", " + grams_sql("qg", "searches", "qid", "text") + f"""
+SELECT k AS qid, count(*) AS n_grams, count(idf) AS n_known, CAST(coalesce(sum(df), 0) AS BIGINT) AS postings,
+  {R('sum((1 + ln(tf)) * idf)')} AS raw_weight FROM qg LEFT JOIN idf USING (gram) GROUP BY k"""
+
+
+@query("j08_query_gram_join", _gram_stats_sql())
 def j08(spark, sf):
     from cadenza.functions.scalars import search_text
     texts = tracks(spark, sf).select("id", search_text(F.col("name"), F.col("artists")).alias("text"))

@@ -1,6 +1,6 @@
 """W, T, D, U, L: windows, sorting, deduplication, union, sampling."""
 
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import functions as F
 
 from cadenza.operators import ingest, joins, ordering, recommend
 from cadenza.plans.search import recent_searches
@@ -20,8 +20,9 @@ def w01(spark, sf):
 @query("w02_artist_run", "WITH " + TRACKS + """
 SELECT id, primary_genre, artists, row_number() OVER (PARTITION BY primary_genre, artists ORDER BY popularity DESC, id) - 1 AS earlier FROM tracks""")
 def w02(spark, sf):
-    run = recommend.artist_run("primary_genre", "artists", [F.col("popularity").desc(), F.col("id")])
-    return rounded(tracks(spark, sf).select("id", "primary_genre", "artists", run.alias("earlier")))
+    df = tracks(spark, sf).select("id", "primary_genre", "artists", "popularity")
+    run = recommend.with_artist_run(df, "primary_genre", "artists", [F.col("popularity").desc(), F.col("id")])
+    return rounded(run.drop("popularity"))
 
 
 @query("w03_rank_numbers", """
@@ -41,10 +42,22 @@ def w04(spark, sf):
     df = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice",
         (F.col("l_returnflag") == "R").cast("int").alias("rel"))
-    ranked = ordering.number_results(
-        df, "l_orderkey", [F.col("l_extendedprice").desc(), F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey")])
-    hits = F.sum("rel").over(W.partitionBy("l_orderkey").orderBy("rank").rowsBetween(W.unboundedPreceding, 0))
-    return rounded(ranked.select("l_orderkey", "rank", hits.alias("hits")))
+    order = [F.col("l_extendedprice").desc(), F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey")]
+    return rounded(ordering.running(df, ["l_orderkey"], order, {"hits": "rel"}).select("l_orderkey", "rank", "hits"))
+
+
+@query("w04_cumulative_hits_split", """
+SELECT l_returnflag, rank, CAST(sum(rel) OVER (PARTITION BY l_returnflag ORDER BY rank) AS BIGINT) AS hits FROM (
+  SELECT l_returnflag, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS rel,
+    row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_suppkey, l_partkey) AS rank FROM lineitem)""")
+def w04_split(spark, sf):
+    """Three groups hold all rows; the form that spreads one group over many tasks."""
+    df = table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice",
+        (F.col("l_linestatus") == "F").cast("int").alias("rel"))
+    order = [F.col("l_extendedprice").desc(), *[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")]]
+    got = ordering.running(df, ["l_returnflag"], order, {"hits": "rel"}, max_group=1000)
+    return rounded(got.select("l_returnflag", "rank", "hits"))
 
 
 @query("w05_recent_searches", """

@@ -102,9 +102,9 @@ def r05_rows(spark, sf):
     f"CAST(contains(primary_genre, '{g}') AS DOUBLE)" for g in TYPES) + f""", artist_popularity, popularity] AS vec
   FROM tracks JOIN brand_pop USING (artists)),
 seeds AS (SELECT lower(name) AS query_name, arg_min(id, ingest_seq) AS qid FROM tracks GROUP BY 1),
-scored AS (SELECT query_name, q.id AS qid, i.id, i.name, {COS} AS sim FROM seeds s JOIN items q ON q.id = s.qid JOIN items i ON i.id <> q.id),
+scored AS (SELECT query_name, q.id AS seed_id, i.id, i.name, {COS} AS sim FROM seeds s JOIN items q ON q.id = s.qid JOIN items i ON i.id <> q.id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_name ORDER BY round(sim, 9) DESC, id) AS rank FROM scored)
-SELECT query_name, qid, id, name, {R('sim')} AS similarity, rank FROM ranked WHERE rank <= 10""")
+SELECT query_name, seed_id, id, name, {R('sim')} AS similarity, rank FROM ranked WHERE rank <= 10""")
 def r06(spark, sf):
     df = with_artist_popularity(tracks(spark, sf))
     hot = genres.multi_hot(df, "primary_genre", genres=TYPES).drop("primary_genre", "all_genres")

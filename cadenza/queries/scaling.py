@@ -51,6 +51,11 @@ def v04_frequent(spark, sf):
     return rounded(clean.impute(tracks(spark, sf).select("id", "energy", "valence"), "most_frequent"))
 
 
+@query("v04_impute_constant", "WITH " + TRACKS + f"SELECT id, {R('coalesce(energy, 0)')} AS energy, {R('coalesce(valence, 0)')} AS valence FROM tracks")
+def v04_constant(spark, sf):
+    return rounded(clean.impute(tracks(spark, sf).select("id", "energy", "valence"), "constant"))
+
+
 @query("v05_normalize_queries", f"""WITH s AS (SELECT avg(l_quantity) AS m1, stddev_pop(l_quantity) + 1e-8 AS s1, avg(l_extendedprice) AS m2, stddev_pop(l_extendedprice) + 1e-8 AS s2 FROM lineitem)
 SELECT p_partkey, {R('(p_size - m1) / s1')} AS z1, {R('(p_retailprice - m2) / s2')} AS z2 FROM part, s""")
 def v05(spark, sf):

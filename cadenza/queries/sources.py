@@ -105,12 +105,17 @@ def s09(spark, sf):
     return rounded(tables["vectors"].select("id", F.lit(kind).alias("kind"), F.col("vec")[1].alias("v2")))
 
 
-@query("s10_metrics_json")
+def _metrics_sql():
+    from cadenza.queries.evaluation import BASE, report_sql
+    return BASE + report_sql("mood_label")
+
+
+@query("s10_metrics_json", _metrics_sql())
 def s10(spark, sf):
     path = scratch_path(spark, "metrics")
     df = labelled(spark, sf).drop("ingest_seq")
     writers.write_metrics(ev.evaluate(df, k=10, sample_size=200), 10, path)
-    return spark.read.json(path)
+    return rounded(spark.read.json(path))
 
 
 @query("s11_table_profile", """

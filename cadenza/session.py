@@ -41,7 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/cadenza/{name}-{uuid.uuid4().hex}"
+    """A new path below the application's own folder, which can be removed when it has ended."""
+    return f"{shared_dir(spark)}/cadenza/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def write_and_read(df: DataFrame, name: str) -> DataFrame:

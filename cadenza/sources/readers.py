@@ -9,9 +9,12 @@ from cadenza.operators.ingest import PAGE_SCHEMA, page_items
 from cadenza.schema import nan_to_null
 
 
-def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, at the price of a second scan."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema=None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header. Without a schema the types are inferred, at the price of a second scan.
+
+    ``multi_line`` reads quoted line breaks, but then a file can no longer be split over tasks.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return nan_to_null(reader.csv(path))
 
