@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+GRAM_SIZES = (2, 4)
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
@@ -13,7 +14,7 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, WHITESPACE), lambda w: w != "")
 
 
-def char_grams(text: Column, low: int = 2, high: int = 4) -> Column:
+def char_grams(text: Column, low: int = GRAM_SIZES[0], high: int = GRAM_SIZES[1]) -> Column:
     """Character n-grams inside word boundaries: each word padded with one blank on both sides."""
     def of_word(word):
         padded = F.concat(F.lit(" "), word, F.lit(" "))

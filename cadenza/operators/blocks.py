@@ -263,7 +263,11 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
         def numbers(n):
             return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
 
-        left = items.select(F.pmod(F.xxhash64("id"), F.lit(n_i)).alias("_i"), numbers(n_q).alias("_q"), "*")
-        right = queries.select(numbers(n_i).alias("_i"), F.pmod(F.xxhash64("qid"), F.lit(n_q)).alias("_q"), "*")
+        def renewed(df):
+            # queries are often derived from the items: fresh columns keep the two sides apart
+            return [F.col(c).alias(c) for c in df.columns]
+
+        left = items.select(F.pmod(F.xxhash64("id"), F.lit(n_i)).alias("_i"), numbers(n_q).alias("_q"), *renewed(items))
+        right = queries.select(numbers(n_i).alias("_i"), F.pmod(F.xxhash64("qid"), F.lit(n_q)).alias("_q"), *renewed(queries))
         found = left.groupBy("_i", "_q").cogroup(right.groupBy("_i", "_q")).applyInArrow(meet, out)
     return top_per_group(found, ["qid"], [compared("score"), F.col("id")], k, rank="rank")

@@ -47,12 +47,12 @@ def correlations(df: DataFrame, columns) -> DataFrame:
     """Lower triangle of the Pearson matrix over rows where both features are present, in one pass."""
     if len(columns) < 2:
         raise ValueError("need at least two features")
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    one = df.agg(*[F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b)))
-                   .alias(f"{a}|{b}") for a, b in pairs])
-    rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                              F.col(f"{a}|{b}").alias("r")) for a, b in pairs])
-    return one.select(F.explode(rows).alias("p")).select("p.*")
+    pairs = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                               F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                      for i, a in enumerate(columns) for b in columns[:i]])
+    # one row per pair combines map-side; one aggregate per pair would outgrow generated code
+    return (df.select(F.explode(pairs).alias("p")).select("p.*")
+            .groupBy("feature_a", "feature_b").agg(F.corr("x", "y").alias("r")))
 
 
 def histogram(df: DataFrame, columns, bins: int) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cadenza.functions.text import char_grams, token_sort, words
+from cadenza.functions.text import GRAM_SIZES, token_sort, words
 from cadenza.operators.blocks import Sparse, TokenSort, block_top_k
 from cadenza.operators.joins import lookup_join
 from cadenza.session import write_and_read
@@ -20,7 +20,13 @@ def gram_counts(texts: DataFrame, key: str = "id", text: str = "text") -> DataFr
     placed = texts.select(key, text).repartition(key)
     by_word = (placed.select(key, F.explode(words(F.lower(text))).alias("_word"))
                .groupBy(key, "_word").agg(F.count("*").alias("_n")))
-    return (by_word.select(key, "_n", F.explode(char_grams(F.col("_word"))).alias("gram"))
+    low, high = GRAM_SIZES
+    sized = by_word.select(key, "_n", F.concat(F.lit(" "), "_word", F.lit(" ")).alias("_w"),
+                           F.explode(F.sequence(F.lit(low), F.lit(high))).alias("_size"))
+    last = F.length("_w") - F.col("_size") + 1
+    starts = sized.filter(last >= 1).select(key, "_n", "_w", "_size", F.explode(F.sequence(F.lit(1), last)).alias("_at"))
+    # plain rows and substrings stay inside generated code; char_grams is the same as one expression
+    return (starts.select(key, "_n", F.substring("_w", F.col("_at"), F.col("_size")).alias("gram"))
             .groupBy(key, "gram").agg(F.sum("_n").alias("tf")))
 
 

@@ -19,8 +19,10 @@ def norm(v: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """Scaled to length 1; a zero vector stays zero."""
-    n = norm(v)
-    return F.transform(v, lambda x: F.when(n == 0, F.lit(0.0)).otherwise(x.cast("double") / n))
+    # the length is bound to a lambda variable so that it is computed once per vector
+    scaled = F.transform(F.array(norm(v)), lambda n: F.transform(
+        v, lambda x: F.when(n == 0, F.lit(0.0)).otherwise(x.cast("double") / n)))
+    return scaled[0]
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -58,8 +58,10 @@ KEYWORDS = [(word, vibe) for vibe, words in VIBE_KEYWORDS.items() for word in wo
 
 def exact_vibe(text: Column) -> Column:
     """Profile of the first keyword, in list order, that the text contains; NULL if none."""
-    table = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(v).alias("vibe")) for w, v in KEYWORDS])
-    return F.get(F.filter(table, lambda k: text.contains(k["word"])), F.lit(0))["vibe"]
+    chain = F
+    for word, vibe in KEYWORDS:
+        chain = chain.when(text.contains(word), F.lit(vibe))
+    return chain
 
 
 @F.pandas_udf(T.StringType())

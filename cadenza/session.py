@@ -19,6 +19,7 @@ def build_session(app: str = "cadenza", cores: str = "8", shuffle_partitions: in
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )
