@@ -25,6 +25,7 @@ DECIMALS = 9
 SLACK = 10.0 ** -DECIMALS
 MAX_QUERY_ROWS = 50_000
 MAX_QUERY_BYTES = 64 << 20
+MAX_RESULT_ROWS = 4_000_000
 BLOCK_ROWS = 50_000
 BLOCK_BYTES = 128 << 20
 SCORE_CELLS = 4_000_000
@@ -57,11 +58,12 @@ class Dot:
     def width(self):
         return F.size("vec") * 8
 
-    def load(self, table):
+    def load_queries(self, table):
         column = _plain(table.column("vec"))
         return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
-    load_items = load_queries = load
+    def load_items(self, table, queries):
+        return self.load_queries(table)
 
     def scores(self, queries, lo, hi, items):
         return queries[lo:hi] @ items.T
@@ -82,10 +84,12 @@ class Sparse:
         by_gram = np.lexsort((rows, codes))
         return pd.Index(vocabulary), codes[by_gram], rows[by_gram], weights[by_gram]
 
-    def load_items(self, table):
+    def load_items(self, table, queries):
         grams, rows = _lists(table.column("grams"))
         weights = _plain(table.column("weights")).flatten().to_numpy(zero_copy_only=False)
-        return np.asarray(grams.to_pylist(), dtype=object), rows, weights, table.num_rows
+        codes = queries[0].get_indexer(np.asarray(grams.to_pylist(), dtype=object))
+        asked = codes >= 0
+        return codes[asked], rows[asked], weights[asked], table.num_rows
 
     def scores(self, queries, lo, hi, items):
         vocabulary, q_codes, q_rows, q_weights = queries
@@ -93,20 +97,18 @@ class Sparse:
         mine = (q_rows >= lo) & (q_rows < hi)
         codes, q_rows, q_weights = q_codes[mine], q_rows[mine] - lo, q_weights[mine]
         starts = np.searchsorted(codes, np.arange(len(vocabulary) + 1))
-        found = vocabulary.get_indexer(grams)
-        hit = np.flatnonzero(found >= 0)
-        first, count = starts[found[hit]], np.diff(starts)[found[hit]]
+        first, count = starts[grams], np.diff(starts)[grams]
         out = np.zeros((hi - lo) * n)
         # a bounded number of gram matches at a time
         ends = np.cumsum(count)
         at = 0
-        while at < len(hit):
+        while at < len(grams):
             base = ends[at - 1] if at else 0
             stop = max(int(np.searchsorted(ends, base + SCORE_CELLS, side="right")), at + 1)
             c = count[at:stop]
-            item = np.repeat(hit[at:stop], c)
+            item = np.repeat(np.arange(at, stop), c)
             entry = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) + np.repeat(first[at:stop], c)
-            np.add.at(out, q_rows[entry] * n + rows[item], q_weights[entry] * weights[item])
+            out += np.bincount(q_rows[entry] * n + rows[item], q_weights[entry] * weights[item], len(out))
             at = stop
         return out.reshape(hi - lo, n)
 
@@ -122,7 +124,7 @@ class TokenSort:
     def load_queries(self, table):
         return _plain(table.column("sorted_text")).to_pylist()
 
-    def load_items(self, table):
+    def load_items(self, table, queries):
         # repeated texts are scored once
         codes, texts = pd.factorize(np.asarray(_plain(table.column("sorted_text")).to_pylist(), dtype=object))
         return codes, TextBlock(texts)
@@ -149,7 +151,7 @@ class _Best:
         if not table.num_rows or not self.n:
             return
         ids = _values(table.column("id"))
-        items = self.kernel.load_items(table)
+        items = self.kernel.load_items(table, self.queries)
         index = pd.Index(ids) if self.exclude is not None else None
         n = len(ids)
         step = max(SCORE_CELLS // n, 1)
@@ -236,7 +238,7 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
         return spark.createDataFrame([], out).withColumn("rank", F.lit(0))
     arrow_out = to_arrow_schema(out)
 
-    if n_queries <= max_query_rows and n_bytes <= max_query_bytes:
+    if n_queries <= max_query_rows and n_bytes <= max_query_bytes and n_queries * k <= MAX_RESULT_ROWS:
         local = spark.sparkContext.broadcast(queries.toArrow())
         queries.unpersist()
 
@@ -252,7 +254,7 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
     else:
         n_items, item_bytes = _measure(items, kernel.width())
         n_i = max(1, -(-n_items // block_rows), -(-item_bytes // block_bytes))
-        n_q = max(1, -(-n_queries // block_rows), -(-n_bytes // block_bytes))
+        n_q = max(1, -(-n_queries // block_rows), -(-n_bytes // block_bytes), -(-n_queries * k // MAX_RESULT_ROWS))
 
         def meet(key, left, right):
             best = _Best(kernel, right, k, positive, arrow_out)

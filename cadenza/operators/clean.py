@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cadenza.functions.scalars import bounded_release_year
 from cadenza.operators.quantiles import exact_quantiles, medians
+from cadenza.session import write_and_read
 from cadenza.schema import SCALE_EXCLUDED, TEXT_COLUMNS, numeric_columns, present
 
 EPSILON = 1e-8
@@ -103,11 +104,16 @@ def impute_values(df: DataFrame, columns, strategy: str = "median") -> DataFrame
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def impute(df: DataFrame, strategy: str = "median", exclude=("track_id", "artist_id")) -> DataFrame:
-    """Fill missing numbers with the column's statistic, missing text with 'Unknown'."""
+def impute(df: DataFrame, strategy: str = "median", exclude=("track_id", "artist_id"),
+           settle: bool = False) -> DataFrame:
+    """Fill missing numbers with the column's statistic, missing text with 'Unknown'.
+
+    ``settle`` writes the statistics, so that later passes read them instead of fitting again.
+    """
     columns = numeric_columns(df, exclude)
     if columns:
         values = impute_values(df, columns, strategy)
+        values = write_and_read(values, "impute-values") if settle else values
         df = attach_row(df, values).withColumns({
             c: F.coalesce(F.col(c).cast("double"), F.col("_stats")[c]) for c in columns}).drop("_stats")
     return fill_text(df)
@@ -117,12 +123,13 @@ def fill_text(df: DataFrame, columns=TEXT_COLUMNS) -> DataFrame:
     return df.fillna("Unknown", subset=present(df, columns))
 
 
-def add_release_year(df: DataFrame, column: str = "release_date") -> DataFrame:
+def add_release_year(df: DataFrame, column: str = "release_date", settle: bool = False) -> DataFrame:
     """``release_year`` in range, the median year where the date gives none."""
     if column not in df.columns:
         return df
     dated = df.withColumn("release_year", bounded_release_year(F.col(column)).cast("double"))
-    median = exact_quantiles(dated, ["release_year"], [0.5]).agg(F.max("q0"))
+    median = exact_quantiles(dated, ["release_year"], [0.5]).agg(F.max("q0").alias("year"))
+    median = write_and_read(median, "median-year") if settle else median
     return dated.withColumn("release_year", F.coalesce("release_year", median.scalar()))
 
 

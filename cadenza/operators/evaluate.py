@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cadenza.operators.blocks import Dot, block_top_k
+from cadenza.operators.clean import column_stats
 from cadenza.operators.ordering import sample_rows
 from cadenza.operators.vectors import feature_table, unit
 from cadenza.schema import evaluation_features
+from cadenza.session import write_and_read
 
 
 def recommendations(df: DataFrame, k: int = 10, sample_size: int = 200, seed: int = 42,
@@ -19,7 +21,9 @@ def recommendations(df: DataFrame, k: int = 10, sample_size: int = 200, seed: in
     features = features or evaluation_features(df)
     named = df.select(F.col(id_col).alias("id"), F.col(label).cast("string").alias("label"),
                       shown.alias("artist"), *features)
-    items = feature_table(named, features, keep=("id", "label", "artist"))
+    filled = named.fillna(0.0, subset=features)
+    stats = write_and_read(column_stats(filled, features), "feature-stats")
+    items = feature_table(filled, features, stats, keep=("id", "label", "artist"))
     items = items.withColumn("vec", unit(F.col("vec")))
     # sample_size rows
     seeds = sample_rows(named.select("id", "label"), sample_size, "id", seed).filter(F.col("label").isNotNull())

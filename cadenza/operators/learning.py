@@ -11,6 +11,7 @@ from cadenza.functions.scalars import finite_or_zero
 from cadenza.operators.clean import scale_params, attach_row
 from cadenza.operators.joins import with_group_totals
 from cadenza.operators.ordering import with_shuffled_position
+from cadenza.session import write_and_read
 
 # Defaults.
 NOISE_STD = 0.15
@@ -29,7 +30,8 @@ def profile_examples(df: DataFrame, profile: str, features, id_col: str = "id")
     work = df.filter(F.col(profile).isNotNull()).select(
         id_col, F.col(profile).cast("string").alias("profile"),
         *[finite_or_zero(F.col(c)).alias(c) for c in features])
-    params = scale_params(work, features)
+    # written once: both the group sums and the rows below are scaled with it
+    params = write_and_read(scale_params(work, features), "scale-params")
     s = F.col("_stats")
     scaled = attach_row(work, params).withColumns(
         {c: (F.col(c) - s[f"shift_{c}"]) / s[f"scale_{c}"] for c in features}).drop("_stats")

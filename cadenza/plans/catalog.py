@@ -12,6 +12,7 @@ from cadenza.schema import (
     AUDIO9_EDA, CLUSTER_FEATURES, FEATURES9, MOOD_FEATURES, MOOD_PLOT_ORDER, MOODS, choose_profile_column,
     keep_listed, normalize_schema, present, rename_columns, training_features,
 )
+from cadenza.session import write_and_read
 from cadenza.sources.writers import save_index
 
 
@@ -35,9 +36,13 @@ def collect_catalog(items: DataFrame, audio: DataFrame, artists: DataFrame, mood
 
 def preprocess(df: DataFrame, method: str = "standard", encode_genres: bool = True, key: str = "track_id",
                order: str = "ingest_seq") -> tuple[DataFrame, DataFrame | None]:
-    """Deduplicate, date, impute, standardize moods, encode genres, scale."""
-    df = keep_first(df, key, order).drop(order)
-    df = clean.impute(clean.add_release_year(df), "median", exclude=(key, "artist_id"))
+    """Deduplicate, date, impute, standardize moods, encode genres, scale.
+
+    Every fitted step needs a pass of its own, so the deduplicated table and the fitted
+    values are written and the passes read back only the columns they need.
+    """
+    df = write_and_read(keep_first(df, key, order).drop(order), "deduplicated")
+    df = clean.impute(clean.add_release_year(df, settle=True), "median", exclude=(key, "artist_id"), settle=True)
     mood = F.col("mood_label") if "mood_label" in df.columns else F.lit(None).cast("string")
     df = df.withColumn("mood_label", standard_mood(mood, MOODS))
     if encode_genres:
@@ -50,7 +55,8 @@ def preprocess_large(df: DataFrame, order: str = "ingest_seq", carry=()) -> Data
     named = rename_columns(df)
     kept = keep_listed(named).columns
     rows = clean.drop_missing(named.select(*kept, *carry, order), ["id", "name"])
-    return clean.zscore(keep_first(rows, "id", order).drop(order), present(named, FEATURES9), "sample")
+    rows = write_and_read(keep_first(rows, "id", order).drop(order), "deduplicated")
+    return clean.zscore(rows, present(named, FEATURES9), "sample")
 
 
 def profile_report(df: DataFrame, mood: str = "mood_label") -> dict[str, DataFrame]:

@@ -38,10 +38,10 @@ def build_search_index(catalog: DataFrame) -> SearchIndex:
     filled = catalog.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
     shown = [c for c in SHOWN if c in catalog.columns]
     artists = F.col("artists") if "artists" in catalog.columns else None
-    texts = filled.select("id", *shown, search_text(F.col("name"), artists).alias("text"))
-    stats = write_and_read(column_stats(filled, features), "feature-stats")
-    vecs = feature_table(filled, features, stats, keep=("id", *shown))
-    items = write_and_read(vecs.join(texts.select("id", "text"), "id"), "items")
+    kept = filled.select("id", *dict.fromkeys([*shown, *features]), search_text(F.col("name"), artists).alias("text"))
+    base = write_and_read(kept, "catalog")
+    stats = write_and_read(column_stats(base, features), "feature-stats")
+    items = feature_table(base, features, stats, keep=("id", *shown, "text"))
     idf = tfidf.fit_idf(items)
     grams = write_and_read(tfidf.vectors(items, idf).join(items.select("id", *shown), "id"), "grams")
     return SearchIndex(items, grams, idf, stats, features)
