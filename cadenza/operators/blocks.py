@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from cadenza.functions.text import TextBlock
 from cadenza.operators.ordering import top_per_group
+from cadenza.session import write_and_read
 
 DECIMALS = 9
 SLACK = 10.0 ** -DECIMALS
@@ -225,7 +226,7 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
     spark = items.sparkSession
     extra = [c for c in ("exclude_id",) if c in queries.columns]
     items = items.select("id", *kernel.item_columns, *carry)
-    queries = queries.select("qid", *extra, *kernel.query_columns).persist()
+    queries = write_and_read(queries.select("qid", *extra, *kernel.query_columns), "queries")
     n_queries, n_bytes = _measure(queries, kernel.width())
     out = T.StructType([
         T.StructField("qid", queries.schema["qid"].dataType),
@@ -234,13 +235,11 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
         *[items.schema[c] for c in carry],
     ])
     if not n_queries:
-        queries.unpersist()
         return spark.createDataFrame([], out).withColumn("rank", F.lit(0))
     arrow_out = to_arrow_schema(out)
 
     if n_queries <= max_query_rows and n_bytes <= max_query_bytes and n_queries * k <= MAX_RESULT_ROWS:
         local = spark.sparkContext.broadcast(queries.toArrow())
-        queries.unpersist()
 
         def scan(batches):
             best = _Best(kernel, local.value, k, positive, arrow_out)

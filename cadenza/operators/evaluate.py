@@ -65,7 +65,7 @@ def evaluate(df: DataFrame, k: int = 10, sample_size: int = 200, seed: int = 42,
              label: str = "mood_label", features: list[str] | None = None) -> DataFrame:
     """One report row; all metrics 0 when no sampled seed has a label."""
     features = features or evaluation_features(df)
-    recs = recommendations(df, k, sample_size, seed, label, features).persist()
+    recs = write_and_read(recommendations(df, k, sample_size, seed, label, features), "recs")
     has_artist = any(c in df.columns for c in ("artists", "artist_names"))
     per_query = query_metrics(df, recs if has_artist else recs.drop("artist"), k, label)
     n_rows = df.agg(F.count("*")).scalar()

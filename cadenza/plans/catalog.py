@@ -60,9 +60,9 @@ def preprocess_large(df: DataFrame, order: str = "ingest_seq", carry=()) -> Data
 
 
 def profile_report(df: DataFrame, mood: str = "mood_label") -> dict[str, DataFrame]:
-    """All descriptive tables of a catalog. The shared input is kept once for the report."""
+    """All descriptive tables of a catalog. Their shared input is written once, with its few columns."""
     wanted = dict.fromkeys([mood, "id", *MOOD_FEATURES, *AUDIO9_EDA, *CLUSTER_FEATURES])
-    df = df.select(*[c for c in wanted if c in df.columns]).persist()
+    df = write_and_read(df.select(*[c for c in wanted if c in df.columns]), "profile-input")
     out = {}
     if mood in df.columns:
         out["moods"] = profile.value_counts(df, mood)

@@ -34,7 +34,7 @@ def _recs(spark, sf, label="mood_label"):
 
 def _metrics(spark, sf, *columns):
     df, recs = _recs(spark, sf)
-    return rounded(ev.query_metrics(df, recs.persist(), 10).select("qid", *columns))
+    return rounded(ev.query_metrics(df, recs, 10).select("qid", *columns))
 
 
 BASE = "WITH " + LABELLED + ", " + eval_sql()
