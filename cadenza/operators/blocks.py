@@ -160,6 +160,7 @@ class _Best:
         for lo in range(0, self.n, step):
             hi = min(lo + step, self.n)
             s = self.kernel.scores(self.queries, lo, hi, items)
+            s[np.isnan(s)] = -np.inf
             if index is not None:
                 at = index.get_indexer(self.exclude[lo:hi])
                 own = np.flatnonzero(at >= 0)
@@ -225,7 +226,8 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
     """
     spark = items.sparkSession
     extra = [c for c in ("exclude_id",) if c in queries.columns]
-    items = items.select("id", *kernel.item_columns, *carry)
+    items = items.select("id", *kernel.item_columns, *carry).dropna(subset=["id", *kernel.item_columns])
+    queries = queries.dropna(subset=["qid", *kernel.query_columns])
     queries = write_and_read(queries.select("qid", *extra, *kernel.query_columns), "queries")
     n_queries, n_bytes = _measure(queries, kernel.width())
     out = T.StructType([

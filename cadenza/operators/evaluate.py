@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cadenza.operators.blocks import Dot, block_top_k
 from cadenza.operators.clean import column_stats
+from cadenza.operators.joins import BROADCAST_ROWS, lookup_join
 from cadenza.operators.ordering import sample_rows
 from cadenza.operators.vectors import feature_table, unit
 from cadenza.schema import evaluation_features
 from cadenza.session import write_and_read
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """A table of at most ``rows`` short rows: broadcast while that is few."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def recommendations(df: DataFrame, k: int = 10, sample_size: int = 200, seed: int = 42,
                     label: str = "mood_label", features: list[str] | None = None) -> DataFrame:
     """Cosine top-k for sampled seeds that have a label: (qid, seed_label, rank, id, label, artists, rel)."""
@@ -25,14 +31,12 @@ def recommendations(df: DataFrame, k: int = 10, sample_size: int = 200, seed: in
     stats = write_and_read(column_stats(filled, features), "feature-stats")
     items = feature_table(filled, features, stats, keep=("id", "label", "artist"))
     items = items.withColumn("vec", unit(F.col("vec")))
-    # sample_size rows
     seeds = sample_rows(named.select("id", "label"), sample_size, "id", seed).filter(F.col("label").isNotNull())
-    queries = items.join(F.broadcast(seeds.select("id")), "id").select(
+    queries = items.join(_small(seeds.select("id"), sample_size), "id").select(
         F.col("id").alias("qid"), F.col("id").alias("exclude_id"), "vec")
     near = block_top_k(items, queries, k, Dot(), carry=("label", "artist"))
-    # inner join keeps seeds with at least one neighbour
     labels = seeds.select(F.col("id").alias("qid"), F.col("label").alias("seed_label"))
-    return near.join(F.broadcast(labels), "qid").withColumn(
+    return near.join(_small(labels, sample_size), "qid").withColumn(
         "rel", F.coalesce(F.col("label") == F.col("seed_label"), F.lit(False)).cast("int"))
 
 
@@ -54,8 +58,7 @@ def query_metrics(df: DataFrame, recs: DataFrame, k: int, label: str = "mood_lab
     others = F.col("n_label") - 1
     ideal = F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(others, F.lit(k)), F.lit(1)).cast("int")),
                         F.lit(0.0), lambda s, r: s + 1.0 / F.log2(r + 1.0))
-    # at most one row per sampled seed
-    return totals.join(F.broadcast(per_query), "seed_label").select(
+    return lookup_join(per_query, write_and_read(totals, "label-totals"), "seed_label", "inner", ["qid"]).select(
         "qid", "seed_label", "hits", (F.col("hits") / k).alias("precision"),
         (F.col("hits") / F.greatest(others, F.lit(1))).alias("recall"), "average_precision",
         F.when(others > 0, F.col("_dcg") / ideal).otherwise(F.lit(0.0)).alias("ndcg"), "artist_diversity")

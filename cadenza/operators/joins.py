@@ -9,6 +9,7 @@ from cadenza.session import write_and_read
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 ROWS_PER_SALT = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -19,16 +20,24 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
 
 
 def _hot_keys(df: DataFrame, keys: list[str], rows_per_salt: int) -> DataFrame:
-    """Keys with more than ``rows_per_salt`` rows: at most (all rows / rows_per_salt) of them."""
-    return (df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_salt)
-            .select(*keys, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts")))
+    """Keys with more than ``rows_per_salt`` rows and the number of salts each gets.
+
+    The threshold rises with the table, so there are never more than ``MAX_HOT_KEYS`` of them.
+    """
+    limit = max(rows_per_salt, -(-df.count() // MAX_HOT_KEYS))
+    hot = (df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
+           .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_salts")))
+    return write_and_read(hot, "hot-keys")
 
 
 def salted_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
                 spread: list[str] | None = None, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Equi-join in which hot keys of ``left`` are split over salts and matched by copies of ``right``."""
     keys = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(_hot_keys(left, keys, rows_per_salt))
+    hot = _hot_keys(left, keys, rows_per_salt)
+    if hot.isEmpty():
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(*(spread or left.columns)), F.coalesce(F.col("_salts"), F.lit(1)))
     spread_left = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
     last = (F.coalesce(F.col("_salts"), F.lit(1)) - 1).cast("bigint")

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from cadenza.session import write_and_read
 
 MAX_GROUP = 1_000_000
+MAX_BUCKETS = 16 ** 4
 
 
 def _positions_in_buckets(df: DataFrame, bucket: str, order: list, name: str) -> DataFrame:
     """0-based position over all rows; ``bucket`` must be ordered like ``order``."""
     sizes = df.groupBy(bucket).agg(F.count("*").alias("_n"))
-    # one row per bucket: the window below runs over a few thousand rows at most
+    # one row per bucket: the window below runs over MAX_BUCKETS rows at most
     before = W.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     within = W.partitionBy(bucket).orderBy(*order)
@@ -29,15 +30,16 @@ def _positions_in_buckets(df: DataFrame, bucket: str, order: list, name: str) ->
     )
 
 
-def with_position(df: DataFrame, order: str, name: str, buckets: int = 256) -> DataFrame:
+def with_position(df: DataFrame, order: str, name: str, rows_per_bucket: int = MAX_GROUP) -> DataFrame:
     """0-based position by a unique numeric ``order`` column.
 
-    The quantiles that cut the table into even ranges are ``buckets`` numbers on the
-    driver; being rough only makes ranges uneven, the positions stay exact.
+    The quantiles that cut the table into even ranges are at most ``MAX_BUCKETS`` numbers on
+    the driver; being rough only makes ranges uneven, the positions stay exact.
     """
+    buckets = min(max(-(-df.count() // rows_per_bucket), 2), MAX_BUCKETS)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(order, probs, 0.25 / buckets)))
-    splits = [float("-inf"), *cuts, float("inf")]
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bucket", handleInvalid="keep")
     ranged = cut.transform(df.withColumn("_ord", F.col(order).cast("double"))).drop("_ord")
     return _positions_in_buckets(ranged, "_bucket", [F.col(order)], name)
@@ -48,8 +50,8 @@ def shuffle_key(id_col: str, seed: int) -> Column:
 
 
 def with_shuffled_position(df: DataFrame, id_col: str, seed: int, name: str) -> DataFrame:
-    """0-based position in a seeded shuffle: the hash prefix gives 4096 even buckets."""
-    keyed = df.withColumn("_h", shuffle_key(id_col, seed)).withColumn("_bucket", F.substring("_h", 1, 3))
+    """0-based position in a seeded shuffle: the hash prefix gives MAX_BUCKETS even buckets."""
+    keyed = df.withColumn("_h", shuffle_key(id_col, seed)).withColumn("_bucket", F.substring("_h", 1, 4))
     return _positions_in_buckets(keyed, "_bucket", [F.col("_h"), F.col(id_col)], name).drop("_h")
 
 

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(app: str = "cadenza", cores: str = "8", shuffle_partitions: int = 8,
                   driver_memory: str = "8g") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
@@ -33,12 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
-        return base
-    if not spark.sparkContext.master.startswith("local"):
+        return base.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="cadenza-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="cadenza-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -57,6 +57,12 @@ def test_fewer_items_than_k_and_unknown_seed(spark):
     assert [(r["qid"], r["id"], r["score"]) for r in got] == [(1, 2, 2.0)]
 
 
+def test_missing_and_nan_vectors_are_left_out(spark):
+    df = spark.createDataFrame([(1, [1.0]), (2, None), (3, [float("nan")]), (4, [2.0])], "id bigint, vec array<double>")
+    got = nearest_items(df, df.select("id"), 1).collect()
+    assert sorted((r["qid"], r["id"]) for r in got) == [(1, 4), (4, 1)]
+
+
 def test_no_queries(data):
     df, _ = data
     none = df.filter("false").select(F.col("id").alias("qid"), "vec")

@@ -2,6 +2,7 @@
 
 import json
 import os
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -198,6 +199,16 @@ def test_nan_becomes_missing(spark):
     assert readers.read_parquet(spark, path).first().asDict() == {"a": None, "b": 1.0}
 
 
+def test_shared_dir_where_the_setting_is_missing():
+    def session(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master, applicationId="test-app"))
+
+    own = shared_dir(session("local[2]"))
+    assert os.path.isdir(own) and shared_dir(session("local[2]")) == own
+    with pytest.raises(ValueError):
+        shared_dir(session("spark://host:7077"))
+
+
 def test_shared_dir_is_the_sessions(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -33,6 +33,11 @@ def test_lookup_join_beyond_broadcast(spark, hot, monkeypatch):
     assert as_set(joins.lookup_join(hot, right, "k")) == as_set(hot.join(right, "k", "left"))
 
 
+def test_salted_join_without_hot_keys(spark, hot):
+    right = spark.createDataFrame([(k, f"r{k}") for k in range(50)], "k int, name string")
+    assert as_set(joins.salted_join(hot, right, "k", "left", ["i"])) == as_set(hot.join(right, "k", "left"))
+
+
 def test_fits_broadcast(hot):
     assert joins.fits_broadcast(hot)
     assert not joins.fits_broadcast(hot, rows=100)
@@ -65,7 +70,7 @@ def test_known_rows(spark, hot):
 
 def test_positions(spark):
     df = spark.createDataFrame([(i * i, f"x{i}") for i in range(500)], "ord bigint, x string").repartition(7)
-    got = ordering.with_position(df, "ord", "pos", buckets=16).orderBy("ord").collect()
+    got = ordering.with_position(df, "ord", "pos", rows_per_bucket=30).orderBy("ord").collect()
     assert [r["pos"] for r in got] == list(range(500))
 
 
