@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -53,12 +55,24 @@ def training_summary(examples: DataFrame, features) -> DataFrame:
                            F.lit(len(features)).alias("n_features"))
 
 
-def augmented_views(df: DataFrame, vec: str = "vec", size: int = 9, std: float = NOISE_STD, seed: int = 42) -> DataFrame:
-    """Two noisy copies of each vector."""
-    def noisy(offset):
-        return F.array(*[F.col(vec)[i] + std * F.randn(seed + offset + i) for i in range(size)])
+def augmented_views(df: DataFrame, vec: str = "vec", size: int = 9, std: float = NOISE_STD, seed: int = 42,
+                    id_col: str = "id") -> DataFrame:
+    """Two noisy copies of each vector.
+
+    The normal noise is drawn from a hash of seed, row id and position (Box-Muller), so a row
+    gets the same noise on every run, in any partitioning and after a lost executor.
+    """
+    def uniform(digest, start):
+        return (F.conv(F.substring(digest, start, 13), 16, 10).cast("double") + 0.5) / float(16 ** 13)
+
+    def pair(i):
+        digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}:{i}")))
+        radius = std * F.sqrt(-2.0 * F.log(uniform(digest, 1)))
+        angle = 2.0 * math.pi * uniform(digest, 14)
+        return F.col(vec)[i] + radius * F.cos(angle), F.col(vec)[i] + radius * F.sin(angle)
 
-    return df.withColumns({"view1": noisy(0), "view2": noisy(size)})
+    pairs = [pair(i) for i in range(size)]
+    return df.withColumns({"view1": F.array(*[a for a, _ in pairs]), "view2": F.array(*[b for _, b in pairs])})
 
 
 def training_batches(df: DataFrame, batch_size: int, id_col: str = "id", seed: int = 42,

@@ -30,10 +30,19 @@ def m01(spark, sf):
     return rounded(ex.select("id", "profile", "group_n", *cols))
 
 
-@query("m02_augmented_views")
+def noise_sql(i):
+    """The two noise values of position i, from the 13-digit hexadecimal numbers of a hash."""
+    h = f"md5(id || ':42:{i}')"
+    u = [f"((CAST('0x' || substr({h}, {at}, 13) AS BIGINT) + 0.5e0) / {16 ** 13}e0)" for at in (1, 14)]
+    radius = f"0.15e0 * sqrt(-2e0 * ln({u[0]}))"
+    return [f"{radius} * {f}(2e0 * pi() * {u[1]})" for f in ("cos", "sin")]
+
+
+@query("m02_augmented_views", "WITH " + FILLED + " SELECT id, " + ", ".join(
+    f"{R(f'vec[{i + 1}] + {noise_sql(i)[v - 1]}')} AS view{v}_{i}" for v in (1, 2) for i in range(9)) + " FROM items")
 def m02(spark, sf):
     views = ml.augmented_views(feature_items(spark, sf).select("id", "vec"))
-    return rounded(views.select("id", F.col("view1")[0].alias("first1"), F.col("view2")[0].alias("first2")))
+    return rounded(views.select("id", *[F.col(f"view{v}")[i].alias(f"view{v}_{i}") for v in (1, 2) for i in range(9)]))
 
 
 def batches_sql(source, size, seed=42, drop=False, order="id"):

@@ -84,7 +84,36 @@ def v11_grid(spark, sf):
     return rounded(v.nearest_to_vectors(items, asked, 5, max_query_rows=1, block_rows=n))
 
 
-@query("v12_principal_components")
+SOUND = [c for c in FEATURES if c != "popularity"]
+
+
+def leading_sql(step, matrix, d):
+    """e{step}(u, a): unit eigenvector of the largest eigenvalue of ``matrix`` (a), by repeated squaring."""
+    square = f"""list_transform(range({d * d}), lambda p: list_sum(list_transform(range({d}),
+      lambda k: m[CAST((p // {d}) * {d} + k + 1 AS INTEGER)] * m[CAST(k * {d} + p % {d} + 1 AS INTEGER)])))"""
+    return f"""p{step} AS (SELECT 0 AS n, a, a AS m FROM {matrix} UNION ALL
+  SELECT n + 1, a, list_transform(q, lambda x: x / list_max(list_transform(q, lambda y: abs(y)))) FROM (SELECT n, a, {square} AS q FROM p{step} WHERE n < 40)),
+d{step} AS (SELECT a, m, list_transform(range({d}), lambda k: m[CAST(k * {d + 1} + 1 AS INTEGER)]) AS diag FROM p{step} WHERE n = 40),
+c{step} AS (SELECT a, list_transform(range({d}), lambda k: m[CAST(k * {d} + list_position(diag, list_max(diag)) AS INTEGER)]) AS v FROM d{step}),
+b{step} AS (SELECT a, v, list_transform(v, lambda x: abs(x)) AS av FROM c{step}),
+e{step} AS (SELECT a, list_transform(v, lambda x: x * sign(v[list_position(av, list_max(av))]) / sqrt(list_inner_product(v, v))) AS u FROM b{step})"""
+
+
+def components_sql(columns):
+    d = len(columns)
+    outer = f"u[CAST(p // {d} + 1 AS INTEGER)] * u[CAST(p % {d} + 1 AS INTEGER)]"
+    return f"""whole AS (SELECT id, mood_label, {', '.join(columns)} FROM labelled WHERE {' AND '.join(f'{c} IS NOT NULL' for c in columns)}),
+zs AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in columns)} FROM whole),
+z AS (SELECT id, mood_label, [{', '.join(f'({c} - m_{c}) / s_{c}' for c in columns)}] AS z FROM whole, zs),
+cov AS (SELECT [{', '.join(f'avg(z[{i + 1}] * z[{j + 1}])' for i in range(d) for j in range(d))}] AS a FROM z),
+{leading_sql(1, 'cov', d)},
+rest AS (SELECT list_transform(range({d * d}), lambda p: a[CAST(p + 1 AS INTEGER)] - l * {outer}) AS a FROM (
+  SELECT a, u, list_sum(list_transform(range({d * d}), lambda p: a[CAST(p + 1 AS INTEGER)] * {outer})) AS l FROM e1)),
+{leading_sql(2, 'rest', d)}
+SELECT id, mood_label, {R('list_inner_product(z, e1.u)')} AS pc1, {R('list_inner_product(z, e2.u)')} AS pc2 FROM z, e1, e2"""
+
+
+@query("v12_principal_components", "WITH RECURSIVE " + LABELLED + ", " + components_sql(SOUND))
 def v12(spark, sf):
-    coords, _ = profile.principal_components(labelled(spark, sf), [c for c in FEATURES if c != "popularity"])
+    coords, _ = profile.principal_components(labelled(spark, sf), SOUND)
     return rounded(coords)
