@@ -216,14 +216,14 @@ def _measure(df: DataFrame, width) -> tuple[int, int]:
 
 
 def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(), positive: bool = False,
-                max_query_rows: int = MAX_QUERY_ROWS, max_query_bytes: int = MAX_QUERY_BYTES,
-                block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                max_query_rows: int | None = None, block_rows: int | None = None) -> DataFrame:
     """Best k items per query as (qid, id, score, carry..., rank).
 
     ``items`` has unique ``id`` plus the kernel's columns, ``queries`` unique ``qid`` plus the
     kernel's columns and, optionally, ``exclude_id``. ``carry`` names item columns to bring along,
     which saves joining the winners back to the catalog. ``positive`` keeps scores above 0 only.
     """
+    max_query_rows, block_rows = max_query_rows or MAX_QUERY_ROWS, block_rows or BLOCK_ROWS
     spark = items.sparkSession
     extra = [c for c in ("exclude_id",) if c in queries.columns]
     items = items.select("id", *kernel.item_columns, *carry).dropna(subset=["id", *kernel.item_columns])
@@ -240,7 +240,7 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
         return spark.createDataFrame([], out).withColumn("rank", F.lit(0))
     arrow_out = to_arrow_schema(out)
 
-    if n_queries <= max_query_rows and n_bytes <= max_query_bytes and n_queries * k <= MAX_RESULT_ROWS:
+    if n_queries <= max_query_rows and n_bytes <= MAX_QUERY_BYTES and n_queries * k <= MAX_RESULT_ROWS:
         local = spark.sparkContext.broadcast(queries.toArrow())
 
         def scan(batches):
@@ -254,8 +254,8 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
         found = spread.mapInArrow(scan, out)
     else:
         n_items, item_bytes = _measure(items, kernel.width())
-        n_i = max(1, -(-n_items // block_rows), -(-item_bytes // block_bytes))
-        n_q = max(1, -(-n_queries // block_rows), -(-n_bytes // block_bytes), -(-n_queries * k // MAX_RESULT_ROWS))
+        n_i = max(1, -(-n_items // block_rows), -(-item_bytes // BLOCK_BYTES))
+        n_q = max(1, -(-n_queries // block_rows), -(-n_bytes // BLOCK_BYTES), -(-n_queries * k // MAX_RESULT_ROWS))
 
         def meet(key, left, right):
             best = _Best(kernel, right, k, positive, arrow_out)

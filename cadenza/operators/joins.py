@@ -12,8 +12,9 @@ ROWS_PER_SALT = 1_000_000
 MAX_HOT_KEYS = 100_000
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
     """Measured on at most ``rows + 1`` rows, so the check itself is bounded."""
+    rows, size = rows or BROADCAST_ROWS, size or BROADCAST_BYTES
     width = F.octet_length(F.to_json(F.struct(*df.columns)))
     n, total = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return n <= rows and total <= size
@@ -31,10 +32,10 @@ def _hot_keys(df: DataFrame, keys: list[str], rows_per_salt: int) -> DataFrame:
 
 
 def salted_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
-                spread: list[str] | None = None, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                spread: list[str] | None = None, rows_per_salt: int | None = None) -> DataFrame:
     """Equi-join in which hot keys of ``left`` are split over salts and matched by copies of ``right``."""
     keys = [on] if isinstance(on, str) else list(on)
-    hot = _hot_keys(left, keys, rows_per_salt)
+    hot = _hot_keys(left, keys, rows_per_salt or ROWS_PER_SALT)
     if hot.isEmpty():
         return left.join(right, keys, how)
     hot = F.broadcast(hot)

@@ -30,13 +30,13 @@ def _positions_in_buckets(df: DataFrame, bucket: str, order: list, name: str) ->
     )
 
 
-def with_position(df: DataFrame, order: str, name: str, rows_per_bucket: int = MAX_GROUP) -> DataFrame:
+def with_position(df: DataFrame, order: str, name: str, rows_per_bucket: int | None = None) -> DataFrame:
     """0-based position by a unique numeric ``order`` column.
 
     The quantiles that cut the table into even ranges are at most ``MAX_BUCKETS`` numbers on
     the driver; being rough only makes ranges uneven, the positions stay exact.
     """
-    buckets = min(max(-(-df.count() // rows_per_bucket), 2), MAX_BUCKETS)
+    buckets = min(max(-(-df.count() // (rows_per_bucket or MAX_GROUP)), 2), MAX_BUCKETS)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(order, probs, 0.25 / buckets)))
     splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
@@ -86,7 +86,7 @@ def top_rows(df: DataFrame, by: str, n: int, tie: str = "ingest_seq") -> DataFra
 
 
 def running(df: DataFrame, keys: list[str], order: list, sums: dict[str, str] | None = None,
-            rank: str = "rank", max_group: int = MAX_GROUP) -> DataFrame:
+            rank: str = "rank", max_group: int | None = None) -> DataFrame:
     """1-based ``rank`` and running sums within each group, whatever the size of the largest group.
 
     Groups that measure small are ordered by a plain window. Otherwise the rows are cut into
@@ -96,7 +96,7 @@ def running(df: DataFrame, keys: list[str], order: list, sums: dict[str, str] |
     sums = sums or {}
     largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
     so_far = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    if largest is None or largest <= max_group:
+    if largest is None or largest <= (max_group or MAX_GROUP):
         return df.withColumns({rank: F.row_number().over(W.partitionBy(*keys).orderBy(*order)),
                                **{new: F.sum(c).over(so_far) for new, c in sums.items()}})
     # written once: the ranges are sampled, so they must not be drawn again

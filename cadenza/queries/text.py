@@ -89,6 +89,16 @@ def q03(spark, sf):
     return rounded(tfidf.tfidf_top_k(tfidf.vectors(texts, idf), searches(spark, sf), idf, 10))
 
 
+@query("q03_tfidf_search_documents", "WITH " + fit_sql("documents", "doc_id") + ", asked AS (SELECT item_id AS qid, text FROM benchmark), "
+       + query_sql("asked") + ", " + TFIDF_SCORES + f"SELECT qid, id, {R('score')} AS score, rank FROM tfidf WHERE rank <= 5")
+def q03_documents(spark, sf):
+    """Whole passages looked up in whole documents."""
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
+    idf = tfidf.fit_idf(texts)
+    return rounded(tfidf.tfidf_top_k(tfidf.vectors(texts, idf), asked, idf, 5))
+
+
 def lcs_sql(pairs):
     """Longest common subsequence per row of ``pairs`` (pk, a, b), one table row per step."""
     return f"""steps AS (
