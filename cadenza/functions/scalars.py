@@ -126,11 +126,13 @@ def track_label(name: Column, artists: Column | None) -> Column:
 
 
 def _optional(columns, *names) -> Column:
-    """First of the named columns that the table has; NULL when it has none."""
-    for n in names:
-        if n in columns:
-            return F.col(n).cast("double")
-    return F.lit(None).cast("double")
+    """First given value among the named columns that the table has; NULL when it has none."""
+    return F.coalesce(*[F.col(n).cast("double") for n in names if n in columns], F.lit(None).cast("double"))
+
+
+def decimals(x: Column, n: int) -> Column:
+    """Fixed-point text, rounded from the exact value of the double."""
+    return F.call_function("format_number", x, F.lit("0." + "0" * n))
 
 
 def explanation(columns, mode: Column, engine: Column) -> Column:
@@ -141,20 +143,20 @@ def explanation(columns, mode: Column, engine: Column) -> Column:
     pop_score, pop = _optional(columns, "pop_score"), _optional(columns, "popularity")
     bonus = _optional(columns, "diversity_bonus")
 
-    def said(value, pattern, *before):
-        return F.when(value.isNotNull(), F.format_string(pattern, *before, value))
+    def said(value, n, before, after=""):
+        return F.when(value.isNotNull(), F.concat(*before, decimals(value, n), F.lit(after)))
 
     def trait(name, high, low, neutral):
         value = _optional(columns, name)
         return F.when(value.isNotNull(), feature_label(value, high, low, neutral))
 
     reasons = F.array(
-        said(score, "ranked highly by the %s scorer (%.3f)", engine),
-        said(sim, "strong vector similarity to the seed track (%.3f)"),
+        said(score, 3, [F.lit("ranked highly by the "), engine, F.lit(" scorer (")], ")"),
+        said(sim, 3, [F.lit("strong vector similarity to the seed track (")], ")"),
         F.when(searched.isNotNull() & (mode == "vibe"), F.lit("matches the requested vibe profile")),
-        F.coalesce(said(pop_score, "popularity signal contributed %.2f"),
-                   said(pop, "popularity is %.1f")),
-        said(bonus, "artist diversity bonus %.2f"),
+        F.coalesce(said(pop_score, 2, [F.lit("popularity signal contributed ")]),
+                   said(pop, 1, [F.lit("popularity is ")])),
+        said(bonus, 2, [F.lit("artist diversity bonus ")]),
         trait("energy", "high energy", "low energy", "balanced energy"),
         trait("valence", "brighter mood", "more melancholic mood", "balanced mood"),
         trait("danceability", "dance-forward feel", "less dance-focused feel", "moderate danceability"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cadenza.functions.scalars import is_blank, search_text, track_label, vibe_label
 from cadenza.operators import recommend, tfidf, vibe
 from cadenza.operators.clean import column_stats
+from cadenza.operators.explain import output_rows
 from cadenza.operators.joins import fan_out
 from cadenza.operators.ordering import top_per_group
 from cadenza.operators.vectors import feature_table
@@ -18,6 +19,8 @@ from cadenza.session import write_and_read
 # Confidence bound and the engine names shown with results.
 CONFIDENCE = 0.10
 ENGINE_PLAIN, ENGINE_HYBRID, ENGINE_FALLBACK = "FAISS", "two-tower hybrid", "FAISS fallback"
+TRAITS = ("energy", "danceability", "valence")
+TOP_K_RANGE = (1, 50)
 SHOWN = ("name", "artists", "popularity", "energy", "danceability", "valence")
 
 
@@ -92,8 +95,7 @@ def search_and_recommend(index: SearchIndex, queries: DataFrame, k: int = 8,
                          items: DataFrame | None = None, found: DataFrame | None = None) -> DataFrame:
     """Vibe rows pass through; a text query's best row becomes the seed of a similarity search.
 
-    Seeds missing from ``items`` keep the search rows. Columns: qid, seed_id, rank, id, name,
-    artists, popularity, similarity_score, final_score, mode, label, recommended.
+    Seeds missing from ``items`` keep the search rows. Recommended rows carry no audio features.
     """
     items = index.items if items is None else items
     found = write_and_read(search(index, queries, k) if found is None else found, "found")
@@ -101,8 +103,11 @@ def search_and_recommend(index: SearchIndex, queries: DataFrame, k: int = 8,
         "qid", F.col("id").alias("seed_id"), "mode", "label")
     recs = recommend.similar_by_features(items, seeds.select(F.col("seed_id").alias("id")), k)
     recommended = fan_out(seeds, recs).withColumn("recommended", F.lit(True))
-    columns = ["qid", "seed_id", "rank", "id", "name", "artists", "popularity", "similarity_score",
-               "final_score", "mode", "label", "recommended"]
+    traits = [c for c in TRAITS if c in found.columns]
+    columns = ["qid", "seed_id", "rank", "id", "name", "artists", "popularity", *traits, "similarity_score",
+               "final_score", "_search_score", "mode", "label", "recommended"]
+    for c in (*traits, "_search_score"):
+        recommended = recommended.withColumn(c, F.lit(None).cast("double"))
     answered = recommended.select("qid").distinct()
     rest = (found.join(answered, "qid", "left_anti")
             .join(seeds.select("qid", "seed_id"), "qid", "left")
@@ -118,6 +123,8 @@ def search_service(index: SearchIndex, queries: DataFrame, k: int = 8, hybrid_it
 
     ``engine_name`` tells which way each query went.
     """
+    if not TOP_K_RANGE[0] <= k <= TOP_K_RANGE[1]:
+        raise ValueError(f"k must be within {TOP_K_RANGE}")
     base = write_and_read(search_and_recommend(index, queries, k), "answers")
     plain = base.withColumn("engine_name", F.lit(ENGINE_PLAIN))
     for c in ("sim_score", "pop_score", "diversity_bonus"):
@@ -125,17 +132,24 @@ def search_service(index: SearchIndex, queries: DataFrame, k: int = 8, hybrid_it
     if hybrid_items is None:
         return plain
     per_query = base.filter(F.col("seed_id").isNotNull()).select("qid", "seed_id", "label").distinct()
-    ranked = recommend.hybrid_by_id(hybrid_items, per_query.select(F.col("seed_id").alias("id")), k,
-                                    carry=("name", "popularity"), **weights)
-    mixed = fan_out(per_query, ranked).withColumn("mode", F.lit("hybrid")).withColumn(
-        "engine_name", F.lit(ENGINE_HYBRID)).withColumn(
-        "similarity_score", F.lit(None).cast("double")).withColumn("recommended", F.lit(True))
+    kept = [c for c in ("name", "popularity", *TRAITS) if c in hybrid_items.columns]
+    ranked = recommend.hybrid_by_id(hybrid_items, per_query.select(F.col("seed_id").alias("id")), k, carry=kept, **weights)
+    mixed = fan_out(per_query, ranked).withColumns({
+        "mode": F.lit("hybrid"), "engine_name": F.lit(ENGINE_HYBRID), "recommended": F.lit(True)})
+    for c in plain.columns:
+        if c not in mixed.columns:
+            mixed = mixed.withColumn(c, F.lit(None).cast(plain.schema[c].dataType))
     answered = mixed.select("qid").distinct()
     rest = plain.join(answered, "qid", "left_anti").withColumn(
         "engine_name", F.when(F.col("seed_id").isNotNull(), F.lit(ENGINE_FALLBACK)).otherwise(F.col("engine_name")))
     return mixed.select(*plain.columns).unionByName(rest)
 
 
+def display(answers: DataFrame) -> DataFrame:
+    """Rows of the search service as shown, with the reasons given for each."""
+    return output_rows(answers, F.col("mode"), F.col("engine_name"), keep=("qid", "mode", "label", "engine_name"))
+
+
 def recent_searches(history: DataFrame, n: int = 5) -> DataFrame:
     """(user_id, rank, query, ts): the newest n searches per user, each text once ignoring case.
 

@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalars import bounded_release_year
-from cadenza.operators import clean, genres, ingest, learning, ordering, profile
+from cadenza.operators import clean, genres, ingest, learning, profile
 from cadenza.operators.joins import rescaled_in_groups
 from cadenza.operators.quantiles import exact_quantiles
 from cadenza.queries.base import (
-    ARTISTS, FEATURES, LABELLED, NESTED, R, TRACKS, artists, labelled, nested_entries, query, r6, rounded, table, tracks,
+    FEATURES, LABELLED, NESTED, R, TRACKS, artists, labelled, nested_entries, query, rounded, table, tracks,
 )
 from cadenza.schema import MOOD_FEATURES
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cadenza import schema
 from cadenza.operators import explain, genres, ingest
 from cadenza.queries.base import (
-    ARTISTS, FEATURES, LABELLED, NESTED, R, TRACKS, artists, big, labelled, nested_entries, query, r6, rounded,
+    ARTISTS, FEATURES, LABELLED, NESTED, R, TRACKS, artists, labelled, nested_entries, query, r6, rounded,
     table, tracks,
 )
 

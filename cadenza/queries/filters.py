@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from cadenza.functions import scalars as x
 from cadenza.operators import clean, ingest, recommend
 from cadenza.queries.base import (
-    LABELLED, NESTED, R, SEARCHES, TRACKS, big, labelled, nested_entries, query, r6, rounded, searches, table, tracks,
+    LABELLED, NESTED, R, SEARCHES, TRACKS, labelled, nested_entries, query, r6, rounded, searches, table,
+    tracks,
 )
 from cadenza.schema import MOOD_PLOT_ORDER
 

@@ -8,10 +8,9 @@ from cadenza.operators import ingest, learning as ml
 from cadenza.plans import catalog
 from cadenza.queries.aggregates import box_sql, corr_sql, each, hist_sql
 from cadenza.queries.base import (
-    ARTISTS, AUDIO, FEATURES, FILLED, LABELLED, MOOD_CASE, NESTED, R, REPEATED, TRACKS, artists, audio, labelled,
-    nested_pages, query, r6, repeated, rounded, tracks,
+    ARTISTS, AUDIO, FEATURES, FILLED, LABELLED, MOOD_CASE, NESTED, R, REPEATED, TRACKS, artists, audio,
+    labelled, nested_pages, query, repeated, rounded, tracks,
 )
-from cadenza.queries.columns import MOOD_OF_PLAYLIST
 from cadenza.queries.learning import examples_sql, network_sql
 from cadenza.queries.scaling import SCALED
 from cadenza.schema import AUDIO9_EDA, MOOD_FEATURES

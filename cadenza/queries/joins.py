@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cadenza.operators import ingest, joins, tfidf, vibe
 from cadenza.operators.blocks import Dot, block_top_k
 from cadenza.queries.base import (
-    ARTISTS, AUDIO, FILLED, LABELLED, NESTED, PHRASES, R, SEARCHES, TRACKS, artists, audio, feature_items, labelled,
+    ARTISTS, AUDIO, FILLED, LABELLED, NESTED, R, SEARCHES, TRACKS, artists, audio, feature_items, labelled,
     nested_entries, query, rounded, searches, table, tracks,
 )
 

@@ -4,9 +4,7 @@ from pyspark.sql import functions as F
 
 from cadenza.operators import ingest, joins, ordering, recommend
 from cadenza.plans.search import recent_searches
-from cadenza.queries.base import (
-    LABELLED, R, REPEATED, TRACKS, labelled, query, r6, repeated, rounded, table, tracks,
-)
+from cadenza.queries.base import LABELLED, R, REPEATED, TRACKS, labelled, query, repeated, rounded, table, tracks
 
 
 @query("w01_group_totals", "WITH " + TRACKS + f"""

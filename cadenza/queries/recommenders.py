@@ -6,13 +6,12 @@ from cadenza.operators import genres, recommend as rec
 from cadenza.operators.ordering import number_results
 from cadenza.operators import explain
 from cadenza.queries.base import (
-    FEATURES, FILLED, LABELLED, LEARNED, R, TRACKS, feature_items, labelled, learned, query, rounded, table, tracks,
+    FILLED, LABELLED, LEARNED, R, TRACKS, feature_items, labelled, learned, query, rounded, tracks,
 )
 from cadenza.queries.columns import BRAND_POP, TYPES, with_artist_popularity
 from cadenza.queries.text import hybrid_sql
 from cadenza.queries.vectors import COS, IP
 from cadenza.schema import feature_vector, similarity_features
-from cadenza.session import write_and_read
 
 
 def similar_sql(score, source="items", k=10):

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from cadenza.functions import scalars as x
 from cadenza.operators import clean, genres
 from cadenza.queries.base import (
-    FEATURES, FILLED, LABELLED, MOOD_CASE, R, SEARCHES, TRACKS, big, feature_items, labelled, query, r6, rounded,
-    searches, table, tracks,
+    FILLED, LABELLED, R, SEARCHES, TRACKS, big, feature_items, labelled, query, rounded, searches, table,
+    tracks,
 )
 from cadenza.schema import MOODS
 
@@ -125,7 +125,7 @@ def x11_documents(spark, sf):
 
 
 REASONS = f"""list_filter([
-  'ranked highly by the ' || artists || ' scorer (' || format('{{:.3f}}', round(energy, 3) + 0e0) || ')',
+  'ranked highly by the ' || artists || ' scorer (' || format('{{:.3f}}', energy) || ')',
   CASE WHEN sim IS NOT NULL THEN 'strong vector similarity to the seed track (' || format('{{:.3f}}', sim) || ')' END,
   CASE WHEN pop IS NOT NULL THEN 'popularity is ' || format('{{:.1f}}', pop) END,
   {label_sql('energy', 'high energy', 'low energy', 'balanced energy')},
@@ -133,13 +133,13 @@ REASONS = f"""list_filter([
   {label_sql('danceability', 'dance-forward feel', 'less dance-focused feel', 'moderate danceability')}], lambda r: r IS NOT NULL)"""
 
 
-@query("x12_explanation", Z + f""", e AS (SELECT *, CASE WHEN popularity > 30 THEN round(valence, 3) + 0e0 END AS sim,
+@query("x12_explanation", Z + f""", e AS (SELECT *, CASE WHEN popularity > 30 THEN valence END AS sim,
   CASE WHEN popularity < 33 THEN popularity END AS pop FROM z)
 SELECT id, array_to_string(list_slice({REASONS}, 1, 4), ' | ') AS reasons FROM e""")
 def x12(spark, sf):
     df = _z(spark, sf).withColumns({
-        "final_score": F.round("energy", 3) + F.lit(0.0),
-        "similarity_score": F.when(F.col("popularity") > 30, F.round("valence", 3) + F.lit(0.0)),
+        "final_score": F.col("energy"),
+        "similarity_score": F.when(F.col("popularity") > 30, F.col("valence")),
         "popularity": F.when(F.col("popularity") < 33, F.col("popularity"))})
     reasons = x.explanation(df.columns, F.lit("tfidf"), F.col("artists"))
     return df.select("id", F.array_join(reasons, " | ").alias("reasons"))

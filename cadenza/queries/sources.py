@@ -6,7 +6,7 @@ from cadenza.operators import evaluate as ev, profile
 from cadenza.operators.clean import stats_by_feature
 from cadenza.plans.catalog import build_vector_tables
 from cadenza.queries.base import (
-    AUDIO, FEATURES, FILLED, LABELLED, NESTED, R, TRACKS, audio, labelled, nested_pages, query, rounded, table, tracks,
+    FEATURES, FILLED, NESTED, R, TRACKS, labelled, nested_pages, query, rounded, table, tracks,
 )
 from cadenza.session import scratch_path
 from cadenza.sources import readers, writers

@@ -257,6 +257,37 @@ hybrid AS (SELECT qid, id, rank, round_even(base + {gamma} * bonus, 4) AS final_
   round_even(pop, 4) AS pop_score, round_even(bonus, 4) AS diversity_bonus FROM hr WHERE rank <= {k})"""
 
 
+SERVED = RECOMMENDED + ", " + LEARNED[len(TRACKS) + 1:] + """,
+hq AS (SELECT DISTINCT learned.id, learned.vec FROM learned JOIN seeds ON seed_id = learned.id), """ + hybrid_sql("learned", "hq", K) + """,
+shown AS (
+  SELECT seeds.qid, 'hybrid' AS mode, label, 'two-tower hybrid' AS engine_name, h.rank, h.id, h.sim_score AS similarity, 0e0 AS energy,
+    'ranked highly by the two-tower hybrid scorer (' || format('{:.3f}', final_score) || ') | strong vector similarity to the seed track ('
+    || format('{:.3f}', sim_score) || ') | popularity signal contributed ' || format('{:.2f}', pop_score) || ' | artist diversity bonus '
+    || format('{:.2f}', diversity_bonus) AS reasons
+  FROM seeds JOIN hybrid h ON h.qid = seed_id
+  UNION ALL
+  SELECT qid, mode, label, 'FAISS fallback', rank, a.id, sim, 0e0,
+    'ranked highly by the FAISS fallback scorer (' || format('{:.3f}', final) || ') | strong vector similarity to the seed track ('
+    || format('{:.3f}', sim) || ') | popularity is ' || format('{:.1f}', popularity)
+  FROM answers a JOIN tracks USING (id) WHERE seed_id IS NOT NULL AND seed_id NOT IN (SELECT id FROM hq)
+  UNION ALL
+  SELECT qid, mode, label, 'FAISS', rank, a.id, final, coalesce(energy, 0),
+    'ranked highly by the FAISS scorer (' || format('{:.3f}', final) || ') | matches the requested vibe profile | popularity is '
+    || format('{:.1f}', popularity) || ' | ' || CASE WHEN coalesce(energy, 0) >= 0.65e0 THEN 'high energy' WHEN coalesce(energy, 0) <= -0.65e0 THEN 'low energy' ELSE 'balanced energy' END
+  FROM answers a JOIN tracks USING (id) WHERE seed_id IS NULL)"""
+
+
+@query("q10_display_rows", "WITH RECURSIVE " + SERVED + f"""
+SELECT qid, mode, label, engine_name, rank, s.id, t.name, t.artists AS artist, {R('similarity')} AS similarity, {R('s.energy')} AS energy, reasons
+FROM shown s JOIN tracks t USING (id)""")
+def q10_display(spark, sf):
+    index = plan.build_search_index(tracks(spark, sf))
+    hybrid = write_and_read(learned(spark, sf), "learned")
+    shown = plan.display(plan.search_service(index, searches(spark, sf), K, hybrid))
+    return rounded(shown.select("qid", "mode", "label", "engine_name", "rank", "id", "name", "artist", "similarity", "energy",
+                                F.array_join("reasons", " | ").alias("reasons")))
+
+
 @query("q10_search_service", "WITH RECURSIVE " + RECOMMENDED + ", " + LEARNED[len(TRACKS) + 1:] + """,
 hq AS (SELECT DISTINCT learned.id, learned.vec FROM learned JOIN seeds ON seed_id = learned.id), """ + hybrid_sql("learned", "hq", K) + f"""
 SELECT seeds.qid, 'hybrid' AS mode, label, 'two-tower hybrid' AS engine_name, hybrid.rank, hybrid.id, {R('final_score')} AS final_score

@@ -3,9 +3,7 @@
 from pyspark.sql import functions as F
 
 from cadenza.operators import profile, vectors as v
-from cadenza.queries.base import (
-    FEATURES, FILLED, LABELLED, LEARNED, R, TRACKS, feature_items, labelled, learned, query, r6, rounded, table, tracks,
-)
+from cadenza.queries.base import FEATURES, FILLED, LABELLED, R, feature_items, labelled, query, rounded, table
 
 PAIRS = """pairs AS (SELECT a.vec_id, CAST(a.embedding AS DOUBLE[]) AS x, CAST(list_reverse(b.embedding) AS DOUBLE[]) AS y
   FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)"""

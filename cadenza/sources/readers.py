@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import logging
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators.ingest import PAGE_SCHEMA, page_items
 from cadenza.schema import nan_to_null
 
 
+log = logging.getLogger(__name__)
+
+
 def read_csv(spark: SparkSession, path: str, schema=None, multi_line: bool = False) -> DataFrame:
     """CSV with a header. Without a schema the types are inferred, at the price of a second scan.
 
@@ -47,9 +52,8 @@ def load_index_or_fallback(spark: SparkSession, learned: str, raw: str) -> tuple
         if {"id", "vec"} <= set(tables["vectors"].columns):
             tables["vectors"].limit(1).collect()
             return tables, "learned"
-    except Exception as e:  # missing or damaged files surface here as analysis or read errors
-        if not isinstance(e, AnalysisException) and "parquet" not in str(e).lower():
-            raise
+    except PySparkException as e:
+        log.warning("learned vectors at %s cannot be read (%s); using %s", learned, type(e).__name__, raw)
     return load_index(spark, raw), "raw"
 
 

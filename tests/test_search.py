@@ -1,7 +1,6 @@
 """Routing and results of batch search on tiny catalogs."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from cadenza.operators.clean import zscore
 from cadenza.plans import search as plan
