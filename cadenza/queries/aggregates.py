@@ -7,7 +7,7 @@ from cadenza.operators import clean, genres, ingest, learning, profile
 from cadenza.operators.joins import rescaled_in_groups
 from cadenza.operators.quantiles import exact_quantiles
 from cadenza.queries.base import (
-    FEATURES, LABELLED, NESTED, R, TRACKS, artists, labelled, nested_entries, query, rounded, table, tracks,
+    FEATURES, LABELLED, NESTED, R, TRACKS, labelled, nested_entries, query, rounded, table, tracks,
 )
 from cadenza.schema import MOOD_FEATURES
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,7 +53,7 @@ def load_index_or_fallback(spark: SparkSession, learned: str, raw: str) -> tuple
         if {"id", "vec"} <= set(tables["vectors"].columns):
             tables["vectors"].limit(1).collect()
             return tables, "learned"
-    except PySparkException as e:
+    except (PySparkException, Py4JJavaError) as e:  # missing tables, damaged files
         log.warning("learned vectors at %s cannot be read (%s); using %s", learned, type(e).__name__, raw)
     return load_index(spark, raw), "raw"
 
