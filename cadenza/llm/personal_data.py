@@ -137,17 +137,18 @@ def build(texts: list[str], base: list[list[tuple[str, int, int]]]) -> Graph:
             rows.append(features(token))
             given.append(LABELS.index(inside[0][0]) if inside else -1)
             spans.append((n, start, end))
-            if number == last_number + 1:
+            chained = number == last_number + 1
+            if chained:
                 edges.append((me - 1, me))
                 skip.append(0)
             last_number = number
             # each repetition is tied to the one before it, so edges grow with the tokens
             key = similar_key(token)
-            if key in seen and seen[key] != me - 1:
+            if key in seen and not (chained and seen[key] == me - 1):
                 edges.append((seen[key], me))
                 skip.append(1)
             seen[key] = me
-    return Graph(np.array(rows, np.int64).reshape(len(rows), -1), np.array(edges, np.int64).reshape(-1, 2),
+    return Graph(np.array(rows, np.int64).reshape(-1, len(features(""))), np.array(edges, np.int64).reshape(-1, 2),
                  np.array(skip, np.int64), np.array(given, np.int64), spans)
 
 

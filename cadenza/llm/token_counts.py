@@ -28,7 +28,7 @@ def count_unit(unit: str, found, vocabulary: Vocabulary) -> tuple[int, float]:
 
     At a tie the piece that starts first wins, which the automaton reports first. A character
     without a piece of its own costs the unknown score and counts a piece per byte, or, without byte
-    pieces, one per run. Scores are added in double and kept in single precision.
+    pieces, one per run. Sums are compared and kept in single precision.
     """
     size = len(unit)
     ending: list[list] = [[] for _ in range(size)]
@@ -42,13 +42,13 @@ def count_unit(unit: str, found, vocabulary: Vocabulary) -> tuple[int, float]:
         top = None
         # pieces arrive longest first, so a strict comparison keeps the earliest start
         for start, score in sorted(ending[end]):
-            value = best[start] + score
+            value = _single(best[start] + score)
             if top is None or value > top:
-                top, pieces[end + 1], in_unknown[end + 1] = _single(value), pieces[start] + 1, False
+                top, pieces[end + 1], in_unknown[end + 1] = value, pieces[start] + 1, False
         if not single[end]:
-            value = best[end] + vocabulary.unknown_score
+            value = _single(best[end] + vocabulary.unknown_score)
             if top is None or value > top:
-                top = _single(value)
+                top = value
                 if vocabulary.byte_ids:
                     more = len(unit[end].encode())
                 else:
@@ -83,7 +83,7 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(sizes),
                 pa.array(np.bincount(rows, values[:, 0], len(units)).astype(np.int64)),
-                pa.array(np.bincount(rows, values[:, 1], len(units))),
+                pa.array(np.bincount(rows, values[:, 1], len(units)).astype(float)),
             ], ["doc_id", "n_units", "n_tokens", "score"])
 
     return id_and_text(docs).mapInArrow(run, SCHEMA)

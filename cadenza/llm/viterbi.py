@@ -98,10 +98,10 @@ class Encoder:
                 begin = end - size
                 if begin < 0 or not some[begin]:
                     continue
-                # sums are taken in double and kept in single precision, as the library does
-                value = best[begin] + scores[begin]
+                # sums are compared and kept in single precision, as the library does
+                value = (best[begin] + scores[begin]).astype(np.float32)
                 better = value > best[end]
-                np.copyto(best[end], value.astype(np.float32), where=better)
+                np.copyto(best[end], value, where=better)
                 np.copyto(start[end], begin, where=better)
                 np.copyto(piece[end], ids[begin], where=better, casting="unsafe")
         return self._trace(units, start, piece, length)
