@@ -3,10 +3,11 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from cadenza.queries import load_all
 from tools.compare import connect, difference, spark_rows, sql_rows
 
 SF = "/root/testdata/sf0.001"
-SQL = oracle_sql()
+QUERIES, SQL = load_all()
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +15,9 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    got = spark_rows(queries()[name](spark, SF))
+    got = spark_rows(QUERIES[name](spark, SF))
     if name in SQL:
         assert difference(got, sql_rows(con, SQL[name])) is None
     else:
@@ -29,4 +30,4 @@ def test_entry(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(queries())
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
