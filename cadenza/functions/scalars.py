@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from cadenza.functions.text import strip
+
 # Mood thresholds, keyword lists and display texts.
 VINTAGE_WORDS = ["oldies", "classic", "vintage", "retro"]
 THEME_WORDS = {
@@ -17,6 +19,15 @@ THEME_WORDS = {
 LABEL_BOUND = 0.65
 YEAR_RANGE = (1900, 2025)
 REASON_LIMIT = 4
+RANKED = ("ranked highly by the ", " scorer (", ")")
+SIMILAR = ("strong vector similarity to the seed track (", ")")
+PROFILED = "matches the requested vibe profile"
+POPULAR, POPULARITY, DIVERSE = "popularity signal contributed ", "popularity is ", "artist diversity bonus "
+TRAITS = {
+    "energy": ("high energy", "low energy", "balanced energy"),
+    "valence": ("brighter mood", "more melancholic mood", "balanced mood"),
+    "danceability": ("dance-forward feel", "less dance-focused feel", "moderate danceability"),
+}
 
 
 def _any_word(text: Column, words) -> Column:
@@ -28,7 +39,7 @@ def _any_word(text: Column, words) -> Column:
 
 def release_year(date: Column) -> Column:
     """Digits before the first dash; NULL when they are not a number."""
-    return F.trim(F.split(date, "-").getItem(0)).try_cast("int")
+    return strip(F.split(date, "-").getItem(0)).try_cast("int")
 
 
 def bounded_release_year(date: Column) -> Column:
@@ -78,7 +89,7 @@ def search_text(name: Column, artists: Column | None) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return F.coalesce(F.trim(text), F.lit("")) == ""
+    return F.coalesce(strip(text), F.lit("")) == ""
 
 
 def finite_or_zero(x: Column) -> Column:
@@ -103,7 +114,7 @@ def percent_of_z(z: Column, mode: str = "truncate") -> Column:
 
 
 def query_theme(query: Column) -> Column:
-    q = F.lower(F.trim(F.coalesce(query, F.lit(""))))
+    q = F.lower(strip(F.coalesce(query, F.lit(""))))
     chain = F
     for theme, words in THEME_WORDS.items():
         chain = chain.when(_any_word(q, words), F.lit(theme))
@@ -117,12 +128,13 @@ def title_case(text: Column) -> Column:
 
 
 def vibe_label(query: Column) -> Column:
-    return F.concat(F.lit("Vibe: *"), title_case(F.trim(query)), F.lit("*"))
+    return F.concat(F.lit("Vibe: *"), title_case(strip(query)), F.lit("*"))
 
 
 def track_label(name: Column, artists: Column | None) -> Column:
-    label = F.concat(F.lit("**"), name, F.lit("**"))
-    return label if artists is None else F.concat(label, F.lit(" by "), artists)
+    """A missing name or artist is shown as nothing; the label itself is never missing."""
+    label = F.concat(F.lit("**"), F.coalesce(name, F.lit("")), F.lit("**"))
+    return label if artists is None else F.concat(label, F.lit(" by "), F.coalesce(artists, F.lit("")))
 
 
 def _optional(columns, *names) -> Column:
@@ -146,20 +158,17 @@ def explanation(columns, mode: Column, engine: Column) -> Column:
     def said(value, n, before, after=""):
         return F.when(value.isNotNull(), F.concat(*before, decimals(value, n), F.lit(after)))
 
-    def trait(name, high, low, neutral):
+    def trait(name):
         value = _optional(columns, name)
-        return F.when(value.isNotNull(), feature_label(value, high, low, neutral))
+        return F.when(value.isNotNull(), feature_label(value, *TRAITS[name]))
 
     reasons = F.array(
-        said(score, 3, [F.lit("ranked highly by the "), engine, F.lit(" scorer (")], ")"),
-        said(sim, 3, [F.lit("strong vector similarity to the seed track (")], ")"),
-        F.when(searched.isNotNull() & (mode == "vibe"), F.lit("matches the requested vibe profile")),
-        F.coalesce(said(pop_score, 2, [F.lit("popularity signal contributed ")]),
-                   said(pop, 1, [F.lit("popularity is ")])),
-        said(bonus, 2, [F.lit("artist diversity bonus ")]),
-        trait("energy", "high energy", "low energy", "balanced energy"),
-        trait("valence", "brighter mood", "more melancholic mood", "balanced mood"),
-        trait("danceability", "dance-forward feel", "less dance-focused feel", "moderate danceability"),
+        said(score, 3, [F.lit(RANKED[0]), engine, F.lit(RANKED[1])], RANKED[2]),
+        said(sim, 3, [F.lit(SIMILAR[0])], SIMILAR[1]),
+        F.when(searched.isNotNull() & (mode == "vibe"), F.lit(PROFILED)),
+        F.coalesce(said(pop_score, 2, [F.lit(POPULAR)]), said(pop, 1, [F.lit(POPULARITY)])),
+        said(bonus, 2, [F.lit(DIVERSE)]),
+        *[trait(name) for name in TRAITS],
     )
     return F.slice(F.array_compact(reasons), 1, REASON_LIMIT)
 

@@ -10,6 +10,12 @@ GRAM_SIZES = (2, 4)
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    blank = WHITESPACE.removeprefix("(?U)")
+    return F.regexp_replace(text, f"(?U)^{blank}|{blank}$", "")
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(text, WHITESPACE), lambda w: w != "")
 
@@ -34,28 +40,16 @@ def token_sort(text: Column) -> Column:
     return F.array_join(F.array_sort(words(text)), " ")
 
 
-def pair_ratio(left: list, right: list, cells: int = 4_000_000) -> np.ndarray:
-    """200 * common subsequence / (sum of lengths) of two equally long lists of strings, pair by pair."""
+def pair_ratio(left: list, right: list) -> np.ndarray:
+    """200 * common subsequence / (sum of lengths) of two equally long lists of strings, pair by pair.
+
+    Pairs with the same right side are scored together.
+    """
     out = np.empty(len(left))
-    order = np.argsort([-max(len(a), len(b)) for a, b in zip(left, right)], kind="stable")
-    at = 0
-    while at < len(order):
-        longest = max(len(left[order[at]]), len(right[order[at]]), 1)
-        rows = order[at:at + max(cells // longest, 1)]
-        at += len(rows)
-        codes = []
-        for texts, blank in ((left, 0x110000), (right, 0x110001)):
-            m = np.full((len(rows), max(max(len(texts[i]) for i in rows), 1)), blank, dtype=np.uint32)
-            for r, i in enumerate(rows):
-                m[r, :len(texts[i])] = np.frombuffer(texts[i].encode("utf-32-le"), dtype=np.uint32)
-            codes.append(m)
-        a, b = codes
-        best = np.zeros((len(rows), a.shape[1] + 1), dtype=np.int32)
-        for j in range(b.shape[1]):
-            step = np.maximum(best[:, 1:], best[:, :-1] + (a == b[:, j, None]))
-            best[:, 1:] = np.maximum.accumulate(step, axis=1)
-        total = np.array([len(left[i]) + len(right[i]) for i in rows])
-        out[rows] = np.where(total == 0, 100.0, 200.0 * best[:, -1] / np.maximum(total, 1))
+    codes, patterns = pd.factorize(np.asarray(right, dtype=object))
+    order = np.argsort(codes, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1) if len(order) else []:
+        out[rows] = TextBlock([left[i] for i in rows]).ratio(patterns[codes[rows[0]]])
     return out
 
 

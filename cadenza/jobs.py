@@ -1,7 +1,7 @@
 """Command line for the end-to-end jobs, for spark-submit or ``python -m cadenza.jobs``.
 
 Every command reads tables, runs one job and writes tables. A table without an order column
-is taken in file order.
+is taken in the order of its files' names, and of the rows in each.
 """
 
 from __future__ import annotations
@@ -10,20 +10,28 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cadenza.operators import evaluate as ev, genres, profile, recommend
-from cadenza.operators.ordering import listing
+from cadenza.operators import evaluate as ev, genres, learning, profile, recommend
+from cadenza.operators.ordering import listing, running
 from cadenza.plans import catalog, search as plan
 from cadenza.schema import feature_vector, normalize_schema, similarity_features
+from cadenza.session import remove_scratch
 from cadenza.sources import readers, writers
 
 AUDIO_SCHEMA = "id string, " + ", ".join(f"{c} double" for c in (
     "danceability", "energy", "key", "loudness", "mode", "speechiness", "acousticness",
     "instrumentalness", "liveness", "valence", "tempo", "duration_ms"))
+# Fixed value: results one search may ask for.
+TOP_K_RANGE = (1, 50)
 ARTIST_SCHEMA = "id string, genres array<string>, followers struct<total: bigint>, popularity int"
 
 
 def in_file_order(df: DataFrame, name: str = "ingest_seq") -> DataFrame:
-    return df if name in df.columns else df.withColumn(name, F.monotonically_increasing_id())
+    if name in df.columns:
+        return df
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_row"), F.lit(0).alias("_all"))
+    order = [F.col("_file"), F.col("_block"), F.col("_row")]
+    return running(placed, ["_all"], order, rank=name).drop("_file", "_block", "_row", "_all")
 
 
 def _write(df: DataFrame, path: str) -> None:
@@ -58,6 +66,17 @@ def build_index(spark, a):
     catalog.build_vector_tables(normalize_schema(in_file_order(readers.read_table(spark, a.input))), a.output)
 
 
+def build_learned(spark, a):
+    df = normalize_schema(in_file_order(readers.read_table(spark, a.input)))
+    catalog.build_learned_tables(df, learning.read_layers(spark.read.parquet(a.weights)), a.output)
+
+
+def examples(spark, a):
+    df = in_file_order(readers.read_table(spark, a.input))
+    for name, table in zip(("examples", "parameters", "summary"), catalog.build_profile_examples(df, a.profile_column)):
+        writers.write_parquet(table, f"{a.output}/{name}")
+
+
 def evaluate(spark, a):
     got = ev.evaluate(readers.read_table(spark, a.data), a.top_k, a.sample_size, a.seed, a.label_column)
     if a.output:
@@ -91,6 +110,8 @@ def browse(spark, a):
 
 
 def search(spark, a):
+    if not TOP_K_RANGE[0] <= a.top_k <= TOP_K_RANGE[1]:
+        raise ValueError(f"--top-k must be within {TOP_K_RANGE}")
     df = normalize_schema(in_file_order(readers.read_table(spark, a.data)))
     queries = readers.read_table(spark, a.queries, "qid string, text string")
     index = plan.build_search_index(df)
@@ -122,6 +143,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--carry", nargs="*", default=[])
     command("report", report, "input").add_argument("--mood-column", default="mood_label")
     command("build-index", build_index, "input")
+    command("build-learned", build_learned, "input", "weights")
+    command("examples", examples, "input").add_argument("--profile-column")
     c = command("evaluate", evaluate, "data", output=False)
     c.add_argument("--top-k", type=int, default=10)
     c.add_argument("--sample-size", type=int, default=200)
@@ -141,7 +164,13 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv=None) -> None:
     args = parser().parse_args(argv)
-    args.run(SparkSession.builder.appName("cadenza").getOrCreate(), args)
+    shared = SparkSession.getActiveSession() is not None
+    spark = SparkSession.builder.appName("cadenza").getOrCreate()
+    try:
+        args.run(spark, args)
+    finally:
+        if not shared:
+            remove_scratch(spark)
 
 
 if __name__ == "__main__":

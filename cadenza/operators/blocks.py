@@ -30,6 +30,8 @@ MAX_RESULT_ROWS = 4_000_000
 BLOCK_ROWS = 50_000
 BLOCK_BYTES = 128 << 20
 SCORE_CELLS = 4_000_000
+#: Scores that make a task of its own worth while.
+CELLS_PER_TASK = 40_000_000
 
 
 def _plain(column: pa.ChunkedArray) -> pa.Array:
@@ -171,7 +173,7 @@ class _Best:
                 if len(fresh):
                     bound[fresh] = np.partition(s[fresh], n - self.k, axis=1)[:, n - self.k]
             keep = s >= (bound - SLACK)[:, None]
-            keep &= (s > SLACK / 2) if self.positive else ~np.isinf(s)
+            keep &= (s > 0) if self.positive else ~np.isinf(s)
             r, c = np.nonzero(keep)
             found.append((r + lo, s[r, c], ids[c], c))
         self._merge(found, pa.table([_plain(table.column(c)) for c in self.carry], names=self.carry))
@@ -237,17 +239,19 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
     queries = _given(queries, ("qid", *kernel.query_columns))
     queries = write_and_read(queries.select("qid", *extra, *kernel.query_columns), "queries")
     n_queries, n_bytes = _measure(queries, kernel.width())
-    out = T.StructType([
+    in_one_scan = n_queries <= max_query_rows and n_bytes <= MAX_QUERY_BYTES and n_queries * k <= MAX_RESULT_ROWS
+    plain = [
         T.StructField("qid", queries.schema["qid"].dataType),
         T.StructField("id", items.schema["id"].dataType),
         T.StructField("score", T.DoubleType()),
-        *[items.schema[c] for c in carry],
-    ])
+    ]
+    carried = [items.schema[c] for c in carry]
     if not n_queries:
-        return spark.createDataFrame([], out).withColumn("rank", F.lit(0))
+        return spark.createDataFrame([], T.StructType(plain + carried)).withColumn("rank", F.lit(0))
+    out = T.StructType(plain + carried if in_one_scan else plain)
     arrow_out = to_arrow_schema(out)
 
-    if n_queries <= max_query_rows and n_bytes <= MAX_QUERY_BYTES and n_queries * k <= MAX_RESULT_ROWS:
+    if in_one_scan:
         local = spark.sparkContext.broadcast(queries.toArrow())
 
         def scan(batches):
@@ -256,8 +260,11 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
                 best.add(batch)
             yield from best.table().to_batches()
 
-        # scoring costs far more than moving the rows once, so spread them over all cores
-        spread = items.repartition(spark.sparkContext.defaultParallelism, "id")
+        # rows are scored where they lie; only a table in too few splits for its work is dealt out first
+        n_items, splits = items.select(F.spark_partition_id().alias("split")).agg(
+            F.count("*"), F.count_distinct("split")).first()
+        tasks = -(-n_items * n_queries // CELLS_PER_TASK)
+        spread = items if splits * 2 >= tasks else items.repartition(tasks, "id")
         found = spread.mapInArrow(scan, out)
     else:
         n_items, item_bytes = _measure(items, kernel.width())
@@ -277,7 +284,13 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
             # queries are often derived from the items: fresh columns keep the two sides apart
             return [F.col(c).alias(c) for c in df.columns]
 
-        left = items.select(F.pmod(F.xxhash64("id"), F.lit(n_i)).alias("_i"), numbers(n_q).alias("_q"), *renewed(items))
+        # carried columns stay behind and meet the winners, which are few
+        scored = items.select("id", *kernel.item_columns)
+        left = scored.select(F.pmod(F.xxhash64("id"), F.lit(n_i)).alias("_i"), numbers(n_q).alias("_q"), *renewed(scored))
         right = queries.select(numbers(n_i).alias("_i"), F.pmod(F.xxhash64("qid"), F.lit(n_q)).alias("_q"), *renewed(queries))
         found = left.groupBy("_i", "_q").cogroup(right.groupBy("_i", "_q")).applyInArrow(meet, out)
+        best = top_per_group(found, ["qid"], [compared("score"), F.col("id")], k, rank="rank")
+        if not carry:
+            return best
+        return best.join(items.select("id", *carry), "id").select("qid", "id", "score", *carry, "rank")
     return top_per_group(found, ["qid"], [compared("score"), F.col("id")], k, rank="rank")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -20,6 +19,11 @@ NOISE_STD = 0.15
 TEMPERATURE = 0.07
 CONTRASTIVE_BATCH = 2048
 RETRIEVAL_BATCH = 1024
+NORM = ("mean", "variance", "gamma", "beta")
+LAYER_SCHEMA = ("layer int, weights array<array<double>>, bias array<double>, activation string, "
+                + ", ".join(f"{c} array<double>" for c in NORM))
+#: Weights of a network that is sent to every task.
+MAX_WEIGHTS = 50_000_000
 
 
 def profile_examples(df: DataFrame, profile: str, features, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -88,7 +92,13 @@ def training_batches(df: DataFrame, batch_size: int, id_col: str = "id", seed: i
 
 
 def _matrix(table: pa.Table, name: str) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in table.column(name).to_pylist()])
+    return _rows(table.column(name).combine_chunks())
+
+
+def _rows(column) -> np.ndarray:
+    """A list column of equal lengths as a matrix."""
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def _log_sum_exp(x: np.ndarray) -> np.ndarray:
@@ -151,13 +161,39 @@ def embed_items(items: DataFrame, layers: list[dict], keep=("id",)) -> DataFrame
                 x = (x - layer["mean"]) / np.sqrt(layer["variance"] + 1e-3) * layer["gamma"] + layer["beta"]
         return x / np.sqrt(np.maximum((x * x).sum(axis=1, keepdims=True), 1e-12))
 
-    def run(frames):
-        for f in frames:
-            if len(f):
-                out = forward(np.stack(f["vec"].to_numpy()))
-                yield pd.DataFrame({**{c: f[c] for c in keep}, "embedding": list(out)})
-
-    return items.select(*keep, "vec").mapInPandas(run, schema)
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                out = forward(_rows(batch.column("vec")))
+                starts = pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1])
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in keep], pa.ListArray.from_arrays(starts, pa.array(out.ravel()))],
+                    [*keep, "embedding"])
+
+    return items.select(*keep, "vec").mapInArrow(run, schema)
+
+
+def layers_table(spark, layers: list[dict]) -> DataFrame:
+    """A network as rows, one per layer, as ``read_layers`` takes them."""
+    rows = []
+    for n, layer in enumerate(layers):
+        rows.append((n, [[float(x) for x in row] for row in layer["weights"]], [float(x) for x in layer["bias"]],
+                     layer.get("activation"),
+                     *[[float(x) for x in layer[c]] if c in layer else None for c in NORM]))
+    return spark.createDataFrame(rows, LAYER_SCHEMA)
+
+
+def read_layers(table: DataFrame) -> list[dict]:
+    """Layers of a network from a table of one row per layer; a model of checked size."""
+    size = table.agg(F.coalesce(F.sum(F.size("weights") * F.size("bias")), F.lit(0))).first()[0]
+    if size > MAX_WEIGHTS:
+        raise ValueError(f"a network of {size} weights is too large to be sent to every task")
+    layers = []
+    for row in table.orderBy("layer").collect():
+        given = {"weights": row["weights"], "bias": row["bias"], "activation": row["activation"],
+                 **{c: row[c] for c in NORM}}
+        layers.append({k: v if isinstance(v, str) else np.array(v) for k, v in given.items() if v is not None})
+    return layers
 
 
 def demo_layers(n_in: int, n_out: int, hidden=(256, 128), activation: str = "elu") -> list[dict]:

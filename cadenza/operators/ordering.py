@@ -1,48 +1,27 @@
 """Row positions, top-n, keep-first and seeded samples.
 
-Ranks end in a unique id, so they never depend on row order. Positions over a whole
-table come from bucket counts plus a rank inside each bucket: no single-task window.
+Ranks end in a unique id, so they never depend on row order. Positions over a table, or a group, too
+large for one task come from the counts of ranges of rows plus a rank inside each range.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cadenza.session import write_and_read
 
 MAX_GROUP = 1_000_000
-MAX_BUCKETS = 16 ** 4
 
 
-def _positions_in_buckets(df: DataFrame, bucket: str, order: list, name: str) -> DataFrame:
-    """0-based position over all rows; ``bucket`` must be ordered like ``order``."""
-    sizes = df.groupBy(bucket).agg(F.count("*").alias("_n"))
-    # one row per bucket: the window below runs over MAX_BUCKETS rows at most
-    before = W.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = W.partitionBy(bucket).orderBy(*order)
-    return (
-        df.withColumn("_rn", F.row_number().over(within))
-        .join(F.broadcast(starts), bucket)
-        .withColumn(name, F.col("_start") + F.col("_rn") - 1)
-        .drop("_rn", "_start", bucket)
-    )
+def _position(df: DataFrame, order: list, name: str, max_group: int | None = None) -> DataFrame:
+    """0-based position over all rows, as the running rank of one group of any size."""
+    ranked = running(df.withColumn("_all", F.lit(0)), ["_all"], order, rank=name, max_group=max_group)
+    return ranked.withColumn(name, (F.col(name) - 1).cast("bigint")).drop("_all")
 
 
 def with_position(df: DataFrame, order: str, name: str, rows_per_bucket: int | None = None) -> DataFrame:
-    """0-based position by a unique numeric ``order`` column.
-
-    The quantiles that cut the table into even ranges are at most ``MAX_BUCKETS`` numbers on
-    the driver; being rough only makes ranges uneven, the positions stay exact.
-    """
-    buckets = min(max(-(-df.count() // (rows_per_bucket or MAX_GROUP)), 2), MAX_BUCKETS)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(order, probs, 0.25 / buckets)))
-    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bucket", handleInvalid="keep")
-    ranged = cut.transform(df.withColumn("_ord", F.col(order).cast("double"))).drop("_ord")
-    return _positions_in_buckets(ranged, "_bucket", [F.col(order)], name)
+    """0-based position by a unique ``order`` column."""
+    return _position(df, [F.col(order)], name, rows_per_bucket)
 
 
 def shuffle_key(id_col: str, seed: int) -> Column:
@@ -50,9 +29,8 @@ def shuffle_key(id_col: str, seed: int) -> Column:
 
 
 def with_shuffled_position(df: DataFrame, id_col: str, seed: int, name: str) -> DataFrame:
-    """0-based position in a seeded shuffle: the hash prefix gives MAX_BUCKETS even buckets."""
-    keyed = df.withColumn("_h", shuffle_key(id_col, seed)).withColumn("_bucket", F.substring("_h", 1, 4))
-    return _positions_in_buckets(keyed, "_bucket", [F.col("_h"), F.col(id_col)], name).drop("_h")
+    """0-based position in a seeded shuffle."""
+    return _position(df.withColumn("_h", shuffle_key(id_col, seed)), [F.col("_h"), F.col(id_col)], name).drop("_h")
 
 
 def sample_rows(df: DataFrame, n: int, id_col: str = "id", seed: int = 42) -> DataFrame:
@@ -94,13 +72,16 @@ def running(df: DataFrame, keys: list[str], order: list, sums: dict[str, str] |
     range continues from the totals of the ranges before it.
     """
     sums = sums or {}
-    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    limit = max_group or MAX_GROUP
+    largest, whole = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
     so_far = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    if largest is None or largest <= (max_group or MAX_GROUP):
+    if largest is None or largest <= limit:
         return df.withColumns({rank: F.row_number().over(W.partitionBy(*keys).orderBy(*order)),
                                **{new: F.sum(c).over(so_far) for new, c in sums.items()}})
     # written once: the ranges are sampled, so they must not be drawn again
-    ranged = write_and_read(df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    ranges = max(-(-whole // limit), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(ranges, *keys, *order).withColumn("_range", F.spark_partition_id())
+    ranged = write_and_read(ranged, "ranges")
     before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     totals = ranged.groupBy(*keys, "_range").agg(
         F.count("*").alias("_n"), *[F.sum(c).alias(f"_t_{new}") for new, c in sums.items()])

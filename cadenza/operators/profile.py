@@ -7,8 +7,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from cadenza.operators.clean import scale
+from cadenza.operators.joins import lookup_join
 from cadenza.operators.quantiles import exact_quantiles, long_form
 from cadenza.schema import MOOD_PLOT_ORDER, feature_vector, numeric_columns
+from cadenza.session import write_and_read
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -33,6 +35,8 @@ def table_profile(df: DataFrame, order: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns) -> DataFrame:
+    """Moments and exact quartiles; the columns are written once for the passes over them."""
+    df = write_and_read(df.select(*columns), "described")
     moments = long_form(df, columns).groupBy("feature").agg(
         F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
@@ -75,16 +79,20 @@ def histogram(df: DataFrame, columns, bins: int) -> DataFrame:
         F.coalesce("n", F.lit(0)).alias("n"), "mean")
 
 
-def box_summary(df: DataFrame, columns, by: str = "mood_label", groups=MOOD_PLOT_ORDER) -> DataFrame:
-    """Quartiles, whiskers at the last value within 1.5 IQR, and outlier counts per group."""
+def box_summary(df: DataFrame, columns, by: str = "mood_label", groups=None) -> DataFrame:
+    """Quartiles, whiskers at the last value within 1.5 IQR, and outlier counts per group.
+
+    Moods are the fixed ones; of any other column every label is a group, unless ``groups`` lists some.
+    """
+    groups = groups or (MOOD_PLOT_ORDER if by == "mood_label" else None)
+    df = df.filter(F.col(by).isin(*groups) if groups else F.col(by).isNotNull())
+    df = write_and_read(df.select(by, *columns), "boxed")
     q = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by, groups).select(
         by, "feature", "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     v = F.col("value")
     near = v.between(F.col("q1") - reach, F.col("q3") + reach)
-    # one row per feature and listed group
-    return (long_form(df.filter(F.col(by).isin(*groups)), columns, by)
-            .join(F.broadcast(q), [by, "feature"])
+    return (lookup_join(long_form(df, columns, by), q, [by, "feature"], "inner")
             .groupBy(by, "feature", "n", "q1", "median", "q3")
             .agg(F.min(F.when(near, v)).alias("whisker_low"), F.max(F.when(near, v)).alias("whisker_high"),
                  F.count_if(~near).alias("n_outliers")))

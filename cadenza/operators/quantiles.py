@@ -1,13 +1,18 @@
 """Exact quantiles (linear interpolation) without holding a column's values in one task.
 
 A sketch brackets each wanted rank; values outside the brackets collapse to counts before
-the shuffle, and only the few distinct values inside a bracket are ordered. If a rank fell
-outside its bracket the query would fail, never return a wrong number.
+the shuffle, and only the distinct values inside a bracket are ordered, as running sums over any
+number of tasks. A rank that fell outside its bracket lies in one of the collapsed cells, whose
+values are ordered in a second pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from cadenza.operators.joins import lookup_join
+from cadenza.operators.ordering import running
+from cadenza.session import write_and_read
 
 ACCURACY = 20_000
 
@@ -22,50 +27,61 @@ def long_form(df: DataFrame, columns, by: str | None = None) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, columns, probs, by: str | None = None, groups=None) -> DataFrame:
-    """(by, feature, n, q0, q1, ...) for each feature and each of the listed ``groups`` of ``by``.
-
-    ``groups`` is a list the caller knows, which bounds the broadcast side below.
-    """
+    """(by, feature, n, q0, q1, ...) for each feature and each group of ``by``, or each of the listed ``groups``."""
     if by:
-        df = df.filter(F.col(by).isin(*groups))
+        df = df.filter(F.col(by).isin(*groups) if groups else F.col(by).isNotNull())
     keys = ([by] if by else []) + ["feature"]
     long = long_form(df, columns, by)
     margin = 2.0 / ACCURACY
     marks = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     brackets = long.groupBy(*keys).agg(
-        F.percentile_approx("value", marks, ACCURACY).alias("_b"))
+        F.percentile_approx("value", marks, ACCURACY).alias("_b"), F.count("*").alias("n"))
+    brackets = write_and_read(brackets, "brackets")
     v, b, m = F.col("value"), F.col("_b"), len(probs)
-    low, high = [b[i] for i in range(m)], [b[m + i] for i in range(m)]
-    inside = F.lit(False)
-    cell = F.lit(0)
-    for lo, hi in zip(low, high):
+    inside, cell = F.lit(False), F.lit(0)
+    for lo, hi in ((b[i], b[m + i]) for i in range(m)):
         inside = inside | v.between(lo, hi)
         cell = cell + (v >= lo).cast("int") + (v > hi).cast("int")
-    # brackets: one row per feature and listed group
-    cells = (long.join(F.broadcast(brackets), keys)
+    cells = (lookup_join(long, brackets.drop("n"), keys, "inner", write=False)
              .groupBy(*keys, cell.alias("_cell"), F.when(inside, v).alias("_v"))
              .agg(F.count("*").alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max")))
-    running = W.partitionBy(*keys).orderBy("_cell", "_min").rowsBetween(W.unboundedPreceding, 0)
-    ranked = (cells.withColumn("_cum", F.sum("_n").over(running))
-              .withColumn("n", F.sum("_n").over(W.partitionBy(*keys))))
-
-    def at(index: Column) -> Column:
-        here = (index >= F.col("_cum") - F.col("_n")) & (index < F.col("_cum"))
-        value = (F.when(F.col("_min") == F.col("_max"), F.col("_min"))
-                 .when(index == F.col("_cum") - 1, F.col("_max"))
-                 .when(index == F.col("_cum") - F.col("_n"), F.col("_min"))
-                 .otherwise(F.raise_error(F.lit("rank outside its bracket")).cast("double")))
-        return F.when(here, value)
+    cells = write_and_read(cells, "cells")
+    summed = running(cells, keys, [F.col("_cell"), F.col("_min")], {"_to": "_n"}, rank="_nth")
+    summed = summed.withColumn("_from", F.col("_to") - F.col("_n"))
 
+    # the ranks below and above each quantile, for every key: two per probability
+    wanted = brackets.select(*keys, "n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_p"), at(F.lit(float(p)) * (F.col("n") - 1)).cast("bigint").alias("_rank"))
+        for i, p in enumerate(probs) for at in (F.floor, F.ceil)])).alias("_w")).select(*keys, "n", "_w.*").distinct()
+    placed = lookup_join(summed, wanted.groupBy(*keys).agg(F.collect_set("_rank").alias("_ranks")), keys, "inner")
+    hits = placed.select(*keys, "_min", "_max", "_from", "_to", F.explode("_ranks").alias("_rank")).filter(
+        "_rank >= _from AND _rank < _to")
+    hits = write_and_read(hits, "rank-cells")
+    value = (F.when((F.col("_min") == F.col("_max")) | (F.col("_rank") == F.col("_from")), F.col("_min"))
+             .when(F.col("_rank") == F.col("_to") - 1, F.col("_max")))
+    known = hits.select(*keys, "_rank", value.alias("value"))
+    missed = known.filter("value IS NULL").drop("value")
+    if not missed.isEmpty():
+        known = known.filter("value IS NOT NULL").unionByName(
+            _inside_cells(long, hits.join(missed, [*keys, "_rank"], "left_semi"), keys))
+    found = wanted.join(known, [*keys, "_rank"])
     picks = []
     for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        picks += [F.max(at(F.floor(h))).alias(f"_a{i}"), F.max(at(F.ceil(h))).alias(f"_z{i}"),
-                  F.max(h - F.floor(h)).alias(f"_f{i}")]
-    found = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
-    return found.select(*keys, "n", *[
-        (F.col(f"_a{i}") + (F.col(f"_z{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(f"q{i}")
-        for i in range(len(probs))])
+        own = F.when(F.col("_p") == i, F.col("value"))
+        part = F.lit(float(p)) * (F.col("n") - 1)
+        low, high, part = F.min(own), F.max(own), F.max(part - F.floor(part))
+        picks.append((low + (high - low) * part).alias(f"q{i}"))
+    return found.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
+
+
+def _inside_cells(long: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _rank, value) of ranks somewhere inside a collapsed cell: its values are counted and summed up."""
+    spots = cells.select(*keys, "_rank", "_from", "_min", "_max")
+    counted = (lookup_join(long, spots, keys, "inner").filter("value BETWEEN _min AND _max")
+               .groupBy(*keys, "_rank", "_from", "value").agg(F.count("*").alias("_n")))
+    summed = running(write_and_read(counted, "cell-values"), [*keys, "_rank"], [F.col("value")], {"_to": "_n"}, rank="_nth")
+    at = F.col("_rank") - F.col("_from")
+    return summed.filter((at < F.col("_to")) & (at >= F.col("_to") - F.col("_n"))).select(*keys, "_rank", "value")
 
 
 def medians(df: DataFrame, columns) -> DataFrame:

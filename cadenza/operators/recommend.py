@@ -11,26 +11,30 @@ from cadenza.operators.joins import fan_out
 from cadenza.operators.ordering import keep_first, running, top_per_group, top_rows
 from cadenza.operators.vectors import unit
 from cadenza.operators.vibe import rescaled
+from cadenza.session import write_and_read
 
 # Default score weights.
 SIMILAR_WEIGHTS = (0.7, 0.3)
 HYBRID_WEIGHTS = {"alpha": 0.70, "beta": 0.20, "gamma": 0.10, "candidate_multiplier": 10}
 
 
-def seed_vectors(items: DataFrame, seeds: DataFrame, exclude: bool = True) -> DataFrame:
-    wanted = seeds.select("id").distinct()
+def seed_vectors(items: DataFrame, seeds: DataFrame | None, exclude: bool = True) -> DataFrame:
+    """(qid[, exclude_id], vec) of the seeds found in ``items``; without ``seeds`` every item is one."""
     own = [F.col("id").alias("exclude_id")] if exclude else []
-    return items.join(wanted, "id").select(F.col("id").alias("qid"), *own, "vec")
+    found = items if seeds is None else items.join(seeds.select("id").distinct(), "id", "left_semi")
+    return found.select(F.col("id").alias("qid"), *own, "vec")
 
 
-def similar_by_features(items: DataFrame, seeds: DataFrame, k: int = 10, metric: str = "ip",
+def similar_by_features(items: DataFrame, seeds: DataFrame | None, k: int = 10, metric: str = "ip",
                         pop_scale: float = 100.0) -> DataFrame:
     """Nearest k others by inner product, reordered by 0.7 similarity + 0.3 popularity/100.
 
-    ``items`` is (id, name, artists, popularity, vec).
+    ``items`` is (id, name, artists, popularity, vec). Without ``seeds`` every item is one.
     """
+    items = items.select("id", "name", "artists", "popularity", "vec")
     if metric == "cosine":
         items = items.withColumn("vec", unit(F.col("vec")))
+    items = write_and_read(items, "items")
     near = block_top_k(items, seed_vectors(items, seeds), k, Dot(), carry=("name", "artists", "popularity"))
     ws, wp = SIMILAR_WEIGHTS
     final = F.col("score") * ws + F.col("popularity") / pop_scale * wp
@@ -66,10 +70,10 @@ def _hybrid_scores(pool: DataFrame, k: int, alpha: float, beta: float, gamma: fl
         F.bround("_bonus", 4).alias("diversity_bonus"))
 
 
-def hybrid_by_id(items: DataFrame, seeds: DataFrame, k: int = 10, alpha: float = 0.70, beta: float = 0.20,
+def hybrid_by_id(items: DataFrame, seeds: DataFrame | None, k: int = 10, alpha: float = 0.70, beta: float = 0.20,
                  gamma: float = 0.10, candidate_multiplier: int = 10, carry=("name",)) -> DataFrame:
     """Similarity + popularity + artist diversity. ``items`` is (id, artists, popularity, vec, carry...)."""
-    ready = with_popularity_prior(items)
+    ready = write_and_read(with_popularity_prior(items), "items")
     n = k * candidate_multiplier + 1
     pool = block_top_k(ready, seed_vectors(ready, seeds, exclude=False), n, Dot(),
                        carry=tuple(dict.fromkeys(["artists", "pop_norm", *carry])))
@@ -78,10 +82,16 @@ def hybrid_by_id(items: DataFrame, seeds: DataFrame, k: int = 10, alpha: float =
 
 def hybrid_by_vector(items: DataFrame, queries: DataFrame, k: int = 10, alpha: float = 0.70, beta: float = 0.20,
                      gamma: float = 0.10, candidate_multiplier: int = 10, carry=("name",)) -> DataFrame:
-    """The same for arbitrary vectors (qid, vec[, exclude_id])."""
+    """The same for arbitrary vectors (qid, vec[, exclude_id]); the excluded item is retrieved, then removed."""
     ready = with_popularity_prior(items)
-    pool = block_top_k(ready, queries, k * candidate_multiplier + 1, Dot(),
+    excluded = "exclude_id" in queries.columns
+    if excluded:
+        queries = write_and_read(queries, "asked")
+    pool = block_top_k(ready, queries.drop("exclude_id"), k * candidate_multiplier + 1, Dot(),
                        carry=tuple(dict.fromkeys(["artists", "pop_norm", *carry])))
+    if excluded:
+        unwanted = queries.filter(F.col("exclude_id").isNotNull()).select("qid", F.col("exclude_id").alias("id"))
+        pool = pool.join(unwanted, ["qid", "id"], "left_anti")
     return _hybrid_scores(pool.drop("rank"), k, alpha, beta, gamma)
 
 
@@ -125,7 +135,7 @@ def similar_by_name(items: DataFrame, df: DataFrame, names: DataFrame, k: int =
     Names that share their first row share one search.
     """
     seeds = seeds_by_name(df, names)
-    units = items.withColumn("vec", unit(F.col("vec")))
+    units = write_and_read(items.withColumn("vec", unit(F.col("vec"))), "items")
     near = block_top_k(units, seed_vectors(units, seeds), k, Dot(), carry=tuple(carry))
     shared = fan_out(seeds.withColumnRenamed("id", "seed_id"), near)
     return shared.withColumnRenamed("score", "similarity")

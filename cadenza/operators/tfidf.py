@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cadenza.functions.text import GRAM_SIZES, token_sort, words
 from cadenza.operators.blocks import Sparse, TokenSort, block_top_k
-from cadenza.operators.joins import lookup_join
+from cadenza.operators.joins import lookup_join, salted_join
 from cadenza.session import write_and_read
 
 
@@ -30,9 +30,14 @@ def gram_counts(texts: DataFrame, key: str = "id", text: str = "text") -> DataFr
             .groupBy(key, "gram").agg(F.sum("_n").alias("tf")))
 
 
-def fit_idf(texts: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
+def counted_grams(texts: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
+    """The same, written: for a table whose grams are both fitted and weighed."""
+    return write_and_read(gram_counts(texts, key, text), "gram-counts")
+
+
+def fit_idf(texts: DataFrame, key: str = "id", text: str = "text", grams: DataFrame | None = None) -> DataFrame:
     """The fitted vocabulary (gram, df, idf), written once and read by every later step."""
-    grams = gram_counts(texts, key, text)
+    grams = gram_counts(texts, key, text) if grams is None else grams
     n = texts.agg(F.count("*")).scalar()
     df = grams.groupBy("gram").agg(F.count("*").alias("df"))
     return write_and_read(df.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1.0), "idf")
@@ -40,13 +45,14 @@ def fit_idf(texts: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
 
 def weigh(grams: DataFrame, idf: DataFrame, key: str = "id") -> DataFrame:
     """(key, gram, raw weight); grams outside the vocabulary drop out."""
-    joined = lookup_join(grams, idf.select("gram", "idf"), "gram", "inner", spread=[key])
+    joined = lookup_join(grams, idf.select("gram", "idf"), "gram", "inner", spread=[key], write=False)
     return joined.select(key, "gram", ((1.0 + F.log("tf")) * F.col("idf")).alias("w"))
 
 
-def vectors(texts: DataFrame, idf: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
+def vectors(texts: DataFrame, idf: DataFrame, key: str = "id", text: str = "text",
+            grams: DataFrame | None = None) -> DataFrame:
     """(key, grams, weights): one unit-length sparse row per text that has a known gram."""
-    weighed = weigh(gram_counts(texts, key, text), idf, key)
+    weighed = weigh(gram_counts(texts, key, text) if grams is None else grams, idf, key)
     # a list holds the grams of one text only
     rows = weighed.groupBy(key).agg(F.collect_list(F.struct("gram", "w")).alias("p"),
                                     F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -66,12 +72,22 @@ def tfidf_top_k(items: DataFrame, queries: DataFrame, idf: DataFrame, k: int, ca
     return block_top_k(items, q, k, Sparse(), carry=carry, positive=True, **bounds)
 
 
+def query_gram_join(items: DataFrame, queries: DataFrame, idf: DataFrame) -> DataFrame:
+    """(qid, id, score) of all queries and items that share a gram: postings joined on the gram.
+
+    Products are summed per pair, partly before the shuffle; grams of very many items are salted.
+    """
+    asked = postings(vectors(queries, idf, "qid", "text"), "qid").withColumnRenamed("weight", "asked")
+    met = salted_join(postings(items), asked, "gram", spread=["id"])
+    return met.groupBy("qid", "id").agg(F.sum(F.col("weight") * F.col("asked")).alias("score"))
+
+
 def query_gram_stats(queries: DataFrame, idf: DataFrame) -> DataFrame:
     """Gram equi-join of queries with the fitted vocabulary: how much of a query the catalog knows.
 
     Postings are summed per gram before the join, so a common gram joins one row.
     """
-    joined = lookup_join(gram_counts(queries, "qid", "text"), idf, "gram", "left", spread=["qid"])
+    joined = lookup_join(gram_counts(queries, "qid", "text"), idf, "gram", "left", spread=["qid"], write=False)
     return joined.groupBy("qid").agg(
         F.count("*").alias("n_grams"), F.count("idf").alias("n_known"),
         F.coalesce(F.sum("df"), F.lit(0)).alias("postings"),

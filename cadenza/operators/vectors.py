@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cadenza.operators.blocks import Dot, block_top_k
 from cadenza.operators.clean import EPSILON, attach_row, column_stats
+from cadenza.session import write_and_read
 
 
 def inner_product(a: Column, b: Column) -> Column:
@@ -43,18 +44,18 @@ def feature_table(df: DataFrame, columns, stats: DataFrame | None = None, keep=(
     return attach_row(filled, stats).select(*keep, normalized_vector(columns, F.col("_stats")).alias("vec"))
 
 
-def nearest_items(items: DataFrame, seeds: DataFrame, k: int, metric: str = "ip", **bounds) -> DataFrame:
+def nearest_items(items: DataFrame, seeds: DataFrame | None, k: int, metric: str = "ip", **bounds) -> DataFrame:
     """k best other items for every seed id: (qid, id, score, rank). ``items`` is (id, vec).
 
-    Seeds that are not in the catalog give no rows.
+    Seeds that are not in the catalog give no rows; without ``seeds`` every item is one. Vectors are
+    written once, for the seeds and the scan.
     """
-    if metric == "cosine":
-        items = items.select("id", unit(F.col("vec")).alias("vec"))
-    elif metric != "ip":
+    if metric not in ("ip", "cosine"):
         raise ValueError("metric must be 'ip' or 'cosine'")
-    wanted = seeds.select(F.col("id")).distinct()
-    queries = items.join(wanted, "id").select(
-        F.col("id").alias("qid"), F.col("id").alias("exclude_id"), "vec")
+    vec = unit(F.col("vec")) if metric == "cosine" else F.col("vec")
+    items = write_and_read(items.select("id", vec.alias("vec")), "items")
+    found = items if seeds is None else items.join(seeds.select("id").distinct(), "id", "left_semi")
+    queries = found.select(F.col("id").alias("qid"), F.col("id").alias("exclude_id"), "vec")
     return block_top_k(items, queries, k, Dot(), **bounds)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from cadenza.functions.text import TextBlock, token_sort
+from cadenza.functions.text import TextBlock, strip, token_sort
 from cadenza.operators.blocks import Dot, block_top_k, compared
 from cadenza.operators.clean import EPSILON
 from cadenza.operators.ordering import top_per_group
@@ -79,9 +79,12 @@ def _closest_keyword(texts: pd.Series) -> pd.Series:
 
 def detect_vibe(queries: DataFrame, text: str = "text") -> DataFrame:
     """``vibe`` per query: contained keyword first, else the closest keyword at 80 % or more."""
-    q = F.lower(F.trim(F.col(text)))
+    q = F.lower(strip(F.col(text)))
     found = queries.withColumn("_exact", exact_vibe(q))
-    rest = F.when(F.col("_exact").isNull() & (q != ""), token_sort(q))
+    ordered = token_sort(q)
+    # a ratio needs as many common characters: much longer texts cannot reach the cutoff
+    longest = max(len(word) for word, _ in KEYWORDS) * (200 - FUZZY_CUTOFF) / FUZZY_CUTOFF
+    rest = F.when(F.col("_exact").isNull() & (q != "") & (F.length(ordered) <= longest), ordered)
     return found.withColumn("vibe", F.coalesce("_exact", _closest_keyword(rest))).drop("_exact")
 
 

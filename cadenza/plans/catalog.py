@@ -74,7 +74,7 @@ def profile_report(df: DataFrame, mood: str = "mood_label") -> dict[str, DataFra
     if len(present(df, AUDIO9_EDA)) >= 2:
         out["correlations"] = profile.correlations(df, present(df, AUDIO9_EDA))
     if mood in df.columns and len(mood_features) >= 2:
-        out["boxes"] = profile.box_summary(df, mood_features, mood, MOOD_PLOT_ORDER)
+        out["boxes"] = profile.box_summary(df, mood_features, mood)
     if "id" in df.columns and len(present(df, CLUSTER_FEATURES)) >= 2:
         out["components"], _ = profile.principal_components(df, present(df, CLUSTER_FEATURES), 2, mood)
     return out

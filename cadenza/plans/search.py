@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from cadenza.functions.scalars import is_blank, search_text, track_label, vibe_label
+from cadenza.functions.text import strip
 from cadenza.operators import recommend, tfidf, vibe
 from cadenza.operators.clean import column_stats
 from cadenza.operators.explain import output_rows
-from cadenza.operators.joins import fan_out
+from cadenza.operators.joins import fan_out, lookup_join
 from cadenza.operators.ordering import top_per_group
 from cadenza.operators.vectors import feature_table
 from cadenza.schema import FEATURES9, present
@@ -20,7 +21,6 @@ from cadenza.session import write_and_read
 CONFIDENCE = 0.10
 ENGINE_PLAIN, ENGINE_HYBRID, ENGINE_FALLBACK = "FAISS", "two-tower hybrid", "FAISS fallback"
 TRAITS = ("energy", "danceability", "valence")
-TOP_K_RANGE = (1, 50)
 SHOWN = ("name", "artists", "popularity", "energy", "danceability", "valence")
 
 
@@ -40,13 +40,16 @@ def build_search_index(catalog: DataFrame) -> SearchIndex:
     features = present(catalog, FEATURES9)
     filled = catalog.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
     shown = [c for c in SHOWN if c in catalog.columns]
-    artists = F.col("artists") if "artists" in catalog.columns else None
+    if "artists" not in catalog.columns and "artist_names" in catalog.columns:
+        filled, shown = filled.withColumnRenamed("artist_names", "artists"), list(dict.fromkeys([*shown, "artists"]))
+    artists = F.col("artists") if "artists" in filled.columns else None
     kept = filled.select("id", *dict.fromkeys([*shown, *features]), search_text(F.col("name"), artists).alias("text"))
     base = write_and_read(kept, "catalog")
     stats = write_and_read(column_stats(base, features), "feature-stats")
     items = feature_table(base, features, stats, keep=("id", *shown, "text"))
-    idf = tfidf.fit_idf(items)
-    grams = write_and_read(tfidf.vectors(items, idf).join(items.select("id", *shown), "id"), "grams")
+    counted = tfidf.counted_grams(items)
+    idf = tfidf.fit_idf(items, grams=counted)
+    grams = write_and_read(tfidf.vectors(items, idf, grams=counted).join(items.select("id", *shown), "id"), "grams")
     return SearchIndex(items, grams, idf, stats, features)
 
 
@@ -58,7 +61,7 @@ def search(index: SearchIndex, queries: DataFrame, k: int = 8) -> DataFrame:
     fuzzy match.
     """
     shown = [c for c in SHOWN if c in index.items.columns]
-    asked = queries.select("qid", F.trim("text").alias("text")).filter(~is_blank(F.col("text")))
+    asked = queries.select("qid", strip(F.col("text")).alias("text")).filter(~is_blank(F.col("text")))
     asked = write_and_read(vibe.detect_vibe(asked), "asked")
 
     profiles = vibe.profile_vectors(asked.sparkSession, index.features, index.stats)
@@ -88,7 +91,7 @@ def query_modes(queries: DataFrame, results: DataFrame) -> DataFrame:
     found = results.filter(F.col("rank") == 1).select("qid", "mode", "label")
     return queries.select("qid").join(found, "qid", "left").select(
         "qid", F.coalesce("mode", F.lit("none")).alias("mode"),
-        F.coalesce("label", F.lit("Empty query")).alias("label"))
+        F.when(F.col("mode").isNull(), F.lit("Empty query")).otherwise(F.col("label")).alias("label"))
 
 
 def search_and_recommend(index: SearchIndex, queries: DataFrame, k: int = 8,
@@ -123,8 +126,6 @@ def search_service(index: SearchIndex, queries: DataFrame, k: int = 8, hybrid_it
 
     ``engine_name`` tells which way each query went.
     """
-    if not TOP_K_RANGE[0] <= k <= TOP_K_RANGE[1]:
-        raise ValueError(f"k must be within {TOP_K_RANGE}")
     base = write_and_read(search_and_recommend(index, queries, k), "answers")
     plain = base.withColumn("engine_name", F.lit(ENGINE_PLAIN))
     for c in ("sim_score", "pop_score", "diversity_bonus"):
@@ -150,12 +151,22 @@ def display(answers: DataFrame) -> DataFrame:
     return output_rows(answers, F.col("mode"), F.col("engine_name"), keep=("qid", "mode", "label", "engine_name"))
 
 
+def answered_seeds(index: SearchIndex, answers: DataFrame) -> DataFrame:
+    """(qid, seed_id, seed_name, seed_artist) of the queries that were answered by way of a seed."""
+    columns = index.items.columns
+    named = index.items.select(F.col("id").alias("seed_id"), *[
+        (F.col(c) if c in columns else F.lit(None).cast("string")).alias(new)
+        for c, new in (("name", "seed_name"), ("artists", "seed_artist"))])
+    seeds = answers.filter(F.col("seed_id").isNotNull()).select("qid", "seed_id").distinct()
+    return lookup_join(seeds, named, "seed_id", "inner", spread=["qid"])
+
+
 def recent_searches(history: DataFrame, n: int = 5) -> DataFrame:
     """(user_id, rank, query, ts): the newest n searches per user, each text once ignoring case.
 
     ``history`` is (user_id, ts, seq, query). A repeated text shrinks to one row before ranking.
     """
-    q = F.trim("query")
+    q = strip(F.col("query"))
     given = history.filter(~is_blank(F.col("query")))
     latest = given.groupBy("user_id", F.lower(q).alias("_key")).agg(
         F.max(F.struct("ts", "seq", q.alias("query"))).alias("last"))

@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cadenza.schema import FEATURES9 as FEATURES
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -130,9 +132,6 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("mood_label", mood_rule(df.columns))
 
 
-FEATURES = ["danceability", "energy", "valence", "tempo", "speechiness",
-            "acousticness", "instrumentalness", "liveness", "popularity"]
-
 # tracks with missing features as 0, and their statistics
 FILLED = TRACKS + """,
 filled AS (SELECT id, name, artists, """ + ", ".join(f"coalesce({c}, 0e0) AS {c}" for c in FEATURES) + """ FROM tracks),
@@ -292,7 +291,15 @@ searches AS (
   SELECT 'by: ' || name, name || ' ' || artists FROM (SELECT name, max(artists) AS artists FROM tracks GROUP BY name)
   UNION ALL
   SELECT 'phrase: ' || column0, column0 FROM (VALUES """ + ", ".join(f"('{p}')" for p in PHRASES) + """) AS t(column0)
-  UNION ALL SELECT 'blank', '   ')"""
+  UNION ALL SELECT 'blank', '   ' UNION ALL SELECT 'tab', chr(9) UNION ALL SELECT 'lines', chr(10) || ' ' || chr(13) || chr(10)
+  UNION ALL SELECT 'spaced phrase', chr(9) || 'chill night drive' || chr(10))"""
+
+# SQL text without white space at both ends
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def stripped(text: str) -> str:
+    return f"trim({text}, {BLANKS})"
 
 
 def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,6 +307,6 @@ def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     alone = names.select(F.concat(F.lit("name: "), "name").alias("qid"), F.col("name").alias("text"))
     both = names.select(F.concat(F.lit("by: "), "name").alias("qid"),
                         F.concat_ws(" ", "name", "artists").alias("text"))
-    phrases = spark.createDataFrame([(f"phrase: {p}", p) for p in PHRASES] + [("blank", "   ")],
-                                    "qid string, text string")
+    odd = [("blank", "   "), ("tab", "\t"), ("lines", "\n \r\n"), ("spaced phrase", "\tchill night drive\n")]
+    phrases = spark.createDataFrame([(f"phrase: {p}", p) for p in PHRASES] + odd, "qid string, text string")
     return alone.unionByName(both).unionByName(phrases)

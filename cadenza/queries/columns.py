@@ -83,19 +83,27 @@ def p09(spark, sf):
     return rounded(df.select("id", *schema.evaluation_features(df)))
 
 
-TYPE_WORDS = "(SELECT lower(p_type) AS g, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, g LIMIT 20)"
-TYPES = ["economy", "large", "medium", "promo", "small", "standard"]
+# the catalog's most frequent genres, as the indicator columns are found
+TYPES = """entries AS (SELECT trim(unnest(string_split(primary_genre, ';'))) AS genre FROM tracks WHERE primary_genre NOT IN ('', 'Unknown')),
+types AS (SELECT genre, 'genre_' || replace(lower(genre), ' ', '_') AS feature, row_number() OVER (ORDER BY n DESC, genre) AS place
+  FROM (SELECT genre, count(*) AS n FROM entries GROUP BY genre) QUALIFY place <= 20)"""
+HOT = "SELECT id, feature, CAST(contains(primary_genre, lower(genre)) AS DOUBLE) AS value FROM tracks, types"
 
 
-@query("p10_training_features", "WITH " + TRACKS + """
-SELECT id, """ + ", ".join(f"{R(c)} AS {c}" for c in FEATURES) + ", " + ", ".join(
-    f"CAST(contains(primary_genre, '{g}') AS BIGINT) AS genre_{g}" for g in TYPES) + """,
- CAST(substr(release_date, 1, 4) AS BIGINT) AS release_year FROM tracks""")
+def one_per_feature(df, columns):
+    """(id, feature, value): columns that follow from the data, as rows."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
+    return rounded(df.select("id", F.explode(pairs).alias("p")).select("id", "p.*"))
+
+
+@query("p10_training_features", "WITH " + TRACKS + ", " + TYPES + " " + " UNION ALL ".join(
+    f"SELECT id, '{c}' AS feature, {R(c)} AS value FROM tracks" for c in FEATURES) + f"""
+UNION ALL {HOT}
+UNION ALL SELECT id, 'release_year', CAST(substr(release_date, 1, 4) AS DOUBLE) FROM tracks""")
 def p10(spark, sf):
     from cadenza.functions.scalars import release_year
-    df = genres.multi_hot(tracks(spark, sf), "primary_genre", genres=TYPES).withColumn(
-        "release_year", release_year(F.col("release_date")))
-    return rounded(df.select("id", *schema.training_features(df)))
+    df = genres.multi_hot(tracks(spark, sf), "primary_genre").withColumn("release_year", release_year(F.col("release_date")))
+    return one_per_feature(df, schema.training_features(df))
 
 
 @query("p11_profile_column", "WITH " + LABELLED + """
@@ -115,12 +123,13 @@ def with_artist_popularity(df):
     return lookup_join(df, df.groupBy("artists").agg(F.count("*").cast("double").alias("artist_popularity")), "artists")
 
 
-@query("p12_similarity_features", "WITH " + TRACKS + ", " + BRAND_POP + """
-SELECT id, """ + ", ".join(f"CAST(contains(primary_genre, '{g}') AS BIGINT) AS genre_{g}" for g in TYPES) + f""",
- {R('artist_popularity')} AS artist_popularity, {R('popularity')} AS popularity FROM tracks JOIN brand_pop USING (artists)""")
+@query("p12_similarity_features", "WITH " + TRACKS + ", " + BRAND_POP + ", " + TYPES + f"""
+{HOT}
+UNION ALL SELECT id, 'artist_popularity', artist_popularity FROM tracks JOIN brand_pop USING (artists)
+UNION ALL SELECT id, 'popularity', {R('popularity')} FROM tracks""")
 def p12(spark, sf):
-    df = genres.multi_hot(with_artist_popularity(tracks(spark, sf)), "primary_genre", genres=TYPES).drop("primary_genre", "all_genres")
-    return rounded(df.select("id", *schema.similarity_features(df)))
+    df = genres.multi_hot(with_artist_popularity(tracks(spark, sf)), "primary_genre").drop("primary_genre", "all_genres")
+    return one_per_feature(df, schema.similarity_features(df))
 
 
 @query("p13_pack_vector", "WITH " + TRACKS + "SELECT id, " + R(" + ".join(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import scalars as x
 from cadenza.operators import clean, ingest, recommend
 from cadenza.queries.base import (
-    LABELLED, NESTED, R, SEARCHES, TRACKS, labelled, nested_entries, query, r6, rounded, searches, table,
+    LABELLED, NESTED, R, SEARCHES, TRACKS, labelled, nested_entries, query, r6, rounded, searches, stripped, table,
     tracks,
 )
 from cadenza.schema import MOOD_PLOT_ORDER
@@ -69,6 +69,6 @@ def f09(spark, sf):
     return tracks(spark, sf).select("id", r6(x.finite_or_zero(ratio)).alias("ratio"))
 
 
-@query("f10_blank_query", "WITH " + SEARCHES + "SELECT qid, trim(text) = '' AS is_blank FROM searches")
+@query("f10_blank_query", "WITH " + SEARCHES + f"SELECT qid, {stripped('text')} = '' AS is_blank FROM searches")
 def f10(spark, sf):
     return searches(spark, sf).select("qid", x.is_blank(F.col("text")).alias("is_blank"))

@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from cadenza.operators import ingest, learning as ml
 from cadenza.plans import catalog
-from cadenza.queries.aggregates import box_sql, corr_sql, each, hist_sql
+from cadenza.queries.aggregates import DESCRIBE, box_sql, corr_sql, each, hist_sql
 from cadenza.queries.base import (
     ARTISTS, AUDIO, FEATURES, FILLED, LABELLED, MOOD_CASE, NESTED, R, REPEATED, TRACKS, artists, audio,
     labelled, nested_pages, query, repeated, rounded, tracks,
 )
 from cadenza.queries.learning import examples_sql, network_sql
 from cadenza.queries.scaling import SCALED
-from cadenza.schema import AUDIO9_EDA, MOOD_FEATURES
+from cadenza.queries.vectors import components_sql, elements
+from cadenza.schema import AUDIO9_EDA, CLUSTER_FEATURES, MOOD_FEATURES
 from cadenza.session import scratch_path
 from cadenza.sources import readers, writers
 
@@ -119,27 +120,48 @@ def k03(spark, sf):
 EDA = [c for c in AUDIO9_EDA if c != "loudness"]
 
 
-@query("k04_profile_report", "WITH " + LABELLED + ", h AS (WITH " + hist_sql(["valence"], 50, "labelled") + "), b AS (" + box_sql(MOOD_FEATURES, "mood_label", "labelled") + f""")
-SELECT 'moods' AS section, mood_label AS item, CAST(count(*) AS DOUBLE) AS value FROM labelled GROUP BY 2
-UNION ALL SELECT 'describe', feature || '.std', std FROM ({each(f"SELECT '{{c}}' AS feature, {R('stddev_samp({c})')} AS std FROM labelled", MOOD_FEATURES)})
-UNION ALL SELECT 'describe', feature || '.p50', p FROM ({each(f"SELECT '{{c}}' AS feature, {R('median({c})')} AS p FROM labelled", MOOD_FEATURES)})
-UNION ALL SELECT 'valence_histogram', CAST(bin AS VARCHAR), CAST(n AS DOUBLE) FROM h
-UNION ALL SELECT 'correlations', feature_a || '|' || feature_b, r FROM ({corr_sql(EDA, 'labelled')})
-UNION ALL SELECT 'boxes', mood_label || '.' || feature, whisker_high FROM b""")
+def present_clusters():
+    return [c for c in CLUSTER_FEATURES if c != "loudness"]
+
+
+
+DESCRIBED = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+BOXED = ["n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers"]
+BINNED = ["bin_start", "bin_end", "n", "mean"]
+
+
+def _long_sql(section, item, columns, source):
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, {item} || '.{c}' AS item, {R(c)} AS value FROM {source}" for c in columns)
+
+
+@query("k04_profile_report", "WITH RECURSIVE " + LABELLED + ", h AS (WITH " + hist_sql(["valence"], 50, "labelled")
+       + "), b AS (" + box_sql(MOOD_FEATURES, "mood_label", "labelled")
+       + "), d AS (" + each(DESCRIBE.replace("tracks", "labelled"), MOOD_FEATURES)
+       + f"), v AS (SELECT mood_label, count(*) AS n, 100e0 * count(*) / (SELECT count(*) FROM labelled) AS pct FROM labelled GROUP BY mood_label"
+       + f"), r AS ({corr_sql(EDA, 'labelled')}), pc AS (WITH RECURSIVE " + components_sql(present_clusters()) + ") "
+       + " UNION ALL ".join([
+           _long_sql("moods", "mood_label", ["n", "pct"], "v"), _long_sql("describe", "feature", DESCRIBED, "d"),
+           _long_sql("valence_histogram", "CAST(bin AS VARCHAR)", BINNED, "h"),
+           _long_sql("correlations", "feature_a || '|' || feature_b", ["r"], "r"),
+           _long_sql("boxes", "mood_label || '.' || feature", BOXED, "b"),
+           _long_sql("components", "id || '.' || mood_label", ["pc1", "pc2"], "pc")]))
 def k04(spark, sf):
-    t = catalog.profile_report(labelled(spark, sf).drop("id"))
+    t = catalog.profile_report(labelled(spark, sf))
 
-    def part(name, item, value):
-        return t[name].select(F.lit(name).alias("section"), item.alias("item"), value.cast("double").alias("value"))
+    def part(name, item, columns):
+        values = F.array(*[F.struct(F.concat(item, F.lit(f".{c}")).alias("item"), F.col(c).cast("double").alias("value"))
+                           for c in columns])
+        return t[name].select(F.lit(name).alias("section"), F.explode(values).alias("v")).select("section", "v.*")
 
     c = F.col
     parts = [
-        part("moods", c("mood_label"), c("n")),
-        part("describe", F.concat("feature", F.lit(".std")), c("std")),
-        part("describe", F.concat("feature", F.lit(".p50")), c("p50")),
-        part("valence_histogram", c("bin").cast("string"), c("n")),
-        part("correlations", F.concat_ws("|", "feature_a", "feature_b"), c("r")),
-        part("boxes", F.concat_ws(".", "mood_label", "feature"), c("whisker_high")),
+        part("moods", c("mood_label"), ["n", "pct"]),
+        part("describe", c("feature"), DESCRIBED),
+        part("valence_histogram", c("bin").cast("string"), BINNED),
+        part("correlations", F.concat_ws("|", "feature_a", "feature_b"), ["r"]),
+        part("boxes", F.concat_ws(".", "mood_label", "feature"), BOXED),
+        part("components", F.concat_ws(".", "id", "mood_label"), ["pc1", "pc2"]),
     ]
     return rounded(ingest.union_tables(parts))
 
@@ -153,20 +175,21 @@ def k05(spark, sf):
 
 
 @query("k07_build_learned_table", "WITH " + TRACKS + ", " + network_sql() + f"""
-SELECT id, any_value(name) AS name, count(*) AS size, {R('max(CASE WHEN i = 0 THEN v END)')} AS first FROM out JOIN tracks USING (id) GROUP BY id""")
+SELECT id, name, i AS place, {R('v')} AS value FROM out JOIN tracks USING (id)""")
 def k07(spark, sf):
     path = scratch_path(spark, "learned")
     catalog.build_learned_tables(tracks(spark, sf).select("id", "name", "artists", *FEATURES), ml.demo_layers(9, 64), path)
     got = readers.index_items(readers.load_index(spark, path))
-    return rounded(got.select("id", "name", F.size("vec").alias("size"), F.col("vec")[0].alias("first")))
+    return elements(got, "vec", ("id", "name"))
 
 
 @query("k08_build_profile_examples", "WITH " + LABELLED + ", " + examples_sql("mood_label") + f"""
-SELECT id, profile, {R('item_vec[1]')} AS item_0, {R('user_vec[1]')} AS user_0, {R('user_vec[9]')} AS user_8 FROM ex""")
+SELECT id, profile, place, {R('item')} AS item, {R('usr')} AS user_value FROM (
+  SELECT id, profile, unnest(range(9)) AS place, unnest(item_vec) AS item, unnest(user_vec) AS usr FROM ex)""")
 def k08(spark, sf):
     examples, _, _ = catalog.build_profile_examples(labelled(spark, sf))
-    return rounded(examples.select("id", "profile", F.col("item_vec")[0].alias("item_0"), F.col("user_vec")[0].alias("user_0"),
-                                   F.col("user_vec")[8].alias("user_8")))
+    both = examples.select("id", "profile", F.posexplode(F.arrays_zip("item_vec", "user_vec")).alias("place", "v"))
+    return rounded(both.select("id", "profile", "place", F.col("v.item_vec").alias("item"), F.col("v.user_vec").alias("user_value")))
 
 
 @query("k08_summary", "WITH " + LABELLED + "SELECT count(*) AS n_rows, count(DISTINCT mood_label) AS n_profiles, 9 AS n_features, 'mood_label' AS profile_column FROM labelled")

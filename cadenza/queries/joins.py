@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from cadenza.functions.text import strip
 from cadenza.operators import ingest, joins, tfidf, vibe
 from cadenza.operators.blocks import Dot, block_top_k
+from cadenza.operators.ordering import keep_first
 from cadenza.queries.base import (
     ARTISTS, AUDIO, FILLED, LABELLED, NESTED, R, SEARCHES, TRACKS, artists, audio, feature_items, labelled,
-    nested_entries, query, rounded, searches, table, tracks,
+    nested_entries, query, rounded, searches, stripped, table, tracks,
 )
 
 AUDIO8 = ["danceability", "energy", "valence", "tempo", "speechiness", "acousticness", "instrumentalness", "liveness"]
@@ -26,7 +28,7 @@ def j01(spark, sf):
 
 
 @query("j02_join_artists", "WITH " + NESTED + ", " + ARTISTS + """,
-own AS (SELECT * FROM flat WHERE playlist_id <> 'FAVOURITES'),
+own AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY playlist_id, page_no, pos) AS rn FROM flat) WHERE rn = 1),
 ex AS (SELECT track_id, unnest(artist_ids) AS artist_id, generate_subscripts(artist_ids, 1) AS pos FROM own),
 j AS (SELECT ex.*, primary_genre, all_genres, artist_followers, artist_popularity FROM ex LEFT JOIN artist_cols USING (artist_id)),
 g AS (SELECT track_id, max(artist_followers) AS artist_followers, max(artist_popularity) AS artist_popularity,
@@ -37,7 +39,7 @@ SELECT own.track_id, name, CAST(popularity AS BIGINT) AS popularity, album, coal
   artist_followers, artist_popularity
 FROM own LEFT JOIN g USING (track_id)""")
 def j02(spark, sf):
-    own = _flat(spark, sf).filter("playlist_id <> 'FAVOURITES'").drop("playlist_id")
+    own = keep_first(_flat(spark, sf), "track_id", "playlist_id").drop("playlist_id")
     got = ingest.join_artists(own, artists(spark, sf))
     return rounded(got.select("track_id", "name", "popularity", "album", "primary_genre", "all_genres",
                               "artist_followers", "artist_popularity"))
@@ -57,9 +59,9 @@ KEYWORD_ROWS = "keywords AS (SELECT * FROM (VALUES " + ", ".join(
 
 
 @query("j04_query_contains_keyword", "WITH " + SEARCHES + ", " + KEYWORD_ROWS + """
-SELECT qid, arg_min(vibe, pos) AS vibe FROM searches LEFT JOIN keywords ON contains(lower(trim(text)), word) GROUP BY qid""")
+SELECT qid, arg_min(vibe, pos) AS vibe FROM searches LEFT JOIN keywords ON contains(lower(""" + stripped("text") + """), word) GROUP BY qid""")
 def j04(spark, sf):
-    return searches(spark, sf).select("qid", vibe.exact_vibe(F.lower(F.trim("text"))).alias("vibe"))
+    return searches(spark, sf).select("qid", vibe.exact_vibe(F.lower(strip(F.col("text")))).alias("vibe"))
 
 
 @query("j04_documents_contain_keyword", "WITH " + KEYWORD_ROWS + """
@@ -102,7 +104,7 @@ SELECT k AS qid, count(*) AS n_grams, count(idf) AS n_known, CAST(coalesce(sum(d
   {R('sum((1 + ln(tf)) * idf)')} AS raw_weight FROM qg LEFT JOIN idf USING (gram) GROUP BY k"""
 
 
-@query("j08_query_gram_join", _gram_stats_sql())
+@query("j08_query_gram_stats", _gram_stats_sql())
 def j08(spark, sf):
     from cadenza.functions.scalars import search_text
     texts = tracks(spark, sf).select("id", search_text(F.col("name"), F.col("artists")).alias("text"))

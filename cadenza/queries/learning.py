@@ -9,6 +9,7 @@ from cadenza.plans.catalog import build_learned_tables
 from cadenza.queries.base import (
     FEATURES, FILLED, LABELLED, R, TRACKS, feature_items, labelled, query, rounded, table, tracks,
 )
+from cadenza.queries.vectors import elements
 
 
 def examples_sql(profile):
@@ -93,12 +94,13 @@ def m05(spark, sf):
     return rounded(ml.retrieval_loss(ml.training_batches(ex, 256)))
 
 
-def network_sql(sizes=(9, 256, 128, 64)):
+def network_sql(sizes=(9, 256, 128, 64), activation="elu"):
     """out(id, j, v): the demo network as joins with its weights, before scaling to length 1."""
     steps = [f"""x0 AS (SELECT id, unnest(range(9)) AS i, unnest([{', '.join(f'coalesce({c}, 0e0)' for c in FEATURES)}]) AS v FROM tracks)"""]
     for n, (rows, cols) in enumerate(zip(sizes, sizes[1:])):
         hidden = n < len(sizes) - 2
-        value = "CASE WHEN v > 0 THEN v ELSE exp(v) - 1 END / sqrt(1e0 + 1e-3)" if hidden else "v"
+        below = "exp(v) - 1" if activation == "elu" else "0e0"
+        value = f"CASE WHEN v > 0 THEN v ELSE {below} END / sqrt(1e0 + 1e-3)" if hidden else "v"
         steps.append(f"""w{n} AS (SELECT i, j, sin(CAST(i * {cols} + j + {n} AS DOUBLE)) / sqrt({rows}e0) AS w FROM range({rows}) AS a(i), range({cols}) AS b(j)),
 x{n + 1} AS (SELECT id, i, {value} AS v FROM (
   SELECT id, j AS i, sum(v * w) + cos(CAST(j AS DOUBLE)) / 10e0 AS v FROM x{n} JOIN w{n} USING (i) GROUP BY id, j))""")
@@ -107,11 +109,16 @@ out AS (SELECT id, i, v / n AS v FROM x{len(sizes) - 1} JOIN length USING (id))"
 
 
 @query("m06_embed_items", "WITH " + TRACKS + ", " + network_sql() + f"""
-SELECT id, count(*) AS size, {R('sum(v * v)')} AS length, {R('max(CASE WHEN i = 0 THEN v END)')} AS first FROM out GROUP BY id""")
+SELECT id, i AS place, {R('v')} AS value FROM out""")
 def m06(spark, sf):
     got = build_learned_tables(tracks(spark, sf), ml.demo_layers(9, 64))
-    length = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
-    return rounded(got.select("id", F.size("vec").alias("size"), length.alias("length"), F.col("vec")[0].alias("first")))
+    return elements(got, "vec")
+
+
+@query("m06_embed_items_relu", "WITH " + TRACKS + ", " + network_sql(activation="relu") + f"SELECT id, i AS place, {R('v')} AS value FROM out")
+def m06_relu(spark, sf):
+    layers = ml.read_layers(ml.layers_table(spark, ml.demo_layers(9, 64, activation="relu")))
+    return elements(build_learned_tables(tracks(spark, sf), layers), "vec")
 
 
 @query("m07_popularity_prior", f"""

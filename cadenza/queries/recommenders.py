@@ -25,13 +25,13 @@ SELECT qid, id, name, artists, {R('popularity')} AS popularity, {R('sim')} AS si
 @query("r01_similar_by_features", "WITH " + FILLED + ", " + similar_sql(IP))
 def r01(spark, sf):
     items = feature_items(spark, sf)
-    return rounded(rec.similar_by_features(items, items.select("id"), 10))
+    return rounded(rec.similar_by_features(items, None, 10))
 
 
 @query("r01_similar_by_features_cosine", "WITH " + FILLED + ", " + similar_sql(COS, k=5))
 def r01_cosine(spark, sf):
     items = feature_items(spark, sf)
-    return rounded(rec.similar_by_features(items, items.select("id"), 5, metric="cosine"))
+    return rounded(rec.similar_by_features(items, None, 5, metric="cosine"))
 
 
 HYBRID_OUT = f"""SELECT qid, id, rank, {R('final_score')} AS final_score, {R('sim_score')} AS sim_score,
@@ -42,20 +42,20 @@ HYBRID_COLUMNS = ["qid", "id", "rank", "final_score", "sim_score", "pop_score",
 @query("r02_hybrid_by_id", "WITH " + LEARNED + ", " + hybrid_sql("learned", "learned", 10) + HYBRID_OUT)
 def r02(spark, sf):
     items = learned(spark, sf)
-    return rounded(rec.hybrid_by_id(items, items.select("id"), 10).select(*HYBRID_COLUMNS))
+    return rounded(rec.hybrid_by_id(items, None, 10).select(*HYBRID_COLUMNS))
 
 
 @query("r02_hybrid_weights", "WITH " + LEARNED + ", " + hybrid_sql("learned", "learned", 5, "0.5e0", "0.3e0", "0.2e0") + HYBRID_OUT)
 def r02_weights(spark, sf):
     items = learned(spark, sf)
-    return rounded(rec.hybrid_by_id(items, items.select("id"), 5, 0.5, 0.3, 0.2).select(*HYBRID_COLUMNS))
+    return rounded(rec.hybrid_by_id(items, None, 5, 0.5, 0.3, 0.2).select(*HYBRID_COLUMNS))
 
 
 @query("r03_hybrid_by_vector", "WITH " + LEARNED + ", asked AS (SELECT 'q' || id AS id, list_reverse(vec) AS vec FROM learned), "
-       + hybrid_sql("learned", "asked", 5) + HYBRID_OUT)
+       + hybrid_sql("learned", "asked", 5, own="'q' || id") + HYBRID_OUT)
 def r03(spark, sf):
     items = learned(spark, sf)
-    asked = items.select(F.concat(F.lit("q"), "id").alias("qid"), F.reverse("vec").alias("vec"))
+    asked = items.select(F.concat(F.lit("q"), "id").alias("qid"), F.col("id").alias("exclude_id"), F.reverse("vec").alias("vec"))
     return rounded(rec.hybrid_by_vector(items, asked, 5).select(*HYBRID_COLUMNS))
 
 
@@ -97,16 +97,17 @@ def r05_rows(spark, sf):
     return rounded(explain.output_rows(ranked, F.lit("vibe"), F.lit("Mood Popularity")).drop("reasons"))
 
 
-@query("r06_similar_by_name", "WITH " + TRACKS + ", " + BRAND_POP + ", items AS (SELECT id, ingest_seq, name, [" + ", ".join(
-    f"CAST(contains(primary_genre, '{g}') AS DOUBLE)" for g in TYPES) + f""", artist_popularity, popularity] AS vec
-  FROM tracks JOIN brand_pop USING (artists)),
+@query("r06_similar_by_name", "WITH " + TRACKS + ", " + BRAND_POP + ", " + TYPES + f""",
+hot AS (SELECT id, list(CAST(contains(primary_genre, lower(genre)) AS DOUBLE) ORDER BY place) AS flags FROM tracks, types GROUP BY id),
+items AS (SELECT id, ingest_seq, name, list_concat(flags, [artist_popularity, popularity]) AS vec
+  FROM tracks JOIN brand_pop USING (artists) JOIN hot USING (id)),
 seeds AS (SELECT lower(name) AS query_name, arg_min(id, ingest_seq) AS qid FROM tracks GROUP BY 1),
 scored AS (SELECT query_name, q.id AS seed_id, i.id, i.name, {COS} AS sim FROM seeds s JOIN items q ON q.id = s.qid JOIN items i ON i.id <> q.id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_name ORDER BY round(sim, 9) DESC, id) AS rank FROM scored)
 SELECT query_name, seed_id, id, name, {R('sim')} AS similarity, rank FROM ranked WHERE rank <= 10""")
 def r06(spark, sf):
     df = with_artist_popularity(tracks(spark, sf))
-    hot = genres.multi_hot(df, "primary_genre", genres=TYPES).drop("primary_genre", "all_genres")
+    hot = genres.multi_hot(df, "primary_genre").drop("primary_genre", "all_genres")
     items = hot.select("id", "name", feature_vector(similarity_features(hot)).alias("vec"))
     names = df.select(F.lower("name").alias("name"))
     return rounded(rec.similar_by_name(items, df, names, 10))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import scalars as x
 from cadenza.operators import clean, genres
 from cadenza.queries.base import (
-    FILLED, LABELLED, R, SEARCHES, TRACKS, big, feature_items, labelled, query, rounded, searches, table,
+    FILLED, LABELLED, R, SEARCHES, TRACKS, big, feature_items, labelled, query, rounded, searches, stripped, table,
     tracks,
 )
 from cadenza.schema import MOODS
@@ -61,17 +61,23 @@ top AS (SELECT genre, count(*) AS n FROM tokens GROUP BY 1 ORDER BY n DESC, 1 LI
 SELECT id, 'genre_' || replace(lower(genre), ' ', '_') AS column_name, CAST(contains(lower(all_genres), lower(genre)) AS BIGINT) AS hot
 FROM tracks, top""")
 def x06(spark, sf):
-    df = genres.multi_hot(tracks(spark, sf))
+    return _hot_rows(genres.multi_hot(tracks(spark, sf)))
+
+
+def _hot_rows(df):
     hot = [c for c in df.columns if c.startswith("genre_")]
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("hot")) for c in hot])
     return rounded(df.select("id", F.explode(pairs).alias("p")).select("id", "p.*"))
 
 
-@query("x06_multi_hot_tokens", "WITH " + TRACKS + """
-SELECT id, CAST(list_contains(string_split(all_genres, '; '), 'ring') AS BIGINT) AS genre_ring,
-  CAST(list_contains(string_split(all_genres, '; '), 'red') AS BIGINT) AS genre_red FROM tracks""")
+@query("x06_multi_hot_tokens", "WITH " + TRACKS + """,
+tokens AS (SELECT trim(unnest(string_split(all_genres, ';'))) AS genre FROM tracks),
+top AS (SELECT genre, count(*) AS n FROM tokens GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20)
+SELECT id, 'genre_' || replace(lower(genre), ' ', '_') AS column_name,
+  CAST(list_contains(list_transform(string_split(lower(all_genres), ';'), lambda g: trim(g)), lower(genre)) AS BIGINT) AS hot
+FROM tracks, top""")
 def x06_tokens(spark, sf):
-    return rounded(genres.multi_hot(tracks(spark, sf), match="token", genres=["ring", "red"]).select("id", "genre_ring", "genre_red"))
+    return _hot_rows(genres.multi_hot(tracks(spark, sf), match="token"))
 
 
 @query("x07_search_text", "SELECT p_partkey, lower(coalesce(CASE WHEN p_size = 50 THEN NULL ELSE p_name END, '') || ' ' || coalesce(CASE WHEN p_size < 3 THEN NULL ELSE p_brand END, '')) AS text FROM part")
@@ -114,12 +120,12 @@ THEME = "CASE " + " ".join(
     f"WHEN regexp_matches(q, '{'|'.join(w)}') THEN '{t}'" for t, w in x.THEME_WORDS.items()) + " ELSE 'chill' END"
 
 
-@query("x11_query_theme", "WITH " + SEARCHES + f"SELECT qid, {THEME} AS theme FROM (SELECT qid, lower(trim(text)) AS q FROM searches)")
+@query("x11_query_theme", "WITH " + SEARCHES + f"SELECT qid, {THEME} AS theme FROM (SELECT qid, lower({stripped('text')}) AS q FROM searches)")
 def x11(spark, sf):
     return searches(spark, sf).select("qid", x.query_theme(F.col("text")).alias("theme"))
 
 
-@query("x11_document_theme", f"SELECT doc_id, {THEME} AS theme FROM (SELECT doc_id, lower(trim(text)) AS q FROM documents)")
+@query("x11_document_theme", f"SELECT doc_id, {THEME} AS theme FROM (SELECT doc_id, lower({stripped('text')}) AS q FROM documents)")
 def x11_documents(spark, sf):
     return table(spark, sf, "documents").select("doc_id", x.query_theme(F.col("text")).alias("theme"))
 
@@ -149,7 +155,7 @@ TITLE = "array_to_string(list_transform(regexp_extract_all({t}, '[A-Za-z]+|[^A-Z
 
 
 @query("x13_labels", "WITH " + SEARCHES + f"""
-SELECT qid, 'Vibe: *' || {TITLE.format(t='trim(text)')} || '*' AS vibe_label, '**' || qid || '** by ' || text AS track_label FROM searches""")
+SELECT qid, 'Vibe: *' || {TITLE.format(t=stripped('text'))} || '*' AS vibe_label, '**' || qid || '** by ' || text AS track_label FROM searches""")
 def x13(spark, sf):
     return searches(spark, sf).select("qid", x.vibe_label(F.col("text")).alias("vibe_label"),
                                       x.track_label(F.col("qid"), F.col("text")).alias("track_label"))

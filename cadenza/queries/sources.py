@@ -8,6 +8,7 @@ from cadenza.plans.catalog import build_vector_tables
 from cadenza.queries.base import (
     FEATURES, FILLED, NESTED, R, TRACKS, labelled, nested_pages, query, rounded, table, tracks,
 )
+from cadenza.queries.vectors import elements
 from cadenza.session import scratch_path
 from cadenza.sources import readers, writers
 
@@ -79,14 +80,14 @@ def s07(spark, sf):
 
 
 @query("s08_save_vector_tables", "WITH " + FILLED + """
-SELECT id, name, """ + R("popularity") + """ AS popularity, """ + R("vec[1]") + """ AS v1, """ + R("vec[9]") + """ AS v9
-FROM items""")
+SELECT id, name, """ + R("popularity") + """ AS popularity, place, """ + R("x") + """ AS value
+FROM (SELECT id, name, popularity, unnest(range(9)) AS place, unnest(vec) AS x FROM items)""")
 def s08(spark, sf):
     path = scratch_path(spark, "index")
     df = tracks(spark, sf).fillna(0.0, subset=FEATURES).select("id", "name", *FEATURES)
     build_vector_tables(df, path)
     got = readers.index_items(readers.load_index(spark, path))
-    return rounded(got.select("id", "name", "popularity", F.col("vec")[0].alias("v1"), F.col("vec")[8].alias("v9")))
+    return elements(got, "vec", ("id", "name", "popularity"))
 
 
 @query("s08_feature_stats", "WITH " + FILLED + " UNION ALL ".join(
@@ -97,12 +98,20 @@ def s08_stats(spark, sf):
     return rounded(stats_by_feature(readers.load_index(spark, path)["feature_stats"], FEATURES))
 
 
-@query("s09_load_with_fallback", "WITH " + FILLED + "SELECT id, 'raw' AS kind, " + R("vec[2]") + " AS v2 FROM items")
+@query("s09_load_with_fallback", "WITH " + FILLED + "SELECT id, 'raw' AS kind, place, " + R("x") + " AS value FROM (SELECT id, unnest(range(9)) AS place, unnest(vec) AS x FROM items)")
 def s09(spark, sf):
     path = scratch_path(spark, "index")
     build_vector_tables(tracks(spark, sf).select("id", *FEATURES), path)
     tables, kind = readers.load_index_or_fallback(spark, scratch_path(spark, "missing"), path)
-    return rounded(tables["vectors"].select("id", F.lit(kind).alias("kind"), F.col("vec")[1].alias("v2")))
+    return elements(tables["vectors"].withColumn("kind", F.lit(kind)), "vec", ("id", "kind"))
+
+
+@query("s09_load_learned", "WITH " + FILLED + "SELECT id, 'learned' AS kind, place, " + R("x") + " AS value FROM (SELECT id, unnest(range(9)) AS place, unnest(vec) AS x FROM items)")
+def s09_learned(spark, sf):
+    path = scratch_path(spark, "index")
+    build_vector_tables(tracks(spark, sf).select("id", *FEATURES), path)
+    tables, kind = readers.load_index_or_fallback(spark, path, scratch_path(spark, "missing"))
+    return elements(tables["vectors"].withColumn("kind", F.lit(kind)), "vec", ("id", "kind"))
 
 
 def _metrics_sql():

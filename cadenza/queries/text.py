@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalars import search_text
-from cadenza.functions.text import token_sort_ratio
+from cadenza.functions.text import strip, token_sort_ratio
 from cadenza.operators import tfidf, vibe
 from cadenza.operators.clean import column_stats
 from cadenza.plans import search as plan
 from cadenza.queries.base import (
-    FEATURES, FILLED, LEARNED, PHRASES, R, SEARCHES, TRACKS, feature_items, learned, query, rounded, searches, table, tracks,
+    FEATURES, FILLED, LEARNED, PHRASES, R, SEARCHES, TRACKS, feature_items, learned, query, rounded, searches,
+    stripped, table, tracks,
 )
 from cadenza.queries.joins import KEYWORD_ROWS
 from cadenza.queries.scalars import TITLE
@@ -40,6 +41,13 @@ qr AS (SELECT k, gram, (1 + ln(tf)) * idf AS w FROM qg JOIN idf USING (gram)),
 qw AS (SELECT k, gram, w / sqrt(sum(w * w) OVER (PARTITION BY k)) AS w FROM qr)"""
 
 
+def _fitted(texts):
+    """(vectors, vocabulary) of (id, text); the grams are counted once for both."""
+    grams = tfidf.counted_grams(texts)
+    idf = tfidf.fit_idf(texts, grams=grams)
+    return tfidf.vectors(texts, idf, grams=grams), idf
+
+
 def _corpus(spark, sf):
     return tracks(spark, sf).select("id", search_text(F.col("name"), F.col("artists")).alias("text"))
 
@@ -63,15 +71,14 @@ def q02_idf(spark, sf):
 
 @query("q02_tfidf_weights", "WITH " + TRACKS + ", " + CORPUS + ", " + fit_sql() + f"SELECT k AS id, gram, {R('w')} AS weight FROM dw")
 def q02(spark, sf):
-    texts = _corpus(spark, sf)
-    return rounded(tfidf.postings(tfidf.vectors(texts, tfidf.fit_idf(texts))))
+    return rounded(tfidf.postings(_fitted(_corpus(spark, sf))[0]))
 
 
 @query("q02_tfidf_documents", "WITH " + fit_sql("documents", "doc_id") + f"""
 SELECT k AS doc_id, count(*) AS n, {R('max(w)')} AS top, {R('sum(w)')} AS total FROM dw GROUP BY k""")
 def q02_documents(spark, sf):
-    texts = table(spark, sf, "documents").select("doc_id", "text")
-    rows = tfidf.vectors(texts, tfidf.fit_idf(texts, "doc_id"), "doc_id")
+    rows, _ = _fitted(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
+    rows = rows.withColumnRenamed("id", "doc_id")
     return rounded(rows.select("doc_id", F.size("grams").alias("n"), F.array_max("weights").alias("top"),
                                F.aggregate("weights", F.lit(0.0), lambda a, w: a + w).alias("total")))
 
@@ -84,9 +91,16 @@ TFIDF_SCORES = """tfidf AS (
 @query("q03_tfidf_search", "WITH " + SEARCHES + ", " + CORPUS + ", " + fit_sql() + ", " + query_sql("searches") + ", " + TFIDF_SCORES + f"""
 SELECT qid, id, {R('score')} AS score, rank FROM tfidf WHERE rank <= 10""")
 def q03(spark, sf):
-    texts = _corpus(spark, sf)
-    idf = tfidf.fit_idf(texts)
-    return rounded(tfidf.tfidf_top_k(tfidf.vectors(texts, idf), searches(spark, sf), idf, 10))
+    rows, idf = _fitted(_corpus(spark, sf))
+    return rounded(tfidf.tfidf_top_k(rows, searches(spark, sf), idf, 10))
+
+
+@query("j08_query_gram_join", "WITH " + SEARCHES + ", " + CORPUS + ", " + fit_sql() + ", " + query_sql("searches") + ", " + TFIDF_SCORES + f"""
+SELECT qid, id, {R('score')} AS score FROM tfidf""")
+def j08(spark, sf):
+    """All pairs of queries and items with a common gram, by a join of their postings."""
+    rows, idf = _fitted(_corpus(spark, sf))
+    return rounded(tfidf.query_gram_join(rows, searches(spark, sf), idf))
 
 
 @query("q03_tfidf_search_documents", "WITH " + fit_sql("documents", "doc_id") + ", asked AS (SELECT item_id AS qid, text FROM benchmark), "
@@ -95,8 +109,8 @@ def q03_documents(spark, sf):
     """Whole passages looked up in whole documents."""
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    idf = tfidf.fit_idf(texts)
-    return rounded(tfidf.tfidf_top_k(tfidf.vectors(texts, idf), asked, idf, 5))
+    rows, idf = _fitted(texts)
+    return rounded(tfidf.tfidf_top_k(rows, asked, idf, 5))
 
 
 def lcs_sql(pairs):
@@ -149,8 +163,8 @@ def q05(spark, sf):
 
 # asked(qid, text, vibe): contained keyword first, else closest keyword at 80 or more
 DETECT = KEYWORD_ROWS + f""",
-exact AS (SELECT qid, any_value(trim(text)) AS text, arg_min(vibe, pos) AS vibe FROM searches
-  LEFT JOIN keywords ON contains(lower(trim(text)), word) WHERE trim(text) <> '' GROUP BY qid),
+exact AS (SELECT qid, any_value({stripped('text')}) AS text, arg_min(vibe, pos) AS vibe FROM searches
+  LEFT JOIN keywords ON contains(lower({stripped('text')}), word) WHERE {stripped('text')} <> '' GROUP BY qid),
 kq AS (SELECT qid, {sorted_sql('lower(text)')} AS a FROM exact WHERE vibe IS NULL),
 kpairs AS (SELECT row_number() OVER () AS pk, qid, a, {sorted_sql('word')} AS b, pos, vibe FROM kq, keywords),
 """ + lcs_sql("kpairs").replace("steps", "ksteps").replace("lcs", "klcs") + """,
@@ -161,7 +175,7 @@ asked AS (SELECT qid, text, coalesce(exact.vibe, close.vibe) AS vibe FROM exact
 
 @query("q06_detect_vibe", "WITH RECURSIVE " + SEARCHES + ", " + DETECT + "SELECT qid, vibe FROM asked")
 def q06(spark, sf):
-    asked = searches(spark, sf).filter(F.trim("text") != "")
+    asked = searches(spark, sf).filter(strip(F.col("text")) != "")
     return vibe.detect_vibe(asked).select("qid", "vibe")
 
 
@@ -242,12 +256,12 @@ def q09(spark, sf):
     return rounded(got.select("qid", "seed_id", "rank", "id", "similarity_score", "final_score", "mode", "label"))
 
 
-def hybrid_sql(source, queries, k, alpha="0.7e0", beta="0.2e0", gamma="0.1e0"):
+def hybrid_sql(source, queries, k, alpha="0.7e0", beta="0.2e0", gamma="0.1e0", own="id"):
     """hybrid(qid, id, rank, ...) for ``queries`` (id, vec) over ``source`` (id, artists, popularity, vec)."""
     return f"""hp AS (SELECT min(popularity) AS lo, max(popularity) AS hi FROM {source}),
 hc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(sim, 9) DESC, id) AS r FROM (
   SELECT q.id AS qid, i.id, i.artists, (i.popularity - lo) / (hi - lo + 1e-8) AS pop, CAST(list_inner_product(q.vec, i.vec) AS DOUBLE) AS sim
-  FROM {queries} q, {source} i, hp)) WHERE r <= {10 * k + 1} AND qid <> id),
+  FROM {queries} q, {source} i, hp)) WHERE r <= {10 * k + 1} AND qid <> {own}),
 hn AS (SELECT *, CASE WHEN max(sim) OVER w > min(sim) OVER w THEN (sim - min(sim) OVER w) / (max(sim) OVER w - min(sim) OVER w) ELSE 1e0 END AS sn
   FROM hc WINDOW w AS (PARTITION BY qid)),
 hb AS (SELECT *, {alpha} * sn + {beta} * pop AS base FROM hn),

@@ -5,6 +5,11 @@ from pyspark.sql import functions as F
 from cadenza.operators import profile, vectors as v
 from cadenza.queries.base import FEATURES, FILLED, LABELLED, R, feature_items, labelled, query, rounded, table
 
+def elements(df, column, keep=("id",)):
+    """One row per element of a vector, numbered from 0."""
+    return rounded(df.select(*keep, F.posexplode(column).alias("place", "value")))
+
+
 PAIRS = """pairs AS (SELECT a.vec_id, CAST(a.embedding AS DOUBLE[]) AS x, CAST(list_reverse(b.embedding) AS DOUBLE[]) AS y
   FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)"""
 
@@ -29,10 +34,10 @@ def v07(spark, sf):
 
 
 @query("v08_unit_length", "WITH " + FILLED + f"""
-SELECT id, {R('vec[1] / sqrt(list_inner_product(vec, vec))')} AS first, {R('vec[9] / sqrt(list_inner_product(vec, vec))')} AS last FROM items""")
+SELECT id, place, {R('x')} AS value FROM (SELECT id, unnest(range(9)) AS place, unnest(list_transform(vec, lambda e: e / sqrt(list_inner_product(vec, vec)))) AS x FROM items)""")
 def v08(spark, sf):
     u = feature_items(spark, sf).select("id", v.unit(F.col("vec")).alias("u"))
-    return rounded(u.select("id", F.col("u")[0].alias("first"), F.col("u")[8].alias("last")))
+    return elements(u, "u")
 
 
 def top_sql(score, source="items", k=10, queries=None, own="q.id <> i.id"):
@@ -49,19 +54,19 @@ COS = "list_inner_product(q.vec, i.vec) / (sqrt(list_inner_product(q.vec, q.vec)
 @query("v09_nearest_inner_product", "WITH " + FILLED + ", " + top_sql(IP))
 def v09(spark, sf):
     items = feature_items(spark, sf)
-    return rounded(v.nearest_items(items, items.select("id"), 10))
+    return rounded(v.nearest_items(items, None, 10))
 
 
 @query("v09_nearest_embeddings", """WITH items AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings), """ + top_sql(IP))
 def v09_embeddings(spark, sf):
     items = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
-    return rounded(v.nearest_items(items, items.select("id"), 10))
+    return rounded(v.nearest_items(items, None, 10))
 
 
 @query("v10_nearest_cosine", "WITH " + FILLED + ", " + top_sql(COS))
 def v10(spark, sf):
     items = feature_items(spark, sf)
-    return rounded(v.nearest_items(items, items.select("id"), 10, metric="cosine"))
+    return rounded(v.nearest_items(items, None, 10, metric="cosine"))
 
 
 @query("v11_nearest_to_vectors", """WITH items AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),

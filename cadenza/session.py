@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     if base:
         return base.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _LOCAL_DIRS:
         _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="cadenza-")
@@ -50,6 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cadenza/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the application's own written tables, once nothing reads them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/cadenza/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_and_read(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage through a written table, so a lost executor re-reads instead of recomputing."""
     path = scratch_path(df.sparkSession, name)
