@@ -99,6 +99,8 @@ def decisions(prepared: DataFrame, fingerprint=F.xxhash64) -> DataFrame:
     ids = write_and_read(ids, "op5-identities")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "rid"))
     groups = ids.groupBy("k", "name").agg(first.alias("keep"), F.count("*").alias("group_size"))
+    # written, so that both sides are dealt out for the join and the rows of a large group can be split
+    groups = write_and_read(groups, "op5-groups")
     return ids.join(groups, ["k", "name"]).select(
         "rid", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("keep.rid")).alias("kept"))
 
