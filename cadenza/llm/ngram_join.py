@@ -32,7 +32,7 @@ SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Shingles in one fragment, and fragments that one pair's overlap is counted in.
-FRAGMENT_SIZE, PARTS = 2_000_000, 4
+FRAGMENT_SIZE, PARTS = 6_000_000, 4
 LEADER_ROUNDS = 2
 NO_ID = (1 << 63) - 1
 
@@ -130,8 +130,8 @@ def _shared_here(bits: int):
         once = np.zeros(len(keys), bool)
         once[first] = True
         kept = np.repeat(once, counts)
-        shingles, owner = shingles[kept], np.repeat(number[once], counts[once])
-        order = np.argsort(shingles, kind="stable")
+        shingles, owner = shingles[kept], np.repeat(number[once].astype(np.int32), counts[once])
+        order = np.argsort(shingles)
         ordered = shingles[order]
         starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, int)
         runs = np.diff(np.append(starts, len(ordered)))
