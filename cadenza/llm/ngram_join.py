@@ -11,7 +11,7 @@ along, and a fragment's task sees that part of all sets. Three counts are made p
 3. Partial overlaps of each pair, fragment by fragment, summed per pair and held against the threshold.
 
 Sets with the same shingles are one class and enter once. Within one shingle's list pairs are not
-made all against all: in the first rounds each list compares its members with one leader, and sets found
+made all against all: in the first rounds some lists compare their members with one leader, and sets found
 to be connected already are not compared again; the last round compares what is left.
 """
 
@@ -33,7 +33,10 @@ SHINGLE = 5
 PERCENT = 80
 #: Shingles in one fragment, and fragments that one pair's overlap is counted in.
 FRAGMENT_SIZE, PARTS = 6_000_000, 4
-LEADER_ROUNDS = 2
+#: Rounds in which members of a list are compared with a leader, and lists of a class that take part.
+LEADER_ROUNDS, LEADER_LISTS = 3, 8
+#: 64-bit words of a set's sketch.
+SKETCH = 8
 NO_ID = (1 << 63) - 1
 
 
@@ -169,19 +172,23 @@ def _survivors_here(percent: int):
         owner, shingles, holders = owner[kept], shingles[kept], holders[kept]
         order = np.lexsort((shingles, holders, owner))
         owner, shingles = owner[order], shingles[order]
-        prefixes, parts, chosen = [], [], np.unique(owner)
+        weight = np.bincount(owner, holders, len(first)) / np.maximum(sizes, 1)
+        prefixes, parts, sketches, chosen = [], [], [], np.unique(owner)
         bounds = np.append(np.searchsorted(owner, chosen), len(owner))
         for n, start, stop in zip(chosen.tolist(), bounds, bounds[1:]):
             own = shingles[start:stop]
             prefixes.append(own[:stop - start - needed[n] + 1].view(np.int64))
+            odd = np.bincount((own % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+            sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             ordered = np.sort(own)
             cuts = np.searchsorted(ordered, np.arange(1, PARTS, dtype=np.uint64) * np.uint64((1 << 64) // PARTS))
             parts.append([p.tobytes() for p in np.split(ordered, cuts)])
         return pa.Table.from_arrays([
             pa.array([keys[first[n]].tobytes() for n in chosen], pa.binary()),
-            pa.array(sizes[chosen], pa.int32()), pa.array(shared[chosen], pa.int32()),
+            pa.array(sizes[chosen], pa.int32()), pa.array(shared[chosen], pa.int32()), pa.array(weight[chosen]),
             pa.array(prefixes, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.binary())),
-        ], ["key", "n", "shared", "prefix", "parts"])
+            pa.array(sketches, pa.list_(pa.int64())),
+        ], ["key", "n", "shared", "weight", "prefix", "parts", "sketch"])
     return run
 
 
@@ -191,15 +198,36 @@ def _survivors(docs: DataFrame, classes: DataFrame, size: int, percent: int, fra
     shared = _fragments(docs, bits, size).groupBy("fragment").applyInArrow(
         _shared_here(bits), "bucket int, keys binary, sizes binary, counts binary, shingles binary, holders binary")
     found = shared.groupBy("bucket").applyInArrow(
-        _survivors_here(percent), "key binary, n int, shared int, prefix array<bigint>, parts array<binary>")
+        _survivors_here(percent), "key binary, n int, shared int, weight double, prefix array<bigint>, parts array<binary>, "
+        "sketch array<bigint>")
     return write_and_read(found.join(classes.select("key", "cid"), "key").drop("key"), "op4-survivors")
 
 
-def _near(x: str, y: str, percent: int):
-    """Whether sizes and positions of a shared shingle leave enough room for a link; never wrong about a link."""
-    nx, ny, sx, sy, px, py = (F.col(f"{s}.{c}").cast("bigint") for c in ("n", "shared", "pos") for s in (x, y))
-    room = F.least(px, py) + 1 + F.least(sx - px - 1, sy - py - 1)
-    return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * room >= percent * (nx + ny))
+def _alike(percent: int):
+    """Whether two sets' sizes allow a link."""
+    nx, ny = F.col("a.n").cast("bigint"), F.col("b.n").cast("bigint")
+    return 100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)
+
+
+def _first_common(percent: int):
+    """Whether a shared shingle can be the first that two linked sets share.
+
+    A link needs ``percent * (nx + ny) / (100 + percent)`` common shingles, and all of them come at or after
+    the first one in both sets; every link passes by its first common shingle.
+    """
+    nx, ny, sx, sy, px, py = (F.col(f"{s}.{c}").cast("bigint") for c in ("n", "shared", "pos") for s in ("a", "b"))
+    return _alike(percent) & ((100 + percent) * F.least(sx - px, sy - py) >= percent * (nx + ny))
+
+
+def _few_differences(percent: int):
+    """Whether the sketches leave room for a link; never wrong about one.
+
+    A bit of a sketch is the parity of a set's shingles in one bucket, so two sketches differ in no more
+    bits than the sets in shingles.
+    """
+    nx, ny, sx, sy = (F.col(f"{s}.{c}").cast("bigint") for c in ("n", "shared") for s in ("a", "b"))
+    differ = sum(F.bit_count(F.get("a.sketch", F.lit(i)).bitwiseXOR(F.get("b.sketch", F.lit(i)))) for i in range(SKETCH))
+    return (100 + percent) * (sx + sy - differ) >= 2 * percent * (nx + ny)
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -229,32 +257,45 @@ def links(pairs: DataFrame, survivors: DataFrame, percent: int) -> DataFrame:
 
 
 def class_links(survivors: DataFrame, percent: int, rounds: int = LEADER_ROUNDS) -> DataFrame | None:
-    """Links that connect all classes that are connected: (node, label), None if nothing is linked."""
-    postings = survivors.select("cid", "n", "shared", F.posexplode("prefix").alias("pos", "shingle"))
+    """Links that connect all classes that are connected: (node, label), None if nothing is linked.
+
+    In the first rounds some lists of a class, those with most holders in its prefix, have a leader that their
+    members are compared with: first the set whose shingles have most holders, as the original of many
+    near copies has, then some member of the list's largest component, another one in each list. The last
+    round takes all lists that still hold several components, and all their pairs across components.
+    """
+    postings = survivors.select("cid", "n", "shared", "weight", F.size("prefix").alias("length"),
+                                F.posexplode("prefix").alias("pos", "shingle"))
+    sketches = survivors.select("cid", "sketch")
     found, labels = None, None
     for turn in range(rounds + 1):
+        last = turn == rounds
+        placed = postings if last else postings.filter(F.col("pos") >= F.col("length") - LEADER_LISTS)
         if labels is None:
-            placed = postings.withColumn("comp", F.col("cid"))
+            placed = placed.withColumns({"comp": F.col("cid"), "members": F.lit(1)})
         else:
-            placed = postings.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-                "comp", F.coalesce("label", "cid")).drop("label")
-        # the same leader in most lists of a family: the first by a hash that changes with the round
-        member = F.struct(F.xxhash64("cid", F.lit(turn)).alias("first"), "cid", "n", "shared", "pos", "comp")
+            placed = placed.join(labels, "cid", "left").withColumns(
+                {"comp": F.coalesce("label", "cid"), "members": F.coalesce("members", F.lit(1))}).drop("label")
+        second = F.xxhash64("cid", "shingle", F.lit(turn)).cast("double") if turn else -F.col("weight")
+        member = F.struct((-F.col("members")).alias("first"), second.alias("second"), "cid", "n", "comp")
         lists = placed.groupBy("shingle").agg(
             F.min(member).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-        if turn < rounds:
-            leaders = lists.select("shingle", "lead.*").drop("first")
-            close = placed.alias("a").join(leaders.alias("b"), F.col("a.shingle") == F.col("b.shingle"))
-        else:
-            left = placed.join(lists.select("shingle"), "shingle", "left_semi")
+        if last:
+            left = placed.join(lists.select("shingle"), "shingle", "left_semi").join(sketches, "cid")
             close = left.alias("a").join(left.alias("b"), (F.col("a.shingle") == F.col("b.shingle"))
-                                         & (F.col("a.cid") < F.col("b.cid")))
-        close = close.filter((F.col("a.comp") != F.col("b.comp")) & _near("a", "b", percent))
+                                         & (F.col("a.cid") < F.col("b.cid")) & (F.col("a.comp") != F.col("b.comp"))
+                                         & _first_common(percent) & _few_differences(percent))
+        else:
+            leaders = lists.select("shingle", "lead.*")
+            close = placed.alias("a").join(leaders.alias("b"), (F.col("a.shingle") == F.col("b.shingle"))
+                                           & (F.col("a.comp") != F.col("b.comp")) & _alike(percent))
         fresh = write_and_read(links(_pairs(close), survivors, percent), "op4-links")
         if not fresh.isEmpty():
             found = fresh if found is None else found.unionByName(fresh)
-            labels = components(found)
-    return labels
+            named = components(found)
+            sizes = named.groupBy("label").agg(F.count("*").alias("members"))
+            labels = write_and_read(named.withColumnRenamed("node", "cid").join(sizes, "label"), "op4-labels")
+    return None if labels is None else labels.select(F.col("cid").alias("node"), "label")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
