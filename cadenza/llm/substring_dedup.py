@@ -160,7 +160,8 @@ def _cut_down(passages: DataFrame, crowded: DataFrame, window: int) -> DataFrame
 
     windows = hot.mapInArrow(run, "anchor bigint, cid bigint, did bigint, start bigint, place bigint, gram bigint")
     repeated = windows.groupBy("anchor", "gram").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
-    reach = windows.join(repeated.select("anchor", "gram"), ["anchor", "gram"], "left_semi").groupBy(
+    repeated = write_and_read(repeated.select("anchor", "gram"), "op8-repeated")
+    reach = windows.join(repeated, ["anchor", "gram"], "left_semi").groupBy(
         "anchor", "cid", "start").agg(F.min("place").alias("from"), (F.max("place") + window).alias("to"))
     words = F.split(F.col("words").cast("string"), " ")
     short = hot.join(reach, ["anchor", "cid", "start"]).select(
@@ -210,9 +211,11 @@ def _hits(passages: DataFrame, window: int, shard_words: int, crowded: int) -> D
     many = distinct.groupBy("anchor").count().filter(F.col("count") > crowded).select("anchor")
     many = write_and_read(many, "op8-many")
     if not many.isEmpty():
-        rest = passages.join(F.broadcast(many) if fits_broadcast(many) else many, "anchor", "left_anti")
-        passages = rest.unionByName(_cut_down(passages, many, window))
-        distinct = _distinct(passages)
+        few = F.broadcast(many) if fits_broadcast(many) else many
+        short = _cut_down(passages, many, window)
+        # the other anchors' passages are known already
+        distinct = distinct.join(few, "anchor", "left_anti").unionByName(_distinct(short))
+        passages = passages.join(few, "anchor", "left_anti").unionByName(short)
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_words))
     sharded = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
