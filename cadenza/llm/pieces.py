@@ -41,7 +41,9 @@ class Vocabulary:
         self.byte_ids = [by_byte[f"<0x{b:02X}>"] for b in range(256)] if len(by_byte) == 256 else []
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
-        self.longest = max(map(len, self.usable), default=1)
+        self.single = {p for p in self.usable if len(p) == 1}
+        # sums of few such scores are exact in single precision
+        self.whole = all(float(s).is_integer() for s in self.best.values())
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.usable):
             raise ValueError("a piece continues after a word's end; words cannot be tokenised on their own")
 

@@ -3,6 +3,8 @@ program keeps the best score and the number of pieces at each position, and no w
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -10,6 +12,10 @@ from pyspark.sql import DataFrame
 from cadenza.llm.common import WordCache, id_and_text, share, text_blocks
 from cadenza.llm.pieces import Vocabulary
 
+#: Sums of whole numbers above this are exact in single precision.
+EXACT = -float(1 << 24)
+#: Rounds what is put in to single precision.
+_SINGLE = array("f", [0.0])
 SCHEMA = "doc_id bigint, n_units bigint, n_tokens bigint, score double"
 
 
@@ -30,36 +36,50 @@ def count_unit(unit: str, found, vocabulary: Vocabulary) -> tuple[int, float]:
     without a piece of its own costs the unknown score and counts a piece per byte, or, without byte
     pieces, one per run. Sums are compared and kept in single precision.
     """
-    size = len(unit)
-    ending: list[list] = [[] for _ in range(size)]
-    single = [False] * size
+    best, pieces, in_unknown = [0.0], [0], [False]
+    matches = found.iter(unit)
+    match = next(matches, None)
+    for end, char in enumerate(unit):
+        top, count, unknown, single = None, 0, False, False
+        while match is not None and match[0] == end:
+            length, score = match[1]
+            start = end + 1 - length
+            _SINGLE[0] = best[start] + score
+            # longest first, so a strict comparison keeps the earliest start
+            if top is None or _SINGLE[0] > top:
+                top, count = _SINGLE[0], pieces[start] + 1
+            single = single or length == 1
+            match = next(matches, None)
+        if not single:
+            _SINGLE[0] = best[end] + vocabulary.unknown_score
+            if top is None or _SINGLE[0] > top:
+                more = len(char.encode()) if vocabulary.byte_ids else 0 if in_unknown[end] else 1
+                top, count, unknown = _SINGLE[0], pieces[end] + more, True
+        best.append(top)
+        pieces.append(count)
+        in_unknown.append(unknown)
+    return pieces[-1], best[-1]
+
+
+def count_known(unit: str, found) -> tuple[int, float]:
+    """The same where every character is a piece and sums are exact: no rounding, no gaps."""
+    best, pieces = [None] * (len(unit) + 1), [0] * (len(unit) + 1)
+    best[0] = 0.0
     for end, (length, score) in found.iter(unit):
-        ending[end].append((end + 1 - length, score))
-        if length == 1:
-            single[end] = True
-    best, pieces, in_unknown = [0.0] * (size + 1), [0] * (size + 1), [False] * (size + 1)
-    for end in range(size):
-        top = None
-        # pieces arrive longest first, so a strict comparison keeps the earliest start
-        for start, score in sorted(ending[end]):
-            value = _single(best[start] + score)
-            if top is None or value > top:
-                top, pieces[end + 1], in_unknown[end + 1] = value, pieces[start] + 1, False
-        if not single[end]:
-            value = _single(best[end] + vocabulary.unknown_score)
-            if top is None or value > top:
-                top = value
-                if vocabulary.byte_ids:
-                    more = len(unit[end].encode())
-                else:
-                    more = 0 if in_unknown[end] else 1
-                pieces[end + 1], in_unknown[end + 1] = pieces[end] + more, True
-        best[end + 1] = top
-    return pieces[size], best[size]
-
-
-def _single(value: float) -> float:
-    return float(np.float32(value))
+        start, end = end + 1 - length, end + 1
+        value, old = best[start] + score, best[end]
+        if old is None or value > old:
+            best[end], pieces[end] = value, pieces[start] + 1
+    return pieces[-1], best[-1]
+
+
+def count_units(units: list[str], found, vocabulary: Vocabulary) -> np.ndarray:
+    """A row of (number of pieces, score) per unit; plain sums where they are exact in single precision."""
+    out, single = [], vocabulary.single
+    for unit in units:
+        got = count_known(unit, found) if vocabulary.whole and single.issuperset(unit) else None
+        out.append(got if got and got[1] > EXACT else count_unit(unit, found, vocabulary))
+    return np.array(out, float).reshape(-1, 2)
 
 
 def token_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -73,7 +93,7 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches):
         vocabulary = shared()
         found = automaton(vocabulary)
-        cache = WordCache(lambda new: np.array([count_unit(u, found, vocabulary) for u in new], float).reshape(-1, 2))
+        cache = WordCache(lambda new: count_units(new, found, vocabulary))
         for part in text_blocks(batches):
             units = [vocabulary.units(t or "") for t in part.column("text").to_pylist()]
             sizes = np.array([len(u) for u in units], np.int64)
