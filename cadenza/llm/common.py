@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Text bytes that one numpy block works on; bounds the memory of a task, whatever the batch size.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Bytes between words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
@@ -147,7 +147,7 @@ class WordCache:
     ``compute`` maps a list of new words to a list or array of values, one per word.
     """
 
-    def __init__(self, compute, limit: int = 400_000):
+    def __init__(self, compute, limit: int = 700_000):
         self.compute, self.limit = compute, limit
         self.ids, self.values = {}, None
 
