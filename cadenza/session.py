@@ -50,11 +50,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cadenza/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Delete the application's own written tables, once nothing reads them any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+def remove_scratch(spark: SparkSession, name: str = "") -> None:
+    """Delete the application's own written tables, or those of one name, once nothing reads them any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
         f"{shared_dir(spark)}/cadenza/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        for status in files.listStatus(folder):
+            if status.getPath().getName().startswith(f"{name}-" if name else ""):
+                files.delete(status.getPath(), True)
 
 
 def write_and_read(df: DataFrame, name: str) -> DataFrame:
