@@ -36,7 +36,7 @@ def prepare(docs: DataFrame, block_bytes: int = BLOCK_BYTES, carry: bool = False
                        F.sequence(F.lit(0), last).alias("at"), raw.alias("raw"))
     blocks = F.transform("at", lambda i: F.substring(F.col("raw"), i * block_bytes + 1, F.lit(block_bytes)))
     return write_and_read(cut.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "row",
-                                     "text_sha256", blocks.alias("blocks")), "op5-blocks")
+                                     "text_sha256", blocks.alias("blocks")), "dedup_rows" if carry else "op5-blocks")
 
 
 def sorted_names(keys: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cadenza.llm import decontam, exact_dedup, language, ngram_join, pieces, viterbi
 from cadenza.llm.common import read_table
 from cadenza.llm.queries import model_path
-from cadenza.session import write_and_read
+from cadenza.session import remove_scratch, write_and_read
 
 #: A document whose best language has a lower mean probability is rejected, as one without letters is.
 LEAST_LANGUAGE_SCORE = 0.4
@@ -30,11 +30,14 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id."""
+    # the last stage's result is written, so its copy of the rows is no longer read
+    remove_scratch(spark, "dedup_rows")
     return ngram_join.drop_near_duplicates(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
+    remove_scratch(spark, "similar_rows")
     return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
