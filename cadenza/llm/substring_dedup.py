@@ -141,6 +141,7 @@ def _cut_down(passages: DataFrame, crowded: DataFrame, window: int) -> DataFrame
     """Passages of crowded anchors, shortened to their repeated windows; those without any are gone.
 
     Windows are counted with a combine before the shuffle, so that no task holds an anchor's passages.
+    A passage is known by its start and length: several marks of one anchor can reach back to a text's start.
     """
     hot = write_and_read(passages.join(F.broadcast(crowded) if fits_broadcast(crowded) else crowded,
                                        "anchor", "left_semi"), "op8-crowded")
@@ -154,17 +155,18 @@ def _cut_down(passages: DataFrame, crowded: DataFrame, window: int) -> DataFrame
             row = np.repeat(np.arange(len(texts)), counts)
             place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             yield pa.RecordBatch.from_arrays(
-                [part.column(c).take(pa.array(row)) for c in ("anchor", "cid", "did", "start")]
+                [part.column(c).take(pa.array(row)) for c in ("anchor", "cid", "did", "start", "n")]
                 + [pa.array(place.astype(np.int64)), pa.array(grams[first[row] + place].view(np.int64))],
-                ["anchor", "cid", "did", "start", "place", "gram"])
+                ["anchor", "cid", "did", "start", "n", "place", "gram"])
 
-    windows = hot.mapInArrow(run, "anchor bigint, cid bigint, did bigint, start bigint, place bigint, gram bigint")
+    windows = hot.mapInArrow(
+        run, "anchor bigint, cid bigint, did bigint, start bigint, n bigint, place bigint, gram bigint")
     repeated = windows.groupBy("anchor", "gram").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
     repeated = write_and_read(repeated.select("anchor", "gram"), "op8-repeated")
     reach = windows.join(repeated, ["anchor", "gram"], "left_semi").groupBy(
-        "anchor", "cid", "start").agg(F.min("place").alias("from"), (F.max("place") + window).alias("to"))
+        "anchor", "cid", "start", "n").agg(F.min("place").alias("from"), (F.max("place") + window).alias("to"))
     words = F.split(F.col("words").cast("string"), " ")
-    short = hot.join(reach, ["anchor", "cid", "start"]).select(
+    short = hot.join(reach, ["anchor", "cid", "start", "n"]).select(
         "anchor", "first", "cid", "did", (F.col("start") + F.col("from")).alias("start"),
         (F.col("to") - F.col("from")).alias("n"),
         F.concat_ws(" ", F.slice(words, (F.col("from") + 1).cast("int"), (F.col("to") - F.col("from")).cast("int")))

@@ -46,6 +46,23 @@ def test_against_brute_force(make_docs, options):
     check(make_docs(rows), rows, **options)
 
 
+def repeated_starts():
+    """Documents that begin with a row of one word or a repeated line, then share texts of several lengths."""
+    rows = []
+    for family in range(12):
+        line = ["*"] if family % 2 else prose(900 + family, 2 + family // 2)
+        head = (line * 40)[:26 + 2 * family]
+        text = head + prose(920 + family, 60)
+        for member, shared in enumerate((56, 70, 62, 84, 53)):
+            rows.append((10 * family + member, " ".join(text[:shared] + prose(1000 + 10 * family + member, 20 + member))))
+    return rows
+
+
+@pytest.mark.parametrize("crowded", [0, 2])
+def test_several_marks_at_the_start_of_a_crowded_text(make_docs, crowded):
+    check(make_docs(repeated_starts()), repeated_starts(), crowded=crowded)
+
+
 def test_odd_rows(make_docs):
     text = " ".join(prose(5, 60))
     rows = [(5, text), (5, text), (5, text + " more"), (None, text), (9, None), (10, ""), (11, "x" * 9000)]
