@@ -1,10 +1,11 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 Every byte position gets a probability for each language from a forward and a backward recurrence;
-a document's probabilities are the mean over its positions. The recurrence starts anew at white
-space, and after ``PIECE`` bytes in longer words, so that it runs once per distinct word of a task
-and every occurrence counts. Weights are trained in numpy by backpropagation through time, on words
-of a bounded sample of labelled documents.
+a document's probabilities are the mean over its positions. Both recurrences run over the whole text,
+white space included. Texts longer than ``STRETCH`` bytes run as stretches side by side, cut between
+characters, that start ``OVERLAP`` bytes before and end as many after the positions they give. Weights
+are trained in numpy by backpropagation through time, on single words and stretches of running text of
+a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -16,16 +17,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cadenza.llm.common import WordCache, id_and_text, raw_texts, share, text_blocks
+from cadenza.llm.common import id_and_text, raw_texts, share, text_blocks
 
+#: Bytes of the longest single word learned from in one piece.
 PIECE = 48
+#: Positions that a stretch gives at most, and bytes it runs over on either side of them.
+STRETCH, OVERLAP = 2048, 128
+#: Lengths of the stretches of running text learned from.
+LEARNED = (16, 32, 64)
 HIDDEN = 16
 #: Bounds of the training sample: documents of each language, their characters, words taken from all.
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WORDS = 150, 20_000, 40_000
 STEPS, BATCH, RATE = 700, 256, 0.01
 UNDETERMINED = "und"
-#: Words that run through the network in one array.
-ROWS = 8192
+#: Logits that one array holds; bounds the memory of a task, whatever the number of languages.
+CELLS = 8 << 20
 LETTER = re.compile(r"[^\W\d_]")
 SCHEMA = "doc_id bigint, lang_pred string, score double"
 
@@ -59,6 +65,24 @@ def pieces_of(text: bytes) -> list[bytes]:
     return words
 
 
+def stretches(text: bytes, size: int | None = None, overlap: int | None = None) -> list[tuple[int, int, int, int]]:
+    """(begin, low, high, end): positions ``low`` to ``high`` are given by a run from ``begin`` to ``end``.
+
+    All four lie between characters; ``low`` to ``high`` cover the text once.
+    """
+    size, overlap = STRETCH if size is None else size, OVERLAP if overlap is None else overlap
+
+    def border(at: int) -> int:
+        at = min(max(at, 0), len(text))
+        for back in range(min(4, at + 1)):
+            if at in (back, len(text)) or text[at - back] & 0xC0 != 0x80:
+                return at - back
+        return at
+
+    cuts = [0, *(border(at) for at in range(size, len(text), size)), len(text)] if text else []
+    return [(border(low - overlap), low, high, border(high + overlap)) for low, high in zip(cuts, cuts[1:])]
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
@@ -144,26 +168,89 @@ class Network:
             out[f"x{way}"], out[f"u{way}"] = table, inner_out
         return float(loss), out
 
+    def _logits(self, way: str, codes: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """(positions, languages): one recurrence's share of the logits at every byte of ``codes``.
+
+        Row ``i`` has ``length[i]`` bytes from ``first[i]``; lengths fall, so that the rows still running are the first.
+        """
+        table, loop = self.weights[f"x{way}"], self.weights[f"u{way}"]
+        size = loop.shape[0]
+        # negated, as a gate is 1 / (1 + exp(-x))
+        gate_of, gate = -table[:, :2 * size], -loop[:, :2 * size]
+        inner_of, inner = table[:, 2 * size:].copy(), loop[:, 2 * size:].copy()
+        read = self.weights["o"][:size] if way == "f" else self.weights["o"][size:]
+        begin, step = (first, 1) if way == "f" else (first + length - 1, -1)
+        out = np.empty((len(codes), len(self.languages)), np.float32)
+        state = np.zeros((len(first), size), np.float32)
+        running = np.searchsorted(-length, -np.arange(length[0]), "left")
+        for t, rows in enumerate(running.tolist()):
+            at, state = begin[:rows] + step * t, state[:rows]
+            byte = codes[at]
+            gates = gate_of.take(byte, axis=0)
+            gates += state @ gate
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            candidate = inner_of.take(byte, axis=0)
+            candidate += (gates[:, size:] * state) @ inner
+            np.tanh(candidate, out=candidate)
+            candidate -= state
+            candidate *= gates[:, :size]
+            state = state + candidate
+            out[at] = state @ read
+        return out
+
     def word_sums(self, words: list[bytes]) -> np.ndarray:
-        """Per word, the sums of its positions' probabilities, and the number of positions."""
-        out = np.zeros((len(words), len(self.languages) + 1), np.float32)
-        by_length: dict[int, list[int]] = {}
-        for n, word in enumerate(words):
-            by_length.setdefault(len(word), []).append(n)
-        for length, numbers in by_length.items():
-            for at in range(0, len(numbers), ROWS):
-                some = numbers[at:at + ROWS]
-                codes = np.frombuffer(b"".join([words[n] for n in some]), np.uint8).reshape(len(some), length).T
-                out[some, :-1] = self.positions(codes).sum(axis=0)
-                out[some, -1] = length
+        """Per word or longer text, the sums of its positions' probabilities, and the number of positions."""
+        out = np.zeros((len(words), len(self.languages) + 1))
+        parts = sorted(((n, *part) for n, text in enumerate(words) for part in stretches(text)),
+                       key=lambda p: p[1] - p[4])
+        limit, start = max(1, CELLS // len(self.languages)), 0
+        ends = np.cumsum([p[4] - p[1] for p in parts])
+        while start < len(parts):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
+            owner, begin, low, high, end = np.array(parts[start:stop], np.int64).T
+            length = end - begin
+            first = np.cumsum(length) - length
+            codes = np.frombuffer(b"".join(words[p[0]][p[1]:p[4]] for p in parts[start:stop]), np.uint8)
+            logits = self._logits("f", codes, first, length)
+            logits += self._logits("b", codes, first, length)
+            logits += self.weights["c"]
+            logits -= logits.max(axis=1, keepdims=True)
+            chance = np.zeros((len(codes) + 1, len(self.languages)), np.float32)
+            np.exp(logits, out=chance[:-1])
+            chance[:-1] /= chance[:-1].sum(axis=1, keepdims=True)
+            spans = np.stack([first + low - begin, first + high - begin], 1).ravel()
+            np.add.at(out[:, :-1], owner, np.add.reduceat(chance, spans, axis=0, dtype=np.float64)[::2])
+            np.add.at(out[:, -1], owner, high - low)
+            start = stop
         return out
 
 
+def _running(samples: list[tuple[str, bytes]], languages: list[str], length: int) -> dict:
+    """By language: its texts of ``length`` bytes or more, and the cumulative numbers of their starts."""
+    out = {}
+    for n, lang in enumerate(languages):
+        texts = [text for label, text in samples if label == lang and len(text) >= length]
+        if texts:
+            out[n] = texts, np.cumsum([len(text) - length + 1 for text in texts])
+    return out
+
+
+def _from_border(text: bytes, start: int, length: int) -> bytes:
+    """``length`` bytes of a text from the character that ``start`` lies in."""
+    while start and text[start] & 0xC0 == 0x80:
+        start -= 1
+    return text[start:start + length]
+
+
 def train(samples: list[tuple[str, bytes]], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH,
           rate: float = RATE, words: int = SAMPLE_WORDS, seed: int = 7) -> Network | None:
     """A network fitted to (lang, text) samples, by Adam; None without any words.
 
-    Each step takes words of one length, lengths in proportion to their words and languages evenly.
+    Steps take turns: single words of one length, lengths in proportion to their words, and stretches of
+    running text, from anywhere in the texts. Languages count evenly.
     """
     languages = sorted({lang for lang, _ in samples})
     rng = np.random.default_rng(seed)
@@ -178,16 +265,25 @@ def train(samples: list[tuple[str, bytes]], hidden: int = HIDDEN, steps: int = S
     net = Network.fresh(languages, hidden, seed)
     lengths = sorted(groups)
     share = np.array([sum(map(len, groups[n])) * n for n in lengths], float)
+    running = {length: found for length in LEARNED if (found := _running(samples, languages, length))}
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.weights.items()}
     for step in range(1, steps + 1):
-        length = lengths[rng.choice(len(lengths), p=share / share.sum())]
         picked, labels = [], []
-        present = [n for n, own in enumerate(groups[length]) if own]
-        for n in present:
-            own = groups[length][n]
-            for i in rng.integers(0, len(own), max(1, batch // len(present))):
-                picked.append(own[i])
-                labels.append(n)
+        if step % 2 and running:
+            length = list(running)[rng.integers(0, len(running))]
+            for n, (texts, reach) in running[length].items():
+                for at in rng.integers(0, reach[-1], max(1, batch // len(running[length]))):
+                    i = int(np.searchsorted(reach, at, "right"))
+                    picked.append(_from_border(texts[i], int(reach[i] - at) - 1, length))
+                    labels.append(n)
+        else:
+            length = lengths[rng.choice(len(lengths), p=share / share.sum())]
+            present = [n for n, own in enumerate(groups[length]) if own]
+            for n in present:
+                own = groups[length][n]
+                for i in rng.integers(0, len(own), max(1, batch // len(present))):
+                    picked.append(own[i])
+                    labels.append(n)
         codes = np.frombuffer(b"".join(picked), np.uint8).reshape(len(picked), length).T
         _, gradients = net.gradients(codes, np.array(labels))
         pace = rate * min(1, 2 * (1 - step / (steps + 1)))
@@ -207,18 +303,16 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS, hidden: int = HIDDEN,
 class Predictor:
     def __init__(self, net: Network | None):
         self.net = net
-        self.cache = WordCache(net.word_sums) if net else None
 
     def rows(self, column) -> list[tuple[str, float]]:
         """(language, score) per text."""
         texts = raw_texts(column)
         if self.net is None:
             return [(UNDETERMINED, 0.0)] * len(texts)
-        words = [pieces_of(t) for t in texts]
-        index = self.cache.index([w for of_text in words for w in of_text])
-        owner = np.repeat(np.arange(len(texts)), [len(w) for w in words])
-        sums = np.stack([np.bincount(owner, column, len(texts)) for column in self.cache.values[index].T.astype(float)], 1) \
-            if len(index) else np.zeros((len(texts), len(self.net.languages) + 1))
+        # equal texts of a block run once
+        numbers: dict[bytes, int] = {}
+        index = np.array([numbers.setdefault(t, len(numbers)) for t in texts], np.int64)
+        sums = self.net.word_sums(list(numbers))[index]
         chance = sums[:, :-1] / np.maximum(sums[:, -1:], 1)
         best = chance.argmax(axis=1)
         out = []

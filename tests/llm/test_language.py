@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cadenza.llm import language
@@ -72,3 +73,35 @@ def test_every_position_counts_once():
     both = net.positions(np.frombuffer(b"the", np.uint8).reshape(1, 3).T)
     assert np.allclose(both[:, 0].sum(axis=0), sums[0, :-1], atol=1e-5)
     assert language.HIDDEN > 0
+
+
+def test_texts_run_as_a_whole():
+    net = tiny()
+    texts = [b"the", b"the and of", "là the  été\nthe".encode(), b"de la de", b""]
+    sums = net.word_sums(texts)
+    for text, got in zip(texts[:-1], sums):
+        whole = net.positions(np.frombuffer(text, np.uint8).reshape(1, -1).T)[:, 0].sum(axis=0)
+        assert np.allclose(got[:-1], whole, atol=1e-4) and got[-1] == len(text)
+    assert not sums[-1].any()
+    rows = language.Predictor(net).rows(pa.array([t.decode() for t in texts]))
+    assert all(abs(score - got[:-1].max() / got[-1]) < 1e-6 for (_, score), got in zip(rows[:-1], sums))
+    # the surroundings of a word that both languages may have count
+    alone, among = (net.word_sums([t])[0] for t in (b"on", "là on là".encode()))
+    parts = sum(net.word_sums([w])[0] for w in "là on là".encode().split())
+    assert alone[-1] == 2 and abs(among[:-1] / among[-1] - parts[:-1] / parts[-1]).max() > 1e-3
+
+
+def test_stretches_cut_between_characters_and_equal_the_whole(spark):
+    text = "日本語の文章".encode() * 1500 + "é".encode() * 1000 + b"a" * 3000
+    cuts = language.stretches(text)
+    assert len(cuts) > 10 and cuts[0][1] == 0 and cuts[-1][2] == len(text)
+    assert all(a[2] == b[1] for a, b in zip(cuts, cuts[1:]))
+    for cut in cuts:
+        text[cut[0]:cut[3]].decode(), text[cut[1]:cut[2]].decode()
+    rows = [(r["lang"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r["lang"] and r["text"]]
+    net = train([(lang, t.encode()) for lang, t in rows[:100]], steps=200)
+    long_ = sorted((t.encode() for _, t in rows), key=len)[-5:]
+    assert min(map(len, long_)) > 2 * language.STRETCH
+    for text, got in zip(long_, net.word_sums(long_)):
+        whole = net.positions(np.frombuffer(text, np.uint8).reshape(1, -1).T)[:, 0].sum(axis=0)
+        assert abs(got[:-1] - whole).max() / len(text) < 1e-3
