@@ -28,6 +28,8 @@ LEARNED = (16, 32, 64)
 HIDDEN = 16
 #: Bounds of the training sample: documents of each language, their characters, words taken from all.
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WORDS = 150, 20_000, 40_000
+#: Parts taken of a document with more characters, spread over it; together as many characters.
+PARTS = 8
 STEPS, BATCH, RATE = 700, 256, 0.01
 UNDETERMINED = "und"
 #: Logits that one array holds; bounds the memory of a task, whatever the number of languages.
@@ -41,20 +43,33 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, bytes]]:
-    """(lang, text) of at most ``per_language`` documents of each language, none of them held out.
+def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS,
+           parts: int = 0) -> list[tuple[str, bytes]]:
+    """(lang, text) of at most ``per_language`` different texts of each language, none of them of held-out documents.
 
-    They are the first by a hash of the id among those of at most ``chars`` characters. Only ids are
-    ranked; each task keeps its first ones before the shuffle.
+    They are the first by a hash of the text. Of a text with more than ``chars`` characters, ``parts`` evenly
+    spread ones of ``chars / parts`` characters are taken; without ``parts`` such texts are left out. Only hashes
+    are ranked; each task keeps its first ones before the shuffle.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
-                       & F.col("text").isNotNull() & (F.length("text") <= chars))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.select("lang", "doc_id").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+                       & F.col("text").isNotNull())
+    if not parts:
+        rows = rows.filter(F.length("text") <= chars)
+    rows = rows.withColumn("print", F.xxhash64("text"))
+    texts = rows.groupBy("lang", "print").agg(F.min("doc_id").alias("doc_id"))
+    order = Window.partitionBy("lang").orderBy("print")
+    picked = texts.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
     # bounded by languages times per_language
-    found = rows.join(F.broadcast(picked.select("doc_id", "n").distinct()), "doc_id")
+    found = rows.join(F.broadcast(picked), ["lang", "print", "doc_id"]).select("lang", "n", "text")
+    if parts:
+        size = max(1, chars // parts)
+        spread = [F.substring("text", (F.lit(1) + F.floor((F.length("text") - size) * (i / max(1, parts - 1)))).cast("int"),
+                              F.lit(size)) for i in range(parts)]
+        pieces = F.when(F.length("text") <= chars, F.array("text")).otherwise(F.array(*spread))
+        found = found.select("lang", "n", F.explode(pieces).alias("text"))
+    found = found.dropDuplicates(["lang", "n", "text"])
     return [(r["lang"], r["text"].encode()) for r in found.orderBy("lang", "n", "text").collect()]
 
 
@@ -297,7 +312,7 @@ def train(samples: list[tuple[str, bytes]], hidden: int = HIDDEN, steps: int = S
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS, hidden: int = HIDDEN, steps: int = STEPS) -> Network | None:
-    return train(sample(docs, per_language), hidden, steps)
+    return train(sample(docs, per_language, parts=PARTS), hidden, steps)
 
 
 class Predictor:

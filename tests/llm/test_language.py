@@ -105,3 +105,16 @@ def test_stretches_cut_between_characters_and_equal_the_whole(spark):
     for text, got in zip(long_, net.word_sums(long_)):
         whole = net.positions(np.frombuffer(text, np.uint8).reshape(1, -1).T)[:, 0].sum(axis=0)
         assert abs(got[:-1] - whole).max() / len(text) < 1e-3
+
+
+def test_sample_has_different_texts_and_parts_of_long_ones(make_docs):
+    long_ = "".join(chr(0x3041 + i // 1000) * 2 for i in range(30_000))
+    rows = [(i, "one copy", "en") for i in range(300)] + [(1000 + i, f"text{i}", "en") for i in range(20)]
+    rows += [(2000 + i, long_, "ja") for i in range(10)]
+    got = sample(make_docs(rows), per_language=12, parts=8)
+    short = [t for lang, t in got if lang == "en"]
+    assert len(short) == len(set(short)) == 12
+    taken = [t.decode() for lang, t in got if lang == "ja"]
+    assert len(taken) == 8 and all(len(t) == language.SAMPLE_CHARS // 8 and t in long_ for t in taken)
+    assert any(t.startswith(long_[:100]) for t in taken) and any(t.endswith(long_[-100:]) for t in taken)
+    assert fit(make_docs(rows), steps=2).languages == ["en", "ja"]
