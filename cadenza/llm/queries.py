@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from cadenza.llm import (decontam, exact_dedup, language, merkle, ngram_join, personal_data, pieces,
+from cadenza.llm import (decontam, exact_dedup, fill_in_middle, language, merkle, ngram_join, personal_data, pieces,
                          pseudo_likelihood, substring_dedup, token_counts, viterbi)
 from cadenza.llm.common import read_table
 from cadenza.session import write_and_read
@@ -179,6 +179,32 @@ def tokenised(spark, sf_dir):
     return viterbi.round_trip(read_table(spark, sf_dir, "documents"), pieces.load(spark, model_path()))
 
 
+@query("op11_fill_in_middle", r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+drawn AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2,
+         CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4 FROM texts),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts""")
+def filled_in_middle(spark, sf_dir):
+    found = fill_in_middle.transform(read_table(spark, sf_dir, "documents"))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                        F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
+
+
 def load_all():
     """All queries with the pipeline, whose module lies at the repository's top."""
     import corpus_pipeline

@@ -17,9 +17,9 @@ SF = "/root/testdata/sf0.001"
 QUERIES, SQL = load_all()
 
 
-def test_ten_operators_and_the_pipeline():
+def test_all_operators_and_the_pipeline():
     assert sorted(QUERIES) == sorted([n for n in QUERIES if n.startswith("op")] + ["pipeline"])
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 12))
 
 
 @pytest.mark.parametrize("name", list(SQL))
