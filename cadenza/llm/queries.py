@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from cadenza.llm import (decontam, exact_dedup, fill_in_middle, language, merkle, ngram_join, personal_data, pieces,
-                         pseudo_likelihood, substring_dedup, token_counts, viterbi)
+                         pseudo_likelihood, sharding, substring_dedup, token_counts, viterbi)
 from cadenza.llm.common import read_table
 from cadenza.session import write_and_read
 
@@ -205,6 +205,13 @@ def filled_in_middle(spark, sf_dir):
                         F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
 
 
+@query("op12_minimax_shards")
+def shards(spark, sf_dir):
+    placed = sharding.assign(read_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def load_all():
     """All queries with the pipeline, whose module lies at the repository's top."""
     import corpus_pipeline
