@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from cadenza.llm import (decontam, exact_dedup, fill_in_middle, language, merkle, ngram_join, personal_data, pieces,
+from cadenza.llm import (decontam, exact_dedup, fill_in_middle, language, merkle, ngram_join, personal_data, pieces, prefix_trie,
                          pseudo_likelihood, sharding, substring_dedup, token_counts, viterbi)
 from cadenza.llm.common import read_table
 from cadenza.session import write_and_read
@@ -212,6 +212,49 @@ def shards(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+# crc32 bit by bit over the bytes of the decimal id
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+    lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(i AS BIGINT), 1)) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)),
+  4294967295::BIGINT)"""
+
+
+@query("op13_prefix_trie", rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, p, r, t FROM convs c JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 20 AND p <= h
+  UNION ALL SELECT conv_id, 1, p, r, t FROM convs JOIN turns USING (conv_id) WHERE p > h),
+placed AS (
+  SELECT conv_id, sha256(r) || sha256(t) AS x, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS d,
+         len([y FOR y IN regexp_split_to_array(t, '[ 	-
+]+') IF y <> '']) AS w FROM rebuilt),
+lists AS (
+  SELECT c.conv_id, coalesce(l, []) AS l, coalesce(w, []) AS w FROM convs c LEFT JOIN (
+    SELECT conv_id, list(x ORDER BY d) AS l, list(w ORDER BY d) AS w FROM placed GROUP BY conv_id) USING (conv_id)),
+members AS (
+  SELECT conv_id, d, len(l) AS n, sha256(array_to_string(l[1:d], '')) AS v, CASE WHEN d = 0 THEN 0 ELSE w[d] END AS w,
+         CASE WHEN d > 0 THEN sha256(array_to_string(l[1:d - 1], '')) END AS parent
+  FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM lists)),
+nodes AS (
+  SELECT v, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w, any_value(parent) AS parent,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = n) AS ends FROM members GROUP BY v),
+children AS (SELECT parent AS v, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+pairs AS (SELECT DISTINCT a.v AS v, b.v AS u FROM members a JOIN members b ON a.conv_id = b.conv_id AND a.d <= b.d),
+sums AS (
+  SELECT p.v, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * w) AS saved_tokens
+  FROM pairs p JOIN nodes n ON n.v = u LEFT JOIN children c ON c.v = u GROUP BY p.v)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.v = n.v LEFT JOIN children c ON c.v = n.v LEFT JOIN nodes p ON p.v = n.parent""")
+def conversation_trie(spark, sf_dir):
+    ids, turns = prefix_trie.with_shared_starts(prefix_trie.ordered_turns(read_table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(ids, turns).drop("words")
+
+
 def load_all():
     """All queries with the pipeline, whose module lies at the repository's top."""
     import corpus_pipeline

@@ -19,7 +19,7 @@ QUERIES, SQL = load_all()
 
 def test_all_operators_and_the_pipeline():
     assert sorted(QUERIES) == sorted([n for n in QUERIES if n.startswith("op")] + ["pipeline"])
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 13))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(SQL))
