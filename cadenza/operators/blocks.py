@@ -2,9 +2,10 @@
 
 Each task scores its own catalog rows against all queries in blocks and keeps only the
 best k per query, so what leaves a task is (queries x k) rows however large the catalog
-is. The query side is sent to the tasks when its measured size is small; beyond that
-bound both sides are cut into hash blocks and every pair of blocks meets in one bounded
-task. Both ways are exact.
+is. The query side is sent to the tasks when its measured size is small. Many vector queries are
+answered by ``pruned``, which skips the blocks of rows that a bound excludes. Beyond the size bound, both
+sides of other kernels are cut into hash blocks and every pair of blocks meets in one bounded task. All
+ways are exact.
 
 Scores are kept as they are but compared at 9 decimals and then by id, so the order in
 which a task happens to add floats cannot change a rank.
@@ -12,199 +13,23 @@ which a task happens to add floats cannot change a rank.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from cadenza.functions.text import TextBlock
+from cadenza.operators.kernels import DECIMALS, Dot, Sparse, TokenSort, _Best  # noqa: F401
 from cadenza.operators.ordering import top_per_group
+from cadenza.operators.pruned import MAX_BLOCKS, PrunedSearch
 from cadenza.session import write_and_read
 
-DECIMALS = 9
-SLACK = 10.0 ** -DECIMALS
 MAX_QUERY_ROWS = 50_000
 MAX_QUERY_BYTES = 64 << 20
 MAX_RESULT_ROWS = 4_000_000
 BLOCK_ROWS = 50_000
 BLOCK_BYTES = 128 << 20
-SCORE_CELLS = 4_000_000
 #: Scores that make a task of its own worth while.
 CELLS_PER_TASK = 40_000_000
-
-
-def _plain(column: pa.ChunkedArray) -> pa.Array:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
-
-
-def _values(column) -> np.ndarray:
-    column = _plain(column)
-    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-        return np.array(column.to_pylist(), dtype=str)
-    return column.to_numpy(zero_copy_only=False)
-
-
-def _lists(column):
-    """Flat values and row numbers of a list column."""
-    column = _plain(column)
-    counts = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    return column.flatten(), np.repeat(np.arange(len(counts)), counts)
-
-
-class Dot:
-    """Inner product of two dense vectors."""
-
-    item_columns = query_columns = ("vec",)
-
-    def width(self):
-        return F.size("vec") * 8
-
-    def load_queries(self, table):
-        column = _plain(table.column("vec"))
-        return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
-
-    def load_items(self, table, queries):
-        return self.load_queries(table)
-
-    def scores(self, queries, lo, hi, items):
-        return queries[lo:hi] @ items.T
-
-
-class Sparse:
-    """Inner product of two sparse vectors given as grams and weights."""
-
-    item_columns = query_columns = ("grams", "weights")
-
-    def width(self):
-        return F.size("grams") * 24
-
-    def load_queries(self, table):
-        grams, rows = _lists(table.column("grams"))
-        weights = _plain(table.column("weights")).flatten().to_numpy(zero_copy_only=False)
-        codes, vocabulary = pd.factorize(np.asarray(grams.to_pylist(), dtype=object))
-        by_gram = np.lexsort((rows, codes))
-        return pd.Index(vocabulary), codes[by_gram], rows[by_gram], weights[by_gram]
-
-    def load_items(self, table, queries):
-        grams, rows = _lists(table.column("grams"))
-        weights = _plain(table.column("weights")).flatten().to_numpy(zero_copy_only=False)
-        codes = queries[0].get_indexer(np.asarray(grams.to_pylist(), dtype=object))
-        asked = codes >= 0
-        return codes[asked], rows[asked], weights[asked], table.num_rows
-
-    def scores(self, queries, lo, hi, items):
-        vocabulary, q_codes, q_rows, q_weights = queries
-        grams, rows, weights, n = items
-        mine = (q_rows >= lo) & (q_rows < hi)
-        codes, q_rows, q_weights = q_codes[mine], q_rows[mine] - lo, q_weights[mine]
-        starts = np.searchsorted(codes, np.arange(len(vocabulary) + 1))
-        first, count = starts[grams], np.diff(starts)[grams]
-        out = np.zeros((hi - lo) * n)
-        # a bounded number of gram matches at a time
-        ends = np.cumsum(count)
-        at = 0
-        while at < len(grams):
-            base = ends[at - 1] if at else 0
-            stop = max(int(np.searchsorted(ends, base + SCORE_CELLS, side="right")), at + 1)
-            c = count[at:stop]
-            item = np.repeat(np.arange(at, stop), c)
-            entry = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) + np.repeat(first[at:stop], c)
-            out += np.bincount(q_rows[entry] * n + rows[item], q_weights[entry] * weights[item], len(out))
-            at = stop
-        return out.reshape(hi - lo, n)
-
-
-class TokenSort:
-    """Token-sort ratio (0..1) of token-sorted strings."""
-
-    item_columns = query_columns = ("sorted_text",)
-
-    def width(self):
-        return F.octet_length("sorted_text")
-
-    def load_queries(self, table):
-        return _plain(table.column("sorted_text")).to_pylist()
-
-    def load_items(self, table, queries):
-        # repeated texts are scored once
-        codes, texts = pd.factorize(np.asarray(_plain(table.column("sorted_text")).to_pylist(), dtype=object))
-        return codes, TextBlock(texts)
-
-    def scores(self, queries, lo, hi, items):
-        codes, block = items
-        return np.stack([block.ratio(q)[codes] / 100.0 for q in queries[lo:hi]])
-
-
-class _Best:
-    """Running top-k of every query inside one task."""
-
-    def __init__(self, kernel, queries: pa.Table, k: int, positive: bool, schema: pa.Schema):
-        self.kernel, self.k, self.positive, self.schema = kernel, k, positive, schema
-        self.carry = [n for n in schema.names if n not in ("qid", "id", "score")]
-        self.qid = queries.column("qid")
-        self.n = queries.num_rows
-        self.queries = kernel.load_queries(queries)
-        self.exclude = _values(queries.column("exclude_id")) if "exclude_id" in queries.column_names else None
-        self.floor = np.full(self.n, -np.inf)
-        self.rows, self.scores, self.ids, self.carried = np.empty(0, np.int64), np.empty(0), None, None
-
-    def add(self, table):
-        if not table.num_rows or not self.n:
-            return
-        ids = _values(table.column("id"))
-        items = self.kernel.load_items(table, self.queries)
-        index = pd.Index(ids) if self.exclude is not None else None
-        n = len(ids)
-        step = max(SCORE_CELLS // n, 1)
-        found = []
-        for lo in range(0, self.n, step):
-            hi = min(lo + step, self.n)
-            s = self.kernel.scores(self.queries, lo, hi, items)
-            s[np.isnan(s)] = -np.inf
-            if index is not None:
-                at = index.get_indexer(self.exclude[lo:hi])
-                own = np.flatnonzero(at >= 0)
-                s[own, at[own]] = -np.inf
-            bound = self.floor[lo:hi].copy()
-            if n > self.k:
-                fresh = np.flatnonzero(np.isinf(bound))
-                if len(fresh):
-                    bound[fresh] = np.partition(s[fresh], n - self.k, axis=1)[:, n - self.k]
-            keep = s >= (bound - SLACK)[:, None]
-            keep &= (s > 0) if self.positive else ~np.isinf(s)
-            r, c = np.nonzero(keep)
-            found.append((r + lo, s[r, c], ids[c], c))
-        self._merge(found, pa.table([_plain(table.column(c)) for c in self.carry], names=self.carry))
-
-    def _merge(self, found, extra):
-        rows = np.concatenate([self.rows] + [f[0] for f in found])
-        scores = np.concatenate([self.scores] + [f[1] for f in found])
-        ids = np.concatenate(([] if self.ids is None else [self.ids]) + [f[2] for f in found])
-        compared = np.round(scores, DECIMALS) + 0.0
-        order = np.lexsort((ids, -compared, rows))
-        rows, scores, ids = rows[order], scores[order], ids[order]
-        starts = np.searchsorted(rows, np.arange(self.n))
-        place = np.arange(len(rows)) - starts[rows]
-        top = place < self.k
-        last = place == self.k - 1
-        self.floor[rows[last]] = scores[last]
-        self.rows, self.scores, self.ids = rows[top], scores[top], ids[top]
-        if self.carry:
-            new = extra.take(pa.array(np.concatenate([f[3] for f in found])))
-            pool = new if self.carried is None else pa.concat_tables([self.carried, new])
-            self.carried = pool.take(pa.array(order[top])).combine_chunks()
-
-    def table(self) -> pa.Table:
-        if self.ids is None:
-            return self.schema.empty_table()
-        field = self.schema.field
-        out = {"qid": _plain(self.qid).take(pa.array(self.rows)),
-               "id": pa.array(self.ids.tolist(), type=field("id").type),
-               "score": pa.array(self.scores)}
-        out.update({c: _plain(self.carried.column(c)) for c in self.carry})
-        return pa.table([out[n].cast(field(n).type) for n in self.schema.names], schema=self.schema)
+#: Scores of vector queries from which clustering the catalog first pays, though one scan would do.
+PRUNE_FROM = 10_000_000_000
 
 
 def compared(score: str):
@@ -224,14 +49,25 @@ def _measure(df: DataFrame, width) -> tuple[int, int]:
     return int(row[0]), int(row[1])
 
 
+def pruned_search(items: DataFrame, queries: DataFrame, k: int, n_items: int, n_queries: int, travelling: bool = True,
+                  block_rows: int | None = None) -> PrunedSearch:
+    """A search over written items (id, vec) and queries (qid, vec[, exclude_id]), in as many tasks as its scores are worth."""
+    partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_blocks = -(-n_items // block_rows) if block_rows else None
+    tasks = max(partitions, min(MAX_BLOCKS, -(-n_items * n_queries // CELLS_PER_TASK)))
+    return PrunedSearch(items.select("id", "vec"), queries, k, n_items, travelling, tasks, n_blocks)
+
+
 def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(), positive: bool = False,
-                max_query_rows: int | None = None, block_rows: int | None = None) -> DataFrame:
+                max_query_rows: int | None = None, block_rows: int | None = None, written: bool = False) -> DataFrame:
     """Best k items per query as (qid, id, score, carry..., rank).
 
     ``items`` has unique ``id`` plus the kernel's columns, ``queries`` unique ``qid`` plus the
     kernel's columns and, optionally, ``exclude_id``. ``carry`` names item columns to bring along,
     which saves joining the winners back to the catalog. ``positive`` keeps scores above 0 only.
+    ``written`` says that ``items`` is a written table, which need not be written again to be read twice.
     """
+    bounded = bool(block_rows)
     max_query_rows, block_rows = max_query_rows or MAX_QUERY_ROWS, block_rows or BLOCK_ROWS
     spark = items.sparkSession
     extra = [c for c in ("exclude_id",) if c in queries.columns]
@@ -248,6 +84,13 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
     carried = [items.schema[c] for c in carry]
     if not n_queries:
         return spark.createDataFrame([], T.StructType(plain + carried)).withColumn("rank", F.lit(0))
+    if isinstance(kernel, Dot) and not positive:
+        items = items if written else write_and_read(items, "items")
+        n_items = items.count()
+        if not in_one_scan or n_items * n_queries >= PRUNE_FROM:
+            best = pruned_search(items, queries, k, n_items, n_queries, in_one_scan, block_rows if bounded else None).best()
+            best = top_per_group(best, ["qid"], [compared("score"), F.col("id")], k, rank="rank")
+            return best.join(items.select("id", *carry), "id").select("qid", "id", "score", *carry, "rank") if carry else best
     out = T.StructType(plain + carried if in_one_scan else plain)
     arrow_out = to_arrow_schema(out)
 

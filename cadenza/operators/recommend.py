@@ -35,7 +35,7 @@ def similar_by_features(items: DataFrame, seeds: DataFrame | None, k: int = 10,
     if metric == "cosine":
         items = items.withColumn("vec", unit(F.col("vec")))
     items = write_and_read(items, "items")
-    near = block_top_k(items, seed_vectors(items, seeds), k, Dot(), carry=("name", "artists", "popularity"))
+    near = block_top_k(items, seed_vectors(items, seeds), k, Dot(), carry=("name", "artists", "popularity"), written=True)
     ws, wp = SIMILAR_WEIGHTS
     final = F.col("score") * ws + F.col("popularity") / pop_scale * wp
     scored = near.drop("rank").withColumn("final_score", final).withColumnRenamed("score", "similarity_score")
@@ -75,7 +75,7 @@ def hybrid_by_id(items: DataFrame, seeds: DataFrame | None, k: int = 10, alpha:
     """Similarity + popularity + artist diversity. ``items`` is (id, artists, popularity, vec, carry...)."""
     ready = write_and_read(with_popularity_prior(items), "items")
     n = k * candidate_multiplier + 1
-    pool = block_top_k(ready, seed_vectors(ready, seeds, exclude=False), n, Dot(),
+    pool = block_top_k(ready, seed_vectors(ready, seeds, exclude=False), n, Dot(), written=True,
                        carry=tuple(dict.fromkeys(["artists", "pop_norm", *carry])))
     return _hybrid_scores(pool.filter(F.col("id") != F.col("qid")).drop("rank"), k, alpha, beta, gamma)
 
@@ -136,7 +136,7 @@ def similar_by_name(items: DataFrame, df: DataFrame, names: DataFrame, k: int =
     """
     seeds = seeds_by_name(df, names)
     units = write_and_read(items.withColumn("vec", unit(F.col("vec"))), "items")
-    near = block_top_k(units, seed_vectors(units, seeds), k, Dot(), carry=tuple(carry))
+    near = block_top_k(units, seed_vectors(units, seeds), k, Dot(), carry=tuple(carry), written=True)
     shared = fan_out(seeds.withColumnRenamed("id", "seed_id"), near)
     return shared.withColumnRenamed("score", "similarity")
 

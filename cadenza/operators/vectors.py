@@ -56,7 +56,7 @@ def nearest_items(items: DataFrame, seeds: DataFrame | None, k: int, metric: str
     items = write_and_read(items.select("id", vec.alias("vec")), "items")
     found = items if seeds is None else items.join(seeds.select("id").distinct(), "id", "left_semi")
     queries = found.select(F.col("id").alias("qid"), F.col("id").alias("exclude_id"), "vec")
-    return block_top_k(items, queries, k, Dot(), **bounds)
+    return block_top_k(items, queries, k, Dot(), written=True, **bounds)
 
 
 def nearest_to_vectors(items: DataFrame, queries: DataFrame, k: int, metric: str = "ip", **bounds) -> DataFrame:

@@ -105,3 +105,44 @@ def test_sparse(spark, bounds):
         scored = [(round(sum(q.get(a, 0) * b for a, b in zip(gi, wi)), 9), i) for i, gi, wi in items]
         want = [i for s, i in sorted(scored, key=lambda t: (-t[0], t[1])) if s > 0][:6]
         assert got.get(qid, []) == want
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_query_rows": 10}, {"max_query_rows": 10, "block_rows": 25}, {"block_rows": 1000}])
+def test_pruned_search_with_ties(data, monkeypatch, bounds):
+    from cadenza.operators import blocks, pruned
+    monkeypatch.setattr(blocks, "PRUNE_FROM", 0)
+    monkeypatch.setattr(pruned, "CELLS", 500)
+    monkeypatch.setattr(pruned, "PENDING_ROWS", 50)
+    monkeypatch.setattr(pruned, "QUERIES_PER_MEETING", 40)
+    df, x = data
+    got = lists(nearest_items(df, df.select("id"), 5, **bounds))
+    assert got == {f"t{i:04d}": brute(x, x[i], 5, f"t{i:04d}") for i in range(N)}
+
+
+def test_bounds_hold_and_exclude_blocks(spark):
+    from cadenza.operators.blocks import pruned_search
+    from cadenza.session import write_and_read
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(30, 8)) * 5
+    x = centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 8)) * 0.3
+    items = write_and_read(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vec array<double>"), "t")
+    queries = write_and_read(items.select(F.col("id").alias("qid"), F.col("id").alias("exclude_id"), "vec"), "t")
+    search = pruned_search(items, queries, 3, 3000, 3000)
+    visits = search.visits().agg(F.sum("n_visited"), F.sum("n_blocks"), F.count("*")).first()
+    assert visits[2] == 3000 and visits[0] < 0.4 * visits[1]
+    # no row scores above its block's bound
+    known = search.bounds.value
+    for r in search.clustered.limit(500).collect():
+        v = np.array(r["vec"])
+        assert (x[:50] @ v <= known.upper(x[:50], np.linalg.norm(x[:50], axis=1), [r["block"]])[:, 0]).all()
+
+
+def test_pruned_search_of_one_repeated_vector(spark, monkeypatch):
+    from cadenza.operators import blocks
+    monkeypatch.setattr(blocks, "PRUNE_FROM", 0)
+    df = spark.createDataFrame([(i, [1.0, 0.0] if i % 3 else [float(i), 1.0]) for i in range(400)] + [(900, [float("nan"), 1.0])],
+                               "id bigint, vec array<double>")
+    got = lists(nearest_items(df, df.filter("id < 30"), 4, block_rows=20))
+    by_id = {i: (1.0, 0.0) if i % 3 else (float(i), 1.0) for i in range(400)}
+    score = lambda a, b: sum(x * y for x, y in zip(by_id[a], by_id[b]))
+    assert got == {q: sorted((i for i in by_id if i != q), key=lambda i: (-score(q, i), i))[:4] for q in range(30)}
