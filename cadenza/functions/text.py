@@ -89,8 +89,8 @@ class TextBlock:
             self.pieces.append((rows, codes))
             at += len(rows)
 
-    def common(self, pattern: str) -> np.ndarray:
-        """Length of the longest common subsequence of ``pattern`` with every string.
+    def common(self, pattern: str, chosen: np.ndarray | None = None) -> np.ndarray:
+        """Length of the longest common subsequence of ``pattern`` with every string, or those flagged in ``chosen``.
 
         Bit-parallel over the pattern (64 positions per word, any number of words) and
         vectorised over the strings.
@@ -105,6 +105,12 @@ class TextBlock:
             row = np.searchsorted(alphabet, ord(c))
             masks[row, i // 64] |= np.uint64(1) << np.uint64(i % 64)
         for rows, codes in self.pieces:
+            if chosen is not None:
+                wanted = chosen[rows]
+                rows = rows[wanted]
+                if not len(rows):
+                    continue
+                codes = codes[wanted, :max(int(self.lengths[rows[0]]), 1)]
             index = np.searchsorted(alphabet, codes)
             known = index < len(alphabet)
             known[known] = alphabet[index[known]] == codes[known]
@@ -131,7 +137,7 @@ class TextBlock:
             out[rows] = np.bitwise_count(~state).sum(axis=1)
         return out
 
-    def ratio(self, pattern: str) -> np.ndarray:
-        """200 * common / (sum of lengths); two empty strings are equal."""
+    def ratio(self, pattern: str, chosen: np.ndarray | None = None) -> np.ndarray:
+        """200 * common / (sum of lengths); two empty strings are equal. Only the flagged strings' values count."""
         total = self.lengths + len(pattern)
-        return np.where(total == 0, 100.0, 200.0 * self.common(pattern) / np.maximum(total, 1))
+        return np.where(total == 0, 100.0, 200.0 * self.common(pattern, chosen) / np.maximum(total, 1))

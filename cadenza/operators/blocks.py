@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from cadenza.operators.kernels import DECIMALS, Dot, Sparse, TokenSort, _Best  # noqa: F401
+from cadenza.operators.kernels import DECIMALS, Dot, TokenSort, _Best  # noqa: F401
 from cadenza.operators.ordering import top_per_group
 from cadenza.operators.pruned import MAX_BLOCKS, PrunedSearch
 from cadenza.session import write_and_read

@@ -49,58 +49,23 @@ class Dot:
     def load_items(self, table, queries):
         return self.load_queries(table)
 
-    def scores(self, queries, lo, hi, items):
+    def scores(self, queries, lo, hi, items, floor, k):
         return queries[lo:hi] @ items.T
 
 
-class Sparse:
-    """Inner product of two sparse vectors given as grams and weights."""
-
-    item_columns = query_columns = ("grams", "weights")
-
-    def width(self):
-        return F.size("grams") * 24
-
-    def load_queries(self, table):
-        grams, rows = _lists(table.column("grams"))
-        weights = _plain(table.column("weights")).flatten().to_numpy(zero_copy_only=False)
-        codes, vocabulary = pd.factorize(np.asarray(grams.to_pylist(), dtype=object))
-        by_gram = np.lexsort((rows, codes))
-        return pd.Index(vocabulary), codes[by_gram], rows[by_gram], weights[by_gram]
-
-    def load_items(self, table, queries):
-        grams, rows = _lists(table.column("grams"))
-        weights = _plain(table.column("weights")).flatten().to_numpy(zero_copy_only=False)
-        codes = queries[0].get_indexer(np.asarray(grams.to_pylist(), dtype=object))
-        asked = codes >= 0
-        return codes[asked], rows[asked], weights[asked], table.num_rows
-
-    def scores(self, queries, lo, hi, items):
-        vocabulary, q_codes, q_rows, q_weights = queries
-        grams, rows, weights, n = items
-        mine = (q_rows >= lo) & (q_rows < hi)
-        codes, q_rows, q_weights = q_codes[mine], q_rows[mine] - lo, q_weights[mine]
-        starts = np.searchsorted(codes, np.arange(len(vocabulary) + 1))
-        first, count = starts[grams], np.diff(starts)[grams]
-        out = np.zeros((hi - lo) * n)
-        # a bounded number of gram matches at a time
-        ends = np.cumsum(count)
-        at = 0
-        while at < len(grams):
-            base = ends[at - 1] if at else 0
-            stop = max(int(np.searchsorted(ends, base + SCORE_CELLS, side="right")), at + 1)
-            c = count[at:stop]
-            item = np.repeat(np.arange(at, stop), c)
-            entry = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) + np.repeat(first[at:stop], c)
-            out += np.bincount(q_rows[entry] * n + rows[item], q_weights[entry] * weights[item], len(out))
-            at = stop
-        return out.reshape(hi - lo, n)
-
-
 class TokenSort:
-    """Token-sort ratio (0..1) of token-sorted strings."""
+    """Token-sort ratio (0..1) of token-sorted strings.
+
+    A common subsequence has at most as many characters as the strings have in common, whatever their
+    order. Texts are measured in order of that bound, and only as long as it reaches a query's floor.
+    """
 
     item_columns = query_columns = ("sorted_text",)
+    #: Bins that characters are counted in; characters that share one only raise a bound.
+    BINS = 64
+
+    def __init__(self):
+        self.bounded = self.measured = 0
 
     def width(self):
         return F.octet_length("sorted_text")
@@ -108,14 +73,46 @@ class TokenSort:
     def load_queries(self, table):
         return _plain(table.column("sorted_text")).to_pylist()
 
+    def counts(self, texts) -> np.ndarray:
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32) % self.BINS
+        row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        return np.bincount(row * self.BINS + points, minlength=len(texts) * self.BINS).reshape(len(texts), self.BINS).astype(np.int32)
+
     def load_items(self, table, queries):
         # repeated texts are scored once
         codes, texts = pd.factorize(np.asarray(_plain(table.column("sorted_text")).to_pylist(), dtype=object))
-        return codes, TextBlock(texts)
-
-    def scores(self, queries, lo, hi, items):
-        codes, block = items
-        return np.stack([block.ratio(q)[codes] / 100.0 for q in queries[lo:hi]])
+        return codes, TextBlock(texts), self.counts(texts)
+
+    def bounds(self, query: str, block: TextBlock, counts: np.ndarray) -> np.ndarray:
+        total = block.lengths + len(query)
+        shared = np.minimum(counts, self.counts([query])).sum(axis=1)
+        return np.where(total == 0, 1.0, 2.0 * shared / np.maximum(total, 1))
+
+    def scores(self, queries, lo, hi, items, floor, k):
+        codes, block, counts = items
+        return np.stack([self._above(q, block, counts, f, k)[codes] for q, f in zip(queries[lo:hi], floor)])
+
+    def _above(self, query, block, counts, floor, k):
+        """Scores of the texts that may be among the k best and reach the floor; -inf for all others."""
+        upper = self.bounds(query, block, counts)
+        order = np.argsort(-upper, kind="stable")
+        falling = -upper[order]
+        out = np.full(block.size, -np.inf)
+        at, step = 0, max(2 * k, 16)
+        while at < block.size:
+            reach = int(np.searchsorted(falling, SLACK - floor, "right")) if floor > -np.inf else block.size
+            stop = min(at + step, reach)
+            if stop <= at:
+                break
+            some = np.zeros(block.size, bool)
+            some[order[at:stop]] = True
+            out[some] = block.ratio(query, some)[some] / 100.0
+            at, step = stop, 2 * step
+            if at >= k:
+                floor = max(floor, np.partition(out, block.size - k)[block.size - k])
+        self.bounded += block.size
+        self.measured += at
+        return out
 
 
 class _Best:
@@ -142,7 +139,8 @@ class _Best:
         found = []
         for lo in range(0, self.n, step):
             hi = min(lo + step, self.n)
-            s = self.kernel.scores(self.queries, lo, hi, items)
+            # one more than k, as a query may leave one row out
+            s = self.kernel.scores(self.queries, lo, hi, items, self.floor[lo:hi], self.k + (index is not None))
             s[np.isnan(s)] = -np.inf
             if index is not None:
                 at = index.get_indexer(self.exclude[lo:hi])

@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cadenza.functions.text import GRAM_SIZES, token_sort, words
-from cadenza.operators.blocks import Sparse, TokenSort, block_top_k
+from cadenza.operators.blocks import TokenSort, block_top_k, compared
+from cadenza.operators.impact import ImpactIndex, impact_top_k
 from cadenza.operators.joins import lookup_join, salted_join
+from cadenza.operators.ordering import top_per_group
 from cadenza.session import write_and_read
 
 
@@ -60,16 +62,38 @@ def vectors(texts: DataFrame, idf: DataFrame, key: str = "id", text: str = "text
                        F.transform("p", lambda p: p["w"] / F.col("norm")).alias("weights"))
 
 
+def fit_index(texts: DataFrame, text: str = "text") -> tuple[ImpactIndex, DataFrame]:
+    """The search index of items (id, text) and the vocabulary; a text is cut into grams once, however many items have it."""
+    named = write_and_read(texts.select("id", F.sha2(F.col(text).cast("binary"), 256).alias("cls"), text), "index-texts")
+    named = named.filter(F.col(text).isNotNull())
+    once = write_and_read(named.groupBy("cls").agg(F.min("id").alias("least"), F.count("*").alias("n"),
+                                                   F.first(text).alias(text)), "index-once")
+    counted = counted_grams(once, "cls", text)
+    n = texts.agg(F.count("*")).scalar()
+    df = counted.join(once.select("cls", "n"), "cls").groupBy("gram").agg(F.sum("n").alias("df"))
+    idf = write_and_read(df.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1.0), "idf")
+    rows = vectors(once, idf, "cls", grams=counted).join(once.select("cls", "least"), "cls")
+    return ImpactIndex(named.select("cls", "id"), rows), idf
+
+
 def postings(rows: DataFrame, key: str = "id") -> DataFrame:
     """(key, gram, weight) in long form."""
     return rows.select(key, F.explode(F.arrays_zip("grams", "weights")).alias("p")).select(
         key, F.col("p.grams").alias("gram"), F.col("p.weights").alias("weight"))
 
 
-def tfidf_top_k(items: DataFrame, queries: DataFrame, idf: DataFrame, k: int, carry=(), **bounds) -> DataFrame:
-    """``items`` holds vectors (id, grams, weights, carry...), ``queries`` is (qid, text)."""
-    q = vectors(queries, idf, "qid", "text")
-    return block_top_k(items, q, k, Sparse(), carry=carry, positive=True, **bounds)
+def tfidf_top_k(items: DataFrame, queries: DataFrame, idf: DataFrame, k: int, carry=(),
+                index: ImpactIndex | None = None) -> DataFrame:
+    """Best k items per query with a score above 0: (qid, id, score, carry..., rank).
+
+    ``items`` holds vectors (id, grams, weights, carry...), ``queries`` is (qid, text); with the ``index`` of the
+    items, which ``fit_index`` makes, only their id and the carried columns are read.
+    """
+    index = index or ImpactIndex.of_vectors(items)
+    found = impact_top_k(index, queries, lambda texts: vectors(texts, idf, "q", "text"), k)
+    if carry:
+        found = found.join(items.select("id", *carry), "id")
+    return found.select("qid", "id", "score", *carry, "rank")
 
 
 def query_gram_join(items: DataFrame, queries: DataFrame, idf: DataFrame) -> DataFrame:
@@ -95,7 +119,21 @@ def query_gram_stats(queries: DataFrame, idf: DataFrame) -> DataFrame:
 
 
 def fuzzy_top_k(items: DataFrame, queries: DataFrame, k: int, carry=(), **bounds) -> DataFrame:
-    """Token-sort ratio of lower-cased queries (qid, text) against (id, text, carry...)."""
-    left = items.withColumn("sorted_text", token_sort(F.col("text")))
-    right = queries.select("qid", token_sort(F.lower("text")).alias("sorted_text"))
-    return block_top_k(left, right, k, TokenSort(), carry=carry, **bounds)
+    """Token-sort ratio of lower-cased queries (qid, text) against (id, text, carry...).
+
+    Equal texts are measured once on both sides: of a text's items, k at most can be among the best k.
+    """
+    named = write_and_read(items.select("id", token_sort(F.col("text")).alias("sorted_text")), "fuzzy-items")
+    asked = write_and_read(queries.select("qid", token_sort(F.lower("text")).alias("asked")).filter(F.col("asked").isNotNull()), "fuzzy-asked")
+    texts = named.groupBy("sorted_text").agg(F.min("id").alias("id")).withColumn("text", F.col("sorted_text"))
+    once = write_and_read(asked.groupBy("asked").agg(F.min("qid").alias("qid")), "fuzzy-once")
+    best = block_top_k(texts, once.select("qid", F.col("asked").alias("sorted_text")), k, TokenSort(),
+                       carry=("text",), **bounds)
+    best = write_and_read(best.select("qid", F.col("text").alias("sorted_text"), "score").join(once, "qid").drop("qid"), "fuzzy-best")
+    won = named.join(best.select("sorted_text").distinct(), "sorted_text", "left_semi")
+    ids = top_per_group(won, ["sorted_text"], [F.col("id")], k)
+    found = top_per_group(best.join(ids, "sorted_text"), ["asked"], [compared("score"), F.col("id")], k, rank="rank")
+    found = lookup_join(asked, found.select("asked", "id", "score", "rank"), "asked", "inner", spread=["qid"])
+    if carry:
+        found = found.join(items.select("id", *carry), "id")
+    return found.select("qid", "id", "score", *carry, "rank")

@@ -11,6 +11,7 @@ from cadenza.functions.text import strip
 from cadenza.operators import recommend, tfidf, vibe
 from cadenza.operators.clean import column_stats
 from cadenza.operators.explain import output_rows
+from cadenza.operators.impact import ImpactIndex
 from cadenza.operators.joins import fan_out, lookup_join
 from cadenza.operators.ordering import top_per_group
 from cadenza.operators.vectors import feature_table
@@ -26,13 +27,13 @@ SHOWN = ("name", "artists", "popularity", "energy", "danceability", "valence")
 
 @dataclass
 class SearchIndex:
-    """Fitted tables of one catalog: item rows with vectors, n-gram rows, n-gram statistics."""
+    """Fitted tables of one catalog: item rows with vectors, n-gram statistics, postings in bands."""
 
     items: DataFrame
-    grams: DataFrame
     idf: DataFrame
     stats: DataFrame
     features: list[str]
+    impact: ImpactIndex
 
 
 def build_search_index(catalog: DataFrame) -> SearchIndex:
@@ -47,10 +48,8 @@ def build_search_index(catalog: DataFrame) -> SearchIndex:
     base = write_and_read(kept, "catalog")
     stats = write_and_read(column_stats(base, features), "feature-stats")
     items = feature_table(base, features, stats, keep=("id", *shown, "text"))
-    counted = tfidf.counted_grams(items)
-    idf = tfidf.fit_idf(items, grams=counted)
-    grams = write_and_read(tfidf.vectors(items, idf, grams=counted).join(items.select("id", *shown), "id"), "grams")
-    return SearchIndex(items, grams, idf, stats, features)
+    impact, idf = tfidf.fit_index(base)
+    return SearchIndex(items, idf, stats, features, impact)
 
 
 def search(index: SearchIndex, queries: DataFrame, k: int = 8) -> DataFrame:
@@ -72,7 +71,7 @@ def search(index: SearchIndex, queries: DataFrame, k: int = 8) -> DataFrame:
                        vibe_label(F.col("text")).alias("label"))
 
     typed = asked.filter(F.col("vibe").isNull()).select("qid", "text")
-    scored = tfidf.tfidf_top_k(index.grams, typed, index.idf, 2 * k, carry=shown)
+    scored = tfidf.tfidf_top_k(index.items, typed, index.idf, 2 * k, carry=shown, index=index.impact)
     scored = write_and_read(scored, "scored")
     sure = scored.filter((F.col("rank") == 1) & (F.col("score") >= CONFIDENCE)).select("qid")
     by_gram = scored.filter(F.col("rank") <= k).join(sure, "qid", "left_semi").withColumn("mode", F.lit("tfidf"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalars import search_text
-from cadenza.functions.text import strip, token_sort_ratio
+from cadenza.functions.text import strip, token_sort, token_sort_ratio
 from cadenza.operators import tfidf, vibe
 from cadenza.operators.clean import column_stats
 from cadenza.plans import search as plan
@@ -91,16 +91,17 @@ TFIDF_SCORES = """tfidf AS (
 @query("q03_tfidf_search", "WITH " + SEARCHES + ", " + CORPUS + ", " + fit_sql() + ", " + query_sql("searches") + ", " + TFIDF_SCORES + f"""
 SELECT qid, id, {R('score')} AS score, rank FROM tfidf WHERE rank <= 10""")
 def q03(spark, sf):
-    rows, idf = _fitted(_corpus(spark, sf))
-    return rounded(tfidf.tfidf_top_k(rows, searches(spark, sf), idf, 10))
+    corpus = _corpus(spark, sf)
+    index, idf = tfidf.fit_index(corpus)
+    return rounded(tfidf.tfidf_top_k(corpus, searches(spark, sf), idf, 10, index=index))
 
 
 @query("j08_query_gram_join", "WITH " + SEARCHES + ", " + CORPUS + ", " + fit_sql() + ", " + query_sql("searches") + ", " + TFIDF_SCORES + f"""
-SELECT qid, id, {R('score')} AS score FROM tfidf""")
+SELECT qid, id, rank, {R('score')} AS score FROM tfidf WHERE rank <= 25""")
 def j08(spark, sf):
-    """All pairs of queries and items with a common gram, by a join of their postings."""
+    """The best pairs of each query and the items with a common gram, by a join of their postings."""
     rows, idf = _fitted(_corpus(spark, sf))
-    return rounded(tfidf.query_gram_join(rows, searches(spark, sf), idf))
+    return rounded(tfidf.tfidf_top_k(rows, searches(spark, sf), idf, 25))
 
 
 @query("q03_tfidf_search_documents", "WITH " + fit_sql("documents", "doc_id") + ", asked AS (SELECT item_id AS qid, text FROM benchmark), "
@@ -109,8 +110,8 @@ def q03_documents(spark, sf):
     """Whole passages looked up in whole documents."""
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    rows, idf = _fitted(texts)
-    return rounded(tfidf.tfidf_top_k(rows, asked, idf, 5))
+    index, idf = tfidf.fit_index(texts)
+    return rounded(tfidf.tfidf_top_k(texts, asked, idf, 5, index=index))
 
 
 def lcs_sql(pairs):
@@ -161,6 +162,14 @@ def q05(spark, sf):
     return rounded(tfidf.fuzzy_top_k(_corpus(spark, sf), asked, 10))
 
 
+@query("q05_fuzzy_search_all", "WITH RECURSIVE " + SEARCHES + ", " + CORPUS + ", " + fuzzy_sql("searches") + f"""
+SELECT qid, id, {R('score')} AS score, rank FROM fuzzy WHERE rank <= 5""")
+def q05_all(spark, sf):
+    """Every search text against the whole catalog."""
+    asked = searches(spark, sf).filter(token_sort(F.col("text")) != "")
+    return rounded(tfidf.fuzzy_top_k(_corpus(spark, sf), asked, 5))
+
+
 # asked(qid, text, vibe): contained keyword first, else closest keyword at 80 or more
 DETECT = KEYWORD_ROWS + f""",
 exact AS (SELECT qid, any_value({stripped('text')}) AS text, arg_min(vibe, pos) AS vibe FROM searches
