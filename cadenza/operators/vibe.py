@@ -56,6 +56,12 @@ SIMILARITY_WEIGHT, POPULARITY_WEIGHT = 0.80, 0.20
 KEYWORDS = [(word, vibe) for vibe, words in VIBE_KEYWORDS.items() for word in words]
 
 
+def keyword_table(spark) -> DataFrame:
+    """The keywords as a table (pos, keyword, profile), in list order; callers may bring another."""
+    return spark.createDataFrame([(i, word, vibe) for i, (word, vibe) in enumerate(KEYWORDS)],
+                                 "pos bigint, keyword string, profile string")
+
+
 def exact_vibe(text: Column) -> Column:
     """Profile of the first keyword, in list order, that the text contains; NULL if none."""
     chain = F

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import strip
+from cadenza.operators.keywords import first_keyword
 from cadenza.operators import ingest, joins, tfidf, vibe
 from cadenza.operators.blocks import Dot, block_top_k
 from cadenza.operators.ordering import keep_first
@@ -69,8 +70,22 @@ SELECT vibe, count(*) AS n FROM (
   SELECT doc_id, arg_min(vibe, pos) AS vibe FROM documents LEFT JOIN keywords ON contains(lower(text), word) GROUP BY doc_id)
 GROUP BY vibe""")
 def j04_documents(spark, sf):
-    found = table(spark, sf, "documents").select(vibe.exact_vibe(F.lower("text")).alias("vibe"))
-    return found.groupBy("vibe").agg(F.count("*").alias("n"))
+    texts = table(spark, sf, "documents").select(F.lower("text").alias("text"))
+    found = first_keyword(texts, vibe.keyword_table(spark))
+    return found.groupBy(F.col("profile").alias("vibe")).agg(F.count("*").alias("n"))
+
+
+@query("j04_first_of_many_keywords", """WITH words AS (
+  SELECT min(p_partkey) AS pos, substr(p_name, CAST(1 + p_partkey % 8 AS BIGINT), CAST(2 + p_partkey % 3 AS BIGINT)) AS keyword FROM part GROUP BY ALL),
+once AS (SELECT min(pos) AS pos, keyword FROM words WHERE keyword <> '' GROUP BY keyword),
+first AS (SELECT doc_id, min(pos) AS pos FROM documents LEFT JOIN once ON contains(lower(text), keyword) GROUP BY doc_id)
+SELECT doc_id, f.pos, keyword, p_brand AS profile FROM first f LEFT JOIN once USING (pos) LEFT JOIN part ON p_partkey = f.pos""")
+def j04_many(spark, sf):
+    """Keywords cut from all part names, looked up in all documents in one pass."""
+    part = table(spark, sf, "part")
+    place = F.expr("substring(p_name, cast(1 + p_partkey % 8 as int), cast(2 + p_partkey % 3 as int))")
+    keywords = part.select(F.col("p_partkey").alias("pos"), place.alias("keyword"), F.col("p_brand").alias("profile"))
+    return first_keyword(table(spark, sf, "documents").select("doc_id", F.lower("text").alias("text")), keywords)
 
 
 @query("j05_best_of_all_pairs", "WITH " + FILLED + f"""
