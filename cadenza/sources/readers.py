@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators.ingest import PAGE_SCHEMA, page_items
 from cadenza.schema import nan_to_null
+from cadenza.sources import versions
 
 
 log = logging.getLogger(__name__)
@@ -41,20 +42,22 @@ def read_playlist_pages(spark: SparkSession, path: str) -> DataFrame:
     return page_items(spark.read.schema(PAGE_SCHEMA).json(path))
 
 
+INDEX_TABLES = ("vectors", "items", "feature_stats")
+
+
 def load_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables written by ``save_index``."""
-    return {name: spark.read.parquet(f"{path}/{name}") for name in ("vectors", "items", "feature_stats")}
+    """The tables of the newest whole version written by ``save_index``; ValueError if there is none."""
+    return versions.read_newest(spark, path, INDEX_TABLES)
 
 
 def load_index_or_fallback(spark: SparkSession, learned: str, raw: str) -> tuple[dict[str, DataFrame], str]:
-    """Learned vectors if they can be read, otherwise the raw-feature vectors."""
+    """Learned vectors if a version of them is whole, every file of it, otherwise the raw-feature vectors."""
     try:
         tables = load_index(spark, learned)
         if {"id", "vec"} <= set(tables["vectors"].columns):
-            tables["vectors"].limit(1).collect()
             return tables, "learned"
-    except (PySparkException, Py4JJavaError) as e:  # missing tables, damaged files
-        log.warning("learned vectors at %s cannot be read (%s); using %s", learned, type(e).__name__, raw)
+    except (ValueError, PySparkException, Py4JJavaError) as e:
+        log.warning("learned vectors at %s cannot be read (%s); using %s", learned, e, raw)
     return load_index(spark, raw), "raw"
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from cadenza.sources import versions
+
 
 def lists_to_text(df: DataFrame, separator: str = "; ") -> DataFrame:
     lists = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
@@ -19,10 +21,9 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def save_index(path: str, vectors: DataFrame, items: DataFrame, feature_stats: DataFrame) -> None:
-    """Vector table (id, vec), item table (id, ...) and one-row feature statistics."""
-    for name, df in (("vectors", vectors), ("items", items), ("feature_stats", feature_stats)):
-        write_parquet(df, f"{path}/{name}")
+def save_index(path: str, vectors: DataFrame, items: DataFrame, feature_stats: DataFrame) -> int:
+    """Vector table (id, vec), item table (id, ...) and one-row feature statistics, committed as the path's next version."""
+    return versions.commit(path, {"vectors": vectors, "items": items, "feature_stats": feature_stats})
 
 
 def metrics_with_k(report: DataFrame, k: int) -> DataFrame:
