@@ -18,6 +18,7 @@ from cadenza.schema import AUDIO9_EDA, CLUSTER_FEATURES, MOOD_FEATURES
 from cadenza.session import scratch_path
 from cadenza.sources import readers, writers
 
+SOUNDS = [c for c in FEATURES if c != "popularity"]
 # two playlists carry a mood label, the others are labelled by rule
 PLAYLISTS = {"FAVOURITES": "", "ECONOMY": "sad", "PROMO": "party", "STANDARD": "", "SMALL": "", "MEDIUM": "", "LARGE": ""}
 
@@ -47,11 +48,10 @@ def _collected(spark, sf):
 
 @query("k01_collect", "WITH " + COLLECTED + f"""
 SELECT track_id, name, array_to_string(artist_names, '; ') AS artist_names, CAST(popularity AS BIGINT) AS popularity, album, release_date,
-  {R('energy')} AS energy, {R('tempo')} AS tempo, primary_genre, all_genres, artist_followers, artist_popularity, mood_label FROM collected""")
+  {', '.join(f"{R(c)} AS {c}" for c in SOUNDS)}, primary_genre, all_genres, artist_followers, artist_popularity, mood_label FROM collected""")
 def k01(spark, sf):
     got = writers.lists_to_text(_collected(spark, sf))
-    return rounded(got.select("track_id", "name", "artist_names", "popularity", "album", "release_date", "energy", "tempo",
-                              "primary_genre", "all_genres", "artist_followers", "artist_popularity", "mood_label"))
+    return rounded(got.select("track_id", "name", "artist_names", "popularity", "album", "release_date", *SOUNDS, "primary_genre", "all_genres", "artist_followers", "artist_popularity", "mood_label"))
 
 
 @query("k01_collect_mood_counts", "WITH " + COLLECTED + "SELECT mood_label, count(*) AS n FROM collected GROUP BY 1")
@@ -100,6 +100,16 @@ def k02(spark, sf):
     return _flat_scaled(_prepared(spark, sf, "standard"))
 
 
+@query("k02_genre_columns", "WITH " + PREPARED + """,
+hs AS (SELECT genre, avg(h) AS m, CASE WHEN stddev_pop(h) = 0 THEN 1 ELSE stddev_pop(h) END AS sd FROM hot GROUP BY genre)
+SELECT id AS track_id, 'genre_' || replace(lower(genre), ' ', '_') AS column_name, """ + R("(h - m) / sd") + """ AS value FROM hot JOIN hs USING (genre)""")
+def k02_genres(spark, sf):
+    """Every scaled genre column by its name."""
+    df = _prepared(spark, sf, "standard")
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in df.columns if c.startswith("genre_")])
+    return rounded(df.select("track_id", F.inline(cells)))
+
+
 @query("k02_preprocess_minmax", "WITH " + PREPARED + scaled_sql("min({c})", "(max({c}) - min({c}))"))
 def k02_minmax(spark, sf):
     return _flat_scaled(_prepared(spark, sf, "minmax"))

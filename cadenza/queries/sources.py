@@ -61,6 +61,22 @@ def s05(spark, sf):
                                "track.popularity", F.col("track.album.release_date").alias("album_date")))
 
 
+@query("s05_pages_put_aside", "WITH " + NESTED + """,
+whole AS (SELECT *, CASE WHEN no_track THEN 'no track' WHEN id IS NULL OR id = '' THEN 'no id' ELSE 'read' END AS kind FROM raw WHERE page_no % 5 > 1)
+SELECT kind, playlist_id, count(*) AS n FROM whole GROUP BY kind, playlist_id
+UNION ALL SELECT 'damaged page', NULL, count(*) FROM (SELECT DISTINCT playlist_id, page_no FROM raw WHERE page_no % 5 <= 1) HAVING count(*) > 0""")
+def s05_checked(spark, sf):
+    """Pages of which two in five are damaged, one cut short, one of a wrong type: what is read and what is put aside."""
+    path = scratch_path(spark, "pages")
+    line, turn = F.to_json(F.struct("playlist_id", "page_no", "items")), F.col("page_no") % 5
+    damaged = (F.when(turn == 0, F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int")))
+               .when(turn == 1, F.regexp_replace(line, '"page_no":', '"page_no":"x",')).otherwise(line))
+    nested_pages(spark, sf).select(damaged.alias("value")).write.text(path)
+    rows, aside = readers.read_checked_pages(spark, path)
+    kinds = rows.select(F.lit("read").alias("kind"), "playlist_id").unionByName(aside.select(F.col("reason").alias("kind"), "playlist_id"))
+    return kinds.groupBy("kind", "playlist_id").agg(F.count("*").alias("n"))
+
+
 @query("s06_csv_sink_lists", "WITH " + NESTED + """
 SELECT track_id, nullif(array_to_string(artist_ids, '; '), '') AS artist_ids,
        nullif(array_to_string(artist_names, '; '), '') AS artist_names FROM flat""")

@@ -6,10 +6,11 @@ import logging
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cadenza.operators.ingest import PAGE_SCHEMA, page_items
 from cadenza.schema import nan_to_null
+from cadenza.session import write_and_read
 from cadenza.sources import versions
 
 
@@ -42,6 +43,32 @@ def read_playlist_pages(spark: SparkSession, path: str) -> DataFrame:
     return page_items(spark.read.schema(PAGE_SCHEMA).json(path))
 
 
+def read_checked_pages(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Landed pages as by ``read_playlist_pages``, and what was put aside: (file, playlist_id, page_no, pos, reason, record).
+
+    A line that is no JSON of the expected types is put aside whole (``damaged page``, with the line as it is), a page
+    without a list as ``no items``, and an entry without a track or a usable id by itself; every other entry is read.
+    """
+    schema = PAGE_SCHEMA.rstrip() + ", _line STRING"
+    parsed = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").json(path)
+    # written, because the parser fills the line only where all columns are read
+    pages = write_and_read(parsed.select("*", F.col("_metadata.file_name").alias("_file")), "pages")
+    whole = pages.filter(F.col("_line").isNull())
+    missing = F.lit(None)
+    damaged = pages.filter(F.col("_line").isNotNull()).select(
+        F.col("_file").alias("file"), missing.cast("string").alias("playlist_id"), missing.cast("int").alias("page_no"),
+        missing.cast("int").alias("pos"), F.lit("damaged page").alias("reason"), F.col("_line").alias("record"))
+    bare = whole.filter(F.col("items").isNull()).select(
+        F.col("_file").alias("file"), "playlist_id", "page_no", missing.cast("int").alias("pos"),
+        F.lit("no items").alias("reason"), missing.cast("string").alias("record"))
+    entries = whole.select("_file", "playlist_id", "page_no", F.posexplode("items").alias("pos", "item"))
+    track = F.col("item.track")
+    reason = F.when(track.isNull(), "no track").when(track["id"].isNull() | (track["id"] == ""), "no id")
+    unusable = entries.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(
+        F.col("_file").alias("file"), "playlist_id", "page_no", "pos", "reason", F.to_json("item").alias("record"))
+    return page_items(whole.drop("_line", "_file")), damaged.unionByName(bare).unionByName(unusable)
+
+
 INDEX_TABLES = ("vectors", "items", "feature_stats")
 
 
