@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cadenza.operators.clean import scale
 from cadenza.operators.joins import lookup_join
+from cadenza.operators.moments import co_moments, correlations_of
 from cadenza.operators.quantiles import exact_quantiles, long_form
 from cadenza.schema import MOOD_PLOT_ORDER, feature_vector, numeric_columns
 from cadenza.session import write_and_read
@@ -51,12 +52,7 @@ def correlations(df: DataFrame, columns) -> DataFrame:
     """Lower triangle of the Pearson matrix over rows where both features are present, in one pass."""
     if len(columns) < 2:
         raise ValueError("need at least two features")
-    pairs = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                               F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                      for i, a in enumerate(columns) for b in columns[:i]])
-    # one row per pair combines map-side; one aggregate per pair would outgrow generated code
-    return (df.select(F.explode(pairs).alias("p")).select("p.*")
-            .groupBy("feature_a", "feature_b").agg(F.corr("x", "y").alias("r")))
+    return correlations_of(co_moments(df, columns))
 
 
 def histogram(df: DataFrame, columns, bins: int) -> DataFrame:
