@@ -5,6 +5,8 @@
 2. Anchors choose what can repeat at all: of the word runs of ``ANCHOR`` words in each window, the one with
    the smallest hash. Equal windows have equal anchors. Passages around anchors that several
    documents have go to the anchor's shard; equal passages meet as one, with their smallest doc_id.
+   An anchor with many distinct passages gives way to longer ones: of the words around it, a window holds
+   enough on one side or the other, so a passage goes on with at most two longer runs, and again.
 3. A shard's passages are indexed: backward search over a wavelet matrix gives matching statistics of
    every streamed passage against those of smaller documents, and stretches of ``WINDOW`` or more
    words are reported.
@@ -14,6 +16,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from cadenza.session import write_and_read
 WINDOW, ANCHOR = 50, 25
 #: Words that one index holds.
 SHARD_WORDS = 1_000_000
-#: Distinct passages of one anchor beyond which they are first cut down to what repeats.
+#: Distinct passages of one anchor beyond which longer anchors take its place.
 CROWDED = 5_000
 NO_ID = (1 << 63) - 1
 NOTHING = hashlib.sha256(b"").hexdigest()
@@ -82,15 +85,13 @@ def _rows(docs: DataFrame, window: int, size: int) -> DataFrame:
 
 
 def _touched(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cid, did, text, marks) of the documents with shared anchors; marks: (place, anchor, is the smallest doc's)."""
+    """(cid, did, text, marks) of the documents with shared anchors; marks: (place, anchor)."""
     members = rows.filter(F.size("anchors") > 0).join(classes, ["digest", "did"]).select("cid", "did", "anchors", "places")
     postings = members.select("cid", "did", F.inline(F.arrays_zip("anchors", "places"))).toDF(
         "cid", "did", "anchor", "place")
-    shared = postings.groupBy("anchor").agg(F.min("cid").alias("low"), F.max("cid").alias("high"),
-                                            F.min("did").alias("least")).filter("low < high")
-    marks = postings.join(shared.select("anchor", "least"), "anchor").groupBy("cid").agg(
-        F.array_distinct(F.collect_list(F.struct("place", "anchor", (F.col("did") == F.col("least")).alias("first"))))
-        .alias("marks"))
+    shared = postings.groupBy("anchor").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
+    marks = postings.join(shared.select("anchor"), "anchor").groupBy("cid").agg(
+        F.array_distinct(F.collect_list(F.struct("place", "anchor"))).alias("marks"))
     marks = write_and_read(marks.join(classes, "cid"), "op8-marks")
     keyed = docs.withColumn("did", F.coalesce("doc_id", F.lit(NO_ID)))
     wanted = marks.select("did").distinct()
@@ -108,70 +109,94 @@ def _words_digest(text):
 
 
 def _passages(touched: DataFrame, window: int, size: int) -> DataFrame:
-    """(anchor, first, cid, did, start, n, words): the ``n`` words around each mark that windows with it reach."""
+    """The ``n`` words around each mark that windows with it reach.
+
+    Rows are (anchor, cid, did, start, n, at, low, high, words, print): windows have ``low`` to ``high`` words before
+    the anchor, which is at word ``at`` of the passage. A passage shorter than a window is left out.
+    """
     around = window - size
 
     def run(batches):
         for part in text_blocks(batches):
-            columns = [[] for _ in range(7)]
+            rows = []
             for cid, did, text, marks in zip(*(part.column(c).to_pylist() for c in ("cid", "did", "text", "marks"))):
                 words = text.encode().split()
                 for mark in marks:
                     start = max(0, mark["place"] - around)
                     stop = min(len(words), mark["place"] + window)
-                    for column, value in zip(columns, (mark["anchor"], mark["first"], cid, did, start,
-                                                       stop - start, b" ".join(words[start:stop]))):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(),
-                                                          pa.int64(), pa.binary()))],
-                ["anchor", "first", "cid", "did", "start", "n", "words"])
+                    if stop - start >= window:
+                        rows.append((mark["anchor"], cid, did, start, stop - start, mark["place"] - start,
+                                     0, around, b" ".join(words[start:stop])))
+            yield _batch(rows, _PASSAGE)
+
+    return touched.mapInArrow(run, _schema(_PASSAGE)).withColumn("print", F.xxhash64("at", "words"))
+
+
+_PASSAGE = ("anchor", "cid", "did", "start", "n", "at", "low", "high", "words")
+_LONGER = ("anchor", "did", "parent", "parent_print", "start", "n", "at", "low", "high", "words")
 
-    cut = touched.mapInArrow(run, "anchor bigint, first boolean, cid bigint, did bigint, start bigint, n bigint, words binary")
-    return cut.withColumn("print", F.xxhash64("words"))
+
+def _schema(names) -> str:
+    return ", ".join(f"{name} {'binary' if name == 'words' else 'bigint'}" for name in names)
+
+
+def _batch(rows: list[tuple], names) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if name == "words" else pa.int64())
+                                       for c, name in zip(columns, names)], list(names))
 
 
 def _distinct(passages: DataFrame) -> DataFrame:
     """Equal passages of an anchor as one, with their smallest document."""
-    return write_and_read(passages.groupBy("anchor", "words", "print").agg(
-        F.min("did").alias("did"), F.max("first").alias("first"), F.first("n").alias("n")), "op8-passages")
+    return write_and_read(passages.groupBy("anchor", "at", "words", "print").agg(
+        F.min("did").alias("did"), *[F.first(c).alias(c) for c in ("n", "low", "high")]), "op8-passages")
 
 
-def _cut_down(passages: DataFrame, crowded: DataFrame, window: int) -> DataFrame:
-    """Passages of crowded anchors, shortened to their repeated windows; those without any are gone.
+def halves(anchor: int, words: list[bytes], at: int, low: int, high: int, window: int, size: int):
+    """(anchor, begin, end, at, low, high): the passage below the two longer runs that take its anchor's place.
 
-    Windows are counted with a combine before the shuffle, so that no task holds an anchor's passages.
-    A passage is known by its start and length: several marks of one anchor can reach back to a text's start.
+    Its windows have ``low`` to ``high`` words before the anchor's run. Those with ``middle`` or more have the
+    ``middle`` words before it in common, the others the words behind it that a window with one word less has. The
+    longer run is named by a digest, together with the anchor and the bounds; a side without any window is left out.
     """
-    hot = write_and_read(passages.join(F.broadcast(crowded) if fits_broadcast(crowded) else crowded,
-                                       "anchor", "left_semi"), "op8-crowded")
-
+    around, middle = window - size, (low + high + 1) // 2
+    for least, most in ((middle, high), (low, middle - 1)):
+        fewest, farthest = max(least, at + window - len(words)), min(most, at)
+        if fewest <= farthest:
+            run = b" ".join(words[at - least:at + size + around - most])
+            name = hashlib.blake2b(b"%d %d %d " % (anchor, least, most) + run, digest_size=8).digest()
+            begin, end = at - farthest, at + size + around - fewest
+            yield int.from_bytes(name, "little", signed=True), begin, end, at - begin, least, most
+
+
+def _longer(hot: DataFrame, window: int, size: int) -> DataFrame:
+    """Distinct passages below longer anchors: two rows at most for each, ``start`` words into their parent."""
     def run(batches):
         for part in text_blocks(batches, "words"):
-            texts = raw_texts(part.column("words"))
-            words = Words(texts, white_separator())
-            grams, first = gram_hashes(words.hashes(), window), words.first
-            counts = np.maximum(np.diff(first) - window + 1, 0)
-            row = np.repeat(np.arange(len(texts)), counts)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(c).take(pa.array(row)) for c in ("anchor", "cid", "did", "start", "n")]
-                + [pa.array(place.astype(np.int64)), pa.array(grams[first[row] + place].view(np.int64))],
-                ["anchor", "cid", "did", "start", "n", "place", "gram"])
-
-    windows = hot.mapInArrow(
-        run, "anchor bigint, cid bigint, did bigint, start bigint, n bigint, place bigint, gram bigint")
-    repeated = windows.groupBy("anchor", "gram").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
-    repeated = write_and_read(repeated.select("anchor", "gram"), "op8-repeated")
-    reach = windows.join(repeated, ["anchor", "gram"], "left_semi").groupBy(
-        "anchor", "cid", "start", "n").agg(F.min("place").alias("from"), (F.max("place") + window).alias("to"))
-    words = F.split(F.col("words").cast("string"), " ")
-    short = hot.join(reach, ["anchor", "cid", "start", "n"]).select(
-        "anchor", "first", "cid", "did", (F.col("start") + F.col("from")).alias("start"),
-        (F.col("to") - F.col("from")).alias("n"),
-        F.concat_ws(" ", F.slice(words, (F.col("from") + 1).cast("int"), (F.col("to") - F.col("from")).cast("int")))
-        .cast("binary").alias("words"))
-    return write_and_read(short.withColumn("print", F.xxhash64("words")), "op8-shortened")
+            rows = []
+            for anchor, print_, did, at, low, high, text in zip(*(part.column(c).to_pylist() for c in (
+                    "anchor", "print", "did", "at", "low", "high", "words"))):
+                words = text.split(b" ")
+                for name, begin, end, place, least, most in halves(anchor, words, at, low, high, window, size):
+                    rows.append((name, did, anchor, print_, begin, end - begin, place, least, most,
+                                 b" ".join(words[begin:end])))
+            yield _batch(rows, _LONGER)
+
+    longer = hot.mapInArrow(run, _schema(_LONGER)).withColumn("print", F.xxhash64("at", "words"))
+    return write_and_read(longer, "op8-longer")
+
+
+def _spread(found: DataFrame, passages: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``passages`` with the stretches (from, to) that go, counted from where a passage's ``start`` counts from.
+
+    A distinct passage's smallest document has the stretches found; in its other documents all of it goes.
+    """
+    least = distinct.select("anchor", "print", F.col("did").alias("least"))
+    copies = passages.join(least, ["anchor", "print"]).filter("did > least").withColumns(
+        {"from": F.col("start"), "to": F.col("start") + F.col("n")})
+    own = passages.join(found, ["anchor", "print"]).filter("did = least").withColumns(
+        {"from": F.col("start") + F.col("from"), "to": F.col("start") + F.col("to")})
+    return own.unionByName(copies)
 
 
 def _search(window: int):
@@ -182,7 +207,7 @@ def _search(window: int):
         names, number, several = np.unique(anchor, return_inverse=True, return_counts=True)
         table = table.filter(pa.array(several[number] > 1))
         anchor, did = table.column("anchor").to_numpy(), table.column("did").to_numpy()
-        prints, first = table.column("print").to_numpy(), table.column("first").to_numpy()
+        prints = table.column("print").to_numpy()
         words = [w.split(b" ") for w in raw_texts(table.column("words"))]
         if not words:
             return pa.Table.from_pylist([], schema=_HITS)
@@ -195,7 +220,10 @@ def _search(window: int):
         tokens[np.arange(len(flat)) + np.repeat(np.arange(len(words)), length)] = flat
         rank = np.unique(did, return_inverse=True)[1].astype(np.int64)
         index = FMIndex(tokens, np.repeat(rank, length + 1), len(ids) + 1, int(length.max()))
-        asked = np.flatnonzero(~first)
+        names, number = np.unique(anchor, return_inverse=True)
+        smallest = np.full(len(names), NO_ID)
+        np.minimum.at(smallest, number, did)
+        asked = np.flatnonzero(did > smallest[number])
         hits = intervals(index, begin[asked], length[asked], rank[asked], window)
         which = asked[hits[:, 0]]
         return pa.Table.from_arrays([pa.array(anchor[which]), pa.array(prints[which]), pa.array(did[which]),
@@ -207,31 +235,35 @@ _HITS = pa.schema([("anchor", pa.int64()), ("print", pa.int64()), ("least", pa.i
                    ("to", pa.int64())])
 
 
-def _hits(passages: DataFrame, window: int, shard_words: int, crowded: int) -> DataFrame:
-    """(cid, from, to): stretches of documents to remove, in words."""
-    distinct = _distinct(passages)
-    many = distinct.groupBy("anchor").count().filter(F.col("count") > crowded).select("anchor")
-    many = write_and_read(many, "op8-many")
-    if not many.isEmpty():
+def _hits(passages: DataFrame, window: int, size: int, shard_words: int, crowded: int) -> DataFrame:
+    """(cid, from, to): stretches of documents to remove, in words.
+
+    Of a crowded anchor only distinct passages go on, below longer anchors. After as many rounds as a window's
+    spare words can be halved the anchor is a whole window, and all its passages are one.
+    """
+    distinct = [_distinct(passages)]
+    settled, longer = [], []
+    while True:
+        many = distinct[-1].groupBy("anchor").agg(F.count("*").alias("_n"), F.max(F.col("high") - F.col("low")).alias("_open"))
+        many = write_and_read(many.filter((F.col("_n") > crowded) & (F.col("_open") > 0)).select("anchor"), "op8-many")
+        if many.isEmpty():
+            break
         few = F.broadcast(many) if fits_broadcast(many) else many
-        short = _cut_down(passages, many, window)
-        # the other anchors' passages are known already
-        distinct = distinct.join(few, "anchor", "left_anti").unionByName(_distinct(short))
-        passages = passages.join(few, "anchor", "left_anti").unionByName(short)
-    total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        settled.append(distinct[-1].join(few, "anchor", "left_anti"))
+        longer.append(_longer(distinct[-1].join(few, "anchor", "left_semi"), window, size))
+        distinct.append(_distinct(longer[-1]))
+    everything = reduce(DataFrame.unionByName, settled, distinct[-1])
+    total = everything.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_words))
-    sharded = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
+    sharded = everything.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
     found = sharded.groupBy("shard").applyInArrow(
         _search(window), "anchor bigint, print bigint, least bigint, from bigint, to bigint")
     found = write_and_read(found, "op8-found")
-    # the passage's smallest document has the stretches found; its other documents have all of it there
-    slim = passages.select("anchor", "print", "cid", "did", "start", "n")
-    least = distinct.select("anchor", "print", F.col("did").alias("least"))
-    copies = slim.join(least, ["anchor", "print"]).filter(f"did > least AND n >= {window}").select(
-        "cid", F.col("start").alias("from"), (F.col("start") + F.col("n")).alias("to"))
-    own = slim.join(found, ["anchor", "print"]).filter("did = least").select(
-        "cid", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
-    return own.unionByName(copies)
+    for below, known in zip(reversed(longer), reversed(distinct)):
+        above = _spread(found, below.select("anchor", "print", "did", "start", "n", "parent", "parent_print"), known).select(
+            F.col("parent").alias("anchor"), F.col("parent_print").alias("print"), F.col("did").alias("least"), "from", "to")
+        found = write_and_read(found.unionByName(above.distinct()), "op8-found")
+    return _spread(found, passages.select("anchor", "print", "cid", "did", "start", "n"), distinct[0]).select("cid", "from", "to")
 
 
 def _removed(touched: DataFrame, hits: DataFrame) -> DataFrame:
@@ -263,7 +295,7 @@ def _state(docs: DataFrame, window: int, size: int, shard_words: int, crowded: i
     classes = rows.groupBy("digest").agg(F.min("did").alias("did"))
     classes = write_and_read(classes.withColumn("cid", F.monotonically_increasing_id()), "op8-classes")
     touched = _touched(docs, rows, classes)
-    removed = _removed(touched, _hits(_passages(touched, window, size), window, shard_words, crowded))
+    removed = _removed(touched, _hits(_passages(touched, window, size), window, size, shard_words, crowded))
     placed = rows.select("doc_id", "did", "n_words", "digest").join(
         classes.withColumnRenamed("did", "rep"), "digest")
     return placed, removed

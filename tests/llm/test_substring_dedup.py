@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from cadenza.llm.fm_index import FMIndex, WaveletMatrix, intervals, suffix_order
-from cadenza.llm.substring_dedup import repeated_passages
+from cadenza.llm.substring_dedup import halves, repeated_passages
 from tests.llm.helpers import by_id, corpus, prose, words
 
 
@@ -40,7 +40,7 @@ def check(docs, rows, **options):
     assert got == brute(rows)
 
 
-@pytest.mark.parametrize("options", [{}, {"shard_words": 700}, {"crowded": 2}])
+@pytest.mark.parametrize("options", [{}, {"shard_words": 700}, {"crowded": 1}, {"crowded": 3}])
 def test_against_brute_force(make_docs, options):
     rows = corpus(7, 50) + [(1000 + d, t) for d, t in shared_passages()]
     check(make_docs(rows), rows, **options)
@@ -63,6 +63,39 @@ def test_several_marks_at_the_start_of_a_crowded_text(make_docs, crowded):
     check(make_docs(repeated_starts()), repeated_starts(), crowded=crowded)
 
 
+def test_longer_anchors_keep_every_shared_window():
+    """Two passages around one anchor share a window exactly if they share a longer anchor, at every depth."""
+    rng = np.random.default_rng(5)
+    window, size = 12, 5
+    anchor = [b"a%d" % i for i in range(size)]
+
+    def leaves(words, at, name=1, low=0, high=window - size, depth=0):
+        out = {(depth, name)}
+        for named, begin, end, place, least, most in halves(name, words, at, low, high, window, size):
+            assert words[begin:end][place:place + size] == anchor and end - begin >= window
+            if least == most:
+                out.add((depth + 1, named, "end"))
+            else:
+                out |= leaves(words[begin:end], place, named, least, most, depth + 1)
+        return out
+
+    def windows(words, at):
+        return {tuple(words[i:i + window]) for i in range(max(0, at - window + size), at + 1) if i + window <= len(words)}
+    met = 0
+    for _ in range(1500):
+        pair = []
+        for _ in range(2):
+            before, after = ([b"%d" % (rng.random() < 0.05) for _ in range(int(rng.integers(0, window - size + 1)))]
+                             for _ in range(2))
+            pair.append((before + anchor + after, len(before)))
+        ends = [{x for x in leaves(*p) if len(x) == 3} if len(p[0]) >= window else set() for p in pair]
+        assert [len(e) for e in ends] == [len(windows(*p)) for p in pair]
+        shared = windows(*pair[0]) & windows(*pair[1])
+        assert len(ends[0] & ends[1]) == len(shared)
+        met += bool(shared)
+    assert 50 < met < 1450
+
+
 def test_odd_rows(make_docs):
     text = " ".join(prose(5, 60))
     rows = [(5, text), (5, text), (5, text + " more"), (None, text), (9, None), (10, ""), (11, "x" * 9000)]
