@@ -231,13 +231,15 @@ class Network:
             codes = np.frombuffer(b"".join(words[p[0]][p[1]:p[4]] for p in parts[start:stop]), np.uint8)
             logits = self._logits("f", codes, first, length)
             logits += self._logits("b", codes, first, length)
-            logits += self.weights["c"]
-            logits -= logits.max(axis=1, keepdims=True)
-            chance = np.zeros((len(codes) + 1, len(self.languages)), np.float32)
-            np.exp(logits, out=chance[:-1])
-            chance[:-1] /= chance[:-1].sum(axis=1, keepdims=True)
+            # one row per language: sums over a few languages are slow along the inner axis
+            chance = np.zeros((len(self.languages), len(codes) + 1), np.float32)
+            chance[:, :-1] = logits.T
+            chance += self.weights["c"][:, None]
+            chance -= chance.max(axis=0)
+            np.exp(chance, out=chance)
+            chance /= chance.sum(axis=0)
             spans = np.stack([first + low - begin, first + high - begin], 1).ravel()
-            np.add.at(out[:, :-1], owner, np.add.reduceat(chance, spans, axis=0, dtype=np.float64)[::2])
+            np.add.at(out[:, :-1], owner, np.add.reduceat(chance, spans, axis=1, dtype=np.float64)[:, ::2].T)
             np.add.at(out[:, -1], owner, high - low)
             start = stop
         return out
