@@ -30,6 +30,8 @@ HIDDEN = 16
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WORDS = 150, 20_000, 40_000
 #: Parts taken of a document with more characters, spread over it; together as many characters.
 PARTS = 8
+#: Parts of a language's hashes that are ranked apart first.
+SPREAD = 16
 STEPS, BATCH, RATE = 700, 256, 0.01
 UNDETERMINED = "und"
 #: Logits that one array holds; bounds the memory of a task, whatever the number of languages.
@@ -49,7 +51,7 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE
 
     They are the first by a hash of the text. Of a text with more than ``chars`` characters, ``parts`` evenly
     spread ones of ``chars / parts`` characters are taken; without ``parts`` such texts are left out. Only hashes
-    are ranked; each task keeps its first ones before the shuffle.
+    are ranked, first in parts by their remainder, so that the texts of a common language meet in no single task.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
@@ -60,7 +62,9 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE
     rows = rows.withColumn("print", F.xxhash64("text"))
     texts = rows.groupBy("lang", "print").agg(F.min("doc_id").alias("doc_id"))
     order = Window.partitionBy("lang").orderBy("print")
-    picked = texts.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    apart = Window.partitionBy("lang", F.pmod("print", F.lit(SPREAD))).orderBy("print")
+    near = texts.withColumn("n", F.row_number().over(apart)).filter(F.col("n") <= per_language)
+    picked = near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
     # bounded by languages times per_language
     found = rows.join(F.broadcast(picked), ["lang", "print", "doc_id"]).select("lang", "n", "text")
     if parts:
