@@ -123,11 +123,16 @@ def fill_text(df: DataFrame, columns=TEXT_COLUMNS) -> DataFrame:
     return df.fillna("Unknown", subset=present(df, columns))
 
 
-def add_release_year(df: DataFrame, column: str = "release_date", settle: bool = False) -> DataFrame:
-    """``release_year`` in range, the median year where the date gives none."""
+def add_release_year(df: DataFrame, column: str = "release_date", settle: bool = False, fill: bool = True) -> DataFrame:
+    """``release_year`` in range, the median year where the date gives none.
+
+    Without ``fill`` it stays missing there, for an imputation by medians that fits all columns at once.
+    """
     if column not in df.columns:
         return df
     dated = df.withColumn("release_year", bounded_release_year(F.col(column)).cast("double"))
+    if not fill:
+        return dated
     median = exact_quantiles(dated, ["release_year"], [0.5]).agg(F.max("q0").alias("year"))
     median = write_and_read(median, "median-year") if settle else median
     return dated.withColumn("release_year", F.coalesce("release_year", median.scalar()))

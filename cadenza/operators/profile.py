@@ -7,9 +7,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from cadenza.operators.clean import scale
-from cadenza.operators.joins import lookup_join
 from cadenza.operators.moments import co_moments, correlations_of
-from cadenza.operators.quantiles import exact_quantiles, long_form
+from cadenza.operators.quantiles import exact_boxes, exact_quantiles, long_form, quantile_state
 from cadenza.schema import MOOD_PLOT_ORDER, feature_vector, numeric_columns
 from cadenza.session import write_and_read
 
@@ -35,13 +34,18 @@ def table_profile(df: DataFrame, order: str) -> DataFrame:
         F.lit(", ".join(df.columns)).alias("columns"), "n_rows", first.alias("sample"))
 
 
-def describe(df: DataFrame, columns) -> DataFrame:
-    """Moments and exact quartiles; the columns are written once for the passes over them."""
-    df = write_and_read(df.select(*columns), "described")
-    moments = long_form(df, columns).groupBy("feature").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+def describe(df: DataFrame, columns, state: DataFrame | None = None) -> DataFrame:
+    """Moments and exact quartiles in two scans, or one with the written ``quantile_state`` of ``df``.
+
+    Without a state the columns are written once for both scans.
+    """
+    if state is None:
+        df = write_and_read(df.select(*columns), "described")
+        state = write_and_read(quantile_state(df, columns), "quantile-state")
+    moments = state.filter(F.col("feature").isin(*columns) & (F.col("n") > 0)).select(
+        "feature", F.col("n").alias("count"), "mean",
+        F.when(F.col("n") > 1, F.sqrt(F.col("square") / (F.col("n") - 1))).alias("std"), "min", "max")
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], state=state)
     # one row per feature on both sides
     return moments.join(F.broadcast(quartiles), "feature").select(
         "feature", "count", "mean", "std", "min", F.col("q0").alias("p25"),
@@ -55,10 +59,17 @@ def correlations(df: DataFrame, columns) -> DataFrame:
     return correlations_of(co_moments(df, columns))
 
 
-def histogram(df: DataFrame, columns, bins: int) -> DataFrame:
-    """Equal-width bins from minimum to maximum, the last closed on the right, empty bins included."""
+def histogram(df: DataFrame, columns, bins: int, state: DataFrame | None = None) -> DataFrame:
+    """Equal-width bins from minimum to maximum, the last closed on the right, empty bins included.
+
+    The ends come from the written ``quantile_state`` of ``df`` if there is one, else from a scan of their own.
+    """
     long = long_form(df, columns)
-    ends = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.avg("value").alias("mean"))
+    if state is None:
+        ends = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.avg("value").alias("mean"))
+    else:
+        ends = state.filter(F.col("feature").isin(*columns) & (F.col("n") > 0)).select(
+            "feature", F.col("min").alias("lo"), F.col("max").alias("hi"), "mean")
     flat = F.col("lo") == F.col("hi")
     ends = ends.select("feature", "mean", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
                        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
@@ -75,23 +86,16 @@ def histogram(df: DataFrame, columns, bins: int) -> DataFrame:
         F.coalesce("n", F.lit(0)).alias("n"), "mean")
 
 
-def box_summary(df: DataFrame, columns, by: str = "mood_label", groups=None) -> DataFrame:
+def box_summary(df: DataFrame, columns, by: str = "mood_label", groups=None, state: DataFrame | None = None) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 IQR, and outlier counts per group.
 
     Moods are the fixed ones; of any other column every label is a group, unless ``groups`` lists some.
+    ``state`` is the written ``quantile_state`` of ``df`` by that column, if there is one.
     """
     groups = groups or (MOOD_PLOT_ORDER if by == "mood_label" else None)
-    df = df.filter(F.col(by).isin(*groups) if groups else F.col(by).isNotNull())
-    df = write_and_read(df.select(by, *columns), "boxed")
-    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by, groups).select(
-        by, "feature", "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    v = F.col("value")
-    near = v.between(F.col("q1") - reach, F.col("q3") + reach)
-    return (lookup_join(long_form(df, columns, by), q, [by, "feature"], "inner")
-            .groupBy(by, "feature", "n", "q1", "median", "q3")
-            .agg(F.min(F.when(near, v)).alias("whisker_low"), F.max(F.when(near, v)).alias("whisker_high"),
-                 F.count_if(~near).alias("n_outliers")))
+    if state is None:
+        df = write_and_read(df.select(by, *columns), "boxed")
+    return exact_boxes(df, columns, by, groups, state)
 
 
 def mood_statistics(df: DataFrame, by: str = "mood_label", genre: str = "primary_genre") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cadenza.functions.scalars import standard_mood
 from cadenza.operators import clean, genres, ingest, learning, profile
 from cadenza.operators.ordering import keep_first
+from cadenza.operators.quantiles import merge_states, quantile_state
 from cadenza.operators.vectors import feature_table
 from cadenza.schema import (
     AUDIO9_EDA, CLUSTER_FEATURES, FEATURES9, MOOD_FEATURES, MOOD_PLOT_ORDER, MOODS, choose_profile_column,
@@ -38,11 +39,11 @@ def preprocess(df: DataFrame, method: str = "standard", encode_genres: bool = Tr
                order: str = "ingest_seq") -> tuple[DataFrame, DataFrame | None]:
     """Deduplicate, date, impute, standardize moods, encode genres, scale.
 
-    Every fitted step needs a pass of its own, so the deduplicated table and the fitted
-    values are written and the passes read back only the columns they need.
+    The deduplicated table and the fitted values are written, so that the passes of the fitted steps
+    read back only the columns they need. Years and numbers get their medians from the same two scans.
     """
     df = write_and_read(keep_first(df, key, order).drop(order), "deduplicated")
-    df = clean.impute(clean.add_release_year(df, settle=True), "median", exclude=(key, "artist_id"), settle=True)
+    df = clean.impute(clean.add_release_year(df, fill=False), "median", exclude=(key, "artist_id"), settle=True)
     mood = F.col("mood_label") if "mood_label" in df.columns else F.lit(None).cast("string")
     df = df.withColumn("mood_label", standard_mood(mood, MOODS))
     if encode_genres:
@@ -67,14 +68,18 @@ def profile_report(df: DataFrame, mood: str = "mood_label") -> dict[str, DataFra
     if mood in df.columns:
         out["moods"] = profile.value_counts(df, mood)
     mood_features = present(df, MOOD_FEATURES)
+    by_mood = whole = None
     if mood_features:
-        out["describe"] = profile.describe(df, mood_features)
+        # one scan for the counts, moments, ends and brackets of the tables below
+        by_mood = write_and_read(quantile_state(df, mood_features, mood if mood in df.columns else None), "quantile-state")
+        whole = write_and_read(merge_states(by_mood), "quantile-state")
+        out["describe"] = profile.describe(df, mood_features, whole)
     if "valence" in df.columns:
-        out["valence_histogram"] = profile.histogram(df, ["valence"], 50)
+        out["valence_histogram"] = profile.histogram(df, ["valence"], 50, whole)
     if len(present(df, AUDIO9_EDA)) >= 2:
         out["correlations"] = profile.correlations(df, present(df, AUDIO9_EDA))
     if mood in df.columns and len(mood_features) >= 2:
-        out["boxes"] = profile.box_summary(df, mood_features, mood)
+        out["boxes"] = profile.box_summary(df, mood_features, mood, state=by_mood)
     if "id" in df.columns and len(present(df, CLUSTER_FEATURES)) >= 2:
         out["components"], _ = profile.principal_components(df, present(df, CLUSTER_FEATURES), 2, mood)
     return out

@@ -43,9 +43,10 @@ def test_excluded_item_leaves_scores_alone(spark):
     assert sorted(map(tuple, by_id.select(*columns).collect())) == sorted(map(tuple, by_vector.select(*columns).collect()))
 
 
-@pytest.mark.parametrize("accuracy", [2, 5])
-def test_ranks_outside_their_brackets(spark, monkeypatch, accuracy):
-    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+@pytest.mark.parametrize("slack", [0.0, 0.1])
+def test_ranks_outside_their_brackets(spark, monkeypatch, slack):
+    monkeypatch.setattr(quantiles, "SKETCH", 8)
+    monkeypatch.setattr(quantiles, "SLACK", slack)
     values = np.random.default_rng(2).normal(size=4000)
     df = spark.createDataFrame([(float(v), i % 2) for i, v in enumerate(values)], "v double, k int")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
