@@ -47,8 +47,10 @@ def collect(spark, a):
 
 
 def preprocess(spark, a):
-    df = in_file_order(readers.read_table(spark, a.input))
-    _write(catalog.preprocess(df, a.method, not a.no_genres)[0], a.output)
+    df, counts = catalog.deduplicated(in_file_order(readers.read_table(spark, a.input)))
+    if a.counts:
+        _write(counts, a.counts)
+    _write(catalog.preprocess(df, a.method, not a.no_genres, settle=False)[0], a.output)
 
 
 def preprocess_large(spark, a):
@@ -139,6 +141,7 @@ def parser() -> argparse.ArgumentParser:
     c = command("preprocess", preprocess, "input")
     c.add_argument("--method", default="standard", choices=["standard", "minmax"])
     c.add_argument("--no-genres", action="store_true")
+    c.add_argument("--counts", help="where to write removed rows and missing values, as seen by the deduplication")
     c = command("preprocess-large", preprocess_large, "input")
     c.add_argument("--carry", nargs="*", default=[])
     command("report", report, "input").add_argument("--mood-column", default="mood_label")

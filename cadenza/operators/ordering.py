@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from cadenza.session import write_and_read
+from cadenza.session import write_and_read, write_observed
 
 MAX_GROUP = 1_000_000
 
@@ -45,6 +45,22 @@ def keep_first(df: DataFrame, key, order: str = "ingest_seq") -> DataFrame:
     return top_per_group(df, keys, [F.col(order)], 1)
 
 
+def keep_first_counted(df: DataFrame, key, order: str = "ingest_seq", missing=(), name: str = "deduplicated") -> tuple[DataFrame, dict]:
+    """``keep_first`` as a written table, and what the write saw: ``n_before``, ``n_after``, ``n_removed`` and the
+    nulls left in each column of ``missing``, as ``missing_<column>``.
+
+    The earliest row and the number of rows of a key come from one aggregate, combined per map task; no second scan.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    others = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*others), F.struct(order))
+    kept = df.groupBy(*keys).agg(first.alias("_row"), F.count("*").alias("_copies")).select(*keys, "_row.*", "_copies")
+    metrics = {"n_before": F.coalesce(F.sum("_copies"), F.lit(0)), "n_after": F.count(F.lit(1))}
+    written, seen = write_observed(kept.select(*df.columns, "_copies"), name, metrics | {
+        f"missing_{c}": F.count_if(F.col(c).isNull()) for c in missing})
+    return written.drop("_copies"), seen | {"n_removed": seen["n_before"] - seen["n_after"]}
+
+
 def removed_by_dedupe(df: DataFrame, key: str) -> DataFrame:
     per_key = df.groupBy(key).agg(F.count("*").alias("n"))
     return per_key.agg(F.sum("n").alias("n_before"), F.count("*").alias("n_after"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cadenza.functions.scalars import standard_mood
 from cadenza.operators import clean, genres, ingest, learning, profile
-from cadenza.operators.ordering import keep_first
+from cadenza.operators.ordering import keep_first, keep_first_counted
 from cadenza.operators.quantiles import merge_states, quantile_state
 from cadenza.operators.vectors import feature_table
 from cadenza.schema import (
@@ -35,14 +35,28 @@ def collect_catalog(items: DataFrame, audio: DataFrame, artists: DataFrame, mood
     return ingest.apply_mood_rules(ingest.join_artists(ingest.join_audio(tracks, audio, unique=True), artists))
 
 
+def deduplicated(df: DataFrame, key: str = "track_id", order: str = "ingest_seq") -> tuple[DataFrame, DataFrame]:
+    """The first row of each key, written, and the report of that write: (measure, n), one row per measure.
+
+    Measures are the rows before, after and removed, and the missing values of each column that is left.
+    """
+    columns = [c for c in df.columns if c not in (key, order)]
+    kept, seen = keep_first_counted(df, key, order, missing=columns)
+    report = df.sparkSession.createDataFrame([(k, int(n)) for k, n in seen.items()], "measure string, n bigint")
+    return kept.drop(order), report
+
+
 def preprocess(df: DataFrame, method: str = "standard", encode_genres: bool = True, key: str = "track_id",
-               order: str = "ingest_seq") -> tuple[DataFrame, DataFrame | None]:
+               order: str = "ingest_seq", settle: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """Deduplicate, date, impute, standardize moods, encode genres, scale.
 
+    ``settle`` is False for a table that ``deduplicated`` has written.
+
     The deduplicated table and the fitted values are written, so that the passes of the fitted steps
     read back only the columns they need. Years and numbers get their medians from the same two scans.
     """
-    df = write_and_read(keep_first(df, key, order).drop(order), "deduplicated")
+    if settle:
+        df = write_and_read(keep_first(df, key, order).drop(order), "deduplicated")
     df = clean.impute(clean.add_release_year(df, fill=False), "median", exclude=(key, "artist_id"), settle=True)
     mood = F.col("mood_label") if "mood_label" in df.columns else F.lit(None).cast("string")
     df = df.withColumn("mood_label", standard_mood(mood, MOODS))

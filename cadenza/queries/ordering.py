@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cadenza.operators import ingest, joins, ordering, recommend
+from cadenza.plans.catalog import deduplicated
 from cadenza.plans.search import recent_searches
 from cadenza.queries.base import LABELLED, R, REPEATED, TRACKS, labelled, query, repeated, rounded, table, tracks
 
@@ -105,6 +106,17 @@ def d01_removed(spark, sf):
     return ordering.removed_by_dedupe(repeated(spark, sf), "id")
 
 
+@query("d01_write_report", "WITH " + REPEATED + """,
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingest_seq) AS rn FROM repeated) WHERE rn = 1),
+totals AS (SELECT count(*) AS n FROM repeated)
+SELECT 'n_before' AS measure, n FROM totals UNION ALL SELECT 'n_after', count(*) FROM firsts
+UNION ALL SELECT 'n_removed', (SELECT n FROM totals) - count(*) FROM firsts
+""" + "".join(f"UNION ALL SELECT 'missing_{c}', count(*) FILTER (WHERE {c} IS NULL) FROM firsts\n" for c in ("name", "tempo", "release_date")))
+def d01_report(spark, sf):
+    """Removed rows and missing values as the write of the deduplicated table saw them."""
+    return deduplicated(repeated(spark, sf).select("id", "ingest_seq", "name", "tempo", "release_date"), "id")[1]
+
+
 @query("u01_union_by_name", """
 SELECT 'order' AS kind, o_orderkey AS key, o_totalprice AS amount, o_orderpriority AS priority, NULL AS segment FROM orders
 UNION ALL SELECT 'customer', c_custkey, c_acctbal, NULL, c_mktsegment FROM customer

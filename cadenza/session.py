@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -66,3 +66,13 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """A written table, and aggregates over its rows taken while they were written, by name.
+
+    The aggregates lie in the writing stage, where every partition counts once, whether tasks are repeated or not.
+    """
+    seen = Observation()
+    written = write_and_read(df.observe(seen, *[value.alias(key) for key, value in metrics.items()]), name)
+    return written, seen.get
