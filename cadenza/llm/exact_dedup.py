@@ -25,8 +25,8 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), WHITE, " ")
 
 
-def prepare(docs: DataFrame, block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
-    """Each row under an own number ``rid`` with its blocks, written; ``carry`` keeps the whole row."""
+def prepare(docs: DataFrame, block_bytes: int = BLOCK_BYTES, carry: bool = False, scratch: str = "op5-blocks") -> DataFrame:
+    """Each row under an own number ``rid`` with its blocks, written as ``scratch``; ``carry`` keeps the whole row."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(True)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row.alias("row"),
                         normalised(F.col("text")).alias("norm"))
@@ -36,7 +36,7 @@ def prepare(docs: DataFrame, block_bytes: int = BLOCK_BYTES, carry: bool = False
                        F.sequence(F.lit(0), last).alias("at"), raw.alias("raw"))
     blocks = F.transform("at", lambda i: F.substring(F.col("raw"), i * block_bytes + 1, F.lit(block_bytes)))
     return write_and_read(cut.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "row",
-                                     "text_sha256", blocks.alias("blocks")), "dedup_rows" if carry else "op5-blocks")
+                                     "text_sha256", blocks.alias("blocks")), scratch)
 
 
 def sorted_names(keys: DataFrame) -> DataFrame:
@@ -117,8 +117,11 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, fingerprin
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-def drop_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``; the same rules as ``exact_duplicates``."""
-    prepared = prepare(docs, block_bytes, carry=True)
+def drop_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, scratch: str = "dedup_rows") -> DataFrame:
+    """The rows that stay, with the columns of ``docs``; the same rules as ``exact_duplicates``.
+
+    A caller that names ``scratch`` may remove the written copy of the rows by it once the result is written.
+    """
+    prepared = prepare(docs, block_bytes, carry=True, scratch=scratch)
     kept = decisions(prepared).filter("kept").select("rid")
     return prepared.join(kept, "rid", "left_semi").select("row.*")

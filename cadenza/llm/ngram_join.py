@@ -328,10 +328,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
                         rep.alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs``, with all their columns: of each group of linked rows the one with the smallest doc_id."""
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, scratch: str = "similar_rows") -> DataFrame:
+    """Rows of ``docs``, with all their columns: of each group of linked rows the one with the smallest doc_id.
+
+    A caller that names ``scratch`` may remove the written copy of the rows by it once the result is written.
+    """
     rows = write_and_read(docs.select(F.monotonically_increasing_id().alias("rid"),
-                                      F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "similar_rows")
+                                      F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), scratch)
     groups = near_duplicates(rows.select(F.col("rid").alias("doc_id"), F.col("row.text").alias("text")), size, percent)
     placed = groups.select(F.col("doc_id").alias("rid"), "component_id").join(
         rows.select("rid", F.col("row.doc_id").alias("doc_id")), "rid")
