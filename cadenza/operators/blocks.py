@@ -23,7 +23,7 @@ from cadenza.session import write_and_read
 
 MAX_QUERY_ROWS = 50_000
 MAX_QUERY_BYTES = 64 << 20
-MAX_RESULT_ROWS = 4_000_000
+MAX_RESULT_ROWS = 2_000_000
 BLOCK_ROWS = 50_000
 BLOCK_BYTES = 128 << 20
 #: Scores that make a task of its own worth while.
@@ -55,7 +55,7 @@ def pruned_search(items: DataFrame, queries: DataFrame, k: int, n_items: int, n_
     partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_blocks = -(-n_items // block_rows) if block_rows else None
     tasks = max(partitions, min(MAX_BLOCKS, -(-n_items * n_queries // CELLS_PER_TASK)))
-    return PrunedSearch(items.select("id", "vec"), queries, k, n_items, travelling, tasks, n_blocks)
+    return PrunedSearch(items.select("id", "vec"), queries, k, n_items, n_queries, travelling, tasks, n_blocks)
 
 
 def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(), positive: bool = False,

@@ -6,8 +6,10 @@ repeated. A block's bound for a query q is q.c + |q| * radius, or |q| times its
 query meets its best bounded blocks first, which gives it a floor; after that, a block is met only by the
 queries whose bound for it reaches their floor. Floors rise within a task as well.
 
-Queries of a measured size travel to the blocks' tasks. Beyond that, only the pairs of a query and a
-block that the bound lets through are made, and a block asked by many queries meets them in parts.
+Queries of a measured size travel to the blocks' tasks. Beyond that, each query meets its first blocks as pairs,
+and a block asked by many queries meets them in parts. Then whole blocks are dealt over parts, queries over groups,
+and every group meets every part in one bounded task, where the bound is applied again: what is shuffled are copies
+of both sides, however many pairs of a query and a block the bound lets through.
 """
 
 from __future__ import annotations
@@ -35,6 +37,12 @@ QUERIES_PER_MEETING = 50_000
 CELLS = 4_000_000
 #: Winners kept aside before they are merged.
 PENDING_ROWS = 400_000
+#: Rows and bytes of vectors of either side in one task, and winners it holds.
+SIDE_ROWS, SIDE_BYTES, WINNERS = 400_000, 32 << 20, 2_000_000
+#: Bytes that a winner takes in a shuffle, and a row beside its vector, roughly.
+ROW_BYTES = 40
+#: Best bounded blocks looked at for a query's first ones before all of them are.
+FIRST_LOOK = 32
 
 
 def matrix(column) -> np.ndarray:
@@ -60,10 +68,19 @@ class Bounds:
         """Flags of the blocks each query meets first: the best bounded ones that hold ``wanted`` rows together."""
         if upper.shape[1] == 0:
             return np.zeros(upper.shape, bool)
-        order = np.argsort(-upper, axis=1, kind="stable")
-        before = np.cumsum(self.rows[order], axis=1) - self.rows[order]
         out = np.zeros(upper.shape, bool)
-        np.put_along_axis(out, order, before < wanted, axis=1)
+        look = min(FIRST_LOOK, upper.shape[1])
+        best = np.argpartition(-upper, look - 1, axis=1)[:, :look]
+        best = np.take_along_axis(best, np.argsort(-np.take_along_axis(upper, best, axis=1), axis=1, kind="stable"), axis=1)
+        held = np.cumsum(self.rows[best], axis=1)
+        np.put_along_axis(out, best, held - self.rows[best] < wanted, axis=1)
+        short = np.flatnonzero(held[:, -1] < wanted)
+        if len(short) and look < upper.shape[1]:
+            order = np.argsort(-upper[short], axis=1, kind="stable")
+            before = np.cumsum(self.rows[order], axis=1) - self.rows[order]
+            flags = np.zeros((len(short), upper.shape[1]), bool)
+            np.put_along_axis(flags, order, before < wanted, axis=1)
+            out[short] = flags
         return out
 
 
@@ -186,27 +203,36 @@ class _Meeting(_Best):
         super().__init__(Dot(), queries, k, False, schema)
         self.floor, self.norms = floor.astype(float), np.linalg.norm(self.queries, axis=1)
         self.found, self.pending = [], 0
+        self.finite = bool(np.isfinite(self.queries).all())
 
     def meet(self, ids: np.ndarray, x: np.ndarray, rows: np.ndarray):
-        n, index = len(ids), None if self.exclude is None else pd.Index(ids)
+        n, order = len(ids), None if self.exclude is None else np.argsort(ids, kind="stable")
+        held = ids[order] if order is not None else None
+        clean = self.finite and np.isfinite(x).all()
         step = max(CELLS // max(n, 1), 1)
         for lo in range(0, len(rows), step):
             some = rows[lo:lo + step]
             s = self.queries[some] @ x.T
-            s[np.isnan(s)] = -np.inf
-            if index is not None:
-                at = index.get_indexer(self.exclude[some])
-                own = np.flatnonzero(at >= 0)
-                s[own, at[own]] = -np.inf
+            if not clean:
+                s[np.isnan(s)] = -np.inf
+            if order is not None:
+                at, end = (np.searchsorted(held, self.exclude[some], side) for side in ("left", "right"))
+                own = np.flatnonzero(at < end)
+                while len(own):
+                    s[own, order[at[own]]] = -np.inf
+                    at[own] += 1
+                    own = own[at[own] < end[own]]
             bound = self.floor[some]
             fresh = np.flatnonzero(np.isinf(bound))
             if n > self.k and len(fresh):
                 bound[fresh] = np.partition(s[fresh], n - self.k, axis=1)[:, n - self.k]
-            r, c = np.nonzero((s >= (bound - SLACK)[:, None]) & ~np.isinf(s))
-            self.found.append((some[r], s[r, c], ids[c], c))
-            self.pending += len(r)
-        if self.pending > PENDING_ROWS:
-            self.settle()
+            r, c = np.nonzero(s >= (bound - SLACK)[:, None])
+            score = s[r, c]
+            real = ~np.isinf(score)
+            self.found.append((some[r[real]], score[real], ids[c[real]], c[real]))
+            self.pending += len(self.found[-1][0])
+            if self.pending > max(PENDING_ROWS, self.n * self.k // 2):
+                self.settle()
 
     def settle(self):
         if self.found:
@@ -257,7 +283,9 @@ def _scan(clustered: DataFrame, queries: pa.Table, floor: np.ndarray | None, bou
 def _meet_pairs(clustered: DataFrame, pairs: DataFrame, k: int, out: T.StructType) -> DataFrame:
     """One wave over pairs (block, qid, ..., floor): a block's rows meet the queries that ask for it, part by part."""
     pairs = write_and_read(pairs, "pairs")
-    asked = pairs.groupBy("block").agg(F.ceil(F.count("*") / QUERIES_PER_MEETING).cast("int").alias("parts"))
+    size = F.least(F.lit(max(1, min(QUERIES_PER_MEETING, WINNERS // k))),
+                   F.greatest(F.floor(SIDE_BYTES / (8 * F.greatest(F.max(F.size("vec")), F.lit(1)))), F.lit(1)))
+    asked = pairs.groupBy("block").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
     # a row per block, of which there are MAX_BLOCKS at most
     asked = F.broadcast(write_and_read(asked, "asked"))
     left = clustered.join(asked, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
@@ -273,21 +301,78 @@ def _meet_pairs(clustered: DataFrame, pairs: DataFrame, k: int, out: T.StructTyp
     return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(meet, out)
 
 
-def _reaching(queries: DataFrame, bounds) -> DataFrame:
-    """(block, qid, ..., floor): the pairs that the bound does not exclude, first blocks left out."""
-    kept = [f for f in queries.schema.fields if f.name != "home"]
-    out = T.StructType([T.StructField("block", T.LongType()), *kept])
-
-    def find(batches):
-        known = bounds.value
-        for batch in batches:
-            floor = batch.column("floor").to_numpy(zero_copy_only=False)
-            for lo, hi, upper in _upper_slices(known, matrix(batch.column("vec"))):
-                rows, blocks = np.nonzero(_reached(upper, floor[lo:hi], batch.column("home").slice(lo, hi - lo)) & (known.rows > 0))
-                taken = batch.select([f.name for f in kept]).take(pa.array(rows + lo))
-                yield pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int64)), *taken.columns], schema=to_arrow_schema(out))
+def grid_shape(n_items: int, n_queries: int, width: int, k: int, tasks: int) -> tuple[int, int]:
+    """Parts of the items and groups of the queries, each bounded; more of those that cost less until there is work for ``tasks``."""
+    side = max(1, min(SIDE_ROWS, SIDE_BYTES // (8 * max(width, 1))))
+    parts = max(1, -(-n_items // side))
+    groups = max(1, -(-n_queries // max(1, min(side, WINNERS // k))))
+    row = 8 * width + ROW_BYTES
+    while parts * groups < tasks and (parts < n_items or groups < n_queries):
+        of_groups, of_parts = groups * n_items * row, parts * n_queries * (row + k * ROW_BYTES)
+        if parts >= n_items or (groups < n_queries and of_groups <= of_parts):
+            groups += 1
+        else:
+            parts += 1
+    return parts, groups
+
+
+def _grid(clustered: DataFrame, queries: DataFrame, bounds, k: int, shape: tuple[int, int], out: T.StructType) -> DataFrame:
+    """Every group of queries (qid, vec, ..., floor) meets every part of the blocks; a query meets those its floor does not exclude."""
+    parts, groups = shape
+
+    def numbers(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def cell(part, group):
+        return (part * groups + group).cast("int").alias("_cell")
+
+    items = clustered.select("*", F.pmod(F.xxhash64("block"), F.lit(parts)).alias("_part"), numbers(groups).alias("_group"))
+    items = items.select(cell(F.col("_part"), F.col("_group")), "block", "id", "vec")
+    asked = queries.drop("home")
+    kept = [F.col(c).alias(c) for c in asked.columns]
+    asked = asked.select(*kept, F.pmod(F.xxhash64("qid"), F.lit(groups)).alias("_group"), numbers(parts).alias("_part"))
+    asked = asked.select(cell(F.col("_part"), F.col("_group")), *kept)
+
+    def meet(key, left, right):
+        schema = to_arrow_schema(out)
+        if not (left.num_rows and right.num_rows):
+            return schema.empty_table()
+        # ids are numbered in their order, so that ties are told apart by numbers
+        ids, number = np.unique(_values(left.column("id")), return_inverse=True)
+        floor = right.column("floor").to_numpy()
+        if "exclude_id" in right.column_names:
+            unwanted = right.column("exclude_id")
+            given = unwanted.is_valid().to_numpy(zero_copy_only=False)
+            # with as many numbers as ids, one that is not among them stands for none
+            found = np.full(right.num_rows, -1, np.int64)
+            wanted = _values(unwanted.filter(pa.array(given)))
+            at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+            found[given] = np.where(ids[at] == wanted, at, -1)
+            place = right.column_names.index("exclude_id")
+            right = right.set_column(place, "exclude_id", pa.array(found))
+        best = _Meeting(right, k, floor, schema)
+        x, block = matrix(left.column("vec")), left.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        block, known = block[order], bounds.value
+        heads = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
+        for chunk in np.array_split(np.arange(len(heads)), max(1, -(-len(heads) * right.num_rows // CELLS))):
+            if not len(chunk):
+                continue
+            upper = known.upper(best.queries, best.norms, block[heads[chunk]])
+            for j, at in enumerate(chunk):
+                rows = order[heads[at]:heads[at + 1] if at + 1 < len(heads) else len(block)]
+                met = np.flatnonzero(upper[:, j] >= best.floor - SLACK)
+                if len(met):
+                    best.meet(number[rows], x[rows], met)
+        best.settle()
+        if best.ids is None:
+            return schema.empty_table()
+        won = pa.array(ids[best.ids].tolist(), type=schema.field("id").type)
+        return pa.table([_plain(right.column("qid")).take(pa.array(best.rows)), won, pa.array(best.scores)], schema=schema)
 
-    return queries.mapInArrow(find, out)
+    tasks = 2 * parts * groups
+    left, right = (side.repartition(tasks, "_cell").groupBy("_cell") for side in (items, asked))
+    return left.cogroup(right).applyInArrow(meet, out)
 
 
 def _floors(found: DataFrame, k: int) -> DataFrame:
@@ -303,9 +388,16 @@ class PrunedSearch:
     ``travelling`` says that the queries are few enough to go to every task.
     """
 
-    def __init__(self, items: DataFrame, queries: DataFrame, k: int, n_items: int, travelling: bool, tasks: int,
+    def __init__(self, items: DataFrame, queries: DataFrame, k: int, n_items: int, n_queries: int, travelling: bool, tasks: int,
                  n_blocks: int | None = None):
         self.k, self.travelling = k, travelling
+        partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if not travelling:
+            # cells of groups and parts are few and large, blocks small enough to fill the parts evenly
+            width = items.agg(F.max(F.size("vec"))).first()[0] or 1
+            self.shape = grid_shape(n_items, n_queries, width, k, min(tasks, 8 * partitions))
+            n_blocks = n_blocks and min(MAX_BLOCKS, max(n_blocks, 16 * self.shape[0]))
+            tasks = min(tasks, max(partitions, -(-n_items * (8 * width + ROW_BYTES) // SIDE_BYTES)))
         self.clustered, known = cluster(items, n_items, n_blocks, tasks)
         self.bounds = items.sparkSession.sparkContext.broadcast(known)
         self.out = T.StructType([queries.schema["qid"], items.schema["id"], T.StructField("score", T.DoubleType())])
@@ -333,7 +425,8 @@ class PrunedSearch:
             floor[at] = known.index.to_numpy()
             rest = _scan(self.clustered, self.local, floor, self.bounds, self.k, self.out)
         else:
-            rest = _meet_pairs(self.clustered, _reaching(self.with_floors(), self.bounds), self.k, self.out)
+            # every block is asked again: what a query's first ones gave is its floor
+            return _grid(self.clustered, self.with_floors(), self.bounds, self.k, self.shape, self.out)
         return self.first.unionByName(rest)
 
     def visits(self) -> DataFrame:

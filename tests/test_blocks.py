@@ -122,3 +122,36 @@ def test_pruned_search_of_one_repeated_vector(spark, monkeypatch):
     by_id = {i: (1.0, 0.0) if i % 3 else (float(i), 1.0) for i in range(400)}
     score = lambda a, b: sum(x * y for x, y in zip(by_id[a], by_id[b]))
     assert got == {q: sorted((i for i in by_id if i != q), key=lambda i: (-score(q, i), i))[:4] for q in range(30)}
+
+
+def test_many_queries_write_no_row_per_query_and_block(spark, monkeypatch):
+    from cadenza.operators import pruned
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1200, 24))  # nothing is excluded by a bound
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vec array<double>")
+    seen = []
+
+    def counted(table, name, write=pruned.write_and_read):
+        out = write(table, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(pruned, "write_and_read", counted)
+    monkeypatch.setattr(pruned, "SIDE_ROWS", 300)
+    monkeypatch.setattr(pruned, "WINNERS", 500)
+    got = lists(nearest_items(df, None, 4, max_query_rows=10))
+    for i in (0, 7, 1199):
+        s = x @ x[i]
+        s[i] = -np.inf
+        assert got[i] == np.argsort(-s)[:4].tolist()
+    assert len(got) == 1200 and max(n for _, n in seen) <= 10 * 1200
+
+
+def test_grid_sides_are_bounded():
+    from cadenza.operators import pruned
+    for n, width, k in ((102_564, 64, 101), (615_384, 64, 11), (1_200_000, 9, 10), (7_200_000, 9, 1)):
+        parts, groups = pruned.grid_shape(n, n, width, k, 96)
+        assert parts * groups >= 96
+        assert n / parts * width * 8 <= pruned.SIDE_BYTES * 1.01 and n / groups * width * 8 <= pruned.SIDE_BYTES * 1.01
+        assert n / groups * k <= pruned.WINNERS * 1.01
+        assert (parts + groups) * n * (8 * width + pruned.ROW_BYTES) < 70e9
