@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from cadenza.session import write_and_read, write_observed
 
 MAX_GROUP = 1_000_000
+#: Rows of a range that is worth a task of its own, however small the groups are that must be spread.
+RANGE_ROWS = 250_000
 
 
 def _position(df: DataFrame, order: list, name: str, max_group: int | None = None) -> DataFrame:
@@ -95,7 +97,7 @@ def running(df: DataFrame, keys: list[str], order: list, sums: dict[str, str] |
         return df.withColumns({rank: F.row_number().over(W.partitionBy(*keys).orderBy(*order)),
                                **{new: F.sum(c).over(so_far) for new, c in sums.items()}})
     # written once: the ranges are sampled, so they must not be drawn again
-    ranges = max(-(-whole // limit), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = max(-(-whole // max(limit, RANGE_ROWS)), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = df.repartitionByRange(ranges, *keys, *order).withColumn("_range", F.spark_partition_id())
     ranged = write_and_read(ranged, "ranges")
     before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)

@@ -109,3 +109,13 @@ def test_exact_quantiles_by_group(spark, hot):
     assert {r["k"] for r in got} == {0, 1, 2}
     for r in got:
         assert np.allclose([r["q0"], r["q1"]], np.quantile(frame.v[frame.k == r["k"]], [0.25, 0.5]))
+
+
+def test_small_groups_are_spread_over_few_ranges(spark):
+    from pyspark.sql import functions as F
+    from cadenza.operators.ordering import running
+    df = spark.range(4000).select((F.col("id") % 2).alias("g"), F.col("id").alias("at"), F.lit(1).alias("one"))
+    got = running(df, ["g"], [F.col("at").desc()], {"upto": "one"}, max_group=10)
+    assert got.filter(F.col("rank") != F.col("upto")).count() == 0 and got.count() == 4000
+    # a range of its own for every ten rows would be 400 files
+    assert len([f for f in got.inputFiles() if "/ranges-" in f]) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
