@@ -308,5 +308,7 @@ def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = names.select(F.concat(F.lit("by: "), "name").alias("qid"),
                         F.concat_ws(" ", "name", "artists").alias("text"))
     odd = [("blank", "   "), ("tab", "\t"), ("lines", "\n \r\n"), ("spaced phrase", "\tchill night drive\n")]
-    phrases = spark.createDataFrame([(f"phrase: {p}", p) for p in PHRASES] + odd, "qid string, text string")
+    # literals of the plan, as rows handed over from Python start Python workers on every executor
+    fixed = [F.struct(F.lit(qid).alias("qid"), F.lit(text).alias("text")) for qid, text in [(f"phrase: {p}", p) for p in PHRASES] + odd]
+    phrases = spark.range(1).select(F.inline(F.array(*fixed)))
     return alone.unionByName(both).unionByName(phrases)
