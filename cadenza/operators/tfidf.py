@@ -17,9 +17,22 @@ from cadenza.operators.ordering import top_per_group
 from cadenza.session import write_and_read
 
 
+#: Bytes of text whose grams are counted in one task: their table of groups stays in its memory.
+TASK_BYTES = 2 << 20
+
+
+def placed_texts(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text) in the partition of the key, in as many partitions as the bytes of all texts ask for."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if size <= partitions * TASK_BYTES:
+        return texts.select(key, text).repartition(key)
+    return texts.select(key, text).repartition(-(-size // TASK_BYTES), key)
+
+
 def gram_counts(texts: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
     """(key, gram, tf) with raw counts; a text's repeated words are cut into grams once."""
-    placed = texts.select(key, text).repartition(key)
+    placed = placed_texts(texts, key, text)
     by_word = (placed.select(key, F.explode(words(F.lower(text))).alias("_word"))
                .groupBy(key, "_word").agg(F.count("*").alias("_n")))
     low, high = GRAM_SIZES
@@ -99,11 +112,15 @@ def tfidf_top_k(items: DataFrame, queries: DataFrame, idf: DataFrame, k: int, ca
 def query_gram_join(items: DataFrame, queries: DataFrame, idf: DataFrame) -> DataFrame:
     """(qid, id, score) of all queries and items that share a gram: postings joined on the gram.
 
-    Products are summed per pair, partly before the shuffle; grams of very many items are salted.
+    Items of equal vectors are joined once and follow their class at the end. Products are summed per pair, partly
+    before the shuffle; grams of very many classes are salted.
     """
+    index = ImpactIndex.of_vectors(items)
     asked = postings(vectors(queries, idf, "qid", "text"), "qid").withColumnRenamed("weight", "asked")
-    met = salted_join(postings(items), asked, "gram", spread=["id"])
-    return met.groupBy("qid", "id").agg(F.sum(F.col("weight") * F.col("asked")).alias("score"))
+    met = salted_join(index.postings.select("gram", "cls", "w"), asked, "gram", spread=["cls"])
+    pairs = met.groupBy("qid", "cls").agg(F.sum(F.col("w") * F.col("asked")).alias("score"))
+    # a class may have most of the items: their rows are spread, its pairs copied
+    return salted_join(index.members, write_and_read(pairs, "class-pairs"), "cls", spread=["id"]).select("qid", "id", "score")
 
 
 def query_gram_stats(queries: DataFrame, idf: DataFrame) -> DataFrame:

@@ -99,3 +99,30 @@ def test_zscore_uses_sample_deviation(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
     assert [round(r["x"], 6) for r in zscore(df, ["x"], "sample").orderBy("x").collect()] == [-1.0, 0.0, 1.0]
     assert [round(r["x"], 4) for r in zscore(df, ["x"]).orderBy("x").collect()] == [-1.2247, 0.0, 1.2247]
+
+
+def test_phrases_start_no_python_worker(spark):
+    from cadenza.queries.base import searches
+    plan = searches(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "Scan ExistingRDD" not in plan and "LogicalRDD" not in plan
+
+
+def test_gram_join_gives_all_pairs(spark):
+    from cadenza.operators import tfidf
+    items = spark.createDataFrame([(i, "blue steel" if i % 3 else "dark moon") for i in range(90)], "id int, text string")
+    asked = spark.createDataFrame([(1, "steel"), (2, "zzz"), (3, "moon steel")], "qid int, text string")
+    grams = tfidf.counted_grams(items)
+    idf = tfidf.fit_idf(items, grams=grams)
+    got = tfidf.query_gram_join(tfidf.vectors(items, idf, grams=grams), asked, idf)
+    assert {r["qid"]: r["count"] for r in got.groupBy("qid").count().collect()} == {1: 60, 3: 90}
+    from __spark_entry__ import oracle_sql
+    assert "rank <=" not in oracle_sql()["j08_query_gram_join"]
+
+
+def test_long_texts_are_counted_in_more_tasks(spark, monkeypatch):
+    from cadenza.operators import tfidf
+    monkeypatch.setattr(tfidf, "TASK_BYTES", 100)
+    texts = spark.createDataFrame([(i % 190, f"blue steel {i} blue") for i in range(200)] + [(None, None)], "id int, text string")
+    grams = tfidf.gram_counts(texts)
+    assert grams.rdd.getNumPartitions() > 30
+    assert grams.filter("id = 3 AND gram = ' bl'").first()["tf"] == 4
