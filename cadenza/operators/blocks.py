@@ -50,12 +50,12 @@ def _measure(df: DataFrame, width) -> tuple[int, int]:
 
 
 def pruned_search(items: DataFrame, queries: DataFrame, k: int, n_items: int, n_queries: int, travelling: bool = True,
-                  block_rows: int | None = None) -> PrunedSearch:
-    """A search over written items (id, vec) and queries (qid, vec[, exclude_id]), in as many tasks as its scores are worth."""
+                  block_rows: int | None = None, carry=()) -> PrunedSearch:
+    """A search over written items (id, vec, carry...) and queries (qid, vec[, exclude_id]), in as many tasks as its scores are worth."""
     partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_blocks = -(-n_items // block_rows) if block_rows else None
     tasks = max(partitions, min(MAX_BLOCKS, -(-n_items * n_queries // CELLS_PER_TASK)))
-    return PrunedSearch(items.select("id", "vec"), queries, k, n_items, n_queries, travelling, tasks, n_blocks)
+    return PrunedSearch(items.select("id", "vec", *carry), queries, k, n_items, n_queries, travelling, tasks, n_blocks, carry)
 
 
 def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(), positive: bool = False,
@@ -88,9 +88,13 @@ def block_top_k(items: DataFrame, queries: DataFrame, k: int, kernel, *, carry=(
         items = items if written else write_and_read(items, "items")
         n_items = items.count()
         if not in_one_scan or n_items * n_queries >= PRUNE_FROM:
-            best = pruned_search(items, queries, k, n_items, n_queries, in_one_scan, block_rows if bounded else None).best()
+            # from a grid of tasks rows bring their carried columns along; they are met again by their id otherwise
+            brought = () if in_one_scan else tuple(carry)
+            best = pruned_search(items, queries, k, n_items, n_queries, in_one_scan, block_rows if bounded else None, brought).best()
             best = top_per_group(best, ["qid"], [compared("score"), F.col("id")], k, rank="rank")
-            return best.join(items.select("id", *carry), "id").select("qid", "id", "score", *carry, "rank") if carry else best
+            if carry and in_one_scan:
+                best = best.join(items.select("id", *carry), "id")
+            return best.select("qid", "id", "score", *carry, "rank")
     out = T.StructType(plain + carried if in_one_scan else plain)
     arrow_out = to_arrow_schema(out)
 

@@ -2,14 +2,14 @@
 
 The catalog is clustered once: a row goes to the nearest of the centroids of a bounded sample, and a
 centroid with many rows is split by a hash of the id, so that blocks stay bounded whatever vector is
-repeated. A block's bound for a query q is q.c + |q| * radius, or |q| times its largest norm if that is less. Every
+repeated. A block's bound for a query q is the least of three: q.c + |q| * radius, |q| times its largest norm, and half
+of |q|^2 + norm^2 - d^2, where d is the distance from q to the ball around the block. Every
 query meets its best bounded blocks first, which gives it a floor; after that, a block is met only by the
 queries whose bound for it reaches their floor. Floors rise within a task as well.
 
-Queries of a measured size travel to the blocks' tasks. Beyond that, each query meets its first blocks as pairs,
-and a block asked by many queries meets them in parts. Then whole blocks are dealt over parts, queries over groups,
-and every group meets every part in one bounded task, where the bound is applied again: what is shuffled are copies
-of both sides, however many pairs of a query and a block the bound lets through.
+Queries of a measured size travel to the blocks' tasks. Beyond that, whole blocks are dealt over parts, queries over
+groups, and every group meets every part in one bounded task, which finds the floors itself: what is shuffled are copies
+of both sides and the best rows of each cell, however many pairs of a query and a block the bound lets through.
 """
 
 from __future__ import annotations
@@ -27,22 +27,24 @@ from cadenza.operators.ordering import top_per_group
 from cadenza.session import write_and_read
 
 #: Centroids that are fitted, sampled rows for each of them, and blocks a catalog is cut into, at most.
-MAX_CENTROIDS, SAMPLE_PER_CENTROID, MAX_BLOCKS = 1024, 16, 32_768
+MAX_CENTROIDS, SAMPLE_PER_CENTROID, MAX_BLOCKS = 4096, 16, 32_768
 LLOYD_ROUNDS = 4
 #: Bytes of bounds that travel with a task; with wide vectors there are fewer, larger blocks.
 MAX_BOUND_BYTES = 64 << 20
-#: Queries of one block that meet it in one task.
+#: Queries of a task that meet its blocks together.
 QUERIES_PER_MEETING = 50_000
 #: Cells of queries x blocks or queries x rows in one array.
 CELLS = 4_000_000
 #: Winners kept aside before they are merged.
 PENDING_ROWS = 400_000
 #: Rows and bytes of vectors of either side in one task, and winners it holds.
-SIDE_ROWS, SIDE_BYTES, WINNERS = 400_000, 32 << 20, 2_000_000
+SIDE_ROWS, SIDE_BYTES, WINNERS = 800_000, 64 << 20, 4_000_000
 #: Bytes that a winner takes in a shuffle, and a row beside its vector, roughly.
 ROW_BYTES = 40
 #: Best bounded blocks looked at for a query's first ones before all of them are.
 FIRST_LOOK = 32
+#: Blocks of a usual size that a query of a group meets for its floor.
+FIRST_BLOCKS = 4
 
 
 def matrix(column) -> np.ndarray:
@@ -56,13 +58,31 @@ class Bounds:
     def __init__(self, centres, radius, norm, rows):
         self.centres, self.radius, self.norm, self.rows = centres, radius, norm, rows
 
+    def of(self, blocks: np.ndarray) -> "Bounds":
+        """The same of some blocks only, numbered anew."""
+        return Bounds(self.centres[blocks], self.radius[blocks], self.norm[blocks], self.rows[blocks])
+
     def upper(self, queries: np.ndarray, norms: np.ndarray, blocks=slice(None)) -> np.ndarray:
         """No inner product of a query with a row of a block is larger, rounding included."""
-        with np.errstate(invalid="ignore"):
-            at = queries @ self.centres[blocks].T + norms[:, None] * self.radius[blocks]
-            most = norms[:, None] * self.norm[blocks]
-            upper = np.minimum(at, most) + 1e-12 * (1.0 + most)
-        return np.where(np.isnan(upper), np.inf, upper)
+        centres, radius, norm, given = self.centres[blocks], self.radius[blocks], self.norm[blocks], norms[:, None]
+        with np.errstate(invalid="ignore", over="ignore"):
+            own, square = (centres ** 2).sum(axis=1), given ** 2
+            upper = queries @ centres.T
+            # from the distance to the centroid, less the radius
+            far = upper * -2
+            far += square + own
+            np.sqrt(np.maximum(far, 0, out=far), out=far)
+            far -= radius
+            np.maximum(far, 0, out=far)
+            far *= far
+            np.subtract(square + norm ** 2, far, out=far)
+            far *= 0.5
+            upper += given * radius
+            np.minimum(upper, far, out=upper)
+            np.minimum(upper, given * norm, out=upper)
+            upper += 1e-12 * (1.0 + square) + 1e-12 * (norm ** 2 + own)
+        upper[np.isnan(upper)] = np.inf
+        return upper
 
     def home(self, upper: np.ndarray, wanted: int) -> np.ndarray:
         """Flags of the blocks each query meets first: the best bounded ones that hold ``wanted`` rows together."""
@@ -107,8 +127,11 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return near, np.sqrt(((x - centres[near]) ** 2).sum(axis=1))
 
 
-def cluster(items: DataFrame, n_items: int, n_blocks: int | None = None, tasks: int = 8) -> tuple[DataFrame, Bounds]:
-    """(block, id, vec) written block by block, and the blocks' bounds, from items (id, vec) without nulls."""
+def cluster(items: DataFrame, n_items: int, n_blocks: int | None = None, tasks: int | None = 8, carry=()) -> tuple[DataFrame, Bounds]:
+    """(block, id, vec, carry...) written, and the blocks' bounds, from items (id, vec, carry...) without null vectors.
+
+    Rows lie block by block in ``tasks`` files; without ``tasks`` they stay where they are.
+    """
     spark, key = items.sparkSession, F.xxhash64("id")
     wanted = n_blocks or min(MAX_BLOCKS, 4 * math.isqrt(n_items) + 1)
     size = SAMPLE_PER_CENTROID * min(wanted, MAX_CENTROIDS)
@@ -121,7 +144,7 @@ def cluster(items: DataFrame, n_items: int, n_blocks: int | None = None, tasks:
     first = np.concatenate([[0], np.cumsum(parts)])
     shared = spark.sparkContext.broadcast((centres, parts, first))
     out = T.StructType([T.StructField("block", T.LongType()), items.schema["id"], items.schema["vec"],
-                        T.StructField("far", T.DoubleType()), T.StructField("norm", T.DoubleType())])
+                        T.StructField("far", T.DoubleType()), T.StructField("norm", T.DoubleType()), *[items.schema[c] for c in carry]])
 
     def assign(batches):
         centres, parts, first = shared.value
@@ -130,16 +153,18 @@ def cluster(items: DataFrame, n_items: int, n_blocks: int | None = None, tasks:
             near, far = _nearest(x, centres)
             block = first[near] + batch.column("key").to_numpy() % parts[near]
             yield pa.RecordBatch.from_arrays([pa.array(block), batch.column("id"), batch.column("vec"), pa.array(far),
-                                              pa.array(np.sqrt((x ** 2).sum(axis=1)))], schema=to_arrow_schema(out))
+                                              pa.array(np.sqrt((x ** 2).sum(axis=1))), *[batch.column(c) for c in carry]], schema=to_arrow_schema(out))
 
-    clustered = items.select("id", "vec", F.abs(key % (1 << 40)).alias("key")).mapInArrow(assign, out)
-    clustered = write_and_read(clustered.repartition(tasks, "block").sortWithinPartitions("block"), "blocks")
+    clustered = items.select("id", "vec", F.abs(key % (1 << 40)).alias("key"), *carry).mapInArrow(assign, out)
+    if tasks:
+        clustered = clustered.repartition(tasks, "block").sortWithinPartitions("block")
+    clustered = write_and_read(clustered, "blocks")
     known = clustered.groupBy("block").agg(F.max("far").alias("far"), F.max("norm").alias("norm"), F.count("*").alias("n")).toPandas()
     radius, norm, rows = (np.zeros(first[-1]) for _ in range(3))
     radius[known["block"]], norm[known["block"]], rows[known["block"]] = known["far"], known["norm"], known["n"]
     # vectors that are not numbers bound nothing: their blocks are always met
     radius[np.isnan(radius)], norm[np.isnan(norm)] = np.inf, np.inf
-    return clustered.select("block", "id", "vec"), Bounds(np.repeat(centres, parts, axis=0), radius, norm, rows)
+    return clustered.select("block", "id", "vec", *carry), Bounds(np.repeat(centres, parts, axis=0), radius, norm, rows)
 
 
 def _slices(n: int, width: int):
@@ -280,27 +305,6 @@ def _scan(clustered: DataFrame, queries: pa.Table, floor: np.ndarray | None, bou
     return clustered.mapInArrow(scan, out)
 
 
-def _meet_pairs(clustered: DataFrame, pairs: DataFrame, k: int, out: T.StructType) -> DataFrame:
-    """One wave over pairs (block, qid, ..., floor): a block's rows meet the queries that ask for it, part by part."""
-    pairs = write_and_read(pairs, "pairs")
-    size = F.least(F.lit(max(1, min(QUERIES_PER_MEETING, WINNERS // k))),
-                   F.greatest(F.floor(SIDE_BYTES / (8 * F.greatest(F.max(F.size("vec")), F.lit(1)))), F.lit(1)))
-    asked = pairs.groupBy("block").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
-    # a row per block, of which there are MAX_BLOCKS at most
-    asked = F.broadcast(write_and_read(asked, "asked"))
-    left = clustered.join(asked, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    right = pairs.join(asked, "block").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int")).drop("parts")
-
-    def meet(key, items, queries):
-        floor = queries.column("floor").to_numpy()
-        best = _Meeting(queries, k, floor, to_arrow_schema(out))
-        if items.num_rows:
-            best.meet(_values(items.column("id")), matrix(items.column("vec")), np.arange(queries.num_rows))
-        return best.table()
-
-    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(meet, out)
-
-
 def grid_shape(n_items: int, n_queries: int, width: int, k: int, tasks: int) -> tuple[int, int]:
     """Parts of the items and groups of the queries, each bounded; more of those that cost less until there is work for ``tasks``."""
     side = max(1, min(SIDE_ROWS, SIDE_BYTES // (8 * max(width, 1))))
@@ -316,62 +320,153 @@ def grid_shape(n_items: int, n_queries: int, width: int, k: int, tasks: int) ->
     return parts, groups
 
 
+class _Part:
+    """The blocks of one part, which a group of queries meets: exact top-k, a bounded number of queries at a time."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, block: np.ndarray, bounds: Bounds, k: int):
+        self.k, self.order = k, np.argsort(block, kind="stable")
+        block = block[self.order]
+        heads = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
+        self.ends = np.append(heads, len(block))
+        self.x, self.bounds = x[self.order], bounds.of(block[heads])
+        self.bounds.rows = np.diff(self.ends)
+        # ids are numbered in their order, so that ties are told apart by numbers
+        self.ids, number = np.unique(ids, return_inverse=True)
+        self.number = number[self.order]
+        self.by_number = np.argsort(self.number, kind="stable")
+        self.copies = np.bincount(self.number, minlength=len(self.ids))
+        self.first = np.cumsum(self.copies) - self.copies
+        with np.errstate(invalid="ignore", over="ignore"):
+            self.largest = float(np.abs(self.x).max()) ** 2 * self.x.shape[1]
+        self.first_rows = max(k + 1, FIRST_BLOCKS * -(-len(block) // len(heads)))
+
+    def own_rows(self, exclude: pa.ChunkedArray) -> list[np.ndarray]:
+        """The rows with the id that each query leaves out, -1 for none: an array for each time an id is repeated."""
+        exclude = _plain(exclude)
+        given = exclude.is_valid().to_numpy(zero_copy_only=False)
+        wanted = _values(exclude.filter(pa.array(given)))
+        at = np.minimum(np.searchsorted(self.ids, wanted), len(self.ids) - 1)
+        known = self.ids[at] == wanted
+        place, at = np.flatnonzero(given)[known], at[known]
+        out = []
+        for turn in range(int(self.copies[at].max()) if len(at) else 0):
+            more = self.copies[at] > turn
+            rows = np.full(len(given), -1, np.int64)
+            rows[place[more]] = self.by_number[self.first[at[more]] + turn]
+            out.append(rows)
+        return out
+
+    def _scores(self, queries, own, block: int) -> np.ndarray:
+        lo, hi = self.ends[block], self.ends[block + 1]
+        s = queries @ self.x[lo:hi].T
+        if not self.clean:
+            s[~np.isfinite(s)] = -np.inf
+        for rows in own:
+            hit = np.flatnonzero((rows >= lo) & (rows < hi))
+            s[hit, rows[hit] - lo] = -np.inf
+        return s
+
+    def best(self, queries: np.ndarray, own: list[np.ndarray]):
+        """(query, row, score) of the k best rows of each query, as arrays for some queries at a time."""
+        with np.errstate(invalid="ignore", over="ignore"):
+            self.clean = float(np.abs(queries).max(initial=0)) ** 2 * max(queries.shape[1], 1) * self.largest < 1e300
+        step = max(1, min(QUERIES_PER_MEETING, CELLS // max(len(self.bounds.rows), self.k)))
+        # queries that lie together reach the same blocks
+        few = self.bounds.centres[::max(1, math.isqrt(len(self.bounds.rows)))]
+        together = np.argsort(_nearest(queries, few)[0], kind="stable")
+        for lo in range(0, len(queries), step):
+            some = together[lo:lo + step]
+            q, s, r = self._best(queries[some], [rows[some] for rows in own])
+            yield some[q], self.order[r], s
+
+    def _best(self, queries, own):
+        upper = self.bounds.upper(queries, np.linalg.norm(queries, axis=1))
+        floor = self._floors(queries, own, upper)
+        found, kept, pending = [], (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)), 0
+        reached = np.flatnonzero(np.ascontiguousarray((upper >= (floor - SLACK)[:, None]).T))
+        block, asked = np.divmod(reached, len(queries))
+        heads = np.searchsorted(block, np.arange(len(self.bounds.rows) + 1))
+        raised = False
+        for b in np.argsort(-upper.max(axis=0), kind="stable"):
+            some = asked[heads[b]:heads[b + 1]]
+            if raised:
+                some = some[upper[some, b] >= floor[some] - SLACK]
+            if not len(some):
+                continue
+            s = self._scores(queries[some], [rows[some] for rows in own], b)
+            at = np.flatnonzero(s >= (floor[some] - SLACK)[:, None])
+            score, (r, c) = s.ravel()[at], np.divmod(at, s.shape[1])
+            if not np.isfinite(floor[some]).all():
+                real = np.isfinite(score)
+                r, c, score = r[real], c[real], score[real]
+            found.append((some[r], score, c + self.ends[b]))
+            pending += len(r)
+            if pending > max(PENDING_ROWS, len(queries) * self.k // 2):
+                kept, raised = self._settle(found, kept, floor), True
+                found, pending = [], 0
+        return self._settle(found, kept, floor)
+
+    def _floors(self, queries, own, upper) -> np.ndarray:
+        """The k-th best score of each query in its best bounded blocks."""
+        block, asked = np.nonzero(self.bounds.home(upper, self.first_rows).T)
+        heads = np.flatnonzero(np.diff(block, prepend=-1))
+        top = np.full((len(queries), self.k), -np.inf)
+        for lo, hi in zip(heads, np.append(heads[1:], len(block))):
+            some = asked[lo:hi]
+            s = np.concatenate([top[some], self._scores(queries[some], [rows[some] for rows in own], block[lo])], axis=1)
+            top[some] = np.partition(s, s.shape[1] - self.k, axis=1)[:, -self.k:]
+        return top.min(axis=1)
+
+    def _settle(self, found, kept, floor):
+        q, score, row = (np.concatenate([kept[i], *[f[i] for f in found]]) for i in range(3))
+        order = np.lexsort((self.number[row], -(np.round(score, DECIMALS) + 0.0), q))
+        q, score, row = q[order], score[order], row[order]
+        place = np.arange(len(q)) - np.searchsorted(q, np.arange(len(floor)))[q]
+        last = place == self.k - 1
+        floor[q[last]] = np.maximum(floor[q[last]], score[last])
+        top = place < self.k
+        return q[top], score[top], row[top]
+
+
+def _cell_keys(spark, n: int) -> list[int]:
+    """An integer for each of n hash partitions, which it falls into alone."""
+    wanted = spark.range(16 * n * max(1, n.bit_length())).select(F.col("id").cast("int").alias("key"))
+    found = wanted.groupBy(F.pmod(F.hash("key"), F.lit(n)).alias("at")).agg(F.min("key").alias("key")).collect()
+    keys = [r["key"] for r in found]
+    return keys if len(keys) == n else list(range(n))
+
+
 def _grid(clustered: DataFrame, queries: DataFrame, bounds, k: int, shape: tuple[int, int], out: T.StructType) -> DataFrame:
-    """Every group of queries (qid, vec, ..., floor) meets every part of the blocks; a query meets those its floor does not exclude."""
+    """Every group of queries (qid, vec[, exclude_id]) meets every part of the blocks; a query meets those its floor does not exclude."""
     parts, groups = shape
+    keys = F.array(*[F.lit(key) for key in _cell_keys(clustered.sparkSession, parts * groups)])
 
     def numbers(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     def cell(part, group):
-        return (part * groups + group).cast("int").alias("_cell")
+        return F.get(keys, (part * groups + group).cast("int")).alias("_cell")
 
+    carry = [f.name for f in out.fields[3:]]
     items = clustered.select("*", F.pmod(F.xxhash64("block"), F.lit(parts)).alias("_part"), numbers(groups).alias("_group"))
-    items = items.select(cell(F.col("_part"), F.col("_group")), "block", "id", "vec")
-    asked = queries.drop("home")
-    kept = [F.col(c).alias(c) for c in asked.columns]
-    asked = asked.select(*kept, F.pmod(F.xxhash64("qid"), F.lit(groups)).alias("_group"), numbers(parts).alias("_part"))
+    items = items.select(cell(F.col("_part"), F.col("_group")), "block", "id", "vec", *carry)
+    kept = [F.col(c).alias(c) for c in queries.columns]
+    asked = queries.select(*kept, F.pmod(F.xxhash64("qid"), F.lit(groups)).alias("_group"), numbers(parts).alias("_part"))
     asked = asked.select(cell(F.col("_part"), F.col("_group")), *kept)
 
     def meet(key, left, right):
         schema = to_arrow_schema(out)
         if not (left.num_rows and right.num_rows):
             return schema.empty_table()
-        # ids are numbered in their order, so that ties are told apart by numbers
-        ids, number = np.unique(_values(left.column("id")), return_inverse=True)
-        floor = right.column("floor").to_numpy()
-        if "exclude_id" in right.column_names:
-            unwanted = right.column("exclude_id")
-            given = unwanted.is_valid().to_numpy(zero_copy_only=False)
-            # with as many numbers as ids, one that is not among them stands for none
-            found = np.full(right.num_rows, -1, np.int64)
-            wanted = _values(unwanted.filter(pa.array(given)))
-            at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
-            found[given] = np.where(ids[at] == wanted, at, -1)
-            place = right.column_names.index("exclude_id")
-            right = right.set_column(place, "exclude_id", pa.array(found))
-        best = _Meeting(right, k, floor, schema)
-        x, block = matrix(left.column("vec")), left.column("block").to_numpy()
-        order = np.argsort(block, kind="stable")
-        block, known = block[order], bounds.value
-        heads = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
-        for chunk in np.array_split(np.arange(len(heads)), max(1, -(-len(heads) * right.num_rows // CELLS))):
-            if not len(chunk):
-                continue
-            upper = known.upper(best.queries, best.norms, block[heads[chunk]])
-            for j, at in enumerate(chunk):
-                rows = order[heads[at]:heads[at + 1] if at + 1 < len(heads) else len(block)]
-                met = np.flatnonzero(upper[:, j] >= best.floor - SLACK)
-                if len(met):
-                    best.meet(number[rows], x[rows], met)
-        best.settle()
-        if best.ids is None:
-            return schema.empty_table()
-        won = pa.array(ids[best.ids].tolist(), type=schema.field("id").type)
-        return pa.table([_plain(right.column("qid")).take(pa.array(best.rows)), won, pa.array(best.scores)], schema=schema)
-
-    tasks = 2 * parts * groups
-    left, right = (side.repartition(tasks, "_cell").groupBy("_cell") for side in (items, asked))
+        part = _Part(_values(left.column("id")), matrix(left.column("vec")), left.column("block").to_numpy(), bounds.value, k)
+        own = part.own_rows(right.column("exclude_id")) if "exclude_id" in right.column_names else []
+        found = list(part.best(matrix(right.column("vec")), own))
+        q, row, score = (np.concatenate(side) for side in zip(*found))
+        row = pa.array(row)
+        return pa.table([_plain(right.column("qid")).take(pa.array(q)), _plain(left.column("id")).take(row), pa.array(score),
+                         *[_plain(left.column(c)).take(row) for c in carry]], schema=schema)
+
+    left, right = (side.repartition(parts * groups, "_cell").groupBy("_cell") for side in (items, asked))
     return left.cogroup(right).applyInArrow(meet, out)
 
 
@@ -384,51 +479,46 @@ def _floors(found: DataFrame, k: int) -> DataFrame:
 class PrunedSearch:
     """One search of many queries; ``best`` has the rows, ``visits`` what was met for them.
 
-    ``items`` is (id, vec), ``queries`` is (qid, vec[, exclude_id]), both written and without nulls.
-    ``travelling`` says that the queries are few enough to go to every task.
+    ``items`` is (id, vec, carry...), ``queries`` is (qid, vec[, exclude_id]), both written and without null vectors.
+    ``travelling`` says that the queries are few enough to go to every task; nothing is carried then.
     """
 
     def __init__(self, items: DataFrame, queries: DataFrame, k: int, n_items: int, n_queries: int, travelling: bool, tasks: int,
-                 n_blocks: int | None = None):
-        self.k, self.travelling = k, travelling
-        partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                 n_blocks: int | None = None, carry=()):
+        self.k, self.travelling, self.queries = k, travelling, queries
         if not travelling:
-            # cells of groups and parts are few and large, blocks small enough to fill the parts evenly
+            # every further cell is paid with copies, so there are as many as can run at once, blocks small enough to fill the parts evenly
             width = items.agg(F.max(F.size("vec"))).first()[0] or 1
-            self.shape = grid_shape(n_items, n_queries, width, k, min(tasks, 8 * partitions))
+            self.shape = grid_shape(n_items, n_queries, width, k, min(tasks, items.sparkSession.sparkContext.defaultParallelism))
             n_blocks = n_blocks and min(MAX_BLOCKS, max(n_blocks, 16 * self.shape[0]))
-            tasks = min(tasks, max(partitions, -(-n_items * (8 * width + ROW_BYTES) // SIDE_BYTES)))
-        self.clustered, known = cluster(items, n_items, n_blocks, tasks)
+            tasks = None
+        self.clustered, known = cluster(items, n_items, n_blocks, tasks, carry)
         self.bounds = items.sparkSession.sparkContext.broadcast(known)
-        self.out = T.StructType([queries.schema["qid"], items.schema["id"], T.StructField("score", T.DoubleType())])
-        # one row more than asked for, as a query may leave one out
-        self.queries = write_and_read(with_home(queries, self.bounds, k + 1), "homes")
-        self.first = write_and_read(self._first(), "first")
-        self.floors = write_and_read(_floors(self.first, k), "floors")
-
-    def _first(self) -> DataFrame:
-        if self.travelling:
+        self.out = T.StructType([queries.schema["qid"], items.schema["id"], T.StructField("score", T.DoubleType()),
+                                 *[items.schema[c] for c in carry]])
+        if travelling:
+            # one row more than asked for, as a query may leave one out
+            self.queries = write_and_read(with_home(queries, self.bounds, k + 1), "homes")
             self.local = self.queries.toArrow()
-            return _scan(self.clustered, self.local, None, self.bounds, self.k, self.out)
-        pairs = self.queries.select(F.explode("home").alias("block"), *[c for c in self.queries.columns if c != "home"])
-        return _meet_pairs(self.clustered, pairs.withColumn("floor", F.lit(float("-inf"))), self.k, self.out)
+            self.first = write_and_read(_scan(self.clustered, self.local, None, self.bounds, k, self.out), "first")
+            self.floors = write_and_read(_floors(self.first, k), "floors")
 
     def with_floors(self) -> DataFrame:
-        return self.queries.join(self.floors, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        """Queries with home and floor: that of the first blocks, or of all where queries do not travel."""
+        queries = self.queries if self.travelling else with_home(self.queries, self.bounds, self.k + 1)
+        floors = self.floors if self.travelling else _floors(self.best(), self.k)
+        return queries.join(floors, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
 
     def best(self) -> DataFrame:
-        """(qid, id, score) candidates that hold every query's k best rows."""
-        if self.travelling:
-            known = self.floors.toPandas().set_index("floor")["qid"]
-            at = pd.Index(self.local.column("qid").to_pandas()).get_indexer(known.to_numpy())
-            floor = np.full(self.local.num_rows, -np.inf)
-            floor[at] = known.index.to_numpy()
-            rest = _scan(self.clustered, self.local, floor, self.bounds, self.k, self.out)
-        else:
-            # every block is asked again: what a query's first ones gave is its floor
-            return _grid(self.clustered, self.with_floors(), self.bounds, self.k, self.shape, self.out)
-        return self.first.unionByName(rest)
+        """(qid, id, score[, carry...]) candidates that hold every query's k best rows."""
+        if not self.travelling:
+            return _grid(self.clustered, self.queries, self.bounds, self.k, self.shape, self.out)
+        known = self.floors.toPandas().set_index("floor")["qid"]
+        at = pd.Index(self.local.column("qid").to_pandas()).get_indexer(known.to_numpy())
+        floor = np.full(self.local.num_rows, -np.inf)
+        floor[at] = known.index.to_numpy()
+        return self.first.unionByName(_scan(self.clustered, self.local, floor, self.bounds, self.k, self.out))
 
     def visits(self) -> DataFrame:
-        """(qid, n_blocks, n_visited) by the floors of the first blocks; floors that rise later exclude more."""
+        """(qid, n_blocks, n_visited) by the floors of ``with_floors``; floors that rise within a task exclude more."""
         return block_visits(self.with_floors(), self.bounds)

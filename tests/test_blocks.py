@@ -155,3 +155,37 @@ def test_grid_sides_are_bounded():
         assert n / parts * width * 8 <= pruned.SIDE_BYTES * 1.01 and n / groups * width * 8 <= pruned.SIDE_BYTES * 1.01
         assert n / groups * k <= pruned.WINNERS * 1.01
         assert (parts + groups) * n * (8 * width + pruned.ROW_BYTES) < 70e9
+
+
+def test_grid_has_a_cell_per_core_and_writes_its_blocks_only(spark, monkeypatch):
+    from cadenza.operators import blocks, pruned
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 5))
+    x[700:] = x[0]  # more rows of one vector than are wanted
+    df = spark.createDataFrame([(i, v.tolist(), f"n{i}") for i, v in enumerate(x)], "id bigint, vec array<double>, name string")
+    written, shapes = [], []
+    monkeypatch.setattr(blocks, "CELLS_PER_TASK", 100)
+    monkeypatch.setattr(pruned, "write_and_read", lambda t, name, write=pruned.write_and_read: written.append(name) or write(t, name))
+    monkeypatch.setattr(pruned, "_grid", lambda *given, grid=pruned._grid: shapes.append(given[4]) or grid(*given))
+    asked = df.select(F.col("id").alias("qid"), F.col("id").alias("exclude_id"), "vec")
+    got = block_top_k(df, asked, 6, Dot(), carry=("name",), max_query_rows=10).collect()
+    s = np.round(x @ x.T, 9)
+    np.fill_diagonal(s, -np.inf)
+    assert {(r["qid"], r["rank"], r["id"], r["name"]) for r in got} == {
+        (i, n + 1, j, f"n{j}") for i in range(900) for n, j in enumerate(np.lexsort((np.arange(900), -s[i]))[:6].tolist())}
+    assert written == ["blocks"]
+    assert np.prod(shapes[0]) < 2 * spark.sparkContext.defaultParallelism
+
+
+def test_bound_by_distance():
+    from cadenza.operators.pruned import Bounds
+    rng = np.random.default_rng(6)
+    unit = lambda v: v / np.linalg.norm(v, axis=1)[:, None]
+    rows = unit(rng.normal(size=(1, 6)) + 0.2 * rng.normal(size=(50, 6)))
+    centre = rows.mean(axis=0)
+    known = Bounds(centre[None], np.array([np.linalg.norm(rows - centre, axis=1).max()]), np.array([1.0]), np.array([50]))
+    queries = unit(rng.normal(size=(300, 6)))
+    upper = known.upper(queries, np.ones(300))[:, 0]
+    assert (upper >= (queries @ rows.T).max(axis=1)).all()
+    plain = np.minimum(queries @ centre + known.radius[0], 1.0)
+    assert (upper <= plain + 1e-9).all() and (upper < plain - 0.02).mean() > 0.05
