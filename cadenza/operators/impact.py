@@ -133,11 +133,16 @@ class ImpactSearch:
         able = met.filter(F.col("seen") + F.col("weak") + SLACK >= F.col("floor")).select("q", "cls")
         scored = self._scored(able).filter(F.col("score") > 0)
         classes = write_and_read(top_per_group(scored, ["q"], self._order(), self.k).select("q", "cls", "score"), "impact-best")
-        # k ids of each class that won, whatever the size of the class
-        won = self.index.members.join(classes.select("cls").distinct(), "cls", "left_semi")
-        ids = top_per_group(won, ["cls"], [F.col("id")], self.k)
-        return top_per_group(classes.join(ids, "cls"), ["q"], [F.round("score", DECIMALS).desc(), F.col("id")], self.k,
-                             rank="rank").select("q", "id", "score", "rank")
+        return best_of_classes(classes, self.index.members, self.k)
+
+
+def best_of_classes(classes: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(q, id, score, rank) from each query's best classes (q, cls, score), written, and their members (cls, id)."""
+    # k ids of each class that won, whatever the size of the class
+    won = members.join(classes.select("cls").distinct(), "cls", "left_semi")
+    ids = top_per_group(won, ["cls"], [F.col("id")], k)
+    return top_per_group(classes.join(ids, "cls"), ["q"], [F.round("score", DECIMALS).desc(), F.col("id")], k,
+                         rank="rank").select("q", "id", "score", "rank")
 
 
 def impact_top_k(index: ImpactIndex, texts: DataFrame, weighed, k: int) -> DataFrame:

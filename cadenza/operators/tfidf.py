@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from cadenza.functions.text import GRAM_SIZES, token_sort, words
 from cadenza.operators.blocks import TokenSort, block_top_k, compared
-from cadenza.operators.impact import ImpactIndex, impact_top_k
-from cadenza.operators.joins import lookup_join, salted_join
+from cadenza.operators.impact import ImpactIndex, best_of_classes, impact_top_k
+from cadenza.operators.joins import fits_broadcast, lookup_join, salted_join
 from cadenza.operators.ordering import top_per_group
 from cadenza.session import write_and_read
 
 
 #: Bytes of text whose grams are counted in one task: their table of groups stays in its memory.
 TASK_BYTES = 2 << 20
+#: Rows and bytes of the fitted vocabulary, and of the grams of all queries, that go to every task of ``scan_top_k``.
+FITTED_ROWS, FITTED_BYTES, ASKED_ROWS, ASKED_BYTES = 2_000_000, 128 << 20, 200_000, 16 << 20
 
 
 def placed_texts(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -109,6 +111,43 @@ def tfidf_top_k(items: DataFrame, queries: DataFrame, idf: DataFrame, k: int, ca
     return found.select("qid", "id", "score", *carry, "rank")
 
 
+def scan_top_k(texts: DataFrame, queries: DataFrame, k: int, text: str = "text") -> DataFrame:
+    """The same from items (id, text) and queries (qid, text), for few queries and long texts: (qid, id, score, rank).
+
+    No posting is written or shuffled. Equal texts are cut once, in the partition their class is placed in, for the
+    fit and again for the scores; there they meet the vocabulary and the queries' grams, which travel if they
+    measure small. Beyond that, the items are indexed.
+    """
+    named = texts.filter(F.col(text).isNotNull()).select("id", F.sha2(F.col(text).cast("binary"), 256).alias("cls"), text)
+    members = write_and_read(named.select("cls", "id"), "scan-members")
+    once = named.groupBy("cls").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.first(text).alias(text))
+    once = write_and_read(once.select(F.struct("cls", "least", "n").alias("doc"), text), "scan-once")
+    cut = gram_counts(once, "doc", text)
+    n = texts.agg(F.count("*")).scalar()
+    df = cut.groupBy("gram").agg(F.sum("doc.n").alias("df"))
+    idf = write_and_read(df.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1.0), "idf")
+
+    queries = write_and_read(queries.select("qid", "text"), "scan-queries")
+    distinct = queries.groupBy("text").agg(F.min("qid").alias("q"))
+    asked = vectors(distinct, idf, "q", "text").select("q", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("weights").alias("a"))))
+    asked = write_and_read(asked, "scan-asked")
+    if not (fits_broadcast(idf, FITTED_ROWS, FITTED_BYTES) and fits_broadcast(asked, ASKED_ROWS, ASKED_BYTES)):
+        index, idf = fit_index(texts, text)
+        return tfidf_top_k(texts, queries, idf, k, index=index)
+    wanted = asked.select("gram").distinct().withColumn("wanted", F.lit(True))
+    fitted = write_and_read(idf.select("gram", "idf").join(wanted, "gram", "left"), "scan-fitted")
+    weighed = cut.join(F.broadcast(fitted), "gram").withColumn("w", (1.0 + F.log("tf")) * F.col("idf"))
+    # grams that no query has count for the length only
+    rows = weighed.groupBy("doc").agg(F.collect_list(F.when(F.col("wanted"), F.struct("gram", "w"))).alias("p"),
+                                      F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    met = rows.select("doc", "norm", F.inline("p")).join(F.broadcast(asked), "gram")
+    scored = met.groupBy("doc", "norm", "q").agg((F.sum(F.col("a") * F.col("w")) / F.col("norm")).alias("score")).filter(F.col("score") > 0)
+    best = top_per_group(scored.select("q", "doc.cls", "doc.least", "score"), ["q"], [compared("score"), F.col("least")], k)
+    classes = write_and_read(best.select("q", "cls", "score"), "scan-best")
+    found = best_of_classes(classes, members, k).join(distinct, "q").drop("q")
+    return lookup_join(queries, found, "text", "inner", spread=["qid"]).select("qid", "id", "score", "rank")
+
+
 def query_gram_join(items: DataFrame, queries: DataFrame, idf: DataFrame) -> DataFrame:
     """(qid, id, score) of all queries and items that share a gram: postings joined on the gram.
 

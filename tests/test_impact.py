@@ -78,3 +78,22 @@ def test_empty_sides(spark):
     for items, queries in ((none, some), (some, none)):
         index, idf = tfidf.fit_index(items)
         assert tfidf.tfidf_top_k(items, queries.withColumnRenamed("id", "qid"), idf, 3, index=index).count() == 0
+
+
+@pytest.mark.parametrize("asked_rows", [200_000, 3])
+def test_few_queries_scan_the_texts(spark, monkeypatch, asked_rows):
+    monkeypatch.setattr(tfidf, "ASKED_ROWS", asked_rows)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(WORDS, 30)) for _ in range(60)]
+    texts += texts[:20] + [None, " "]
+    items = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    queries = spark.createDataFrame([("a", texts[0]), ("b", "w1 w30"), ("c", "w1 w30"), ("d", "zz"), ("e", None)], "qid string, text string")
+    index, idf = tfidf.fit_index(items)
+    wanted = tfidf.tfidf_top_k(items, queries, idf, 4, index=index).collect()
+    written = []
+    monkeypatch.setattr(tfidf, "write_and_read", lambda df, name: written.append(name) or write_and_read(df, name))
+    got = tfidf.scan_top_k(items, queries, 4)
+    rows = lambda of: sorted((r["qid"], r["rank"], r["id"], round(r["score"], 9)) for r in of)
+    assert rows(got.collect()) == rows(wanted) and len(wanted) == 12
+    # no table of postings unless the queries are too many to travel
+    assert ("gram-counts" in written) == (asked_rows == 3)
