@@ -7,10 +7,11 @@ need no further shuffle, which keeps the (many times larger) postings where they
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cadenza.functions.text import GRAM_SIZES, token_sort, words
 from cadenza.operators.blocks import TokenSort, block_top_k, compared
+from cadenza.operators.grams import Vocabulary, best_texts, document_frequencies, unit_vectors
 from cadenza.operators.impact import ImpactIndex, best_of_classes, impact_top_k
 from cadenza.operators.joins import fits_broadcast, lookup_join, salted_join
 from cadenza.operators.ordering import top_per_group
@@ -21,6 +22,8 @@ from cadenza.session import write_and_read
 TASK_BYTES = 2 << 20
 #: Rows and bytes of the fitted vocabulary, and of the grams of all queries, that go to every task of ``scan_top_k``.
 FITTED_ROWS, FITTED_BYTES, ASKED_ROWS, ASKED_BYTES = 2_000_000, 128 << 20, 200_000, 16 << 20
+#: Bytes of all texts of one repeated key that are put together in a row.
+MERGED_BYTES = 16 << 20
 
 
 def placed_texts(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -52,11 +55,38 @@ def counted_grams(texts: DataFrame, key: str = "id", text: str = "text") -> Data
     return write_and_read(gram_counts(texts, key, text), "gram-counts")
 
 
-def fit_idf(texts: DataFrame, key: str = "id", text: str = "text", grams: DataFrame | None = None) -> DataFrame:
-    """The fitted vocabulary (gram, df, idf), written once and read by every later step."""
-    grams = gram_counts(texts, key, text) if grams is None else grams
+def one_row_each(texts: DataFrame, key: str, text: str) -> DataFrame | None:
+    """(key, text) with one row per key: texts of a repeated key are joined by a blank. None if a key has too many for a row."""
+    texts = texts.select(key, text)
+    sizes = texts.groupBy(key).agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("size"))
+    most, largest = sizes.agg(F.max("n"), F.max(F.when(F.col("n") > 1, F.col("size")))).first()
+    if (most or 0) <= 1:
+        return texts
+    if (largest or 0) > MERGED_BYTES:
+        return None
+    return texts.groupBy(key).agg(F.array_join(F.collect_list(F.lower(text)), " ").alias(text))
+
+
+def sent_vocabulary(idf: DataFrame) -> Vocabulary | None:
+    """The written vocabulary (gram, idf), if it measures small enough to go to every task."""
+    if not fits_broadcast(idf, FITTED_ROWS, FITTED_BYTES):
+        return None
+    fitted = Vocabulary(idf.select("gram", "idf").toArrow())
+    return fitted if fitted.alphabet.fits else None
+
+
+def fit_idf(texts: DataFrame, key: str = "id", text: str = "text", grams: DataFrame | None = None, long: bool = False) -> DataFrame:
+    """The fitted vocabulary (gram, df, idf), written once and read by every later step.
+
+    ``long`` texts are counted in numpy where they lie, and no posting is made.
+    """
+    rows = one_row_each(texts, key, text) if long and grams is None else None
     n = texts.agg(F.count("*")).scalar()
-    df = grams.groupBy("gram").agg(F.count("*").alias("df"))
+    if rows is not None:
+        df = document_frequencies(rows, text)
+    else:
+        grams = gram_counts(texts, key, text) if grams is None else grams
+        df = grams.groupBy("gram").agg(F.count("*").alias("df"))
     return write_and_read(df.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1.0), "idf")
 
 
@@ -67,8 +97,16 @@ def weigh(grams: DataFrame, idf: DataFrame, key: str = "id") -> DataFrame:
 
 
 def vectors(texts: DataFrame, idf: DataFrame, key: str = "id", text: str = "text",
-            grams: DataFrame | None = None) -> DataFrame:
-    """(key, grams, weights): one unit-length sparse row per text that has a known gram."""
+            grams: DataFrame | None = None, long: bool = False) -> DataFrame:
+    """(key, grams, weights): one unit-length sparse row per text that has a known gram.
+
+    ``long`` texts are weighed in numpy where they lie, if the vocabulary, a written table, measures small.
+    """
+    if long and grams is None:
+        rows = one_row_each(texts, key, text)
+        fitted = sent_vocabulary(idf) if rows is not None else None
+        if fitted is not None:
+            return unit_vectors(rows, fitted, key, text)
     weighed = weigh(gram_counts(texts, key, text) if grams is None else grams, idf, key)
     # a list holds the grams of one text only
     rows = weighed.groupBy(key).agg(F.collect_list(F.struct("gram", "w")).alias("p"),
@@ -114,35 +152,32 @@ def tfidf_top_k(items: DataFrame, queries: DataFrame, idf: DataFrame, k: int, ca
 def scan_top_k(texts: DataFrame, queries: DataFrame, k: int, text: str = "text") -> DataFrame:
     """The same from items (id, text) and queries (qid, text), for few queries and long texts: (qid, id, score, rank).
 
-    No posting is written or shuffled. Equal texts are cut once, in the partition their class is placed in, for the
-    fit and again for the scores; there they meet the vocabulary and the queries' grams, which travel if they
-    measure small. Beyond that, the items are indexed.
+    No posting is made. Equal texts are cut once, where their class lies, for the fit and again for the scores; there
+    they meet the vocabulary and the queries' grams, which travel if they measure small, and a task keeps the best k
+    classes of each query. Beyond that, the items are indexed.
     """
     named = texts.filter(F.col(text).isNotNull()).select("id", F.sha2(F.col(text).cast("binary"), 256).alias("cls"), text)
     members = write_and_read(named.select("cls", "id"), "scan-members")
     once = named.groupBy("cls").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.first(text).alias(text))
-    once = write_and_read(once.select(F.struct("cls", "least", "n").alias("doc"), text), "scan-once")
-    cut = gram_counts(once, "doc", text)
+    once = write_and_read(once, "scan-once")
     n = texts.agg(F.count("*")).scalar()
-    df = cut.groupBy("gram").agg(F.sum("doc.n").alias("df"))
+    df = document_frequencies(once, text, F.col("n"))
     idf = write_and_read(df.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1.0), "idf")
 
     queries = write_and_read(queries.select("qid", "text"), "scan-queries")
     distinct = queries.groupBy("text").agg(F.min("qid").alias("q"))
-    asked = vectors(distinct, idf, "q", "text").select("q", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("weights").alias("a"))))
-    asked = write_and_read(asked, "scan-asked")
-    if not (fits_broadcast(idf, FITTED_ROWS, FITTED_BYTES) and fits_broadcast(asked, ASKED_ROWS, ASKED_BYTES)):
+    asked = vectors(distinct, idf, "q", "text", long=True).filter(F.col("q").isNotNull())
+    asked = write_and_read(asked.select("q", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("weights").alias("a")))), "scan-asked")
+    fitted = sent_vocabulary(idf) if fits_broadcast(asked, ASKED_ROWS, ASKED_BYTES) else None
+    if fitted is None:
         index, idf = fit_index(texts, text)
         return tfidf_top_k(texts, queries, idf, k, index=index)
-    wanted = asked.select("gram").distinct().withColumn("wanted", F.lit(True))
-    fitted = write_and_read(idf.select("gram", "idf").join(wanted, "gram", "left"), "scan-fitted")
-    weighed = cut.join(F.broadcast(fitted), "gram").withColumn("w", (1.0 + F.log("tf")) * F.col("idf"))
-    # grams that no query has count for the length only
-    rows = weighed.groupBy("doc").agg(F.collect_list(F.when(F.col("wanted"), F.struct("gram", "w"))).alias("p"),
-                                      F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    met = rows.select("doc", "norm", F.inline("p")).join(F.broadcast(asked), "gram")
-    scored = met.groupBy("doc", "norm", "q").agg((F.sum(F.col("a") * F.col("w")) / F.col("norm")).alias("score")).filter(F.col("score") > 0)
-    best = top_per_group(scored.select("q", "doc.cls", "doc.least", "score"), ["q"], [compared("score"), F.col("least")], k)
+    numbers = sorted(r["q"] for r in asked.select("q").distinct().collect())
+    kind = T.StructType([T.StructField("_q", T.LongType()), T.StructField("q", asked.schema["q"].dataType)])
+    numbers = texts.sparkSession.createDataFrame(list(enumerate(numbers)), kind)
+    met = asked.join(F.broadcast(numbers), "q").select(F.col("_q").alias("q"), "gram", "a").toArrow()
+    scored = best_texts(once, met, fitted, numbers.count(), k, ["cls", "least"], text).withColumnRenamed("q", "_q")
+    best = top_per_group(scored, ["_q"], [compared("score"), F.col("least")], k).join(F.broadcast(numbers), "_q")
     classes = write_and_read(best.select("q", "cls", "score"), "scan-best")
     found = best_of_classes(classes, members, k).join(distinct, "q").drop("q")
     return lookup_join(queries, found, "text", "inner", spread=["qid"]).select("qid", "id", "score", "rank")
