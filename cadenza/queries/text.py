@@ -79,7 +79,7 @@ SELECT k AS doc_id, count(*) AS n, {R('max(w)')} AS top, {R('sum(w)')} AS total
 def q02_documents(spark, sf):
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     # cut into grams twice: grams that are not written need not be brought together again
-    rows = tfidf.vectors(texts, tfidf.fit_idf(texts))
+    rows = tfidf.vectors(texts, tfidf.fit_idf(texts, long=True), long=True)
     rows = rows.withColumnRenamed("id", "doc_id")
     return rounded(rows.select("doc_id", F.size("grams").alias("n"), F.array_max("weights").alias("top"),
                                F.aggregate("weights", F.lit(0.0), lambda a, w: a + w).alias("total")))
