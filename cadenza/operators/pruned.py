@@ -35,6 +35,8 @@ MAX_BOUND_BYTES = 64 << 20
 QUERIES_PER_MEETING = 50_000
 #: Cells of queries x blocks or queries x rows in one array.
 CELLS = 4_000_000
+#: Scores of some queries and one block in a cell of the grid, however large the block is.
+SCORES = 1_000_000
 #: Winners kept aside before they are merged.
 PENDING_ROWS = 400_000
 #: Rows and bytes of vectors of either side in one task, and winners it holds.
@@ -49,7 +51,28 @@ FIRST_BLOCKS = 4
 
 def matrix(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1)
+
+
+def _chunks(x):
+    """(first row, rows as a matrix) of each part of a matrix or a column of vectors, whose parts are not put together."""
+    at = 0
+    for part in x.chunks if isinstance(x, pa.ChunkedArray) else [x]:
+        if len(part):
+            yield at, part if isinstance(part, np.ndarray) else matrix(part)
+            at += len(part)
+
+
+def _rows(x, wanted: np.ndarray) -> np.ndarray:
+    """Some rows of a matrix or a column of vectors, in that order: the only copy of them."""
+    if isinstance(x, np.ndarray):
+        return x[wanted]
+    out = None
+    for at, part in _chunks(x):
+        out = np.empty((len(wanted), part.shape[1])) if out is None else out
+        mine = np.flatnonzero((wanted >= at) & (wanted < at + len(part)))
+        out[mine] = part[wanted[mine] - at]
+    return out
 
 
 class Bounds:
@@ -167,8 +190,13 @@ def cluster(items: DataFrame, n_items: int, n_blocks: int | None = None, tasks:
     return clustered.select("block", "id", "vec", *carry), Bounds(np.repeat(centres, parts, axis=0), radius, norm, rows)
 
 
-def _slices(n: int, width: int):
-    step = max(1, CELLS // max(width, 1))
+def _largest(x: np.ndarray) -> float:
+    """The largest absolute value, without a copy of all of them."""
+    return max(float(x.max()), -float(x.min())) if x.size else 0.0
+
+
+def _slices(n: int, width: int, cells: int = CELLS):
+    step = max(1, cells // max(width, 1))
     return ((at, min(at + step, n)) for at in range(0, n, step))
 
 
@@ -323,12 +351,12 @@ def grid_shape(n_items: int, n_queries: int, width: int, k: int, tasks: int) ->
 class _Part:
     """The blocks of one part, which a group of queries meets: exact top-k, a bounded number of queries at a time."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, block: np.ndarray, bounds: Bounds, k: int):
+    def __init__(self, ids: np.ndarray, x, block: np.ndarray, bounds: Bounds, k: int):
         self.k, self.order = k, np.argsort(block, kind="stable")
         block = block[self.order]
         heads = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
         self.ends = np.append(heads, len(block))
-        self.x, self.bounds = x[self.order], bounds.of(block[heads])
+        self.x, self.bounds = _rows(x, self.order), bounds.of(block[heads])
         self.bounds.rows = np.diff(self.ends)
         # ids are numbered in their order, so that ties are told apart by numbers
         self.ids, number = np.unique(ids, return_inverse=True)
@@ -337,7 +365,7 @@ class _Part:
         self.copies = np.bincount(self.number, minlength=len(self.ids))
         self.first = np.cumsum(self.copies) - self.copies
         with np.errstate(invalid="ignore", over="ignore"):
-            self.largest = float(np.abs(self.x).max()) ** 2 * self.x.shape[1]
+            self.largest = _largest(self.x) ** 2 * self.x.shape[1]
         self.first_rows = max(k + 1, FIRST_BLOCKS * -(-len(block) // len(heads)))
 
     def own_rows(self, exclude: pa.ChunkedArray) -> list[np.ndarray]:
@@ -366,17 +394,20 @@ class _Part:
             s[hit, rows[hit] - lo] = -np.inf
         return s
 
-    def best(self, queries: np.ndarray, own: list[np.ndarray]):
-        """(query, row, score) of the k best rows of each query, as arrays for some queries at a time."""
+    def best(self, queries, own: list[np.ndarray]):
+        """(query, row, score) of the k best rows of each query, as arrays for some queries at a time.
+
+        Queries, like the rows of the part, are a matrix or a column of vectors as it came, of which no whole copy is made.
+        """
         with np.errstate(invalid="ignore", over="ignore"):
-            self.clean = float(np.abs(queries).max(initial=0)) ** 2 * max(queries.shape[1], 1) * self.largest < 1e300
+            self.clean = max((_largest(q) for _, q in _chunks(queries)), default=0.0) ** 2 * max(self.x.shape[1], 1) * self.largest < 1e300
         step = max(1, min(QUERIES_PER_MEETING, CELLS // max(len(self.bounds.rows), self.k)))
         # queries that lie together reach the same blocks
         few = self.bounds.centres[::max(1, math.isqrt(len(self.bounds.rows)))]
-        together = np.argsort(_nearest(queries, few)[0], kind="stable")
+        together = np.argsort(np.concatenate([np.empty(0, np.int64), *[_nearest(q, few)[0] for _, q in _chunks(queries)]]), kind="stable")
         for lo in range(0, len(queries), step):
             some = together[lo:lo + step]
-            q, s, r = self._best(queries[some], [rows[some] for rows in own])
+            q, s, r = self._best(_rows(queries, some), [rows[some] for rows in own])
             yield some[q], self.order[r], s
 
     def _best(self, queries, own):
@@ -393,17 +424,19 @@ class _Part:
                 some = some[upper[some, b] >= floor[some] - SLACK]
             if not len(some):
                 continue
-            s = self._scores(queries[some], [rows[some] for rows in own], b)
-            at = np.flatnonzero(s >= (floor[some] - SLACK)[:, None])
-            score, (r, c) = s.ravel()[at], np.divmod(at, s.shape[1])
-            if not np.isfinite(floor[some]).all():
-                real = np.isfinite(score)
-                r, c, score = r[real], c[real], score[real]
-            found.append((some[r], score, c + self.ends[b]))
-            pending += len(r)
-            if pending > max(PENDING_ROWS, len(queries) * self.k // 2):
-                kept, raised = self._settle(found, kept, floor), True
-                found, pending = [], 0
+            for lo, hi in _slices(len(some), self.ends[b + 1] - self.ends[b], SCORES):
+                few = some[lo:hi]
+                s = self._scores(queries[few], [rows[few] for rows in own], b)
+                at = np.flatnonzero(s >= (floor[few] - SLACK)[:, None])
+                score, (r, c) = s.ravel()[at], np.divmod(at, s.shape[1])
+                if not np.isfinite(floor[few]).all():
+                    real = np.isfinite(score)
+                    r, c, score = r[real], c[real], score[real]
+                found.append((few[r], score, c + self.ends[b]))
+                pending += len(r)
+                if pending > max(PENDING_ROWS, len(queries) * self.k // 2):
+                    kept, raised = self._settle(found, kept, floor), True
+                    found, pending = [], 0
         return self._settle(found, kept, floor)
 
     def _floors(self, queries, own, upper) -> np.ndarray:
@@ -411,10 +444,12 @@ class _Part:
         block, asked = np.nonzero(self.bounds.home(upper, self.first_rows).T)
         heads = np.flatnonzero(np.diff(block, prepend=-1))
         top = np.full((len(queries), self.k), -np.inf)
-        for lo, hi in zip(heads, np.append(heads[1:], len(block))):
-            some = asked[lo:hi]
-            s = np.concatenate([top[some], self._scores(queries[some], [rows[some] for rows in own], block[lo])], axis=1)
-            top[some] = np.partition(s, s.shape[1] - self.k, axis=1)[:, -self.k:]
+        for head, end in zip(heads, np.append(heads[1:], len(block))):
+            b = block[head]
+            for lo, hi in _slices(end - head, self.ends[b + 1] - self.ends[b], SCORES):
+                some = asked[head + lo:head + hi]
+                s = np.concatenate([top[some], self._scores(queries[some], [rows[some] for rows in own], b)], axis=1)
+                top[some] = np.partition(s, s.shape[1] - self.k, axis=1)[:, -self.k:]
         return top.min(axis=1)
 
     def _settle(self, found, kept, floor):
@@ -458,9 +493,9 @@ def _grid(clustered: DataFrame, queries: DataFrame, bounds, k: int, shape: tuple
         schema = to_arrow_schema(out)
         if not (left.num_rows and right.num_rows):
             return schema.empty_table()
-        part = _Part(_values(left.column("id")), matrix(left.column("vec")), left.column("block").to_numpy(), bounds.value, k)
+        part = _Part(_values(left.column("id")), left.column("vec"), left.column("block").to_numpy(), bounds.value, k)
         own = part.own_rows(right.column("exclude_id")) if "exclude_id" in right.column_names else []
-        found = list(part.best(matrix(right.column("vec")), own))
+        found = list(part.best(right.column("vec"), own))
         q, row, score = (np.concatenate(side) for side in zip(*found))
         row = pa.array(row)
         return pa.table([_plain(right.column("qid")).take(pa.array(q)), _plain(left.column("id")).take(row), pa.array(score),
